@@ -22,32 +22,47 @@ def _line(df: DataFrame, keys: list[str], max_rows: int) -> Timeline:
 
 
 def attach_context(telemetry: DataFrame, context: DataFrame, *, active_only: bool = False,
-                   max_rows: int = MAX_ROWS) -> DataFrame:
+                   anomalies: bool = False, max_rows: int = MAX_ROWS) -> DataFrame:
     """Every reading with the latest context event at or before it; nulls if there is none.
 
-    A trackout replaces the trackin. ``active_only`` blanks the context after a trackout. Tables
-    with a ``seq`` column break ties by it. On streams use ``streaming.stateful``.
+    A trackout replaces the trackin. ``active_only`` blanks the context after a trackout.
+    ``anomalies`` adds ``context_anomaly``, set on the first reading after an implicit close; if
+    several closes precede one reading it shows the latest, and ``implicit_closes`` lists all.
+    Tables with a ``seq`` column break ties by it. On streams use ``streaming.stateful``.
     """
-    events = context.withColumnRenamed("device_id", "machine_id")
-    found = asof(
-        telemetry, events.withColumn("context_ts", F.col("timestamp")), ["machine_id"],
-        left_time="timestamp", right_time="timestamp", left_tie=_tie(telemetry), right_tie=_tie(events),
-        carry=[*_CARRY, "context_ts"], into="_context", max_rows=max_rows,
-    )
+    events = sequence_guard(context, max_rows=max_rows) if anomalies else context
+    events = events.withColumnRenamed("device_id", "machine_id").withColumn("context_ts", F.col("timestamp"))
+    carry = [*_CARRY, "context_ts", *(["context_anomaly"] if anomalies else [])]
+    found = asof(telemetry, events, ["machine_id"], left_time="timestamp", right_time="timestamp",
+                 left_tie=_tie(telemetry), right_tie=_tie(events), carry=carry, into="_context",
+                 first="_first" if anomalies else None, max_rows=max_rows)
     held = F.col("_context")
     if active_only:
         held = F.when(held["event_type"] == schemas.TRACKIN, held)
-    return found.select(*telemetry.columns, *[held[c].alias(c) for c in (*_CARRY, "context_ts")])
+    out = [held[c].alias(c) for c in (*_CARRY, "context_ts")]
+    if anomalies:
+        out.append(F.when(F.col("_first"), F.col("_context.context_anomaly")).alias("context_anomaly"))
+    return found.select(*telemetry.columns, *out)
 
 
-def implicit_closes(context: DataFrame, *, max_rows: int = MAX_ROWS) -> DataFrame:
-    """A trackin that follows a trackin: the earlier run was never tracked out. Flags, blocks nothing."""
+def sequence_guard(context: DataFrame, *, max_rows: int = MAX_ROWS) -> DataFrame:
+    """Context events with ``context_anomaly`` on a trackin that follows a trackin.
+
+    The earlier run was never tracked out. It is flagged, not blocked.
+    """
     line = _line(context, ["device_id"], max_rows)
     seen = scan(context, line, {"_prev": previous(["event_type", "run_id"])})
-    return seen.where(
-        (F.col("event_type") == schemas.TRACKIN) & (F.col("_prev.event_type") == schemas.TRACKIN)
-    ).select("device_id", anomaly(F.col("_prev.run_id"), F.col("run_id"), F.col("timestamp"))
-             .alias("context_anomaly"))
+    implicit = (F.col("event_type") == schemas.TRACKIN) & (F.col("_prev.event_type") == schemas.TRACKIN)
+    return seen.withColumn("context_anomaly", F.when(
+        implicit, anomaly(F.col("_prev.run_id"), F.col("run_id"), F.col("timestamp")))).drop("_prev")
+
+
+def implicit_closes(context: DataFrame, *, max_rows: int = MAX_ROWS) -> DataFrame:
+    """Every implicit run close, one row each."""
+    return (
+        sequence_guard(context, max_rows=max_rows)
+        .where(F.col("context_anomaly").isNotNull()).select("device_id", "context_anomaly")
+    )
 
 
 def anomaly(previous_run: Column, current_run: Column, ts: Column) -> Column:
@@ -131,24 +146,3 @@ def reconcile(records: DataFrame, context: DataFrame, *, max_rows: int = MAX_ROW
         "resolved_ts": late,
         "status": F.when(late.isNotNull(), schemas.RESOLVED).otherwise(schemas.UNRESOLVED),
     }).select(*records.columns)
-
-
-def flag_anomalies(with_context: DataFrame, closes: DataFrame, *, max_rows: int = MAX_ROWS) -> DataFrame:
-    """Put each anomaly on the first reading of the run it opened; other readings get null.
-
-    Several anomalies before one reading: the latest is kept here, all are in ``dlq_records``.
-    """
-    found = asof(with_context, closes.withColumn("_at", F.col("context_anomaly.implicit_transition_ts"))
-                 .withColumnRenamed("device_id", "machine_id"), ["machine_id"],
-                 left_time="timestamp", right_time="_at", left_tie=_tie(with_context),
-                 carry=["context_anomaly"], into="_close", max_rows=max_rows)
-    at = F.col("_close.context_anomaly.implicit_transition_ts")
-    # The first reading of a run is the one with no earlier reading that has the same context.
-    order = ["timestamp", *([_tie(with_context)] if _tie(with_context) else [])]
-    line = Timeline.of(found, ["machine_id"], order, max_rows=max_rows)
-    seen = scan(found, line, {"_before": previous(["timestamp"])})
-    first = at.isNotNull() & (F.col("_before").isNull() | (F.col("_before.timestamp") < at))
-    return seen.select(*with_context.columns,
-                       F.when(first, F.col("_close.context_anomaly")).alias("context_anomaly"))
-
-

@@ -62,8 +62,7 @@ class Timeline:
         # at most MAX_HOT_KEYS rows
         return (
             df.join(F.broadcast(self.hot), _same(df, self.keys), "left")
-            .withColumn(_SLICE, F.floor((F.coalesce(F.col(self.order[0]), F.lit(0)) - F.col("_origin"))
-                                        / F.col("_width")))
+            .withColumn(_SLICE, F.expr(f"(coalesce({self.order[0]}, 0) - _origin) div _width"))
             .drop(*[f"_k{i}" for i in range(len(self.keys))], "_origin", "_width")
         )
 
@@ -229,11 +228,13 @@ def previous(columns: Sequence[str]) -> Scan:
 
 def asof(left: DataFrame, right: DataFrame, keys: Sequence[str], *, left_time: str, right_time: str,
          carry: Sequence[str], left_tie: str | None = None, right_tie: str | None = None,
-         forward: bool = False, into: str = "_match", max_rows: int = MAX_ROWS) -> DataFrame:
+         forward: bool = False, into: str = "_match", first: str | None = None,
+         max_rows: int = MAX_ROWS) -> DataFrame:
     """Every left row with the latest right row at or before it (``forward``: first at or after it).
 
     One shuffle of the union by key; no inequality join. ``into`` is a struct of ``carry``, null
-    where nothing matches. A right row at the same time counts as a match.
+    where nothing matches. A right row at the same time counts as a match. ``first`` names a column
+    that is true on the first left row of each match.
     """
     left_rank, right_rank = (0, 1) if forward else (1, 0)
     absent = F.lit(None).cast("bigint")
@@ -249,8 +250,21 @@ def asof(left: DataFrame, right: DataFrame, keys: Sequence[str], *, left_time: s
         allowMissingColumns=True,
     )
     line = Timeline.of(both, keys, ("_time", "_rank", "_tie"), max_rows=max_rows, descending=forward)
-    matched = scan(both, line, {into: last_value(F.col("_carry"))})
-    return matched.where(F.col("_rank") == left_rank).select(*left.columns, into)
+    columns = {into: last_value(F.col("_carry"))}
+    if first:
+        columns["_before"] = last_value(F.col("_rank"), inclusive=False)
+    matched = scan(both, line, columns).where(F.col("_rank") == left_rank)
+    extra = [F.coalesce(F.col("_before") == right_rank, F.lit(False)).alias(first)] if first else []
+    return matched.select(*left.columns, into, *extra)
+
+
+def localize(df: DataFrame, max_rows: int = 20_000) -> DataFrame:
+    """A small configuration table as literal rows, so a plan that uses it often reads it once.
+
+    A larger table, or one that a stream reads again per batch, is returned as it is.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    return df.sparkSession.createDataFrame(rows, df.schema) if len(rows) <= max_rows else df
 
 
 def guarded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:

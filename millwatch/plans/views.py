@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millwatch import schemas
-from millwatch.operators.ordered import asof
+from millwatch.operators.ordered import Timeline, last_value, scan
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,10 +80,9 @@ def context_of(ev: DataFrame) -> DataFrame:
 def context(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Context events; a trackout names the run of the latest trackin."""
     bare = context_of(events(spark, sf_dir))
-    ins = bare.where(F.col("event_type") == schemas.TRACKIN)
-    found = asof(bare, ins, ["device_id"], left_time="timestamp", right_time="timestamp",
-                 left_tie="seq", right_tie="seq", carry=["run_id", "start_ts"])
-    return found.select(
+    line = Timeline.of(bare, ["device_id"], ["timestamp", "seq"])
+    trackin = F.when(F.col("event_type") == schemas.TRACKIN, F.struct("run_id", "start_ts"))
+    return scan(bare, line, {"_match": last_value(trackin)}).select(
         "device_id", F.col("_match.run_id").alias("run_id"), "event_type", "timestamp",
         F.col("_match.start_ts").alias("start_ts"), "end_ts", "seq")
 
