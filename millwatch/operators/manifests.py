@@ -226,8 +226,8 @@ def schema_requests(current: DataFrame, devices: DataFrame) -> DataFrame:
                   encoding=F.col("encoding"), compression=F.col("compression"))
     return (
         request(typed.select("storageGroup").distinct(), create_group, storage_group=group)
-        .unionByName(request(fields.where(template.isNotNull()).dropDuplicates(["templateName", "measurement"]),
-                             create_template, template=template, **detail))
+        .unionByName(request(fields.where(template.isNotNull()), create_template, template=template,
+                             **detail).distinct())
         .unionByName(request(named.where(template.isNotNull()), apply_template, storage_group=group,
                              template=template, device_path=path))
         .unionByName(request(series, create_series, storage_group=group, device_path=path, **detail))
