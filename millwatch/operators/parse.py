@@ -49,16 +49,13 @@ def parse(raw: DataFrame, schema: T.StructType, *, required: Sequence[str],
           .alias("arrival_time" if c == "timestamp" else c) for c, t in known.items()],
     )
     options = {"columnNameOfCorruptRecord": _CORRUPT, "allowNonNumericNumbers": "false"}
-    parsed = record.withColumn(
-        "_m", F.from_json("original_input", schema.add(_CORRUPT, "string") if _CORRUPT not in schema.names
-                          else schema, options))
-    return classify_errors(parsed, schema, required, numeric).select(
-        *_RECORD, *[F.col(f"_m.{n}").alias(n, metadata=schema[n].metadata)
-                    for n in schema.names if n != _CORRUPT], *_ERROR)
+    shape = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    parsed = record.withColumn("_m", F.from_json("original_input", shape, options))
+    return classify_errors(parsed, required, numeric).select(
+        *_RECORD, *[F.col(f"_m.{f.name}").alias(f.name, metadata=f.metadata) for f in schema.fields], *_ERROR)
 
 
-def classify_errors(parsed: DataFrame, schema: T.StructType, required: Sequence[str],
-                    numeric: Sequence[str]) -> DataFrame:
+def classify_errors(parsed: DataFrame, required: Sequence[str], numeric: Sequence[str]) -> DataFrame:
     """Tag every row with its first error; good rows are parsed once and not looked at again."""
     text = F.col("original_input")
     corrupt = F.col(f"_m.{_CORRUPT}").isNotNull()

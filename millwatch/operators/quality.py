@@ -7,12 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_ONE = F.lit(1)
 
 
 def dlq_counts(letters: DataFrame, by: str | Sequence[str]) -> DataFrame:
     keys = [by] if isinstance(by, str) else list(by)
-    return letters.groupBy(*keys).agg(F.count(_ONE).alias("n"))
+    return letters.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
 def dlq_rate(rows: DataFrame, size: str = "5 minutes", limit: float = 0.01) -> DataFrame:
@@ -22,7 +21,7 @@ def dlq_rate(rows: DataFrame, size: str = "5 minutes", limit: float = 0.01) -> D
     """
     return (
         rows.groupBy(F.window("arrival_time", size).alias("w"))
-        .agg(F.count(_ONE).alias("total"), F.count_if(F.col("error_type").isNotNull()).alias("dlq"))
+        .agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("error_type").isNotNull()).alias("dlq"))
         .select(F.col("w.start").alias("window_start"), "total", "dlq",
                 (F.col("dlq") / F.col("total")).alias("dlq_rate"))
         .where(F.col("dlq_rate") > limit)
@@ -51,14 +50,14 @@ def lag(offsets: DataFrame) -> DataFrame:
 
 def counters(df: DataFrame, **conditions: Column | str) -> DataFrame:
     """Named counts in one pass: ``counters(df, trimmed="disposition like 'TRIMMED%'")``."""
-    return df.agg(F.count(_ONE).alias("total"), *[
+    return df.agg(F.count(F.lit(1)).alias("total"), *[
         F.count_if(F.expr(c) if isinstance(c, str) else c).alias(n) for n, c in conditions.items()])
 
 
 def status_counts(df: DataFrame) -> DataFrame:
-    return df.groupBy("status", "fault_code").agg(F.count(_ONE).alias("n"))
+    return df.groupBy("status", "fault_code").agg(F.count(F.lit(1)).alias("n"))
 
 
 def top_devices(df: DataFrame, n: int, key: str = "device_id") -> DataFrame:
     """The n devices with the most rows; ties go by id."""
-    return df.groupBy(key).agg(F.count(_ONE).alias("n")).orderBy(F.desc("n"), F.asc(key)).limit(n)
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.asc(key)).limit(n)

@@ -20,6 +20,7 @@ def local_session(cores: int | str = "*", app: str = "millwatch", **conf: str) -
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     )
