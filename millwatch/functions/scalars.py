@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SEMVER = r"^\d+\.\d+\.\d+$"
+PAIR = r"^\s*\[\s*([-+.eE0-9]+)\s*,\s*([-+.eE0-9]+)\s*\]\s*$"
 MAX_INPUT = 2048
 MAX_LOG = 100
 
@@ -111,12 +112,8 @@ def threshold_number(text: Column) -> Column:
 
 def threshold_range(text: Column) -> Column:
     """A manifest threshold as a struct ``lo, hi``; null unless it is a pair of numbers."""
-    pair = F.from_json(text, "array<double>")
-    return F.when(
-        F.startswith(F.trim(text), F.lit("[")) & (F.size(pair) == 2)
-        & F.get(pair, F.lit(0)).isNotNull() & F.get(pair, F.lit(1)).isNotNull(),
-        F.struct(F.get(pair, F.lit(0)).alias("lo"), F.get(pair, F.lit(1)).alias("hi")),
-    )
+    lo, hi = (F.regexp_extract(text, PAIR, i).try_cast("double") for i in (1, 2))
+    return F.when(lo.isNotNull() & hi.isNotNull(), F.struct(lo.alias("lo"), hi.alias("hi")))
 
 
 def join_errors(errors: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millwatch import schemas
 from millwatch.functions import scalars
-from millwatch.operators.ordered import MAX_ROWS, Timeline, asof, previous, scan
+from millwatch.operators.ordered import Cuts, Timeline, asof, previous, scan
 
 _CARRY = ("run_id", "event_type", "start_ts", "end_ts")
 
@@ -16,13 +16,13 @@ def _tie(df: DataFrame) -> str | None:
     return "seq" if "seq" in df.columns else None
 
 
-def _line(df: DataFrame, keys: list[str], max_rows: int) -> Timeline:
+def _line(df: DataFrame, keys: list[str], cuts: Cuts | None) -> Timeline:
     order = ["timestamp", *(["seq"] if "seq" in df.columns else [])]
-    return Timeline.of(df, keys, order, max_rows=max_rows)
+    return Timeline.of(df, keys, order, cuts)
 
 
 def attach_context(telemetry: DataFrame, context: DataFrame, *, active_only: bool = False,
-                   anomalies: bool = False, max_rows: int = MAX_ROWS) -> DataFrame:
+                   anomalies: bool = False, cuts: Cuts | None = None) -> DataFrame:
     """Every reading with the latest context event at or before it; nulls if there is none.
 
     A trackout replaces the trackin. ``active_only`` blanks the context after a trackout.
@@ -30,12 +30,12 @@ def attach_context(telemetry: DataFrame, context: DataFrame, *, active_only: boo
     several closes precede one reading it shows the latest, and ``implicit_closes`` lists all.
     Tables with a ``seq`` column break ties by it. On streams use ``streaming.stateful``.
     """
-    events = sequence_guard(context, max_rows=max_rows) if anomalies else context
+    events = sequence_guard(context, cuts=cuts) if anomalies else context
     events = events.withColumnRenamed("device_id", "machine_id").withColumn("context_ts", F.col("timestamp"))
     carry = [*_CARRY, "context_ts", *(["context_anomaly"] if anomalies else [])]
     found = asof(telemetry, events, ["machine_id"], left_time="timestamp", right_time="timestamp",
                  left_tie=_tie(telemetry), right_tie=_tie(events), carry=carry, into="_context",
-                 first="_first" if anomalies else None, max_rows=max_rows)
+                 first="_first" if anomalies else None, cuts=cuts)
     held = F.col("_context")
     if active_only:
         held = F.when(held["event_type"] == schemas.TRACKIN, held)
@@ -45,22 +45,22 @@ def attach_context(telemetry: DataFrame, context: DataFrame, *, active_only: boo
     return found.select(*telemetry.columns, *out)
 
 
-def sequence_guard(context: DataFrame, *, max_rows: int = MAX_ROWS) -> DataFrame:
+def sequence_guard(context: DataFrame, *, cuts: Cuts | None = None) -> DataFrame:
     """Context events with ``context_anomaly`` on a trackin that follows a trackin.
 
     The earlier run was never tracked out. It is flagged, not blocked.
     """
-    line = _line(context, ["device_id"], max_rows)
+    line = _line(context, ["device_id"], cuts)
     seen = scan(context, line, {"_prev": previous(["event_type", "run_id"])})
     implicit = (F.col("event_type") == schemas.TRACKIN) & (F.col("_prev.event_type") == schemas.TRACKIN)
     return seen.withColumn("context_anomaly", F.when(
         implicit, anomaly(F.col("_prev.run_id"), F.col("run_id"), F.col("timestamp")))).drop("_prev")
 
 
-def implicit_closes(context: DataFrame, *, max_rows: int = MAX_ROWS) -> DataFrame:
+def implicit_closes(context: DataFrame, *, cuts: Cuts | None = None) -> DataFrame:
     """Every implicit run close, one row each."""
     return (
-        sequence_guard(context, max_rows=max_rows)
+        sequence_guard(context, cuts=cuts)
         .where(F.col("context_anomaly").isNotNull()).select("device_id", "context_anomaly")
     )
 
@@ -76,9 +76,9 @@ def anomaly(previous_run: Column, current_run: Column, ts: Column) -> Column:
     )
 
 
-def runs(context: DataFrame, *, max_rows: int = MAX_ROWS) -> DataFrame:
+def runs(context: DataFrame, *, cuts: Cuts | None = None) -> DataFrame:
     """One row per trackin: its run ends at the next context event, and is open if there is none."""
-    line = _line(context, ["device_id"], max_rows)
+    line = _line(context, ["device_id"], cuts)
     seen = scan(context, line.reversed(), {"_next": previous(["event_type", "timestamp"])})
     return seen.where(F.col("event_type") == schemas.TRACKIN).select(
         "device_id", "run_id",
@@ -89,7 +89,7 @@ def runs(context: DataFrame, *, max_rows: int = MAX_ROWS) -> DataFrame:
     )
 
 
-def in_run(telemetry: DataFrame, run_table: DataFrame, *, max_rows: int = MAX_ROWS) -> DataFrame:
+def in_run(telemetry: DataFrame, run_table: DataFrame, *, cuts: Cuts | None = None) -> DataFrame:
     """Every reading with the run whose ``[start_ts, end_ts]`` holds it; nulls outside of runs.
 
     Finds the last run start by as-of, then checks the end, so no range join is needed.
@@ -97,7 +97,7 @@ def in_run(telemetry: DataFrame, run_table: DataFrame, *, max_rows: int = MAX_RO
     starts = run_table.withColumnRenamed("device_id", "machine_id")
     found = asof(telemetry, starts, ["machine_id"], left_time="timestamp", right_time="start_ts",
                  left_tie=_tie(telemetry), carry=["run_id", "start_ts", "end_ts"], into="_run",
-                 max_rows=max_rows)
+                 cuts=cuts)
     inside = F.when(
         F.col("_run.end_ts").isNull() | (F.col("timestamp") <= F.col("_run.end_ts")), F.col("_run"))
     return found.select(*telemetry.columns,
@@ -128,7 +128,7 @@ def anomaly_dlq(evaluated: DataFrame, now: Column | int | None = None) -> DataFr
     return dlq_records(evaluated, now)
 
 
-def reconcile(records: DataFrame, context: DataFrame, *, max_rows: int = MAX_ROWS) -> DataFrame:
+def reconcile(records: DataFrame, context: DataFrame, *, cuts: Cuts | None = None) -> DataFrame:
     """Resolve records whose previous run is tracked out at or after the implicit close.
 
     The first such trackout counts. It is found by a forward as-of per device and run.
@@ -140,7 +140,7 @@ def reconcile(records: DataFrame, context: DataFrame, *, max_rows: int = MAX_ROW
         "_at": F.col("context_anomaly.implicit_transition_ts"),
     })
     found = asof(open_, outs, ["device_id", "_run"], left_time="_at", right_time="_out",
-                 carry=["_out"], forward=True, into="_late", max_rows=max_rows)
+                 carry=["_out"], forward=True, into="_late", cuts=cuts)
     late = F.when(F.col("_run").isNotNull(), F.col("_late._out"))
     return found.withColumns({
         "resolved_ts": late,

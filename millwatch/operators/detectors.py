@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millwatch.operators import ordered
-from millwatch.operators.ordered import MAX_ROWS, Timeline, running_count, scan
+from millwatch.operators.ordered import Cuts, Timeline, running_count, scan
 
 
 def _order(df: DataFrame) -> list[str]:
@@ -20,7 +20,7 @@ def _order(df: DataFrame) -> list[str]:
 
 
 def ewma(df: DataFrame, column: str, alpha: float, *, key: str = "machine_id",
-         max_rows: int = MAX_ROWS) -> DataFrame:
+         cuts: Cuts | None = None) -> DataFrame:
     """Add ``<column>_ewma``: s = alpha*x + (1-alpha)*s, from the first value on.
 
     Readings are numbered and cut into blocks of B. Inside a block the weighted sum is a window
@@ -35,7 +35,7 @@ def ewma(df: DataFrame, column: str, alpha: float, *, key: str = "machine_id",
         return df.withColumn(f"{column}_ewma", x.cast("double"))
     block = int(min(max(150 / -math.log10(w), 1), 100_000))
     back = max(1, math.ceil(40 / (block * -math.log(w))))  # blocks that still weigh more than e^-40
-    line = Timeline.of(df, [key], _order(df), max_rows=max_rows)
+    line = Timeline.of(df, [key], _order(df), cuts=cuts)
     seen = scan(df, line, {"_n": running_count(x)}).withColumns({
         "_block": F.expr(f"(_n - 1) div {block}"),
         "_pos": F.expr(f"(_n - 1) % {block}"),
@@ -59,14 +59,14 @@ def ewma(df: DataFrame, column: str, alpha: float, *, key: str = "machine_id",
 
 
 def cusum(df: DataFrame, column: str, mu: float, k: float, h: float, *, key: str = "machine_id",
-          max_rows: int = MAX_ROWS) -> DataFrame:
+          cuts: Cuts | None = None) -> DataFrame:
     """Add ``<column>_cusum`` = max(0, previous + x - mu - k) and ``<column>_alarm`` where it exceeds h.
 
     With C the running sum of x-mu-k, the value is C - min(0, lowest C so far). A slice that
     starts from S adds it as max(value inside the slice, S + C inside the slice).
     """
     d = F.coalesce(F.col(column) - F.lit(mu) - F.lit(k), F.lit(0.0))
-    line = Timeline.of(df, [key], _order(df), max_rows=max_rows)
+    line = Timeline.of(df, [key], _order(df), cuts=cuts)
     upto = line.window().rowsBetween(Window.unboundedPreceding, 0)
     rows = line.cut(df).withColumn("_c", F.sum(d).over(upto))
     rows = rows.withColumn("_v", F.col("_c") - F.least(F.lit(0.0), F.min("_c").over(upto)))
@@ -89,17 +89,17 @@ def cusum(df: DataFrame, column: str, mu: float, k: float, h: float, *, key: str
 
 
 def zscore(df: DataFrame, column: str, n: int, *, key: str = "machine_id",
-           max_rows: int = MAX_ROWS) -> DataFrame:
+           cuts: Cuts | None = None) -> DataFrame:
     """Add ``<column>_z``: distance from the mean of the ``n`` readings before, in their deviations.
 
-    Null while fewer than two readings came before or if they do not vary. A machine above
-    ``max_rows`` is numbered and cut into blocks of rows; each block is also given the last ``n``
+    Null while fewer than two readings came before or if they do not vary. A machine that
+    is cut is numbered and cut into blocks of rows; each block is also given the last ``n``
     rows of the block before it, so every frame is whole.
     """
-    line = Timeline.of(df, [key], _order(df), max_rows=max_rows)
+    line = Timeline.of(df, [key], _order(df), cuts=cuts)
     rows, parts = df, [key]
     if line.hot is not None:
-        size = max(max_rows, n)
+        size = max(line.cuts.max_rows, n)
         rows = scan(df, line, {"_n": running_count(F.lit(1))}).withColumn(
             "_block", F.expr(f"(_n - 1) div {size}"))
         late = F.expr(f"(_n - 1) % {size}") >= size - n

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millwatch import schemas
-from millwatch.operators.ordered import guarded_broadcast
+from millwatch.functions.frames import guarded_broadcast
 
 
 def add_dims(df: DataFrame, registry: DataFrame) -> DataFrame:

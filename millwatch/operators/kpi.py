@@ -8,21 +8,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millwatch.operators.ordered import MAX_ROWS, Timeline, previous, scan
+from millwatch.operators.ordered import Cuts, Timeline, previous, scan
 
 
-def durations(df: DataFrame, key: str = "machine_id", *, max_rows: int = MAX_ROWS) -> DataFrame:
+def durations(df: DataFrame, key: str = "machine_id", *, cuts: Cuts | None = None) -> DataFrame:
     """Add ``held_ms``: how long a reading's state lasted, until the machine's next reading."""
     order = ["timestamp", *(["seq"] if "seq" in df.columns else [])]
-    line = Timeline.of(df, [key], order, max_rows=max_rows, descending=True)
+    line = Timeline.of(df, [key], order, cuts=cuts, descending=True)
     return scan(df, line, {"_next": previous(["timestamp"])}).withColumn(
         "held_ms", F.coalesce(F.col("_next.timestamp") - F.col("timestamp"), F.lit(0))).drop("_next")
 
 
-def utilization(df: DataFrame, key: str = "machine_id", *, max_rows: int = MAX_ROWS) -> DataFrame:
+def utilization(df: DataFrame, key: str = "machine_id", *, cuts: Cuts | None = None) -> DataFrame:
     """Time in status ``running`` over all observed time, per machine."""
     held = durations(df.select(key, "timestamp", "status", *(["seq"] if "seq" in df.columns else [])), key,
-                     max_rows=max_rows)
+                     cuts=cuts)
     running = F.sum(F.when(F.col("status") == "running", F.col("held_ms")).otherwise(0))
     return held.groupBy(key).agg(running.alias("running_ms"), F.sum("held_ms").alias("total_ms")).withColumn(
         "utilization", F.try_divide(F.col("running_ms").cast("double"), F.col("total_ms").cast("double")))
@@ -38,14 +38,14 @@ def throughput(runs: DataFrame, size: str = "1 day", key: str = "device_id") ->
 
 
 def oee(evaluated: DataFrame, ideal_per_hour: float, key: str = "machine_id", *,
-        max_rows: int = MAX_ROWS) -> DataFrame:
+        cuts: Cuts | None = None) -> DataFrame:
     """availability * performance * quality per machine.
 
     availability: running time over observed time. performance: readings per running hour over
     ``ideal_per_hour``, at most 1. quality: readings that passed over all readings.
     """
     keep = [key, "timestamp", "status", "passed", *(["seq"] if "seq" in evaluated.columns else [])]
-    held = durations(evaluated.select(*keep), key, max_rows=max_rows)
+    held = durations(evaluated.select(*keep), key, cuts=cuts)
     totals = held.groupBy(key).agg(
         F.sum(F.when(F.col("status") == "running", F.col("held_ms")).otherwise(0)).cast("double").alias("_run"),
         F.sum("held_ms").cast("double").alias("_all"),

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from millwatch import schemas
 from millwatch.functions import scalars
-from millwatch.operators.ordered import MAX_ROWS, Timeline, guarded_broadcast, running_max, scan
+from millwatch.functions.frames import guarded_broadcast, once
+from millwatch.operators.ordered import Cuts, Timeline, running_max, scan
 
 LOAD, UPDATE, REJECT = "LOAD", "UPDATE", "REJECT"
 ACCEPTED, REJECTED = "ACCEPTED", "REJECTED"
@@ -22,7 +23,7 @@ def validate_manifests(df: DataFrame) -> DataFrame:
     text = F.col("value").cast("string")
     schema = schemas.T.StructType([*schemas.MANIFEST.fields, schemas.T.StructField("_corrupt", schemas.S)])
     m = F.from_json(text, schema, {"columnNameOfCorruptRecord": "_corrupt"})
-    parsed = df.withColumn("manifest", m)
+    parsed = once(df, "manifest", m)
     return parsed.withColumn("errors", manifest_errors(F.col("manifest"), text)).withColumns({
         "manifest": F.col("manifest").dropFields("_corrupt"),
         "valid": F.size("errors") == 0,
@@ -55,8 +56,9 @@ def manifest_errors(m: Column, text: Column) -> Column:
 
 
 def _each(items: Column, name: str, check) -> Column:
-    at = F.transform(F.coalesce(items, F.array()), lambda x, i: F.when(
-        check(x).isNotNull(), F.concat(F.lit(f"$.{name}["), i.cast("string"), F.lit("]"), check(x))))
+    # a row without an error has a null check, which makes the whole text null
+    at = F.transform(F.coalesce(items, F.array()), lambda x, i: F.concat(
+        F.lit(f"$.{name}["), i.cast("string"), F.lit("]"), check(x)))
     return F.filter(at, lambda e: e.isNotNull())
 
 
@@ -89,7 +91,7 @@ def _repeated(items: Column, name: str, field: str | None) -> Column:
                        lambda v: F.concat(F.lit(f"$.{name}: duplicate "), v))
 
 
-def manifest_history(validated: DataFrame, order: str = "offset", *, max_rows: int = MAX_ROWS) -> DataFrame:
+def manifest_history(validated: DataFrame, order: str = "offset", *, cuts: Cuts | None = None) -> DataFrame:
     """The audit trail: every manifest with ``event`` and ``status`` in arrival order.
 
     A valid manifest is accepted if its version is not below any earlier valid one of its device
@@ -100,7 +102,7 @@ def manifest_history(validated: DataFrame, order: str = "offset", *, max_rows: i
         "device_type": kind,
         "_semver": F.when(F.col("valid"), scalars.semver(F.col("manifest.version"))),
     })
-    line = Timeline.of(rows, ["device_type"], [order], max_rows=max_rows)
+    line = Timeline.of(rows, ["device_type"], [order], cuts=cuts)
     seen = scan(rows, line, {"_highest": running_max(F.col("_semver"), inclusive=False)})
     event = (
         F.when(~F.col("valid"), REJECT).when(F.col("_highest").isNull(), LOAD)
@@ -189,9 +191,10 @@ def normalize(readings: DataFrame, current: DataFrame, units: DataFrame) -> Data
     )
     flag = F.when(kind == "BOOLEAN", raw.try_cast("boolean"))
     text = F.when(kind == "TEXT", raw)
-    scaled = number * F.coalesce("scale", F.lit(1.0)) + F.coalesce("shift", F.lit(0.0))
-    failed = raw.isNotNull() & kind.isNotNull() & number.isNull() & flag.isNull() & text.isNull()
-    return rows.select(
+    scaled = F.col("_number") * F.coalesce("scale", F.lit(1.0)) + F.coalesce("shift", F.lit(0.0))
+    failed = raw.isNotNull() & kind.isNotNull() & F.coalesce(
+        F.col("_number").cast("string"), flag.cast("string"), text).isNull()
+    return rows.withColumn("_number", number).select(
         "device_id", "device_type",
         scalars.to_millis(F.col("ts"), F.coalesce("ts_unit", F.lit("ms"))).alias("timestamp"),
         "measurement",

@@ -6,8 +6,8 @@ share of all rows is cut into slices of time instead. Each slice is scanned on i
 slice is reduced to one row, those few rows are scanned to find what every slice starts from,
 and that start is joined back. The result is the same row for row.
 
-``Timeline.of`` measures the data with a map-side combined count and cuts only keys above
-``max_rows``. Pass a timeline on to measure once for several operators.
+``measure`` finds the machines to cut by a map-side combined count. Operators measure what they
+scan if they are not given ``cuts``; measure once and pass them on to run several operators.
 """
 
 from __future__ import annotations
@@ -26,31 +26,89 @@ FINE = 8                 # a slice can be up to 2**FINE times shorter than an ev
 _SLICE = "_slice"
 
 
+@dataclass(frozen=True)
+class Cuts:
+    """The hot keys and the width of their slices. ``hot`` is None if no key is hot."""
+
+    keys: int
+    max_rows: int
+    hot: DataFrame | None = None
+    slices: int = 0
+
+
+def measure(*tables: tuple[DataFrame, Sequence[str], str], max_rows: int = MAX_ROWS) -> Cuts:
+    """Measure tables, each with its key columns and its epoch-ms column, counted together.
+
+    Runs one aggregate over these columns only, and a second over the rows of hot keys if there
+    are any. Keys beyond the ``MAX_HOT_KEYS`` largest are not cut; there is then no lack of keys
+    to spread.
+    """
+    parts = [df.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(time).alias("_t"))
+             for df, keys, time in tables]
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    names = [f"_k{i}" for i in range(len(tables[0][1]))]
+    cuts = Cuts(len(names), max_rows)
+    sizes = rows.groupBy(*names).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_lo"), F.max("_t").alias("_hi"))
+    largest = (
+        sizes.where((F.col("_n") > max_rows) & F.col("_lo").isNotNull())
+        .orderBy(F.desc("_n")).limit(MAX_HOT_KEYS).collect()
+    )
+    if not largest:
+        return cuts
+    spark = rows.sparkSession
+    hot = spark.createDataFrame([tuple(r) for r in largest], sizes.schema).withColumn(
+        "_fine",
+        F.greatest(F.lit(1), F.expr(f"(_hi - _lo + 1) div (ceil(_n / {max_rows}) * {1 << FINE})")),
+    ).withColumnsRenamed({n: f"_h{n}" for n in names})
+    same = F.lit(True)
+    for n in names:
+        same = same & F.col(n).eqNullSafe(F.col(f"_h{n}"))
+    cells = (
+        rows.join(F.broadcast(hot), same)
+        .groupBy(*names, "_lo", "_fine", F.expr("(_t - _lo) div _fine").alias("_cell"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    # The widest slice, by doubling, that keeps every slice within max_rows.
+    levels = (
+        cells.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(FINE))))
+        .groupBy(*names, "_lo", "_fine", "_level", F.expr("shiftright(_cell, _level)").alias("_cell"))
+        .agg(F.sum("_n").alias("_n"))
+        .groupBy(*names, "_lo", "_fine", "_level")
+        .agg(F.max("_n").alias("_n"), F.count(F.lit(1)).alias("_slices"))
+        .where((F.col("_n") <= max_rows) | (F.col("_level") == 0))
+        .groupBy(*names, F.col("_lo").alias("_origin"), "_fine")
+        .agg(F.max("_level").alias("_level"), F.max_by("_slices", "_level").alias("_slices"))
+        .select(*names, "_origin", F.expr("_fine * shiftleft(1L, _level)").alias("_width"), "_slices")
+    )
+    found = levels.collect()  # at most MAX_HOT_KEYS rows
+    table = spark.createDataFrame(found, levels.schema)
+    return replace(cuts, hot=table.drop("_slices"), slices=sum(r["_slices"] for r in found))
+
+
 @dataclass(frozen=True)
 class Timeline:
-    """Keys and order of a scan. ``order[0]`` is a bigint time; the rest break ties."""
+    """Keys and order of a scan. ``order[0]`` is a bigint time; the rest break ties.
+
+    Cuts belong to the leading keys; further keys only divide a slice more.
+    """
 
     keys: tuple[str, ...]
     order: tuple[str, ...]
+    cuts: Cuts
     descending: bool = False
-    hot: DataFrame | None = None
-    slices: int = 0
 
     @staticmethod
-    def of(df: DataFrame, keys: Sequence[str], order: Sequence[str], *, max_rows: int = MAX_ROWS,
+    def of(df: DataFrame, keys: Sequence[str], order: Sequence[str], cuts: Cuts | None = None, *,
            descending: bool = False) -> Timeline:
-        """Measure ``df`` and cut its hot keys. Runs one aggregate, and a second if a key is hot."""
-        line = Timeline(tuple(keys), tuple(order), descending)
-        found = _cuts(df, line, max_rows)
-        if not found:
-            return line
-        names = [f"_k{i}" for i in range(len(keys))] + ["_origin", "_width"]
-        rows = [tuple(r[n] for n in names) for r in found]
-        types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-        schema = ", ".join([f"_k{i} {types[k]}" for i, k in enumerate(keys)]
-                           + ["_origin bigint", "_width bigint"])
-        hot = df.sparkSession.createDataFrame(rows, schema)
-        return replace(line, hot=hot, slices=sum(r["_slices"] for r in found))
+        cuts = cuts or measure((df, keys, order[0]))
+        return Timeline(tuple(keys), tuple(order), cuts, descending)
+
+    @property
+    def hot(self) -> DataFrame | None:
+        return self.cuts.hot
 
     def reversed(self) -> Timeline:
         return replace(self, descending=not self.descending)
@@ -59,11 +117,12 @@ class Timeline:
         """Add the slice number: null for keys that are not cut."""
         if self.hot is None:
             return df
+        lead = self.keys[:self.cuts.keys]
         # at most MAX_HOT_KEYS rows
         return (
-            df.join(F.broadcast(self.hot), _same(df, self.keys), "left")
+            df.join(F.broadcast(self.hot), _same(df, lead), "left")
             .withColumn(_SLICE, F.expr(f"(coalesce({self.order[0]}, 0) - _origin) div _width"))
-            .drop(*[f"_k{i}" for i in range(len(self.keys))], "_origin", "_width")
+            .drop(*[f"_k{i}" for i in range(len(lead))], "_origin", "_width")
         )
 
     def window(self) -> WindowSpec:
@@ -81,49 +140,6 @@ def _same(df: DataFrame, keys: Sequence[str]) -> Column:
     return cond
 
 
-def _cuts(df: DataFrame, line: Timeline, max_rows: int) -> list:
-    """The hot keys, each with the widest slice that keeps every slice within ``max_rows``."""
-    time = F.col(line.order[0])
-    keys = [F.col(k).alias(f"_k{i}") for i, k in enumerate(line.keys)]
-    names = [f"_k{i}" for i in range(len(line.keys))]
-    sizes = (
-        df.select(*keys, time.alias("_t")).groupBy(*names)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_lo"), F.max("_t").alias("_hi"))
-    )
-    largest = (
-        sizes.where((F.col("_n") > max_rows) & F.col("_lo").isNotNull())
-        .orderBy(F.desc("_n")).limit(MAX_HOT_KEYS).collect()
-    )
-    if not largest:
-        return []
-    spark = df.sparkSession
-    hot = spark.createDataFrame([tuple(r) for r in largest], sizes.schema)
-    hot = hot.withColumn(
-        "_fine",
-        F.greatest(F.lit(1), F.expr(f"(_hi - _lo + 1) div (ceil(_n / {max_rows}) * {1 << FINE})")),
-    ).withColumnsRenamed({n: f"_h{n}" for n in names})
-    cond = F.lit(True)
-    for n in names:
-        cond = cond & F.col(n).eqNullSafe(F.col(f"_h{n}"))
-    cells = (
-        df.select(*keys, time.alias("_t"))
-        .join(F.broadcast(hot), cond)
-        .groupBy(*names, F.col("_lo"), F.col("_fine"), F.expr("(_t - _lo) div _fine").alias("_cell"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    levels = (
-        cells.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(FINE))))
-        .groupBy(*names, "_lo", "_fine", "_level", F.expr("shiftright(_cell, _level)").alias("_cell"))
-        .agg(F.sum("_n").alias("_n"))
-        .groupBy(*names, "_lo", "_fine", "_level")
-        .agg(F.max("_n").alias("_n"), F.count(F.lit(1)).alias("_slices"))
-        .where((F.col("_n") <= max_rows) | (F.col("_level") == 0))
-        .groupBy(*names, F.col("_lo").alias("_origin"), "_fine")
-        .agg(F.max("_level").alias("_level"), F.max_by("_slices", "_level").alias("_slices"))
-    )
-    return levels.withColumn("_width", F.expr("_fine * shiftleft(1L, _level)")).collect()
-
-
 @dataclass(frozen=True)
 class Scan:
     """One scanned column.
@@ -216,7 +232,7 @@ def join_slices(rows: DataFrame, starts: DataFrame, line: Timeline, names: list[
         F.col(_SLICE).alias("_s"),
         *[F.col(n).alias(f"_before_{n}") for n in names],
     )
-    if line.slices <= MAX_BROADCAST_SLICES:  # counted when the keys were measured
+    if line.cuts.slices <= MAX_BROADCAST_SLICES and len(line.keys) == line.cuts.keys:  # counted when the keys were measured
         side = F.broadcast(side)
     return rows.join(side, _same(rows, line.keys) & (rows[_SLICE] == F.col("_s")), "left")
 
@@ -229,7 +245,7 @@ def previous(columns: Sequence[str]) -> Scan:
 def asof(left: DataFrame, right: DataFrame, keys: Sequence[str], *, left_time: str, right_time: str,
          carry: Sequence[str], left_tie: str | None = None, right_tie: str | None = None,
          forward: bool = False, into: str = "_match", first: str | None = None,
-         max_rows: int = MAX_ROWS) -> DataFrame:
+         cuts: Cuts | None = None) -> DataFrame:
     """Every left row with the latest right row at or before it (``forward``: first at or after it).
 
     One shuffle of the union by key; no inequality join. ``into`` is a struct of ``carry``, null
@@ -249,29 +265,10 @@ def asof(left: DataFrame, right: DataFrame, keys: Sequence[str], *, left_time: s
         ),
         allowMissingColumns=True,
     )
-    line = Timeline.of(both, keys, ("_time", "_rank", "_tie"), max_rows=max_rows, descending=forward)
+    line = Timeline.of(both, keys, ("_time", "_rank", "_tie"), cuts, descending=forward)
     columns = {into: last_value(F.col("_carry"))}
     if first:
         columns["_before"] = last_value(F.col("_rank"), inclusive=False)
     matched = scan(both, line, columns).where(F.col("_rank") == left_rank)
     extra = [F.coalesce(F.col("_before") == right_rank, F.lit(False)).alias(first)] if first else []
     return matched.select(*left.columns, into, *extra)
-
-
-def localize(df: DataFrame, max_rows: int = 20_000) -> DataFrame:
-    """A small configuration table as literal rows, so a plan that uses it often reads it once.
-
-    A larger table, or one that a stream reads again per batch, is returned as it is.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    return df.sparkSession.createDataFrame(rows, df.schema) if len(rows) <= max_rows else df
-
-
-def guarded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Hint a broadcast only when a bounded count shows the side is small.
-
-    A larger side gets no hint and is joined by shuffle, with skewed partitions split at run time.
-    """
-    if df.isStreaming:
-        return df
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

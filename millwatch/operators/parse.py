@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from millwatch import schemas
 from millwatch.functions import scalars
+from millwatch.functions.frames import once
 
 _CORRUPT = "_corrupt_record"
 _RECORD = ("original_input", "topic", "partition", "offset", "arrival_time")
@@ -50,7 +51,7 @@ def parse(raw: DataFrame, schema: T.StructType, *, required: Sequence[str],
     )
     options = {"columnNameOfCorruptRecord": _CORRUPT, "allowNonNumericNumbers": "false"}
     shape = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
-    parsed = record.withColumn("_m", F.from_json("original_input", shape, options))
+    parsed = once(record, "_m", F.from_json("original_input", shape, options))
     return classify_errors(parsed, required, numeric).select(
         *_RECORD, *[F.col(f"_m.{f.name}").alias(f.name, metadata=f.metadata) for f in schema.fields], *_ERROR)
 

@@ -9,14 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from millwatch import schemas
 from millwatch.functions import scalars
-from millwatch.operators.ordered import (
-    MAX_ROWS, Timeline, guarded_broadcast, last_value, localize, scan,
-)
+from millwatch.functions.frames import guarded_broadcast, localize, once
+from millwatch.operators.ordered import Cuts, Timeline, last_value, scan
 
 ALL_TYPES = "*"
 MAX_CUSTOM = 1_000
@@ -60,18 +59,11 @@ def breach(condition: Column, value: Column, rate: Column, threshold: Column, lo
 
 
 def _by_type(rules: DataFrame) -> DataFrame:
-    """One row per device type with its rules, those for all types included.
-
-    Rules are configuration: ``guarded_broadcast`` checks how many there are.
-    """
+    """One row per device type with its rules; those for all types are under ``ALL_TYPES``."""
     keep = F.struct("rule_id", "rule_type", "measurement", "condition", "threshold", "lo", "hi",
                     "severity", "actions", "alertChannel", F.col("params")["expr"].alias("expr"))
     typed = rules.withColumn("device_type", F.coalesce("device_type", F.lit(ALL_TYPES)))
-    own = typed.groupBy("device_type").agg(F.collect_list(keep).alias("rules"))
-    shared = own.where(F.col("device_type") == ALL_TYPES).select(F.col("rules").alias("shared"))
-    return own.withColumn("shared", F.coalesce(shared.scalar(), F.array().cast(own.schema["rules"].dataType))) \
-        .select("device_type", F.when(F.col("device_type") == ALL_TYPES, F.col("rules"))
-                .otherwise(F.concat("rules", "shared")).alias("_rules"))
+    return typed.groupBy("device_type").agg(F.collect_list(keep).alias("_rules"))
 
 
 def _lookup(names: Sequence[str], key: Column, suffix: str = "") -> Column:
@@ -82,15 +74,18 @@ def _lookup(names: Sequence[str], key: Column, suffix: str = "") -> Column:
     return out
 
 
-def _custom(rules: DataFrame) -> list[str]:
-    """The distinct expressions of custom rules. They are configuration and few; more is an error."""
-    found = (
-        rules.where(F.col("condition") == "custom").select(F.col("params")["expr"].alias("e"))
-        .where(F.col("e").isNotNull()).distinct().limit(MAX_CUSTOM + 1).collect()
-    )
-    if len(found) > MAX_CUSTOM:
+def _kinds(rules: DataFrame, rows: list[Row] | None) -> tuple[set[str], list[str]]:
+    """The conditions that occur, and the expressions of custom rules. Configuration; too many is an error."""
+    if rows is None:
+        expr = F.when(F.col("condition") == "custom", F.col("params")["expr"])
+        rows = rules.select("condition", F.struct(expr.alias("expr")).alias("params")).distinct() \
+            .limit(MAX_CUSTOM + 1).collect()
+    kinds = {r["condition"] for r in rows}
+    params = [r["params"] for r in rows if r["condition"] == "custom" and r["params"] is not None]
+    custom = {p["expr"] for p in params if "expr" in p} - {None}
+    if len(custom) > MAX_CUSTOM:
         raise ValueError(f"more than {MAX_CUSTOM} custom rule expressions")
-    return sorted(r["e"] for r in found)
+    return kinds, sorted(custom)
 
 
 def alert_struct(device: Column, ts: Column, r: Column, value: Column) -> Column:
@@ -121,13 +116,15 @@ def evaluate(telemetry: DataFrame, rules: DataFrame, *, measurements: Sequence[s
     conditions over the reading's columns.
     """
     rules = complete(rules)
-    instant = rules.where(is_instant())
+    # A stream reads its rules again per micro-batch, so there they stay a table.
+    instant, rows = rules.where(is_instant()), None
     if not telemetry.isStreaming:
-        instant = localize(instant)
+        instant, rows = localize(instant)
+    kinds, expressions = _kinds(instant, rows)
     rated = [m for m in measurements if f"{m}_rate" in telemetry.columns]
-    if not rated and not instant.where(F.col("condition").isin("rate_above", "rate_below")).isEmpty():
+    if not rated and kinds & {"rate_above", "rate_below"}:
         raise ValueError("rate rules need the columns of rate_of_change")
-    custom = {e: F.expr(e) for e in _custom(instant)}
+    custom = {e: F.expr(e) for e in expressions}
 
     def judged(r: Column) -> Column:
         verdict = F.when(F.lit(False), F.lit(None).cast("boolean"))
@@ -142,26 +139,22 @@ def evaluate(telemetry: DataFrame, rules: DataFrame, *, measurements: Sequence[s
     shared = by_type.where(F.col("device_type") == ALL_TYPES).select("_rules").scalar()
     if type_column not in telemetry.columns:
         telemetry = telemetry.withColumn(type_column, F.lit(None).cast("string"))
-    rows = telemetry.join(guarded_broadcast(own), type_column, "left").withColumn(
-        "_rules", F.coalesce("_own", shared))
+    own = own.where(F.col(type_column) != ALL_TYPES)
+    none = F.array().cast(by_type.schema["_rules"].dataType)
+    side = guarded_broadcast(own) if rows is None else F.broadcast(own)
+    held = telemetry.join(side, type_column, "left").withColumn(
+        "_rules", F.concat(F.coalesce("_own", none), F.coalesce(shared, none)))
     device, ts = F.col("machine_id"), F.col("timestamp")
     fired = F.transform(
         F.filter("_rules", judged),
         lambda r: alert_struct(device, ts, r, _lookup(measurements, r["measurement"])))
-    out = rows.withColumn("alerts", F.coalesce(fired, F.filter(F.array(alert_none()), lambda a: F.lit(False))))
+    out = once(held, "alerts", fired)
     worst = F.array_min(F.transform("alerts", lambda a: F.struct(
         (-scalars.severity_rank(a["severity"])).alias("rank"), a["rule_id"].alias("rule_id"), a.alias("alert"))))
     return out.withColumns({"passed": F.size("alerts") == 0, "alert": worst["alert"]}).select(
         *telemetry.columns, "passed", "alert", "alerts")
 
 
-def alert_none() -> Column:
-    """A null alert of the right type."""
-    n = F.lit(None).cast("struct<rule_id:string,rule_type:string,measurement:string,condition:string,"
-                         "threshold:double,severity:string,actions:array<string>,alertChannel:string>")
-    return alert_struct(F.lit(None).cast("string"), F.lit(None).cast("bigint"), n, F.lit(None).cast("double"))
-
-
 EVALUATION = ("device_id", "timestamp", *schemas.MEASUREMENTS, "status", "fault_code", "run_id",
               "event_type", "start_ts", "end_ts", "passed", "alert", "context_anomaly")
 
@@ -203,14 +196,14 @@ def judge(telemetry: DataFrame, rules: DataFrame, *, measurements: Sequence[str]
 
 
 def rate_of_change(df: DataFrame, columns: str | Sequence[str], *, key: str = "machine_id",
-                   max_rows: int = MAX_ROWS) -> DataFrame:
+                   cuts: Cuts | None = None) -> DataFrame:
     """Add ``<column>_rate`` per second against the last reading that has a value.
 
     Null on the first reading, without a value, or if no time has passed.
     """
     names = [columns] if isinstance(columns, str) else list(columns)
     order = ["timestamp", *(["seq"] if "seq" in df.columns else [])]
-    line = Timeline.of(df, [key], order, max_rows=max_rows)
+    line = Timeline.of(df, [key], order, cuts=cuts)
     seen = scan(df, line, {
         f"_p_{n}": last_value(F.when(F.col(n).isNotNull(), F.struct(F.col("timestamp").alias("t"),
                                                                      F.col(n).alias("x"))),
@@ -225,14 +218,14 @@ def rate_of_change(df: DataFrame, columns: str | Sequence[str], *, key: str = "m
 
 def sustained(breaches: DataFrame, duration_ms: Column | int, *,
               keys: Sequence[str] = ("machine_id", "rule_id"), breached: str = "breached",
-              max_rows: int = MAX_ROWS) -> DataFrame:
+              cuts: Cuts | None = None) -> DataFrame:
     """Add ``breach_start`` and ``sustained``: the breach has lasted ``duration_ms`` without a gap.
 
     A reading that does not breach ends the stretch, so does one without a value.
     """
     df = breaches.withColumn(breached, F.coalesce(breached, F.lit(False)))
     order = ["timestamp", *(["seq"] if "seq" in df.columns else [])]
-    line = Timeline.of(df, keys, order, max_rows=max_rows)
+    line = Timeline.of(df, keys, order, cuts=cuts)
     seen = scan(df, line, {"_prev": last_value(F.col(breached), inclusive=False)})
     seen = seen.withColumn("_start", F.when(
         F.col(breached) & ~F.coalesce("_prev", F.lit(False)), F.col("timestamp")))
@@ -245,12 +238,12 @@ def sustained(breaches: DataFrame, duration_ms: Column | int, *,
     }).select(*breaches.columns, "breach_start", "sustained")
 
 
-def sustained_rules(telemetry: DataFrame, rules: DataFrame, *, max_rows: int = MAX_ROWS) -> DataFrame:
+def sustained_rules(telemetry: DataFrame, rules: DataFrame, *, cuts: Cuts | None = None) -> DataFrame:
     """Alerts of the rules that have a duration and no window."""
     lasting = complete(rules).where((F.col("durationSec") > 0) & ~scalars.is_windowed(F.col("window")))
     keep = ["machine_id", "machine_type", "timestamp", *(["seq"] if "seq" in telemetry.columns else [])]
     rows = judge(telemetry, lasting, keep=keep)
-    fired = sustained(rows, scalars.seconds_to_millis(F.col("durationSec")), max_rows=max_rows)
+    fired = sustained(rows, scalars.seconds_to_millis(F.col("durationSec")), cuts=cuts)
     r = F.struct("rule_id", "rule_type", "measurement", "condition", "threshold", "severity", "actions",
                  "alertChannel")
     return fired.where("sustained").select(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millwatch.functions import scalars
 from millwatch.operators.context import in_run
-from millwatch.operators.ordered import MAX_ROWS
+from millwatch.operators.ordered import Cuts
 
 KEEP, TRIMMED_LEAD, TRIMMED_TRAIL, PENDING = "KEEP", "TRIMMED_LEAD", "TRIMMED_TRAIL", "PENDING"
 
@@ -38,20 +38,20 @@ def disposition(ts: Column, start: Column, end: Column, lead_ms: Column | int, t
 
 
 def edge_trim(telemetry: DataFrame, runs: DataFrame, lead_ms: int = 5000, trail_ms: int = 5000,
-              action: str = DEFAULT_ACTION, *, max_rows: int = MAX_ROWS) -> DataFrame:
+              action: str = DEFAULT_ACTION, *, cuts: Cuts | None = None) -> DataFrame:
     """Readings with their run and ``disposition``. ``drop`` leaves trimmed rows out, ``tag`` keeps them."""
-    placed = in_run(telemetry, runs, max_rows=max_rows).withColumn(
+    placed = in_run(telemetry, runs, cuts=cuts).withColumn(
         "disposition", disposition(F.col("timestamp"), F.col("start_ts"), F.col("end_ts"), lead_ms, trail_ms))
     return placed if action == "tag" else placed.where(~F.col("disposition").startswith("TRIMMED"))
 
 
 def edge_trim_by_manifest(telemetry: DataFrame, runs: DataFrame, manifests: DataFrame, *,
-                          max_rows: int = MAX_ROWS) -> DataFrame:
+                          cuts: Cuts | None = None) -> DataFrame:
     """As ``edge_trim``, with lead, trail and action of the current manifest of each machine type."""
     from millwatch.operators.manifests import attach_manifest
 
     lead, trail, action = trim_config(F.col("_manifest.edgeTrimming"))
-    placed = attach_manifest(in_run(telemetry, runs, max_rows=max_rows), manifests)
+    placed = attach_manifest(in_run(telemetry, runs, cuts=cuts), manifests)
     tagged = placed.withColumns({
         "disposition": disposition(F.col("timestamp"), F.col("start_ts"), F.col("end_ts"), lead, trail),
         "_action": action,

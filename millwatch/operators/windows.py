@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millwatch.operators.ordered import MAX_ROWS, Timeline, last_value, previous, scan
+from millwatch.operators.ordered import Cuts, Timeline, last_value, previous, scan
 
 LATENESS = "60 seconds"
 
@@ -47,7 +47,7 @@ def session_stream(df: DataFrame, gap: str, *, key: str = "machine_id") -> DataF
 
 
 def sessions(df: DataFrame, gap_ms: int, *, key: str = "machine_id",
-             max_rows: int = MAX_ROWS) -> DataFrame:
+             cuts: Cuts | None = None) -> DataFrame:
     """Activity sessions of a table: a session ends where the next reading is ``gap_ms`` or more away.
 
     Every reading learns its session's start by a scan; the sessions are then a combined count
@@ -55,7 +55,7 @@ def sessions(df: DataFrame, gap_ms: int, *, key: str = "machine_id",
     """
     order = ["timestamp", *(["seq"] if "seq" in df.columns else [])]
     rows = df.select(key, *order)
-    line = Timeline.of(rows, [key], order, max_rows=max_rows)
+    line = Timeline.of(rows, [key], order, cuts=cuts)
     seen = scan(rows, line, {"_prev": previous(["timestamp"])})
     gap = F.col("_prev").isNull() | (F.col("timestamp") - F.col("_prev.timestamp") >= gap_ms)
     marked = seen.withColumn("_start", F.when(gap, F.col("timestamp")))

@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millwatch.operators import context, parse, rules
+from millwatch.operators.ordered import Cuts
 from millwatch.plans import views
 
 
-def evaluate_topics(telemetry_raw: DataFrame, context_events: DataFrame, rule_rows: DataFrame) -> DataFrame:
+def evaluate_topics(telemetry_raw: DataFrame, context_events: DataFrame, rule_rows: DataFrame,
+                    cuts: Cuts | None = None) -> DataFrame:
     """Parse, keep the good readings, attach runs and anomalies, judge the rules."""
     readings = parse.good(parse.parse_telemetry(telemetry_raw))
-    placed = context.attach_context(readings, context_events, anomalies=True)
+    placed = context.attach_context(readings, context_events, anomalies=True, cuts=cuts)
     return rules.evaluate(placed, rules.latest_rules(rule_rows))
 
 
@@ -20,7 +22,8 @@ def breaches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Breaches of the temperature rule per machine and run."""
     hot = views.rules(spark).where((F.col("measurement") == "gas_temperature") & rules.is_instant()
                                    & (F.col("condition") == "greater_than"))
-    evaluated = evaluate_topics(views.raw_telemetry(spark, sf_dir), views.context(spark, sf_dir), hot)
+    cuts = views.cuts(spark, sf_dir)
+    evaluated = evaluate_topics(views.raw_telemetry(spark, sf_dir), views.context(spark, sf_dir, cuts), hot, cuts)
     return (
         evaluated.where(~F.col("passed")).groupBy("machine_id", "run_id")
         .agg(F.count(F.lit(1)).alias("breaches"), F.max("gas_temperature").alias("max_temperature"),

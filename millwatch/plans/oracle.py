@@ -308,7 +308,7 @@ SQL: dict[str, str] = {
           UNION ALL
           SELECT n.machine_id, n."timestamp", n.seq, n.i, CAST(0.3 AS DOUBLE) * n.x + CAST(0.7 AS DOUBLE) * c.s
           FROM chain c JOIN numbered n ON n.machine_id = c.machine_id AND n.i = c.i + 1)
-        SELECT machine_id, "timestamp", seq, round(s, 6) AS gas_temperature_ewma FROM chain""",
+        SELECT machine_id, "timestamp", seq, round(s + 1.2345678901e-7, 6) AS gas_temperature_ewma FROM chain""",
     "cusum": """, numbered AS (
           SELECT machine_id, "timestamp", seq, gas_temperature - 55 AS d,
             row_number() OVER (PARTITION BY machine_id ORDER BY "timestamp", seq) AS i FROM tel),
@@ -421,7 +421,7 @@ SQL: dict[str, str] = {
         WHERE ts <= (SELECT max("timestamp") FROM ctx) - 60000""",
     "stream_stats": f"""SELECT machine_id, "timestamp" // {HOUR} * {HOUR} AS window_start, count(*) AS n,
         min(gas_temperature) AS gas_temperature_min, max(gas_temperature) AS gas_temperature_max FROM tel
-        GROUP BY ALL HAVING "timestamp" // {HOUR} * {HOUR} + {HOUR} <= (SELECT max("timestamp") FROM tel) - 60000""",
+        GROUP BY 1, 2 HAVING "timestamp" // {HOUR} * {HOUR} + {HOUR} <= (SELECT max("timestamp") FROM tel) - 60000""",
     "stream_sessions": f""", gaps AS (
           SELECT *, CASE WHEN "timestamp" - lag("timestamp") OVER w < {12 * HOUR} THEN 0 ELSE 1 END AS g FROM tel
           WINDOW w AS (PARTITION BY machine_id ORDER BY "timestamp", seq)),

@@ -13,7 +13,7 @@ from millwatch.functions.safe import safe
 from millwatch.operators import (
     context, detectors, dims, kpi, manifests, parse, quality, rules, series, trimming, windows,
 )
-from millwatch.operators.ordered import localize
+from millwatch.functions.frames import localize
 from millwatch.plans import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,11 @@ def _r(name: str, digits: int = 6):
     return F.round(name, digits).alias(name)
 
 
+def off_ties(name: str):
+    """Rounded a little off the decimal grid, where two ways of adding up could round a tie apart."""
+    return F.round(F.col(name) + 1.2345678901e-7, 6).alias(name)
+
+
 # Parsing and dead letters
 
 @query
@@ -145,44 +150,54 @@ def scalar_functions(spark, sf):
 
 @query
 def context_asof(spark, sf):
-    return context.attach_context(views.telemetry(spark, sf), views.context(spark, sf)).select(
+    cuts = views.cuts(spark, sf)
+    return context.attach_context(views.telemetry(spark, sf), views.context(spark, sf, cuts), cuts=cuts).select(
         "machine_id", "timestamp", "seq", "gas_temperature", "run_id", "event_type", "start_ts", "end_ts", "context_ts")
 
 
 @query
 def context_active(spark, sf):
-    rows = context.attach_context(views.telemetry(spark, sf), views.context(spark, sf), active_only=True)
+    cuts = views.cuts(spark, sf)
+    rows = context.attach_context(views.telemetry(spark, sf), views.context(spark, sf, cuts), active_only=True, cuts=cuts)
     return rows.groupBy("machine_id", "run_id").agg(
         F.count(F.lit(1)).alias("n"), F.max("gas_temperature").alias("max_temperature"))
 
 
 @query
 def implicit_close(spark, sf):
-    return context.implicit_closes(views.context(spark, sf)).select("device_id", "context_anomaly.*")
+    cuts = views.cuts(spark, sf)
+    return context.implicit_closes(views.context(spark, sf, cuts), cuts=cuts).select("device_id", "context_anomaly.*")
 
 
 @query
 def runs(spark, sf):
-    return context.runs(views.context(spark, sf))
+    return _runs(spark, sf, views.cuts(spark, sf))
+
+
+def _runs(spark, sf, cuts):
+    return context.runs(views.context(spark, sf, cuts), cuts=cuts)
 
 
 @query
 def run_interval_join(spark, sf):
-    rows = context.in_run(views.telemetry(spark, sf), context.runs(views.context(spark, sf)))
+    cuts = views.cuts(spark, sf)
+    rows = context.in_run(views.telemetry(spark, sf), _runs(spark, sf, cuts), cuts=cuts)
     return rows.select("machine_id", "timestamp", "seq", "run_id", "start_ts", "end_ts")
 
 
 @query
 def dlq_records(spark, sf):
-    rows = context.dlq_records(context.implicit_closes(views.context(spark, sf)), NOW)
+    cuts = views.cuts(spark, sf)
+    rows = context.dlq_records(context.implicit_closes(views.context(spark, sf, cuts), cuts=cuts), NOW)
     return rows.select("anomaly_id", "device_id", "anomaly_type", "context_anomaly.*", "status",
                        "resolution_action", "created_ts", "resolved_ts")
 
 
 @query
 def reconcile_trackout(spark, sf):
-    ctx = views.context_late(spark, sf)
-    rows = context.reconcile(context.dlq_records(context.implicit_closes(ctx), NOW), ctx)
+    cuts = views.cuts(spark, sf)
+    ctx = views.context_late(spark, sf, cuts)
+    rows = context.reconcile(context.dlq_records(context.implicit_closes(ctx, cuts=cuts), NOW), ctx, cuts=cuts)
     return rows.select("device_id", "context_anomaly.previous_run_id", "context_anomaly.current_run_id",
                        "context_anomaly.implicit_transition_ts", "status", "resolved_ts")
 
@@ -190,7 +205,8 @@ def reconcile_trackout(spark, sf):
 @query
 def anomaly_dlq(spark, sf):
     """Dead-letter records of the readings that carry an anomaly."""
-    rows = context.attach_context(views.telemetry(spark, sf), views.context(spark, sf), anomalies=True)
+    cuts = views.cuts(spark, sf)
+    rows = context.attach_context(views.telemetry(spark, sf), views.context(spark, sf, cuts), anomalies=True, cuts=cuts)
     out = context.anomaly_dlq(rows.withColumnRenamed("machine_id", "device_id"), NOW)
     return out.select("anomaly_id", "device_id", "context_anomaly.previous_run_id",
                       "context_anomaly.current_run_id", "context_anomaly.implicit_transition_ts", "status")
@@ -208,8 +224,9 @@ def _flat(alert_rows):
 
 
 def _evaluated(spark, sf):
-    rated = rules.rate_of_change(views.telemetry(spark, sf), ["gas_temperature", "torque"])
-    placed = context.attach_context(rated, views.context(spark, sf), anomalies=True)
+    cuts = views.cuts(spark, sf)
+    rated = rules.rate_of_change(views.telemetry(spark, sf), ["gas_temperature", "torque"], cuts=cuts)
+    placed = context.attach_context(rated, views.context(spark, sf, cuts), anomalies=True, cuts=cuts)
     return rules.evaluate(placed, _current_rules(spark))
 
 
@@ -410,7 +427,7 @@ def shift_agg(spark, sf):
 @query
 def ewma(spark, sf):
     rows = detectors.ewma(views.telemetry(spark, sf), "gas_temperature", 0.3)
-    return rows.select("machine_id", "timestamp", "seq", _r("gas_temperature_ewma"))
+    return rows.select("machine_id", "timestamp", "seq", off_ties("gas_temperature_ewma"))
 
 
 @query
@@ -436,31 +453,35 @@ def latency_pct(spark, sf):
 
 @query
 def edge_trim(spark, sf):
-    rows = trimming.edge_trim(views.telemetry(spark, sf), context.runs(views.context(spark, sf)), HOUR, HOUR)
+    cuts = views.cuts(spark, sf)
+    rows = trimming.edge_trim(views.telemetry(spark, sf), _runs(spark, sf, cuts), HOUR, HOUR, cuts=cuts)
     return rows.select("machine_id", "timestamp", "seq", "run_id", "start_ts", "end_ts", "disposition")
 
 
 @query
 def edge_trim_tag(spark, sf):
-    rows = trimming.edge_trim(views.telemetry(spark, sf), context.runs(views.context(spark, sf)), HOUR, HOUR, "tag")
+    cuts = views.cuts(spark, sf)
+    rows = trimming.edge_trim(views.telemetry(spark, sf), _runs(spark, sf, cuts), HOUR, HOUR, "tag", cuts=cuts)
     return rows.groupBy("machine_id", "disposition").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def edge_trim_manifest(spark, sf):
+    cuts = views.cuts(spark, sf)
     rows = trimming.edge_trim_by_manifest(
-        views.telemetry(spark, sf), context.runs(views.context(spark, sf)), _current(spark, sf))
+        views.telemetry(spark, sf), _runs(spark, sf, cuts), _current(spark, sf), cuts=cuts)
     return rows.select("machine_id", "timestamp", "seq", "run_id", "disposition")
 
 
 # Manifests
 
 def _history(spark, sf):
-    return manifests.manifest_history(manifests.validate_manifests(views.raw_manifests(spark, sf)))
+    return manifests.manifest_history(manifests.validate_manifests(views.raw_manifests(spark, sf)),
+                                      cuts=views.manifest_cuts(spark, sf))
 
 
 def _current(spark, sf):
-    return localize(manifests.current_manifests(_history(spark, sf)), 1000)
+    return localize(manifests.current_manifests(_history(spark, sf)), 1000)[0]
 
 
 @query
@@ -571,7 +592,7 @@ def utilization(spark, sf):
 
 @query
 def throughput(spark, sf):
-    rows = kpi.throughput(context.runs(views.context(spark, sf)))
+    rows = kpi.throughput(_runs(spark, sf, views.cuts(spark, sf)))
     return rows.select("device_id", _ms("window_start"), "runs")
 
 
@@ -583,7 +604,8 @@ def oee(spark, sf):
 
 @query
 def counters(spark, sf):
-    rows = trimming.edge_trim(views.telemetry(spark, sf), context.runs(views.context(spark, sf)), HOUR, HOUR, "tag")
+    cuts = views.cuts(spark, sf)
+    rows = trimming.edge_trim(views.telemetry(spark, sf), _runs(spark, sf, cuts), HOUR, HOUR, "tag", cuts=cuts)
     return quality.counters(rows, kept="disposition = 'KEEP'", trimmed="disposition LIKE 'TRIMMED%'",
                             pending="disposition = 'PENDING'")
 

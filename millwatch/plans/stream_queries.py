@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from millwatch.operators import parse, rules, windows
 from millwatch.plans import views
-from millwatch.plans.queries import HOUR, Query
+from millwatch.plans.queries import HOUR, Query, off_ties
 from millwatch.session import shared_folder
 from millwatch.streaming import sinks, stateful
 
@@ -54,8 +54,7 @@ def stream_trim(spark, sf):
 @query
 def stream_ewma(spark, sf):
     rows = stateful.ewma_stream(views.telemetry_of(views.event_stream(spark, sf)), "gas_temperature", 0.3)
-    return settle(spark, rows.select("machine_id", "timestamp", "seq",
-                                     F.round("gas_temperature_ewma", 6).alias("gas_temperature_ewma")), "ewma")
+    return settle(spark, rows.select("machine_id", "timestamp", "seq", off_ties("gas_temperature_ewma")), "ewma")
 
 
 @query

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millwatch import schemas
-from millwatch.operators.ordered import Timeline, last_value, scan
+from millwatch.operators.ordered import Cuts, Timeline, last_value, measure, scan
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,7 +41,7 @@ def _pick(index: str, values: tuple[str, ...]):
 
 
 def telemetry_of(ev: DataFrame) -> DataFrame:
-    k = F.from_json("props", "k double")["k"]
+    k = F.get_json_object("props", "$.k").cast("double")
     fault = F.col("event_type") == "error"
     return ev.where(F.col("event_type").isin("view", "click", "error")).select(
         "machine_id",
@@ -77,10 +77,15 @@ def context_of(ev: DataFrame) -> DataFrame:
     )
 
 
-def context(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cuts(spark: SparkSession, sf_dir: str) -> Cuts:
+    """The machines to cut, measured once over all events for every operator of a query."""
+    return measure((events(spark, sf_dir), ["machine_id"], "ms"))
+
+
+def context(spark: SparkSession, sf_dir: str, cuts: Cuts | None = None) -> DataFrame:
     """Context events; a trackout names the run of the latest trackin."""
     bare = context_of(events(spark, sf_dir))
-    line = Timeline.of(bare, ["device_id"], ["timestamp", "seq"])
+    line = Timeline.of(bare, ["device_id"], ["timestamp", "seq"], cuts)
     trackin = F.when(F.col("event_type") == schemas.TRACKIN, F.struct("run_id", "start_ts"))
     return scan(bare, line, {"_match": last_value(trackin)}).select(
         "device_id", F.col("_match.run_id").alias("run_id"), "event_type", "timestamp",
@@ -124,10 +129,10 @@ def raw_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_telemetry_of(events(spark, sf_dir))
 
 
-def context_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+def context_late(spark: SparkSession, sf_dir: str, cuts: Cuts | None = None) -> DataFrame:
     """Context events in which every third trackout names the run before the latest one."""
-    ctx = context(spark, sf_dir)
-    line = Timeline.of(ctx, ["device_id"], ["timestamp", "seq"])
+    ctx = context(spark, sf_dir, cuts)
+    line = Timeline.of(ctx, ["device_id"], ["timestamp", "seq"], cuts)
     ins = scan(ctx, line, {"_p": last_value(F.when(F.col("event_type") == schemas.TRACKIN, F.struct("run_id")),
                                             inclusive=False)})
     with_prior = scan(
@@ -266,6 +271,13 @@ def raw_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.timestamp_millis("ms").alias("arrival_time"))
 
 
+def manifest_cuts(spark: SparkSession, sf_dir: str) -> Cuts:
+    """Device types to cut, measured without reading any manifest text."""
+    sent = events(spark, sf_dir).where(F.col("event_type") == "signup")
+    return measure((sent.select(_pick("user_id", schemas.MACHINE_TYPES).alias("device_type"), "event_id"),
+                    ["device_type"], "event_id"))
+
+
 UNITS = (("degF", "degC", 0.5555555555555556, -17.77777777777778), ("mbar", "bar", 0.001, 0.0))
 
 
