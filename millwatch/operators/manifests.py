@@ -175,11 +175,11 @@ def normalize(readings: DataFrame, current: DataFrame, units: DataFrame) -> Data
     has unit, canonical, scale and offset. A text that is not of the declared type gives
     ``error_type``; other rows have it null.
     """
-    declared = manifest_measurements(current).join(
-        current.select("device_type", F.coalesce("manifest.defaults.timestampUnit", F.lit("ms")).alias("ts_unit")),
-        "device_type")
+    clocks = current.select("device_type", F.coalesce("manifest.defaults.timestampUnit", F.lit("ms")).alias("ts_unit"))
+    declared = manifest_measurements(current)
     rows = (
-        readings.join(guarded_broadcast(declared), ["device_type", "measurement"], "left")
+        readings.join(guarded_broadcast(clocks), "device_type", "left")
+        .join(guarded_broadcast(declared), ["device_type", "measurement"], "left")
         .join(guarded_broadcast(units.withColumnRenamed("offset", "shift")), "unit", "left")
     )
     raw, kind = F.col("raw"), F.col("dataType")
