@@ -22,10 +22,24 @@ def parse_telemetry(raw: DataFrame) -> DataFrame:
     return parse(raw, schemas.TELEMETRY, required=("machine_id", "timestamp"), numeric=("timestamp",))
 
 
-def parse_generic(raw: DataFrame) -> DataFrame:
-    """Readings from the general vocabulary, ``deviceId`` / ``ts`` / ``measurements``."""
-    return parse(raw, schemas.GENERIC_TELEMETRY, required=("deviceId", "ts", "measurements"),
-                 numeric=("ts",))
+def parse_generic(raw: DataFrame, device_field: str = "deviceId", time_field: str = "ts") -> DataFrame:
+    """Readings from the general vocabulary, ``deviceId`` / ``ts`` / ``measurements``.
+
+    A manifest's ``defaults`` may name the first two fields otherwise.
+    """
+    shape = T.StructType([
+        T.StructField(device_field, T.StringType()), T.StructField(time_field, T.LongType()),
+        schemas.GENERIC_TELEMETRY["measurements"]])
+    return parse(raw, shape, required=(device_field, time_field, "measurements"), numeric=(time_field,))
+
+
+def to_readings(generic: DataFrame, device_field: str = "deviceId", time_field: str = "ts",
+                time_unit: str = "ms") -> DataFrame:
+    """General readings in the live vocabulary: one column per known measurement, epoch ms. (s)"""
+    return generic.select(
+        F.col(device_field).alias("machine_id"),
+        scalars.to_millis(F.col(time_field), F.lit(time_unit)).alias("timestamp"),
+        *[F.col("measurements")[m].alias(m) for m in schemas.MEASUREMENTS])
 
 
 def parse_context(raw: DataFrame) -> DataFrame:

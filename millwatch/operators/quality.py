@@ -54,6 +54,12 @@ def counters(df: DataFrame, **conditions: Column | str) -> DataFrame:
         F.count_if(F.expr(c) if isinstance(c, str) else c).alias(n) for n, c in conditions.items()])
 
 
+def observed(df: DataFrame, name: str, **conditions: Column | str) -> DataFrame:
+    """The same counts taken while the rows pass; they arrive with each progress report. (s)"""
+    return df.observe(name, F.count(F.lit(1)).alias("total"), *[
+        F.count_if(F.expr(c) if isinstance(c, str) else c).alias(n) for n, c in conditions.items()])
+
+
 def status_counts(df: DataFrame) -> DataFrame:
     return df.groupBy("status", "fault_code").agg(F.count(F.lit(1)).alias("n"))
 

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from millwatch.operators import context, parse, rules
 from millwatch.operators.ordered import Cuts
+from millwatch.operators.windows import LATENESS
 from millwatch.plans import views
+from millwatch.streaming import sinks, stateful
 
 
 def evaluate_topics(telemetry_raw: DataFrame, context_events: DataFrame, rule_rows: DataFrame,
@@ -29,3 +34,37 @@ def breaches(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("breaches"), F.max("gas_temperature").alias("max_temperature"),
              F.min("timestamp").alias("first_breach"))
     )
+
+
+def start_guard(telemetry_raw: DataFrame, context_raw: DataFrame, read_rules: Callable[[], DataFrame],
+                targets: sinks.Targets, checkpoint: str, *, once: bool = False,
+                interval: str = sinks.FLUSH_INTERVAL, salts: int = 8,
+                lateness: str = LATENESS) -> list[StreamingQuery]:
+    """The running job, as three queries with their own checkpoints.
+
+    One evaluates readings in their run and writes bronze, evaluation and alerts; ``read_rules``
+    is called for every micro-batch, so new rules count from the next one on. One watches the
+    order of context events and writes implicit closes to the dead-letter topic. One writes
+    messages that do not parse to the error topic.
+    """
+    parsed = parse.parse_telemetry(telemetry_raw)
+    events = parse.good(parse.parse_context(context_raw))
+    placed = stateful.attach_context_stream(parse.good(parsed), events, salts=salts, lateness=lateness)
+    closes = stateful.implicit_closes_stream(events, lateness=lateness)
+
+    def write_evaluated(batch: DataFrame, batch_id: int) -> None:
+        sinks.write_batch(rules.evaluate(batch, rules.latest_rules(read_rules())), batch_id, targets)
+
+    def write_closes(batch: DataFrame, batch_id: int) -> None:
+        sinks.write_dlq(batch, batch_id, targets)
+
+    def write_errors(batch: DataFrame, batch_id: int) -> None:
+        sinks.write_errors(batch, batch_id, targets)
+
+    jobs = {"evaluated": (placed, write_evaluated)}
+    if targets.dlq:
+        jobs["closes"] = (closes, write_closes)
+    if targets.errors:
+        jobs["errors"] = (parsed, write_errors)
+    return [sinks.start(df, write, f"{checkpoint}/{name}", once=once, interval=interval, name=name)
+            for name, (df, write) in jobs.items()]

@@ -117,7 +117,7 @@ def safe_map(spark, sf):
         return k
 
     guarded = safe(parity, "bigint")
-    rows = views.table(spark, sf, "events").select("event_id", guarded("props").alias("_s"))
+    rows = views.event_table(spark, sf).select("event_id", guarded("props").alias("_s"))
     return rows.select("event_id", F.col("_s.ok").alias("ok"), F.col("_s.error").alias("error"))
 
 
@@ -444,7 +444,7 @@ def zscore(spark, sf):
 
 @query
 def latency_pct(spark, sf):
-    rows = views.table(spark, sf, "events").select(
+    rows = views.event_table(spark, sf).select(
         "event_type", scalars.seconds_to_millis(F.col("value")).alias("latency_ms"))
     return quality.latency_percentiles(rows, by=["event_type"])
 
@@ -598,7 +598,7 @@ def throughput(spark, sf):
 
 @query
 def oee(spark, sf):
-    rows = kpi.oee(_evaluated(spark, sf), 0.1)
+    rows = kpi.oee(_evaluated(spark, sf), 0.1, cuts=views.cuts(spark, sf))
     return rows.select("machine_id", _r("availability", 9), _r("performance", 9), _r("quality", 9), _r("oee", 9))
 
 

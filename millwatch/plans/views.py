@@ -12,18 +12,18 @@ from millwatch import schemas
 from millwatch.operators.ordered import Cuts, Timeline, last_value, measure, scan
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def event_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as they are. The schema is given, so no file is opened to plan a query."""
+    return spark.read.schema(schemas.EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare(table(spark, sf_dir, "events"))
+    return prepare(event_table(spark, sf_dir))
 
 
 def event_stream(spark: SparkSession, sf_dir: str, **options: str) -> DataFrame:
     """The events table as a stream of files."""
-    schema = table(spark, sf_dir, "events").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").options(**options)
+    reader = spark.readStream.schema(schemas.EVENTS).option("pathGlobFilter", "events.parquet").options(**options)
     return prepare(reader.parquet(sf_dir))
 
 
@@ -93,7 +93,7 @@ def context(spark: SparkSession, sf_dir: str, cuts: Cuts | None = None) -> DataF
 
 
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = table(spark, sf_dir, "events").select("user_id").distinct()
+    ids = event_table(spark, sf_dir).select("user_id").distinct()
     return ids.select(
         F.concat(F.lit("MC"), F.lpad(F.col("user_id").cast("string"), 6, "0")).alias("machine_id"),
         _pick("user_id", schemas.MACHINE_TYPES).alias("machine_type"),

@@ -60,6 +60,12 @@ FAULT_BANDS = (
 )
 FAULT_BAND_SCHEMA = _struct(profile=S, fault_code=S, measurement=S, lo=D, hi=D)
 
+# The driver's events table.
+EVENTS = T.StructType([
+    T.StructField("event_id", L), T.StructField("ts", T.TimestampNTZType()), T.StructField("user_id", L),
+    T.StructField("event_type", S), T.StructField("value", D), T.StructField("props", S),
+])
+
 # Kafka's column shape, used for file sources as well.
 RECORD = T.StructType([
     T.StructField("key", T.BinaryType()),

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 PROGRESS = ("name string, run_id string, batch_id bigint, timestamp string, input_rows bigint, "
             "input_rate double, processed_rate double, duration_ms bigint, watermark string")
+COUNTERS = "name string, batch_id bigint, observation string, counter string, value bigint"
 OFFSETS = "topic string, partition int, offset bigint, committed bigint"
 
 
@@ -19,6 +20,7 @@ class ProgressLog(StreamingQueryListener):
     def __init__(self, keep: int = 1000):
         self.keep = keep
         self.reports: list[tuple] = []
+        self.counts: list[tuple] = []
         self.offsets: dict[tuple[str, int], tuple[int, int]] = {}
         self._lock = threading.Lock()
 
@@ -38,6 +40,9 @@ class ProgressLog(StreamingQueryListener):
                dict(p.eventTime or {}).get("watermark"))
         with self._lock:
             self.reports = [*self.reports, row][-self.keep:]
+            for seen, metrics in dict(p.observedMetrics or {}).items():
+                counts = [(p.name, p.batchId, seen, c, int(v)) for c, v in metrics.asDict().items()]
+                self.counts = [*self.counts, *counts][-self.keep:]
             for s in p.sources:
                 self._note(s)
 
@@ -58,6 +63,11 @@ class ProgressLog(StreamingQueryListener):
         with self._lock:
             return spark.createDataFrame(list(self.reports), PROGRESS)
 
+    def counter_table(self, spark: SparkSession) -> DataFrame:
+        """What ``quality.observed`` counted, per micro-batch."""
+        with self._lock:
+            return spark.createDataFrame(list(self.counts), COUNTERS)
+
     def offset_table(self, spark: SparkSession) -> DataFrame:
         """Ends and read positions, as ``quality.lag`` takes them."""
         with self._lock:

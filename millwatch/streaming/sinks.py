@@ -69,15 +69,20 @@ def write_batch(evaluated: DataFrame, batch_id: int, targets: Targets) -> None:
                 f"{targets.bronze}/batch_id={batch_id}")
         if targets.evaluation:
             _write(parse.to_message(rules.evaluation(rows)), targets.evaluation, batch_id, targets)
-        if targets.dlq and "context_anomaly" in rows.columns:
-            records = context.anomaly_dlq(rows.withColumnRenamed("machine_id", "device_id"))
-            _write(parse.to_message(records), targets.dlq, batch_id, targets)
+        if "context_anomaly" in rows.columns:
+            write_dlq(rows.withColumnRenamed("machine_id", "device_id"), batch_id, targets)
         if targets.alerts:
             _write(parse.to_message(rules.alerts(rows), key="device_id"), targets.alerts, batch_id, targets)
     finally:
         rows.unpersist()
 
 
+def write_dlq(anomalies: DataFrame, batch_id: int, targets: Targets) -> None:
+    """Write the dead-letter records of the rows that carry a context anomaly."""
+    if targets.dlq:
+        _write(parse.to_message(context.dlq_records(anomalies)), targets.dlq, batch_id, targets)
+
+
 def write_errors(parsed: DataFrame, batch_id: int, targets: Targets) -> None:
     """Write the dead letters of one micro-batch, keyed by device."""
     if targets.errors:

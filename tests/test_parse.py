@@ -74,6 +74,12 @@ def test_generic_needs_measurements(spark):
     assert got[1]["error_message"] == "Missing required field: measurements"
 
 
+def test_generic_with_a_manifest_s_field_names(spark):
+    rows = parse.parse_generic(raw(spark, ['{"id":"D","t":2,"measurements":{"torque":2.5}}']), "id", "t")
+    got = parse.to_readings(parse.good(rows), "id", "t", "s").first()
+    assert (got["machine_id"], got["timestamp"], got["torque"], got["humidity"]) == ("D", 2000, 2.5, None)
+
+
 def test_rules_and_context(spark):
     rule = parse.good(parse.parse_rules(raw(spark, ['{"rule_id":"r","threshold":3,"window":{"type":"tumbling"}}']))).first()
     assert rule["threshold"] == 3.0 and rule["enabled"] is None and rule["window"]["type"] == "tumbling"

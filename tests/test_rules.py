@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from millwatch.operators import rules
+from millwatch.operators import context, rules
 from tests import data
 
 
@@ -104,3 +104,12 @@ def test_no_shuffle_of_readings(spark):
     t = data.readings(spark, [("a", 0, 9.0)])
     plan = rules.evaluate(t, data.rule_table(spark, dict(threshold=5.0)))._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+def test_one_shuffle_for_rates_context_and_rules(spark):
+    t, c = data.readings(spark, [("a", 0, 9.0)]), data.context(spark, [("a", "r", "trackin", 0)])
+    rated = rules.rate_of_change(t, "gas_temperature")
+    e = rules.evaluate(context.attach_context(rated, c, anomalies=True), data.rule_table(spark, dict(threshold=5.0)))
+    plan = e._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(machine_id") == 1
+    assert plan.count("Exchange hashpartitioning(device_id") == 1

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from millwatch import schemas
 from millwatch.operators import context, detectors, parse, rules, trimming
-from millwatch.operators.quality import lag
+from millwatch.operators.quality import lag, observed
+from millwatch.plans.guard import start_guard
 from millwatch.streaming import monitor, sinks, stateful
 from tests import data
 
@@ -187,6 +188,30 @@ def test_fan_out_and_replay(spark, tmp_path):
     assert sinks.read_batches(spark, targets.errors).count() == 1
 
 
+def test_the_whole_job(spark, tmp_path):
+    t, c = tmp_path / "t", tmp_path / "c"
+    write_file(t, "0.json", [full(6000, 50.0), full(1000, 5.0), {"machine_id": "a"}])
+    write_file(c, "0.json", [ctx("a", "r1", "trackin", 500), ctx("a", "r2", "trackin", 5000)])
+    write_file(t, "9.json", [full(LAST, 0.0)])
+    write_file(c, "9.json", [ctx("clock", "r", "trackin", LAST)])
+    targets = sinks.Targets(**{n: f"{tmp_path}/{n}" for n in ("bronze", "evaluation", "dlq", "errors", "alerts")})
+    table = data.rule_table(spark, dict(threshold=10.0))
+
+    def text(folder):
+        return spark.readStream.option("maxFilesPerTrigger", "1").text(str(folder))
+
+    for q in start_guard(text(t), text(c), lambda: table, targets, f"{tmp_path}/check", once=True):
+        q.awaitTermination()
+    got = {m["timestamp"]: (m["run_id"], m["passed"])
+           for m in (json.loads(r["value"]) for r in sinks.read_batches(spark, targets.evaluation).collect())}
+    assert got == {1000: ("r1", True), 6000: ("r2", False)}
+    assert sinks.read_batches(spark, targets.bronze).count() == 2
+    assert sinks.read_batches(spark, targets.alerts).count() == 1
+    assert sinks.read_batches(spark, targets.errors).count() == 1
+    dlq = [json.loads(r["value"]) for r in sinks.read_batches(spark, targets.dlq).collect()]
+    assert [d["context_anomaly"]["previous_run_id"] for d in dlq] == ["r1"]
+
+
 def test_rules_change_between_batches(spark, tmp_path):
     """Rules are read again for every micro-batch; earlier rows keep their verdict."""
     folder, out = tmp_path / "raw", tmp_path / "out"
@@ -223,12 +248,14 @@ def test_progress_is_a_table(spark, tmp_path):
     spark.streams.addListener(log)
     try:
         write_file(tmp_path / "t", "0.json", [tel("a", 1)])
-        drain(spark, stream(spark, tmp_path / "t", TEL), tmp_path)
+        drain(spark, observed(stream(spark, tmp_path / "t", TEL), "seen", early="timestamp < 5"), tmp_path)
         for _ in range(50):
             if log.reports:
                 break
             spark.sparkContext._jvm.java.lang.Thread.sleep(100)
         assert log.table(spark).agg(F.sum("input_rows")).first()[0] == 1
+        counts = {r["counter"]: r["n"] for r in log.counter_table(spark).groupBy("counter").agg(F.sum("value").alias("n")).collect()}
+        assert counts == {"total": 1, "early": 1}
     finally:
         spark.streams.removeListener(log)
     log.offsets["t", 0] = (9, 4)
