@@ -38,7 +38,7 @@ def breaches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def start_guard(telemetry_raw: DataFrame, context_raw: DataFrame, read_rules: Callable[[], DataFrame],
                 targets: sinks.Targets, checkpoint: str, *, once: bool = False,
-                interval: str = sinks.FLUSH_INTERVAL, salts: int = 8,
+                interval: str = sinks.FLUSH_INTERVAL, salts: int = 4,
                 lateness: str = LATENESS) -> list[StreamingQuery]:
     """The running job, as three queries with their own checkpoints.
 

@@ -1,24 +1,25 @@
-"""Stream operators that need state per machine.
+"""Stream operators that need to remember rows.
 
 All of them hold rows back until the watermark has passed and then work in event-time order, so
 late and out-of-order arrival within the watermark's delay gives what the table operators give.
 Rows later than that are dropped by the watermark before they get here.
 
-A reading needs only its machine's run context, which is rare next to readings. So readings of a
-machine are spread over ``salts`` groups and each context event is sent to all of them: no
+Machines are hashed into ``buckets``; a bucket's rows are handled together as one pandas table, so
+the cost per micro-batch goes with its rows and not with the number of machines. A reading needs
+only its machine's run context, which is rare next to readings: readings of a machine are
+further spread over ``salts`` groups and each context event is sent to all of them, so that no
 machine is bound to one task. EWMA and the sequence guard depend on every earlier row of the
-machine; they keep a few numbers per machine and read a micro-batch's rows as an iterator.
+machine, so a machine stays in one bucket there; what is held is bounded by the watermark's delay.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from millwatch import schemas
@@ -27,136 +28,199 @@ from millwatch.operators.trimming import disposition
 from millwatch.operators.windows import LATENESS, with_event_time
 from millwatch.session import use_rocksdb_state
 
-_CTX = T.StructType([
-    T.StructField("ts", T.LongType()), T.StructField("seq", T.LongType()),
-    T.StructField("run_id", T.StringType()), T.StructField("event_type", T.StringType()),
-    T.StructField("start_ts", T.LongType()), T.StructField("end_ts", T.LongType()),
-])
-_READING = T.StructType([
-    T.StructField("ts", T.LongType()), T.StructField("seq", T.LongType()),
-    T.StructField("body", T.StringType()),
-])
-_OUT = ("machine_id string, body string, run_id string, event_type string, start_ts bigint, end_ts bigint, "
-        "context_ts bigint, run_start bigint, run_end bigint, run_name string")
+BUCKETS = 64
+_ORDER = ["timestamp", "seq"]
 
 
-def _value(x: Any) -> Any:
-    return None if x is None or x is pd.NA or (isinstance(x, float) and x != x) else x
+def _pack(df: pd.DataFrame) -> tuple[bytes]:
+    table = pa.Table.from_pandas(df, preserve_index=False)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return (sink.getvalue().to_pybytes(),)
 
 
-def _long(x: Any) -> int | None:
-    x = _value(x)
-    return None if x is None else int(x)
+def _unpack(state, columns: list[str]) -> pd.DataFrame:
+    parts = [pa.ipc.open_stream(row[0]).read_pandas() for row in state.get()]
+    parts = [p for p in parts if len(p)]
+    return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=columns)
 
 
-class RunContext(StatefulProcessor):
-    """Holds readings until ``wait_ms`` after them has passed, then gives each its context and run."""
+def _store(state, df: pd.DataFrame) -> None:
+    state.put([_pack(df)]) if len(df) else state.clear()
 
-    def __init__(self, wait_ms: int):
+
+class Held(StatefulProcessor):
+    """Rows wait here, one Arrow blob per micro-batch, until the watermark is ``wait_ms`` past them."""
+
+    columns: list[str] = []   # what a row carries
+    out: str = ""             # what ``settle`` gives
+
+    def __init__(self, wait_ms: int = 0):
         self.wait_ms = wait_ms
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.context = handle.getListState("context", _CTX)
-        self.readings = handle.getListState("readings", _READING)
+        self.rows = handle.getListState("rows", "blob binary")
+        self.memory = handle.getListState("memory", "blob binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        events, readings = [], []
-        for batch in rows:
-            for r in batch.itertuples(index=False):
-                if r.is_context:
-                    events.append((_long(r.timestamp), _long(r.seq), _value(r.run_id), _value(r.event_type),
-                                   _long(r.start_ts), _long(r.end_ts)))
-                else:
-                    readings.append((_long(r.timestamp), _long(r.seq), r.body))
-        if events:
-            self.context.appendList(events)
-        if readings:
-            self.readings.appendList(readings)
-        soonest = [r[0] + self.wait_ms for r in readings] + ([max(e[0] for e in events)] if events else [])
-        if soonest:
-            self.handle.registerTimer(max(min(soonest), timerValues.getCurrentWatermarkInMs() + 1))
+        batch = pd.concat([r[self.columns] for r in rows], ignore_index=True)
+        if len(batch):
+            batch["timestamp"] = batch["timestamp"].astype("int64")
+            batch["seq"] = batch["seq"].fillna(0).astype("int64")
+            self.rows.appendList([_pack(batch)])
+            self._wake(int(batch["timestamp"].min()), timerValues.getCurrentWatermarkInMs())
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs()
-        events = sorted((tuple(e) for e in self.context.get()), key=lambda e: (e[0], e[1] or 0))
-        held = sorted((tuple(r) for r in self.readings.get()), key=lambda r: (r[0], r[1] or 0))
-        due = [r for r in held if r[0] + self.wait_ms <= passed]
-        wait = held[len(due):]
-        self.readings.put(wait) if wait else self.readings.clear()
-        if wait:
-            self.handle.registerTimer(max(wait[0][0] + self.wait_ms, passed + 1))
-        out = list(self._place(key[0], events, due))
-        keep = self._needed(events, wait[0][0] if wait else passed - self.wait_ms)
-        self.context.put(keep) if keep else self.context.clear()
-        if out:
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in _OUT.split(", ")])
+        held = _unpack(self.rows, self.columns)
+        if len(held):
+            held = held.sort_values(_ORDER, kind="stable", ignore_index=True)
+            result, waiting = self.settle(held, passed)
+            _store(self.rows, waiting)
+            if len(waiting):
+                self._wake(int(waiting["timestamp"].min()), passed)
+            if len(result):
+                yield result[[c.split()[0] for c in self.out.split(", ")]]
+
+    def _wake(self, earliest: int, passed: int) -> None:
+        self.handle.registerTimer(max(earliest + self.wait_ms, passed + 1))
+
+    def settle(self, held: pd.DataFrame, passed: int) -> tuple[pd.DataFrame, pd.DataFrame]:
+        """The result for the rows that are due, and the rows still to wait."""
+        raise NotImplementedError
+
+    def close(self) -> None:
+        pass
+
+
+class RunContext(Held):
+    """Gives each reading the latest context event and the run it lies in."""
+
+    columns = ["machine_id", "is_context", "timestamp", "seq", "body", "run_id", "event_type", "start_ts", "end_ts"]
+    context = ["machine_id", "timestamp", "seq", "run_id", "event_type", "start_ts", "end_ts"]
+    out = ("machine_id string, body string, run_id string, event_type string, start_ts bigint, end_ts bigint, "
+           "context_ts bigint, run_start bigint, run_end bigint, run_name string")
+
+    def settle(self, held: pd.DataFrame, passed: int) -> tuple[pd.DataFrame, pd.DataFrame]:
+        events = pd.concat([_unpack(self.memory, self.context), held.loc[held["is_context"], self.context]],
+                           ignore_index=True)
+        events = events.sort_values(_ORDER, kind="stable", ignore_index=True)
+        events["timestamp"] = events["timestamp"].astype("int64")
+        readings = held[~held["is_context"].astype(bool)]
+        ready = readings["timestamp"] + self.wait_ms <= passed
+        due, waiting = readings.loc[ready, ["machine_id", "timestamp", "body"]], readings[~ready]
+        oldest = int(waiting["timestamp"].min()) if len(waiting) else passed - self.wait_ms
+        _store(self.memory, self._needed(events, oldest))
+        return self._place(due, events), waiting
 
     @staticmethod
-    def _place(machine: str, events: list, due: list) -> Iterator[tuple]:
-        """Walk context and readings together in event-time order."""
-        at, now, start, end = 0, None, None, None
-        for ts, _, body in due:
-            while at < len(events) and events[at][0] <= ts:
-                now = events[at]
-                if now[3] == schemas.TRACKIN:
-                    start = now
-                    end = events[at + 1] if at + 1 < len(events) else None
-                at += 1
-            inside = start is not None and (end is None or ts <= end[0])
-            yield (machine, body, *(now[2:6] if now else (None,) * 4), now[0] if now else None,
-                   start[0] if inside else None, end[0] if inside and end else None,
-                   start[2] if inside else None)
+    def _place(due: pd.DataFrame, events: pd.DataFrame) -> pd.DataFrame:
+        latest = events.assign(context_ts=events["timestamp"]).drop(columns="seq")
+        placed = pd.merge_asof(due, latest, on="timestamp", by="machine_id")
+        ends = events.assign(run_start=events["timestamp"], run_name=events["run_id"],
+                             run_end=events.groupby("machine_id")["timestamp"].shift(-1))
+        starts = ends.loc[ends["event_type"] == schemas.TRACKIN,
+                          ["machine_id", "timestamp", "run_start", "run_end", "run_name"]]
+        placed = pd.merge_asof(placed, starts, on="timestamp", by="machine_id")
+        after = placed["run_end"].notna() & (placed["timestamp"] > placed["run_end"])
+        placed.loc[after, ["run_start", "run_end", "run_name"]] = None
+        for c in ("start_ts", "end_ts", "context_ts", "run_start", "run_end"):
+            placed[c] = placed[c].astype("Int64")
+        return placed
 
     @staticmethod
-    def _needed(events: list, oldest: int) -> list:
-        """The context a reading at or after ``oldest`` can still need."""
-        last = max((i for i, e in enumerate(events) if e[0] <= oldest and e[3] == schemas.TRACKIN), default=None)
-        if last is not None:
-            return events[last:]
-        past = [i for i, e in enumerate(events) if e[0] <= oldest]
-        return events[past[-1]:] if past else events
+    def _needed(events: pd.DataFrame, oldest: int) -> pd.DataFrame:
+        """The context that a reading at or after ``oldest`` can still need: from its last trackin on."""
+        past = events[events["timestamp"] <= oldest]
+        last = past.groupby("machine_id")["timestamp"].max()
+        start = past[past["event_type"] == schemas.TRACKIN].groupby("machine_id")["timestamp"].max()
+        since = events["machine_id"].map(start.reindex(last.index).fillna(last))
+        return events[since.isna() | (events["timestamp"] >= since)]
+
+
+class Ewma(Held):
+    columns = ["machine_id", "timestamp", "seq", "x"]
+    out = "machine_id string, timestamp bigint, seq bigint, x double, ewma double"
+
+    def __init__(self, alpha: float):
+        super().__init__()
+        self.alpha = alpha
+
+    def settle(self, held: pd.DataFrame, passed: int) -> tuple[pd.DataFrame, pd.DataFrame]:
+        ready = held["timestamp"] <= passed
+        due, waiting = held[ready].reset_index(drop=True), held[~ready]
+        before = _unpack(self.memory, ["machine_id", "x"])
+        # each machine's last value goes in front of its new ones, as the value to go on from
+        has = due["x"].notna()
+        values = pd.concat([before, due.loc[has, ["machine_id", "x"]]], ignore_index=True)
+        smooth = values.groupby("machine_id")["x"].ewm(alpha=self.alpha, adjust=False).mean()
+        values["ewma"] = smooth.droplevel(0)
+        due.loc[has, "ewma"] = values["ewma"].iloc[len(before):].to_numpy()
+        _store(self.memory, values.groupby("machine_id", as_index=False)["ewma"].last().rename(columns={"ewma": "x"}))
+        return due, waiting
+
+
+class SequenceGuard(Held):
+    columns = ["machine_id", "timestamp", "seq", "kind", "run_id"]
+    out = "machine_id string, previous_run_id string, current_run_id string, timestamp bigint"
+
+    def settle(self, held: pd.DataFrame, passed: int) -> tuple[pd.DataFrame, pd.DataFrame]:
+        ready = held["timestamp"] <= passed
+        due, waiting = held[ready], held[~ready]
+        rows = pd.concat([_unpack(self.memory, self.columns), due], ignore_index=True)
+        earlier = rows.groupby("machine_id")[["kind", "run_id"]].shift(1)
+        rows["previous_run_id"], rows["current_run_id"] = earlier["run_id"], rows["run_id"]
+        implicit = (rows["kind"] == schemas.TRACKIN) & (earlier["kind"] == schemas.TRACKIN)
+        _store(self.memory, rows.groupby("machine_id").tail(1)[self.columns])
+        return rows[implicit], waiting
+
+
+def _bucket(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket")
 
-    def close(self) -> None:
-        pass
 
+def _seq(df: DataFrame) -> Column:
+    return (F.col("seq") if "seq" in df.columns else F.lit(None).cast("bigint")).alias("seq")
 
-def _placed(telemetry: DataFrame, context: DataFrame, wait_ms: int, salts: int, lateness: str) -> DataFrame:
+
+def _placed(telemetry: DataFrame, context: DataFrame, wait_ms: int, salts: int, buckets: int,
+            lateness: str) -> DataFrame:
     use_rocksdb_state(telemetry.sparkSession)
     spread = F.pmod(F.xxhash64("timestamp"), F.lit(salts)).cast("int")
-    absent = {n: F.lit(None).cast(t) for n, t in
-              {"run_id": "string", "event_type": "string", "start_ts": "bigint", "end_ts": "bigint"}.items()}
-    seq = F.col("seq") if "seq" in telemetry.columns else F.lit(None).cast("bigint")
+    absent = {"run_id": "string", "event_type": "string", "start_ts": "bigint", "end_ts": "bigint"}
     readings = telemetry.select(
-        "machine_id", spread.alias("salt"), F.lit(False).alias("is_context"), "timestamp", seq.alias("seq"),
-        F.to_json(F.struct(*telemetry.columns)).alias("body"), *[c.alias(n) for n, c in absent.items()])
-    seq = F.col("seq") if "seq" in context.columns else F.lit(None).cast("bigint")
+        "machine_id", _bucket(F.col("machine_id"), buckets), spread.alias("salt"), F.lit(False).alias("is_context"),
+        "timestamp", _seq(telemetry), F.to_json(F.struct(*telemetry.columns)).alias("body"),
+        *[F.lit(None).cast(t).alias(n) for n, t in absent.items()])
     events = context.select(
-        F.col("device_id").alias("machine_id"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"),
-        F.lit(True).alias("is_context"), "timestamp", seq.alias("seq"), F.lit(None).cast("string").alias("body"),
-        "run_id", "event_type", "start_ts", "end_ts")
+        F.col("device_id").alias("machine_id"), _bucket(F.col("device_id"), buckets),
+        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), F.lit(True).alias("is_context"),
+        "timestamp", _seq(context), F.lit(None).cast("string").alias("body"), *absent)
     both = with_event_time(readings.unionByName(events), lateness)
-    out = both.groupBy("machine_id", "salt").transformWithStateInPandas(
-        RunContext(wait_ms), _OUT, "append", "eventTime")
+    out = both.groupBy("bucket", "salt").transformWithStateInPandas(
+        RunContext(wait_ms), RunContext.out, "append", "eventTime")
     return out.withColumn("_r", F.from_json("body", telemetry.schema))
 
 
-def attach_context_stream(telemetry: DataFrame, context: DataFrame, *, salts: int = 8,
+def attach_context_stream(telemetry: DataFrame, context: DataFrame, *, salts: int = 4, buckets: int = BUCKETS,
                           lateness: str = LATENESS) -> DataFrame:
     """``attach_context`` for streams."""
-    placed = _placed(telemetry, context, 0, salts, lateness)
+    placed = _placed(telemetry, context, 0, salts, buckets, lateness)
     return placed.select("_r.*", "run_id", "event_type", "start_ts", "end_ts", "context_ts")
 
 
 def edge_trim_stream(telemetry: DataFrame, context: DataFrame, lead_ms: int = 5000, trail_ms: int = 5000,
-                     action: str = "drop", *, salts: int = 8, lateness: str = LATENESS) -> DataFrame:
+                     action: str = "drop", *, salts: int = 4, buckets: int = BUCKETS,
+                     lateness: str = LATENESS) -> DataFrame:
     """``edge_trim`` for streams, from the context events themselves.
 
     A reading is decided once ``trail_ms`` after it has passed: a trackout within its trail has
     then arrived. The watermark's delay is the grace for a late trackin or trackout.
     """
-    placed = _placed(telemetry, context, trail_ms, salts, lateness)
+    placed = _placed(telemetry, context, trail_ms, salts, buckets, lateness)
     rows = placed.select("_r.*", F.col("run_name").alias("run_id"), F.col("run_start").alias("start_ts"),
                          F.col("run_end").alias("end_ts"))
     # An end later than the trail may be known or not when a reading is decided; it changes nothing.
@@ -166,99 +230,28 @@ def edge_trim_stream(telemetry: DataFrame, context: DataFrame, lead_ms: int = 50
     return rows if action == "tag" else rows.where(~F.col("disposition").startswith("TRIMMED"))
 
 
-class InOrder(StatefulProcessor):
-    """Holds rows until the watermark has passed them and hands them on in event-time order."""
-
-    out: str = ""
-    state: str = ""
-
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.held = handle.getListState("held", "ts bigint, seq bigint, x double, kind string, run_id string")
-        self.last = handle.getValueState("last", self.state)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        found = [(_long(r.timestamp), _long(r.seq), _value(r.x), _value(r.kind), _value(r.run_id))
-                 for batch in rows for r in batch.itertuples(index=False)]
-        if found:
-            self.held.appendList(found)
-            self.handle.registerTimer(max(min(f[0] for f in found), timerValues.getCurrentWatermarkInMs() + 1))
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        passed = timerValues.getCurrentWatermarkInMs()
-        held = sorted((tuple(r) for r in self.held.get()), key=lambda r: (r[0], r[1] or 0))
-        due = [r for r in held if r[0] <= passed]
-        wait = held[len(due):]
-        self.held.put(wait) if wait else self.held.clear()
-        if wait:
-            self.handle.registerTimer(max(wait[0][0], passed + 1))
-        out = list(self.step(key[0], due))
-        if out:
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in self.out.split(", ")])
-
-    def step(self, machine: str, due: list) -> Iterator[tuple]:
-        raise NotImplementedError
-
-    def close(self) -> None:
-        pass
-
-
-class Ewma(InOrder):
-    out = "machine_id string, timestamp bigint, seq bigint, x double, ewma double"
-    state = "s double"
-
-    def __init__(self, alpha: float):
-        self.alpha = alpha
-
-    def step(self, machine: str, due: list) -> Iterator[tuple]:
-        s = self.last.get()[0] if self.last.exists() else None
-        for ts, seq, x, _, _ in due:
-            if x is not None:
-                s = x if s is None else self.alpha * x + (1 - self.alpha) * s
-            yield machine, ts, seq, x, None if x is None else s
-        if s is not None:
-            self.last.update((s,))
-
-
-class SequenceGuard(InOrder):
-    out = "device_id string, previous_run_id string, current_run_id string, ts bigint"
-    state = "kind string, run_id string"
-
-    def step(self, machine: str, due: list) -> Iterator[tuple]:
-        before = tuple(self.last.get()) if self.last.exists() else (None, None)
-        for ts, _, _, kind, run in due:
-            if kind == schemas.TRACKIN and before[0] == schemas.TRACKIN:
-                yield machine, before[1], run, ts
-            before = (kind, run)
-        if due:
-            self.last.update(before)
-
-
-def _in_order(df: DataFrame, key: str, processor: InOrder, lateness: str, *, x=None, kind=None, run=None) -> DataFrame:
-    use_rocksdb_state(df.sparkSession)
-    seq = F.col("seq") if "seq" in df.columns else F.lit(None).cast("bigint")
-    text = F.lit(None).cast("string")
-    rows = df.select(F.col(key).alias("machine_id"), "timestamp", seq.alias("seq"),
-                     (F.lit(None).cast("double") if x is None else F.col(x)).alias("x"),
-                     (text if kind is None else F.col(kind)).alias("kind"),
-                     (text if run is None else F.col(run)).alias("run_id"))
-    return with_event_time(rows, lateness).groupBy("machine_id").transformWithStateInPandas(
+def _in_order(rows: DataFrame, processor: Held, buckets: int, lateness: str) -> DataFrame:
+    use_rocksdb_state(rows.sparkSession)
+    keyed = rows.select("*", _bucket(F.col("machine_id"), buckets))
+    return with_event_time(keyed, lateness).groupBy("bucket").transformWithStateInPandas(
         processor, processor.out, "append", "eventTime")
 
 
-def ewma_stream(df: DataFrame, column: str, alpha: float, *, key: str = "machine_id",
+def ewma_stream(df: DataFrame, column: str, alpha: float, *, key: str = "machine_id", buckets: int = BUCKETS,
                 lateness: str = LATENESS) -> DataFrame:
     """``ewma`` for streams: machine, timestamp, seq, the value and ``<column>_ewma``."""
-    out = _in_order(df, key, Ewma(alpha), lateness, x=column)
+    rows = df.select(F.col(key).alias("machine_id"), "timestamp", _seq(df), F.col(column).cast("double").alias("x"))
+    out = _in_order(rows, Ewma(alpha), buckets, lateness)
     return out.withColumnsRenamed({"x": column, "ewma": f"{column}_ewma", "machine_id": key})
 
 
-def implicit_closes_stream(context: DataFrame, *, lateness: str = LATENESS) -> DataFrame:
+def implicit_closes_stream(context: DataFrame, *, buckets: int = BUCKETS, lateness: str = LATENESS) -> DataFrame:
     """``implicit_closes`` for streams."""
-    out = _in_order(context, "device_id", SequenceGuard(), lateness, kind="event_type", run="run_id")
-    return out.select("device_id", anomaly(F.col("previous_run_id"), F.col("current_run_id"), F.col("ts"))
-                      .alias("context_anomaly"))
+    rows = context.select(F.col("device_id").alias("machine_id"), "timestamp", _seq(context),
+                          F.col("event_type").alias("kind"), "run_id")
+    out = _in_order(rows, SequenceGuard(), buckets, lateness)
+    return out.select(F.col("machine_id").alias("device_id"), anomaly(
+        F.col("previous_run_id"), F.col("current_run_id"), F.col("timestamp")).alias("context_anomaly"))
 
 
 def dedupe_stream(df: DataFrame, *, lateness: str = LATENESS) -> DataFrame:
@@ -269,5 +262,3 @@ def dedupe_stream(df: DataFrame, *, lateness: str = LATENESS) -> DataFrame:
 def new_series_stream(series: DataFrame) -> DataFrame:
     """Each (device, measurement) once, when first seen. Its state grows with the number of series."""
     return series.dropDuplicates(["device_id", "measurement"])
-
-
