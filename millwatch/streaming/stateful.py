@@ -32,29 +32,40 @@ BUCKETS = 64
 _ORDER = ["timestamp", "seq"]
 
 
-def _pack(df: pd.DataFrame) -> tuple[bytes]:
-    table = pa.Table.from_pandas(df, preserve_index=False)
+def _schema(**fields: str) -> pa.Schema:
+    kinds = {"text": pa.string(), "long": pa.int64(), "double": pa.float64(), "flag": pa.bool_()}
+    return pa.schema([(name, kinds[kind]) for name, kind in fields.items()])
+
+
+def _arrow(df: pd.DataFrame, schema: pa.Schema) -> pa.Table:
+    return pa.Table.from_pandas(df[schema.names], schema=schema, preserve_index=False)
+
+
+def _together(schema: pa.Schema, *parts: pd.DataFrame) -> pd.DataFrame:
+    return pa.concat_tables([_arrow(p, schema) for p in parts]).to_pandas()
+
+
+def _pack(df: pd.DataFrame, schema: pa.Schema) -> tuple[bytes]:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema) as writer:
-        writer.write_table(table)
+    with pa.ipc.new_stream(sink, schema) as writer:
+        writer.write_table(_arrow(df, schema))
     return (sink.getvalue().to_pybytes(),)
 
 
-def _unpack(state, columns: list[str]) -> pd.DataFrame:
-    parts = [pa.ipc.open_stream(row[0]).read_pandas() for row in state.get()]
-    parts = [p for p in parts if len(p)]
-    return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=columns)
+def _unpack(state, schema: pa.Schema) -> pd.DataFrame:
+    parts = [pa.ipc.open_stream(row[0]).read_all() for row in state.get()]
+    return pa.concat_tables([schema.empty_table(), *parts]).to_pandas()
 
 
-def _store(state, df: pd.DataFrame) -> None:
-    state.put([_pack(df)]) if len(df) else state.clear()
+def _store(state, df: pd.DataFrame, schema: pa.Schema) -> None:
+    state.put([_pack(df, schema)]) if len(df) else state.clear()
 
 
 class Held(StatefulProcessor):
     """Rows wait here, one Arrow blob per micro-batch, until the watermark is ``wait_ms`` past them."""
 
-    columns: list[str] = []   # what a row carries
-    out: str = ""             # what ``settle`` gives
+    columns: pa.Schema        # what a row carries
+    out: str                  # what ``settle`` gives
 
     def __init__(self, wait_ms: int = 0):
         self.wait_ms = wait_ms
@@ -65,11 +76,9 @@ class Held(StatefulProcessor):
         self.memory = handle.getListState("memory", "blob binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat([r[self.columns] for r in rows], ignore_index=True)
+        batch = _together(self.columns, *[r.assign(seq=r["seq"].fillna(0)) for r in rows])
         if len(batch):
-            batch["timestamp"] = batch["timestamp"].astype("int64")
-            batch["seq"] = batch["seq"].fillna(0).astype("int64")
-            self.rows.appendList([_pack(batch)])
+            self.rows.appendList([_pack(batch, self.columns)])
             self._wake(int(batch["timestamp"].min()), timerValues.getCurrentWatermarkInMs())
         return iter(())
 
@@ -79,7 +88,7 @@ class Held(StatefulProcessor):
         if len(held):
             held = held.sort_values(_ORDER, kind="stable", ignore_index=True)
             result, waiting = self.settle(held, passed)
-            _store(self.rows, waiting)
+            _store(self.rows, waiting, self.columns)
             if len(waiting):
                 self._wake(int(waiting["timestamp"].min()), passed)
             if len(result):
@@ -99,21 +108,21 @@ class Held(StatefulProcessor):
 class RunContext(Held):
     """Gives each reading the latest context event and the run it lies in."""
 
-    columns = ["machine_id", "is_context", "timestamp", "seq", "body", "run_id", "event_type", "start_ts", "end_ts"]
-    context = ["machine_id", "timestamp", "seq", "run_id", "event_type", "start_ts", "end_ts"]
+    columns = _schema(machine_id="text", is_context="flag", timestamp="long", seq="long", body="text", run_id="text",
+                      event_type="text", start_ts="long", end_ts="long")
+    context = _schema(machine_id="text", timestamp="long", seq="long", run_id="text", event_type="text",
+                      start_ts="long", end_ts="long")
     out = ("machine_id string, body string, run_id string, event_type string, start_ts bigint, end_ts bigint, "
            "context_ts bigint, run_start bigint, run_end bigint, run_name string")
 
     def settle(self, held: pd.DataFrame, passed: int) -> tuple[pd.DataFrame, pd.DataFrame]:
-        events = pd.concat([_unpack(self.memory, self.context), held.loc[held["is_context"], self.context]],
-                           ignore_index=True)
+        events = _together(self.context, _unpack(self.memory, self.context), held[held["is_context"]])
         events = events.sort_values(_ORDER, kind="stable", ignore_index=True)
-        events["timestamp"] = events["timestamp"].astype("int64")
-        readings = held[~held["is_context"].astype(bool)]
+        readings = held[~held["is_context"]]
         ready = readings["timestamp"] + self.wait_ms <= passed
         due, waiting = readings.loc[ready, ["machine_id", "timestamp", "body"]], readings[~ready]
         oldest = int(waiting["timestamp"].min()) if len(waiting) else passed - self.wait_ms
-        _store(self.memory, self._needed(events, oldest))
+        _store(self.memory, self._needed(events, oldest), self.context)
         return self._place(due, events), waiting
 
     @staticmethod
@@ -142,7 +151,8 @@ class RunContext(Held):
 
 
 class Ewma(Held):
-    columns = ["machine_id", "timestamp", "seq", "x"]
+    columns = _schema(machine_id="text", timestamp="long", seq="long", x="double")
+    last = _schema(machine_id="text", x="double")
     out = "machine_id string, timestamp bigint, seq bigint, x double, ewma double"
 
     def __init__(self, alpha: float):
@@ -151,30 +161,31 @@ class Ewma(Held):
 
     def settle(self, held: pd.DataFrame, passed: int) -> tuple[pd.DataFrame, pd.DataFrame]:
         ready = held["timestamp"] <= passed
-        due, waiting = held[ready].reset_index(drop=True), held[~ready]
-        before = _unpack(self.memory, ["machine_id", "x"])
+        due, waiting = held[ready].reset_index(drop=True).assign(ewma=float("nan")), held[~ready]
+        before = _unpack(self.memory, self.last)
         # each machine's last value goes in front of its new ones, as the value to go on from
         has = due["x"].notna()
-        values = pd.concat([before, due.loc[has, ["machine_id", "x"]]], ignore_index=True)
+        values = _together(self.last, before, due[has])
         smooth = values.groupby("machine_id")["x"].ewm(alpha=self.alpha, adjust=False).mean()
         values["ewma"] = smooth.droplevel(0)
         due.loc[has, "ewma"] = values["ewma"].iloc[len(before):].to_numpy()
-        _store(self.memory, values.groupby("machine_id", as_index=False)["ewma"].last().rename(columns={"ewma": "x"}))
+        _store(self.memory, values.groupby("machine_id", as_index=False)["ewma"].last().rename(columns={"ewma": "x"}),
+               self.last)
         return due, waiting
 
 
 class SequenceGuard(Held):
-    columns = ["machine_id", "timestamp", "seq", "kind", "run_id"]
+    columns = _schema(machine_id="text", timestamp="long", seq="long", kind="text", run_id="text")
     out = "machine_id string, previous_run_id string, current_run_id string, timestamp bigint"
 
     def settle(self, held: pd.DataFrame, passed: int) -> tuple[pd.DataFrame, pd.DataFrame]:
         ready = held["timestamp"] <= passed
         due, waiting = held[ready], held[~ready]
-        rows = pd.concat([_unpack(self.memory, self.columns), due], ignore_index=True)
+        rows = _together(self.columns, _unpack(self.memory, self.columns), due)
         earlier = rows.groupby("machine_id")[["kind", "run_id"]].shift(1)
         rows["previous_run_id"], rows["current_run_id"] = earlier["run_id"], rows["run_id"]
         implicit = (rows["kind"] == schemas.TRACKIN) & (earlier["kind"] == schemas.TRACKIN)
-        _store(self.memory, rows.groupby("machine_id").tail(1)[self.columns])
+        _store(self.memory, rows.groupby("machine_id").tail(1), self.columns)
         return rows[implicit], waiting
 
 
