@@ -182,15 +182,19 @@ def _long(telemetry: DataFrame, measurements: Sequence[str], keep: Sequence[str]
 
 
 def judge(telemetry: DataFrame, rules: DataFrame, *, measurements: Sequence[str] = schemas.MEASUREMENTS,
-          keep: Sequence[str] = ("machine_id", "machine_type", "timestamp")) -> DataFrame:
-    """One row per reading and matching threshold rule with ``breached``: equi-join on measurement."""
+          keep: Sequence[str] = ("machine_id", "machine_type", "timestamp"), small: bool = False) -> DataFrame:
+    """One row per reading and matching threshold rule with ``breached``: equi-join on measurement.
+
+    ``small`` says the rules were counted already and may be broadcast.
+    """
     rules = complete(rules).select("rule_id", "device_type", "rule_type", "measurement", "condition",
                                    "threshold", "lo", "hi", "severity", "durationSec", "actions",
                                    "alertChannel")
     long = _long(telemetry, measurements, keep)
     scoped = F.col("device_type").isNull() | (F.col("device_type") == F.col("machine_type"))
     none = F.lit(None)
-    return long.join(guarded_broadcast(rules), "measurement").where(scoped).withColumn(
+    side = F.broadcast(rules) if small else guarded_broadcast(rules)
+    return long.join(side, "measurement").where(scoped).withColumn(
         "breached", breach(F.col("condition"), F.col("value"), none.cast("double"), F.col("threshold"),
                            F.col("lo"), F.col("hi"), none.cast("boolean")))
 
@@ -240,9 +244,10 @@ def sustained(breaches: DataFrame, duration_ms: Column | int, *,
 
 def sustained_rules(telemetry: DataFrame, rules: DataFrame, *, cuts: Cuts | None = None) -> DataFrame:
     """Alerts of the rules that have a duration and no window."""
-    lasting = complete(rules).where((F.col("durationSec") > 0) & ~scalars.is_windowed(F.col("window")))
+    lasting, listed = localize(
+        complete(rules).where((F.col("durationSec") > 0) & ~scalars.is_windowed(F.col("window"))))
     keep = ["machine_id", "machine_type", "timestamp", *(["seq"] if "seq" in telemetry.columns else [])]
-    rows = judge(telemetry, lasting, keep=keep)
+    rows = judge(telemetry, lasting, keep=keep, small=listed is not None)
     fired = sustained(rows, scalars.seconds_to_millis(F.col("durationSec")), cuts=cuts)
     r = F.struct("rule_id", "rule_type", "measurement", "condition", "threshold", "severity", "actions",
                  "alertChannel")
@@ -269,24 +274,25 @@ def windowed_rule(df: DataFrame, size: str, slide: str | None = None, *, aggrega
 
 def windowed_rules(telemetry: DataFrame, rules: DataFrame) -> DataFrame:
     """Alerts of the windowed rules: one aggregation per distinct window, whatever the rule count."""
-    windowed = complete(rules).where(scalars.is_windowed(F.col("window"))).withColumns({
+    windowed, listed = localize(complete(rules).where(scalars.is_windowed(F.col("window"))).withColumns({
         "_size": scalars.seconds_to_millis(F.col("window.sizeSeconds")),
         "_slide": F.when(F.col("window.type") == "sliding",
                          scalars.seconds_to_millis(F.col("window.slideSeconds"))),
         "_agg": F.coalesce(F.col("params")["aggregate"], F.lit("avg")),
-    })
+    }))
     # distinct windows of the rule set: configuration, bounded like custom expressions
-    specs = windowed.select("_size", "_slide", "_agg").distinct().limit(MAX_CUSTOM + 1).collect()
+    specs = listed if listed is not None else windowed.select("_size", "_slide", "_agg").distinct().limit(
+        MAX_CUSTOM + 1).collect()
+    specs = {(s["_size"], s["_slide"], s["_agg"]) for s in specs}
     if len(specs) > MAX_CUSTOM:
         raise ValueError(f"more than {MAX_CUSTOM} distinct rule windows")
     parts = []
-    for s in sorted(specs, key=str):
-        same = windowed.where(
-            (F.col("_size") == s["_size"]) & F.col("_slide").eqNullSafe(F.lit(s["_slide"]))
-            & (F.col("_agg") == s["_agg"]))
-        stats = windowed_rule(telemetry, f"{s['_size']} milliseconds",
-                              f"{s['_slide']} milliseconds" if s["_slide"] else None, aggregate=s["_agg"])
-        parts.append(judge(stats, same).where("breached"))
+    for size, slide, aggregate in sorted(specs, key=str):
+        same = windowed.where((F.col("_size") == size) & F.col("_slide").eqNullSafe(F.lit(slide))
+                              & (F.col("_agg") == aggregate))
+        stats = windowed_rule(telemetry, f"{size} milliseconds", f"{slide} milliseconds" if slide else None,
+                              aggregate=aggregate)
+        parts.append(judge(stats, same, small=listed is not None).where("breached"))
     if not parts:
         parts = [judge(telemetry, windowed).where(F.lit(False))]
     out = parts[0]
