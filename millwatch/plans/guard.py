@@ -38,8 +38,8 @@ def breaches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def start_guard(telemetry_raw: DataFrame, context_raw: DataFrame, read_rules: Callable[[], DataFrame],
                 targets: sinks.Targets, checkpoint: str, *, once: bool = False,
-                interval: str = sinks.FLUSH_INTERVAL, salts: int = 4,
-                lateness: str = LATENESS) -> list[StreamingQuery]:
+                interval: str = sinks.FLUSH_INTERVAL, salts: int = 4, lateness: str = LATENESS,
+                partitions: int | None = None) -> list[StreamingQuery]:
     """The running job, as three queries with their own checkpoints.
 
     One evaluates readings in their run and writes bronze, evaluation and alerts; ``read_rules``
@@ -66,5 +66,6 @@ def start_guard(telemetry_raw: DataFrame, context_raw: DataFrame, read_rules: Ca
         jobs["closes"] = (closes, write_closes)
     if targets.errors:
         jobs["errors"] = (parsed, write_errors)
-    return [sinks.start(df, write, f"{checkpoint}/{name}", once=once, interval=interval, name=name)
+    return [sinks.start(df, write, f"{checkpoint}/{name}", once=once, interval=interval, name=name,
+                        partitions=partitions)
             for name, (df, write) in jobs.items()]

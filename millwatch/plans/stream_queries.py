@@ -23,10 +23,16 @@ def query(fn: Query) -> Query:
     return fn
 
 
+def _cores(spark: SparkSession) -> int:
+    """One state store per core."""
+    return spark.sparkContext.defaultParallelism
+
+
 def settle(spark: SparkSession, df: DataFrame, name: str, **options) -> DataFrame:
     """Run a stream until it has read everything, and read its output."""
     base = shared_folder(spark, name)
-    sinks.start_files(df, f"{base}/out", f"{base}/checkpoint", once=True, **options).awaitTermination()
+    sinks.start_files(df, f"{base}/out", f"{base}/checkpoint", once=True, partitions=_cores(spark),
+                      **options).awaitTermination()
     return spark.read.schema(df.schema).parquet(f"{base}/out")
 
 
@@ -99,7 +105,8 @@ def stream_rules(spark, sf):
         # rules are read again for every micro-batch
         sinks.write_batch(rules.evaluate(batch, simple), batch_id, targets)
 
-    sinks.start(readings, write, f"{base}/checkpoint", once=True).awaitTermination()
+    sinks.start(readings, write, f"{base}/checkpoint", once=True,
+                partitions=_cores(spark)).awaitTermination()
     body = F.col("value")
     return sinks.read_batches(spark, targets.alerts).select(
         F.get_json_object(body, "$.device_id").alias("device_id"),
@@ -113,7 +120,8 @@ def stream_bronze(spark, sf):
     readings = parse.good(parse.parse_telemetry(views.raw_telemetry_of(views.event_stream(spark, sf))))
     base = shared_folder(spark, "bronze")
     targets = sinks.Targets(bronze=f"{base}/bronze")
-    sinks.start(readings, lambda b, i: sinks.write_batch(b, i, targets), f"{base}/checkpoint", once=True).awaitTermination()
+    sinks.start(readings, lambda b, i: sinks.write_batch(b, i, targets), f"{base}/checkpoint", once=True,
+                partitions=_cores(spark)).awaitTermination()
     return sinks.read_batches(spark, targets.bronze).groupBy("device_path", F.col("date").cast("string").alias("date")).agg(
         F.count(F.lit(1)).alias("n"), F.max("gas_temperature").alias("max_temperature"))
 
@@ -124,7 +132,8 @@ def stream_dead_letters(spark, sf):
     rows = parse.parse_telemetry(views.raw_telemetry_of(views.event_stream(spark, sf)))
     base = shared_folder(spark, "errors")
     targets = sinks.Targets(errors=f"{base}/errors")
-    sinks.start(rows, lambda b, i: sinks.write_errors(b, i, targets), f"{base}/checkpoint", once=True).awaitTermination()
+    sinks.start(rows, lambda b, i: sinks.write_errors(b, i, targets), f"{base}/checkpoint", once=True,
+                partitions=_cores(spark)).awaitTermination()
     return sinks.read_batches(spark, targets.errors).groupBy(
         "key", F.get_json_object("value", "$.error_type").alias("error_type")).agg(F.count(F.lit(1)).alias("n"))
 

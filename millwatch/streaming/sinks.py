@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
@@ -90,29 +91,45 @@ def write_errors(parsed: DataFrame, batch_id: int, targets: Targets) -> None:
         _write(parse.to_message(letters, key="device_id"), targets.errors, batch_id, targets)
 
 
+@contextmanager
+def _partitions(spark: SparkSession, count: int | None) -> Iterator[None]:
+    """A query copies the session's settings when it starts, so they are set only for that moment."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(count or before))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def start(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, *,
           once: bool = False, interval: str = FLUSH_INTERVAL, name: str | None = None,
-          mode: str = "append") -> StreamingQuery:
+          mode: str = "append", partitions: int | None = None) -> StreamingQuery:
     """Start a query that hands each micro-batch to ``write``.
 
-    ``once`` works off what there is and stops. A restart goes on from the checkpoint.
+    ``once`` works off what there is and stops. A restart goes on from the checkpoint. A stateful
+    query keeps the number of ``partitions`` of its first start; each has its own state store, so
+    about one per core is right. The session's setting counts if none is given.
     """
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write)
     if name:
         writer = writer.queryName(name)
-    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)).start()
+    with _partitions(df.sparkSession, partitions):
+        return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)).start()
 
 
 def start_files(df: DataFrame, path: str, checkpoint: str, *, once: bool = False,
                 interval: str = FLUSH_INTERVAL, partition_by: tuple[str, ...] = (),
-                name: str | None = None) -> StreamingQuery:
+                name: str | None = None, partitions: int | None = None) -> StreamingQuery:
     """Start a query into parquet files, exactly once by the sink's own log."""
     writer = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if name:
         writer = writer.queryName(name)
-    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)).start()
+    with _partitions(df.sparkSession, partitions):
+        return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)).start()
 
 
 def read_batches(spark, path: str) -> DataFrame:
