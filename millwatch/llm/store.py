@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 from functools import partial
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -90,3 +90,36 @@ def record(columns: dict, target: pa.Schema) -> pa.RecordBatch:
 def octets_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     """A binary column as a list of bytes; null is empty."""
     return [b"" if t is None else t for t in batch.column(name).to_pylist()]
+
+
+def open_store(uri: str):
+    """(file system, path) of a shared folder: a local or mounted path, or any scheme that Arrow knows."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
+
+
+def _rename(batch: pa.RecordBatch, uri: str) -> dict:
+    store, path = open_store(uri)
+    from pyarrow import fs
+
+    for temporary, name in zip(batch.column("temporary").to_pylist(), batch.column("name").to_pylist(), strict=True):
+        # a task that runs again finds the file in place
+        if store.get_file_info(f"{path}/{temporary}").type == fs.FileType.File:
+            store.move(f"{path}/{temporary}", f"{path}/{name}")
+        elif store.get_file_info(f"{path}/{name}").type != fs.FileType.File:
+            raise FileNotFoundError(f"{path}/{temporary}")
+    return {c: batch.column(c) for c in batch.schema.names}
+
+
+def committed(written: DataFrame, uri: str, order: list[str], pattern: str) -> DataFrame:
+    """Run a writer and give its files their names, numbered in order: the saved manifest of what is in place.
+
+    `written` has one row per file with `temporary`, its name below `uri`. Only rows of tasks that succeeded are in it,
+    so files of lost attempts keep their temporary names and are never read. The numbering is a window over one row
+    per file.
+    """
+    manifest = saved(written, "written")
+    number = F.row_number().over(Window.orderBy(*order, "temporary")) - 1
+    manifest = saved(manifest.withColumn("name", F.format_string(pattern, number)), "named")
+    return saved(map_arrow(manifest, _rename, manifest.schema, uri), "manifest")
