@@ -353,9 +353,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
     return spans, copies
 
 
-def _apply(batch: pa.RecordBatch, length: int) -> dict:
+def _apply(batch: pa.RecordBatch, length: int, with_text: bool) -> dict:
     """Byte ranges to remove, and what is left."""
-    out: dict[str, list] = {c: [] for c in ("n_bytes", "n_removed", "spans", "kept", "kept_sha256")}
+    out: dict[str, list] = {c: [] for c in ("n_bytes", "n_removed", "spans", "kept", "kept_text", "kept_sha256")}
     for text, spans, copy in zip(octets_of(batch), batch.column("spans").to_pylist(), batch.column("copy").to_pylist(), strict=True):
         if copy and len(text) >= length:
             cuts = [(0, len(text))]
@@ -377,16 +377,19 @@ def _apply(batch: pa.RecordBatch, length: int) -> dict:
         out["n_bytes"].append(len(text))
         out["n_removed"].append(len(text) - len(kept))
         out["spans"].append([{"start": a, "end": b} for a, b in cuts])
-        out["kept"].append(kept)
+        out["kept"].append(kept if with_text else None)
+        out["kept_text"].append(kept.decode("utf-8", "ignore") if with_text else None)
         out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
     return {"row": batch.column("row"), **out}
 
 
-RESULT = "n_bytes long, n_removed long, spans array<struct<start:int,end:int>>, kept binary, kept_sha256 string"
+RESULT = "n_bytes long, n_removed long, spans array<struct<start:int,end:int>>, kept binary, kept_text string, kept_sha256 string"
 
 
 def dedup_spans(docs: DataFrame, length: int = LENGTH, with_text: bool = True) -> DataFrame:
-    """All columns of `docs`, in `row`, with n_bytes, n_removed, spans (byte ranges removed), kept, kept_sha256.
+    """All columns of `docs`, in `row`, with n_bytes, n_removed, spans (byte ranges removed), kept, kept_sha256, and
+    kept_text: what is left as text, without the stumps of characters that a cut went through. `with_text=False` leaves
+    out the other columns and what is kept.
 
     Null text is empty. Null ids are one document before all others. Rows repeated whole are one document and not
     copies of each other; where rows of one id differ in text, a span found in either is cut from both. A text
@@ -401,7 +404,7 @@ def dedup_spans(docs: DataFrame, length: int = LENGTH, with_text: bool = True) -
     hit = rows.join(ids, "id", "left_semi").join(found, "id")
     clear = rows.join(ids, "id", "left_anti").withColumn("spans", F.lit(None).cast(found.schema["spans"].dataType)).withColumn("copy", F.lit(None).cast("boolean"))
     schema = f"row {rows.schema['row'].dataType.simpleString()}, {RESULT}"
-    return map_arrow(hit.unionByName(clear).drop("id"), _apply, schema, length, rows=1024)
+    return map_arrow(hit.unionByName(clear).drop("id"), _apply, schema, length, with_text, rows=1024)
 
 
 def dedup_report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
