@@ -29,7 +29,7 @@ SAMPLE_BYTES = 1 << 18
 #: Prior weights, for content when positive. Words stand for class, id and role names.
 TAGS = {
     "article": 4.0, "main": 4.0, "nav": -5.0, "header": -3.0, "footer": -5.0, "aside": -5.0, "form": -5.0, "button": -5.0, "label": -3.0, "menu": -4.0,
-    "dialog": -4.0, "fieldset": -4.0, "legend": -3.0, "head": -5.0, "p": 0.8, "h1": 0.8, "h2": 0.4, "h3": 0.2, "blockquote": 0.4, "pre": 0.4,
+    "dialog": -4.0, "fieldset": -4.0, "legend": -3.0, "head": -5.0, "p": 0.8, "h1": 2.0, "h2": 1.5, "h3": 1.2, "blockquote": 0.4, "pre": 0.4,
     "ul": -0.2, "ol": 0.0, "li": 0.0, "a": -0.4, "div": 0.0, "section": 0.2, "table": 0.0, "figure": 0.2, "figcaption": 0.2, "body": 0.0, "html": 0.0, "#root": 0.0, TEXT: 0.0, "#other": 0.0,
 }
 NAMES = {
@@ -45,7 +45,7 @@ N_WEIGHTS = len(TAGS) + len(NAMES) + len(MEASURES) + 1
 PRIOR = np.array([*TAGS.values(), *(w for w, _ in NAMES.values()), *MEASURES.values(), BIAS])
 #: Kinds of parent: page-wide wrappers, which hold both, and others. Prior counts of (parent, child) labels.
 WRAPPERS = frozenset(("#root", "html", "body"))
-PRIOR_TIES = np.array([[[60.0, 40.0], [40.0, 60.0]], [[95.0, 5.0], [15.0, 85.0]]])
+PRIOR_TIES = np.array([[[60.0, 40.0], [40.0, 60.0]], [[95.0, 5.0], [8.0, 92.0]]])
 #: Labelled nodes that count for a row of the ties, at most.
 TIE_ROWS = 200
 

@@ -24,8 +24,8 @@ from millwatch.llm.text_stats import NAMES, counts_of
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-#: Share of a group's vectors that the determinant is taken of.
-SUPPORT = 0.75
+#: Share of a group's vectors that the determinant is taken of; up to as many may be outliers.
+SUPPORT = 0.5
 STEPS = 5
 #: A group of fewer rows takes the estimate of its language, and that of the whole table if its language has too few.
 LEAST_ROWS = 60

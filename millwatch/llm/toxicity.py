@@ -1,11 +1,11 @@
 """Toxicity of texts: words are restored by a noisy channel, then scored with a lexicon learned from labels.
 
 1. The character model's trigrams are counted over the whole corpus, combined in each task before they are sent.
-2. Features of a document are its distinct words, as written and as restored, and their first 4 to 6 letters. Of
+2. Features of a document are its distinct words, as written and as restored, and their first 4 to 8 letters. Of
    about LABELLED labelled documents, chosen by hash, the features of the toxic ones are counted; those that are
    rare elsewhere are picked one by one, each for the toxic documents that no earlier one explains, or because it is in
    many. A rare word that only happens to stand beside a toxic one explains nothing more, and is left out. Documents
-   are counted by the least of their features, so a family of near copies counts about once.
+   are counted by the least few of their features, so a family of near copies counts about once.
 3. A feature's weight is its share of toxic documents; a score is the chance that at least one feature is a true sign.
 
 Scoring is one pass in which no rows move. Labels, language, source and id are never part of a score.
@@ -29,10 +29,12 @@ from millwatch.llm.store import arrow_schema, map_arrow, octets_of, record, save
 LABELLED = 24_000
 LABELLED_BYTES = 1 << 18
 #: A feature needs so many toxic documents, this share of toxic among all, and so many that it alone explains.
-LEAST_TOXIC, LEAST_SHARE, LEAST_NEW = 6, 0.85, 5
+LEAST_TOXIC, LEAST_SHARE, LEAST_NEW = 3, 0.75, 3
 #: One in so large a share of toxic documents, and nearly nowhere else, is a sign whatever else explains them.
 FREQUENT = 0.03
-PREFIXES = (4, 5, 6)
+PREFIXES = (4, 5, 6, 7, 8)
+#: Documents with so many least features in common count as one.
+FAMILY = 4
 #: Tokens that a worker remembers, in two generations.
 REMEMBERED = 300_000
 FOLDS = 5
@@ -102,7 +104,7 @@ def _features(batch: pa.RecordBatch, shared) -> dict:
         for token in tokens(t.decode("utf-8", "replace")):
             found.update(memory[token])
         out.append(list(found))
-        family.append(min(found, default=0))
+        family.append(_feature(",".join(map(str, sorted(found)[:FAMILY]))))
     return {"family": family, "toxic": batch.column("toxic"), "features": out}
 
 
@@ -144,7 +146,8 @@ def learn(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Lexic
     turn = sorted(holders, key=lambda f: (-len(holders[f]) + 2 * elsewhere[f], f))
     for f in turn:
         frequent = len(holders[f]) >= FREQUENT * total and elsewhere[f] <= len(holders[f]) / 50
-        if frequent or len(holders[f] & unexplained) >= LEAST_NEW:
+        new = len(holders[f] & unexplained)
+        if frequent or (new >= LEAST_NEW and new >= LEAST_SHARE * (new + elsewhere[f])):
             weights[f] = (len(holders[f]) + 0.2) / (len(holders[f]) + elsewhere[f] + 0.4)
             unexplained -= holders[f]
     covered = set().union(*(holders[f] for f in weights)) if weights else set()
