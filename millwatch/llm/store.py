@@ -112,6 +112,11 @@ def _rename(batch: pa.RecordBatch, uri: str) -> dict:
     return {c: batch.column(c) for c in batch.schema.names}
 
 
+def one_per_task(files: DataFrame) -> DataFrame:
+    """The rows of a manifest dealt out evenly, about one to a task: a name is short, but the file behind it is not."""
+    return files.repartition(max(1, min(files.count(), 100_000)))
+
+
 def committed(written: DataFrame, uri: str, order: list[str], pattern: str) -> DataFrame:
     """Run a writer and give its files their names, numbered in order: the saved manifest of what is in place.
 
@@ -122,4 +127,4 @@ def committed(written: DataFrame, uri: str, order: list[str], pattern: str) -> D
     manifest = saved(written, "written")
     number = F.row_number().over(Window.orderBy(*order, "temporary")) - 1
     manifest = saved(manifest.withColumn("name", F.format_string(pattern, number)), "named")
-    return saved(map_arrow(manifest, _rename, manifest.schema, uri), "manifest")
+    return saved(map_arrow(one_per_task(manifest), _rename, manifest.schema, uri), "manifest")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millwatch.llm import huffman
-from millwatch.llm.store import NO_ID, arrow_schema, committed, folder, id_key, map_arrow, octets_of, open_store, record, saved
+from millwatch.llm.store import NO_ID, arrow_schema, committed, folder, id_key, map_arrow, octets_of, one_per_task, open_store, record, saved
 
 MAGIC = b"MWTOKEN1"
 BLOCK = 1 << 16
@@ -55,28 +55,15 @@ class _Library:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split: list[list[str] | None] = []
-        missing: dict[str, None] = {}
-        for t in texts:
-            if "  " in t:
-                split.append(None)
-                continue
-            first, *rest = t.split(" ")
-            parts = [first, *[" " + r for r in rest]]
-            split.append(parts)
-            for p in set(parts):
-                if p not in self.young and p not in missing:
-                    if p in self.older:
-                        self.young[p] = self.older[p]
-                    else:
-                        missing[p] = None
-        new = list(missing)
-        found = dict(zip(new, self.whole(new), strict=True))
-        memory = {**found}
-        get = _Two(memory, self.young).__getitem__
-        rest = iter(self.whole([t for t, s in zip(texts, split, strict=True) if s is None]))
-        out = [next(rest) if s is None else b"".join(map(get, s)) for s in split]
-        self.young.update((p, x) for p, x in found.items() if len(p) <= LONGEST)
+        split = [None if "  " in t else t.split(" ") for t in texts]
+        needed = set().union(*(s[1:] for s in split if s)) - self.young.keys()
+        found = {w: x for w in needed if (x := self.older.get(w)) is not None}
+        missing = list(needed - found.keys())
+        found.update(zip(missing, self.whole([" " + w for w in missing]), strict=True))
+        get = _Two(found, self.young).__getitem__
+        heads = iter(self.whole([t if s is None else s[0] for t, s in zip(texts, split, strict=True)]))
+        out = [next(heads) if s is None else b"".join([next(heads), *map(get, s[1:])]) for s in split]
+        self.young.update((w, x) for w, x in found.items() if len(w) <= LONGEST)
         if len(self.young) >= REMEMBERED:
             self.young, self.older = {}, self.young
         return out
@@ -235,7 +222,7 @@ def _read(batch: pa.RecordBatch, uri: str) -> dict:
 
 def read_ids(manifest: DataFrame, uri: str) -> DataFrame:
     """id, start, n_tokens, ids (little-endian 32-bit) of every document in the manifest's files."""
-    files = manifest.select("name", "start").repartition("name")
+    files = one_per_task(manifest.select("name", "start"))
     return map_arrow(files, _read, "id long, start long, n_tokens long, ids binary", uri, rows=1)
 
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millwatch.llm.store import arrow_schema, committed, folder, open_store, record, saved
+from millwatch.llm.store import arrow_schema, committed, folder, one_per_task, open_store, record, saved
 
 ROLL_BYTES = 256 << 20
 #: Payloads of fewer bytes are always responses.
@@ -186,7 +186,7 @@ def _read(schema, uri, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
 
 def read_warc(manifest: DataFrame, uri: str) -> DataFrame:
     """The records of the manifest's files; `payload` is null for revisits, digest and length are the full payload's."""
-    return manifest.select("name").repartition("name").mapInArrow(partial(_read, arrow_schema(READ), uri), READ)
+    return one_per_task(manifest.select("name")).mapInArrow(partial(_read, arrow_schema(READ), uri), READ)
 
 
 def warc_report(pages: DataFrame) -> DataFrame:
