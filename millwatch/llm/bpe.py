@@ -22,7 +22,7 @@ from millwatch.llm.store import map_arrow, octets_of
 
 #: Pre-tokens, and strings between spaces, that a worker remembers the ids of (in two generations, so frequent ones
 #: stay when the older is dropped), and the longest of them. What is forgotten is encoded again.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 LONGEST = 64
 
 

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Documents of one numpy batch together hold about so many bytes; a longer text is a batch of its own.
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 #: Separators of words: space, tab, line feed, vertical tab, form feed, carriage return.
 BLANKS = bytes([0x20, *range(0x09, 0x0E)])
 _BASE = 0x9E3779B97F4A7C15 | 1

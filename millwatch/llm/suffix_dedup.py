@@ -39,7 +39,7 @@ from millwatch.llm.store import arrow_schema, id_key, map_arrow, octets_of, reco
 LENGTH = 100
 GRAM = 32
 #: A longer text is searched in pieces of so many bytes that overlap by length - 1.
-PIECE = 4 << 20
+PIECE = 1 << 20
 #: A group of more segments is sorted in parts of about this size.
 GROUP = 8_000
 #: Segments sorted together in one task; groups are not cut for it.
