@@ -102,7 +102,8 @@ def first_named(items: Column, field: str, name: Column | str) -> Column:
 
 
 def is_windowed(window: Column) -> Column:
-    return F.coalesce(window["sizeSeconds"] > 0, F.lit(False))
+    """Whether a rule is judged per window; one of type ``instant`` is not, whatever its size."""
+    return F.coalesce(window["sizeSeconds"] > 0, F.lit(False)) & F.coalesce(window["type"] != "instant", F.lit(True))
 
 
 def threshold_number(text: Column) -> Column:

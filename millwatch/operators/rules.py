@@ -7,8 +7,10 @@ runs on streams.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
@@ -19,14 +21,17 @@ from millwatch.operators.ordered import Cuts, Timeline, last_value, scan
 
 ALL_TYPES = "*"
 MAX_CUSTOM = 1_000
+AGGREGATES = {"avg": F.avg, "min": F.min, "max": F.max, "sum": F.sum, "count": F.count, "stddev": F.stddev_samp}
 
 
 def latest_rules(rules: DataFrame, order: str = "offset") -> DataFrame:
     """The last rule sent per ``rule_id``; disabled ones are left out. Null counts as enabled."""
     names = rules.columns
+    if "enabled" not in names:
+        rules = rules.withColumn("enabled", F.lit(None).cast("boolean"))
     return (
-        rules.groupBy("rule_id").agg(F.max_by(F.struct(*names), order).alias("_r"))
-        .select("_r.*").where(F.coalesce("enabled", F.lit(True)))
+        rules.groupBy("rule_id").agg(F.max_by(F.struct(*rules.columns), order).alias("_r"))
+        .select("_r.*").where(F.coalesce("enabled", F.lit(True))).select(*names)
     )
 
 
@@ -39,8 +44,66 @@ def complete(rules: DataFrame) -> DataFrame:
 
 
 def is_instant() -> Column:
-    plain = F.coalesce(F.col("window.type") == "instant", F.lit(True)) | ~scalars.is_windowed(F.col("window"))
-    return plain & (F.coalesce("durationSec", F.lit(0.0)) <= 0)
+    """Neither per window nor over time: a rule is windowed, sustained or instant, and only one of them."""
+    return ~scalars.is_windowed(F.col("window")) & (F.coalesce("durationSec", F.lit(0.0)) <= 0)
+
+
+#: What custom expressions may call; names and operators of SQL besides.
+FUNCTIONS = frozenset(
+    "abs coalesce if ifnull nvl nullif isnull isnotnull isnan greatest least round floor ceil sqrt pow power exp ln log "
+    "log10 sign mod pmod and or not in between case when then else end is like lower upper length".split())
+CONDITIONS = frozenset(("greater_than", "less_than", "between", "outside", "rate_above", "rate_below", "custom"))
+
+
+def usable(expression: str, columns: DataFrame) -> bool:
+    """Whether a custom rule's text is a condition over these columns that calls plain functions only.
+
+    It is analysed alone, so a bad one never stops the others.
+    """
+    words = re.sub(r"'[^']*'", "''", expression)
+    if ";" in words or not {w.lower() for w in re.findall(r"([A-Za-z_][\w.]*)\s*\(", words)} <= FUNCTIONS:
+        return False
+    if re.search(r"\bselect\b", words, re.I):
+        return False
+    try:
+        return columns.select(F.expr(expression).alias("c")).schema["c"].dataType.typeName() in ("boolean", "void")
+    except (AnalysisException, ParseException):
+        return False
+
+
+def rule_errors(rules: DataFrame, telemetry: DataFrame, *,
+                measurements: Sequence[str] = schemas.MEASUREMENTS) -> DataFrame:
+    """The rules with ``errors``, an array of texts that is empty for a good rule.
+
+    Checked: condition, measurement, threshold or range, the window's aggregate, and custom expressions.
+    """
+    rules = complete(rules)
+    condition, text = F.col("condition"), F.col("params")["expr"]
+    texts = rules.where(condition == "custom").select(text.alias("e")).where("e is not null").distinct()
+    empty = telemetry.sparkSession.createDataFrame([], telemetry.schema)
+    bad = [r["e"] for r in texts.collect() if not usable(r["e"], empty)]  # configuration
+    wrong = {
+        "unknown condition": ~F.coalesce(condition.isin(*CONDITIONS), F.lit(False)),
+        "unknown measurement": (condition != "custom") & ~F.coalesce(F.col("measurement").isin(*measurements), F.lit(False)),
+        "missing threshold": condition.isin("greater_than", "less_than", "rate_above", "rate_below") & F.col("threshold").isNull(),
+        "missing range": condition.isin("between", "outside") & (F.col("lo").isNull() | F.col("hi").isNull()),
+        "unknown aggregate": scalars.is_windowed(F.col("window")) & ~F.coalesce(F.col("params")["aggregate"].isin(*AGGREGATES), F.col("params")["aggregate"].isNull(), F.lit(True)),
+        "unusable expression": (condition == "custom") & (text.isNull() | (text.isin(*bad) if bad else F.lit(False))),
+    }
+    found = F.array(*[F.when(F.coalesce(w, F.lit(False)), F.lit(name)) for name, w in wrong.items()])
+    return rules.withColumn("errors", F.array_compact(found))
+
+
+def good_rules(rules: DataFrame, telemetry: DataFrame, *,
+               measurements: Sequence[str] = schemas.MEASUREMENTS) -> DataFrame:
+    return rule_errors(rules, telemetry, measurements=measurements).where(F.size("errors") == 0).drop("errors")
+
+
+def rejected_rules(rules: DataFrame, telemetry: DataFrame, *,
+                   measurements: Sequence[str] = schemas.MEASUREMENTS) -> DataFrame:
+    """Dead letters of rules: ``rule_id`` and why it is not judged."""
+    found = rule_errors(rules, telemetry, measurements=measurements).where(F.size("errors") > 0)
+    return found.select("rule_id", scalars.join_errors(F.col("errors")).alias("error_message"))
 
 
 def breach(condition: Column, value: Column, rate: Column, threshold: Column, lo: Column, hi: Column,
@@ -112,19 +175,23 @@ def evaluate(telemetry: DataFrame, rules: DataFrame, *, measurements: Sequence[s
 
     ``rules`` are current rules (``latest_rules``); those with a window or a duration are judged by
     ``windowed_rules`` and ``sustained_rules``. Rate rules use the ``<measurement>_rate`` columns
-    that ``rate_of_change`` adds, and are refused if those are missing. Custom rules are Spark SQL
-    conditions over the reading's columns.
+    that ``rate_of_change`` adds; readings without any are refused, a table with some gets the others it needs. Custom
+    rules are Spark SQL conditions over the reading's columns; unusable ones never fire (``rejected_rules``).
     """
     rules = complete(rules)
+    columns = telemetry.columns
     # A stream reads its rules again per micro-batch, so there they stay a table.
     instant, rows = rules.where(is_instant()), None
     if not telemetry.isStreaming:
         instant, rows = localize(instant)
     kinds, expressions = _kinds(instant, rows)
     rated = [m for m in measurements if f"{m}_rate" in telemetry.columns]
+    if rated and not telemetry.isStreaming and rows is not None:
+        telemetry = with_rates(telemetry, rows, measurements)
+        rated = [m for m in measurements if f"{m}_rate" in telemetry.columns]
     if not rated and kinds & {"rate_above", "rate_below"}:
         raise ValueError("rate rules need the columns of rate_of_change")
-    custom = {e: F.expr(e) for e in expressions}
+    custom = _custom(expressions, telemetry)
 
     def judged(r: Column) -> Column:
         verdict = F.when(F.lit(False), F.lit(None).cast("boolean"))
@@ -152,7 +219,7 @@ def evaluate(telemetry: DataFrame, rules: DataFrame, *, measurements: Sequence[s
     worst = F.array_min(F.transform("alerts", lambda a: F.struct(
         (-scalars.severity_rank(a["severity"])).alias("rank"), a["rule_id"].alias("rule_id"), a.alias("alert"))))
     return out.withColumns({"passed": F.size("alerts") == 0, "alert": worst["alert"]}).select(
-        *telemetry.columns, "passed", "alert", "alerts")
+        *columns, *([] if type_column in columns else [type_column]), "passed", "alert", "alerts")
 
 
 EVALUATION = ("device_id", "timestamp", *schemas.MEASUREMENTS, "status", "fault_code", "run_id",
@@ -177,26 +244,50 @@ def alerts(evaluated: DataFrame) -> DataFrame:
         .select("device_id", "_a.*")
 
 
-def _long(telemetry: DataFrame, measurements: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    return telemetry.unpivot([*keep], [*measurements], "measurement", "value")
+def _custom(expressions: Sequence[str], telemetry: DataFrame) -> dict[str, Column]:
+    empty = telemetry.sparkSession.createDataFrame([], telemetry.schema)
+    return {e: F.expr(e) for e in expressions if usable(e, empty)}
+
+
+def with_rates(telemetry: DataFrame, rows: Sequence[Row], measurements: Sequence[str] = schemas.MEASUREMENTS,
+               cuts: Cuts | None = None) -> DataFrame:
+    """Add the rate columns that the listed rules need and the readings lack, in one pass."""
+    wanted = {r["measurement"] for r in rows if r["condition"] in ("rate_above", "rate_below")}
+    missing = [m for m in measurements if m in wanted and f"{m}_rate" not in telemetry.columns]
+    return rate_of_change(telemetry, missing, cuts=cuts) if missing else telemetry
 
 
 def judge(telemetry: DataFrame, rules: DataFrame, *, measurements: Sequence[str] = schemas.MEASUREMENTS,
-          keep: Sequence[str] = ("machine_id", "machine_type", "timestamp"), small: bool = False) -> DataFrame:
-    """One row per reading and matching threshold rule with ``breached``: equi-join on measurement.
+          keep: Sequence[str] = ("machine_id", "machine_type", "timestamp"), small: bool = False,
+          cuts: Cuts | None = None) -> DataFrame:
+    """One row per reading and rule of its type with ``breached``, for every kind of condition.
 
-    ``small`` says the rules were counted already and may be broadcast.
+    Readings stay wide: they meet only the rules of their own type and those for all types, by an equi-join on the
+    type. ``small`` says the rules were counted already and may be broadcast.
     """
-    rules = complete(rules).select("rule_id", "device_type", "rule_type", "measurement", "condition",
-                                   "threshold", "lo", "hi", "severity", "durationSec", "actions",
-                                   "alertChannel")
-    long = _long(telemetry, measurements, keep)
-    scoped = F.col("device_type").isNull() | (F.col("device_type") == F.col("machine_type"))
-    none = F.lit(None)
-    side = F.broadcast(rules) if small else guarded_broadcast(rules)
-    return long.join(side, "measurement").where(scoped).withColumn(
-        "breached", breach(F.col("condition"), F.col("value"), none.cast("double"), F.col("threshold"),
-                           F.col("lo"), F.col("hi"), none.cast("boolean")))
+    full = complete(rules)
+    kinds, expressions = _kinds(full, None)
+    if kinds & {"rate_above", "rate_below"}:
+        telemetry = with_rates(telemetry, full.select("measurement", "condition").distinct().collect(), measurements, cuts)
+    rated = [m for m in measurements if f"{m}_rate" in telemetry.columns]
+    custom = _custom(expressions, telemetry)
+    side = full.select(F.coalesce("device_type", F.lit(ALL_TYPES)).alias("_type"), "rule_id", "device_type", "rule_type", "measurement",
+                       "condition", "threshold", "lo", "hi", "severity", "durationSec", "actions", "alertChannel",
+                       F.col("params")["expr"].alias("_expr"))
+    kind = F.array_compact(F.array(F.lit(ALL_TYPES), F.when(F.col("machine_type") != ALL_TYPES, F.col("machine_type"))))
+    verdicts = F.array(*[c.cast("boolean") for c in custom.values()]) if custom else F.lit(None).cast("array<boolean>")
+    wide = telemetry.withColumn("_verdicts", verdicts).withColumn("_type", F.explode(kind))
+    held = wide.join(F.broadcast(side) if small else guarded_broadcast(side), "_type")
+    own = F.when(F.lit(False), F.lit(None).cast("boolean"))
+    for i, text in enumerate(custom):
+        own = own.when(F.col("_expr") == text, F.col("_verdicts")[i])
+    name = F.col("measurement")
+    rate = _lookup(rated, name, "_rate") if rated else F.lit(None).cast("double")
+    value = _lookup(measurements, name)
+    return held.select(
+        *keep, "rule_id", "device_type", "rule_type", "measurement", "condition", "threshold", "lo", "hi", "severity",
+        "durationSec", "actions", "alertChannel", value.alias("value"),
+        breach(F.col("condition"), value, rate, F.col("threshold"), F.col("lo"), F.col("hi"), own).alias("breached"))
 
 
 def rate_of_change(df: DataFrame, columns: str | Sequence[str], *, key: str = "machine_id",
@@ -247,7 +338,7 @@ def sustained_rules(telemetry: DataFrame, rules: DataFrame, *, cuts: Cuts | None
     lasting, listed = localize(
         complete(rules).where((F.col("durationSec") > 0) & ~scalars.is_windowed(F.col("window"))))
     keep = ["machine_id", "machine_type", "timestamp", *(["seq"] if "seq" in telemetry.columns else [])]
-    rows = judge(telemetry, lasting, keep=keep, small=listed is not None)
+    rows = judge(telemetry, lasting, keep=keep, small=listed is not None, cuts=cuts)
     fired = sustained(rows, scalars.seconds_to_millis(F.col("durationSec")), cuts=cuts)
     r = F.struct("rule_id", "rule_type", "measurement", "condition", "threshold", "severity", "actions",
                  "alertChannel")
@@ -263,23 +354,26 @@ def windowed_rule(df: DataFrame, size: str, slide: str | None = None, *, aggrega
 
     The result has the window's end as ``timestamp``, so ``judge`` and ``evaluate`` read it as is.
     """
-    fn = {"avg": F.avg, "min": F.min, "max": F.max, "sum": F.sum}[aggregate]
+    fn = AGGREGATES[aggregate]
     window = F.window("event_time", size, slide) if slide else F.window("event_time", size)
     rows = df if "event_time" in df.columns else df.withColumn("event_time", F.timestamp_millis("timestamp"))
     agg = rows.groupBy("machine_id", "machine_type", window.alias("window")).agg(
-        *[fn(m).alias(m) for m in measurements])
+        *[fn(m).cast("double").alias(m) for m in measurements])
     return agg.select("machine_id", "machine_type", F.col("window.start").alias("window_start"),
                       F.unix_millis(F.col("window.end")).alias("timestamp"), *measurements)
 
 
 def windowed_rules(telemetry: DataFrame, rules: DataFrame) -> DataFrame:
-    """Alerts of the windowed rules: one aggregation per distinct window, whatever the rule count."""
+    """Alerts of the windowed rules: one aggregation per distinct window, whatever the rule count.
+
+    A rule with a duration too fires once its windows have breached for that long without a gap.
+    """
     windowed, listed = localize(complete(rules).where(scalars.is_windowed(F.col("window"))).withColumns({
         "_size": scalars.seconds_to_millis(F.col("window.sizeSeconds")),
         "_slide": F.when(F.col("window.type") == "sliding",
                          scalars.seconds_to_millis(F.col("window.slideSeconds"))),
         "_agg": F.coalesce(F.col("params")["aggregate"], F.lit("avg")),
-    }))
+    }).where(F.col("_agg").isin(*AGGREGATES)))
     # distinct windows of the rule set: configuration, bounded like custom expressions
     specs = listed if listed is not None else windowed.select("_size", "_slide", "_agg").distinct().limit(
         MAX_CUSTOM + 1).collect()
@@ -292,7 +386,10 @@ def windowed_rules(telemetry: DataFrame, rules: DataFrame) -> DataFrame:
                               & (F.col("_agg") == aggregate))
         stats = windowed_rule(telemetry, f"{size} milliseconds", f"{slide} milliseconds" if slide else None,
                               aggregate=aggregate)
-        parts.append(judge(stats, same, small=listed is not None).where("breached"))
+        judged = judge(stats, same, small=listed is not None)
+        at_once = judged.where("breached and coalesce(durationSec, 0) <= 0")
+        lasting = sustained(judged.where("durationSec > 0"), scalars.seconds_to_millis(F.col("durationSec")))
+        parts += [at_once, lasting.where("sustained").select(*at_once.columns)]
     if not parts:
         parts = [judge(telemetry, windowed).where(F.lit(False))]
     out = parts[0]

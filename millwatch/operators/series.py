@@ -72,18 +72,26 @@ def ordered_series(df: DataFrame) -> DataFrame:
 
 
 def series_wide(df: DataFrame, measurement: str, ids: Sequence[str]) -> DataFrame:
-    """One column per device. The ids come from the caller, so no pass is needed to find them."""
+    """One column per device. The ids come from the caller, so no pass is needed to find them.
+
+    Of several values at one time the last by ``seq`` counts, or the largest where there is no ``seq``.
+    """
+    pick = F.max_by(measurement, "seq") if "seq" in df.columns else F.max(measurement)
     return (
-        df.where(F.col("machine_id").isin(*ids)).groupBy(F.timestamp_millis("timestamp").alias("event_time"))
-        .pivot("machine_id", list(ids)).agg(F.first(measurement, ignorenulls=True))
+        df.where(F.col("machine_id").isin(*ids) & F.col(measurement).isNotNull()).groupBy(F.timestamp_millis("timestamp").alias("event_time"))
+        .pivot("machine_id", list(ids)).agg(pick)
     )
 
 
 def last_value(df: DataFrame, measurement: str) -> DataFrame:
-    """The latest non-null value per machine and when it was read; combined before the shuffle."""
+    """The latest non-null value per machine and when it was read; combined before the shuffle.
+
+    Of several at one time the last by ``seq`` counts, or the largest where there is no ``seq``.
+    """
+    order = F.struct("timestamp", "seq" if "seq" in df.columns else measurement)
     return (
         df.where(F.col(measurement).isNotNull()).groupBy("machine_id")
-        .agg(F.max_by(measurement, "timestamp").alias(measurement), F.max("timestamp").alias("timestamp"))
+        .agg(F.max_by(measurement, order).alias(measurement), F.max("timestamp").alias("timestamp"))
     )
 
 

@@ -32,11 +32,12 @@ def local_session(cores: int | str = "*", app: str = "millwatch", **conf: str) -
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder under the cluster's shared ``spark.checkpoint.dir``.
 
-    Only a local session may run without that setting; it then gets a temporary folder.
+    Only a session within one process may run without that setting; it then gets a temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="millwatch-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

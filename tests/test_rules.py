@@ -113,3 +113,84 @@ def test_one_shuffle_for_rates_context_and_rules(spark):
     plan = e._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(machine_id") == 1
     assert plan.count("Exchange hashpartitioning(device_id") == 1
+
+
+def _readings(spark, values, kind="pump"):
+    rows = [("m", kind, t * 1000, float(v), float(v)) for t, v in values]
+    df = spark.createDataFrame(rows, "machine_id string, machine_type string, timestamp long, gas_temperature double, gas_pressure double")
+    for m in ("humidity", "spin_rate", "torque"):
+        df = df.withColumn(m, F.lit(None).cast("double"))
+    return df
+
+
+def _rules(spark, *rows):
+    schema = ("rule_id string, measurement string, condition string, threshold double, lo double, hi double, severity string, "
+              "durationSec double, window struct<type:string,sizeSeconds:double,slideSeconds:double>, params map<string,string>")
+    base = dict.fromkeys(("rule_id", "measurement", "condition", "threshold", "lo", "hi", "severity", "durationSec", "window", "params"))
+    return spark.createDataFrame([tuple({**base, **r}.values()) for r in rows], schema)
+
+
+def _fired(df):
+    return sorted((r["rule_id"], r["alert_time"] // 1000) for r in df.collect())
+
+
+def test_rate_and_custom_conditions_last(spark):
+    readings = _readings(spark, [(0, 0), (1, 5), (2, 10), (3, 15), (4, 15)])
+    rows = _rules(spark,
+                  {"rule_id": "rate", "measurement": "gas_pressure", "condition": "rate_above", "threshold": 2.0, "durationSec": 2.0},
+                  {"rule_id": "own", "measurement": "gas_temperature", "condition": "custom", "durationSec": 2.0, "params": {"expr": "gas_temperature + gas_pressure >= 20"}})
+    assert _fired(rules.sustained_rules(readings, rows)) == [("own", 4), ("rate", 3)]
+
+
+def test_instant_type_with_a_size_fires_once_per_reading(spark):
+    readings = _readings(spark, [(0, 5), (1, 5)])
+    rows = _rules(spark, {"rule_id": "r", "measurement": "gas_pressure", "condition": "greater_than", "threshold": 1.0, "window": ("instant", 60.0, None)})
+    assert rules.alerts(rules.evaluate(readings, rows)).count() == 2
+    assert rules.windowed_rules(readings, rows).count() == 0
+
+
+def test_windows_that_must_last(spark):
+    readings = _readings(spark, [(t, 9 if t < 45 else 0) for t in range(0, 60, 5)])
+    w = ("tumbling", 10.0, None)
+    rows = _rules(spark, {"rule_id": "r", "measurement": "gas_pressure", "condition": "greater_than", "threshold": 8.0, "window": w, "durationSec": 20.0})
+    assert _fired(rules.windowed_rules(readings, rows)) == [("r", 30), ("r", 40)]
+
+
+def test_window_aggregates_and_rates_over_windows(spark):
+    readings = _readings(spark, [(0, 1), (5, 3), (10, 50), (15, 50)])
+    w = ("tumbling", 10.0, None)
+    rows = _rules(spark, *[
+        {"rule_id": a, "measurement": "gas_pressure", "condition": "greater_than", "threshold": x, "window": w, "params": {"aggregate": a}}
+        for a, x in (("avg", 40.0), ("min", 40.0), ("max", 2.0), ("sum", 3.0), ("count", 1.0), ("stddev", 1.0), ("median", 0.0))],
+        {"rule_id": "rate", "measurement": "gas_pressure", "condition": "rate_above", "threshold": 4.0, "window": w})
+    assert _fired(rules.windowed_rules(readings, rows)) == [
+        ("avg", 20), ("count", 10), ("count", 20), ("max", 10), ("max", 20), ("min", 20), ("rate", 20), ("stddev", 10), ("sum", 10), ("sum", 20)]
+
+
+def test_bad_rules_are_rejected_and_the_others_fire(spark):
+    readings = _readings(spark, [(0, 5)])
+    rows = _rules(spark,
+                  {"rule_id": "good", "measurement": "gas_pressure", "condition": "greater_than", "threshold": 1.0},
+                  {"rule_id": "expr", "measurement": "gas_pressure", "condition": "custom", "params": {"expr": "gas_pressure > 1 and abs(gas_temperature) < 9"}},
+                  {"rule_id": "cond", "measurement": "gas_pressure", "condition": "over", "threshold": 1.0},
+                  {"rule_id": "name", "measurement": "nosuch", "condition": "greater_than", "threshold": 1.0},
+                  {"rule_id": "none", "measurement": "gas_pressure", "condition": "less_than"},
+                  {"rule_id": "range", "measurement": "gas_pressure", "condition": "between", "lo": 1.0},
+                  {"rule_id": "column", "measurement": "gas_pressure", "condition": "custom", "params": {"expr": "nosuch > 1"}},
+                  {"rule_id": "call", "measurement": "gas_pressure", "condition": "custom", "params": {"expr": "reflect('java.lang.System', 'nanoTime') is not null"}},
+                  {"rule_id": "agg", "measurement": "gas_pressure", "condition": "greater_than", "threshold": 0.0, "window": ("tumbling", 10.0, None), "params": {"aggregate": "median"}})
+    assert {r["rule_id"] for r in rules.alerts(rules.evaluate(readings, rows)).collect()} == {"good", "expr"}
+    assert {r["rule_id"] for r in rules.rejected_rules(rows, readings).collect()} == {"cond", "name", "none", "range", "column", "call", "agg"}
+    assert {r["rule_id"] for r in rules.good_rules(rows, readings).collect()} == {"good", "expr"}
+
+
+def test_latest_rules_without_enabled(spark):
+    rows = spark.createDataFrame([("a", 1), ("a", 2)], "rule_id string, offset long")
+    assert [tuple(r) for r in rules.latest_rules(rows).collect()] == [("a", 2)]
+
+
+def test_rates_that_rules_need_are_added(spark):
+    t = rules.rate_of_change(_readings(spark, [(0, 0), (1, 5)]), "gas_temperature")
+    rows = _rules(spark, {"rule_id": "r", "measurement": "gas_pressure", "condition": "rate_above", "threshold": 2.0})
+    out = rules.evaluate(t, rows)
+    assert "gas_pressure_rate" not in out.columns and rules.alerts(out).count() == 1
