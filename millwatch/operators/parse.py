@@ -13,6 +13,8 @@ from millwatch.functions import scalars
 from millwatch.functions.frames import once
 
 _CORRUPT = "_corrupt_record"
+#: A machine's clock may run ahead of a message's arrival by this much.
+AHEAD_MS = 3_600_000
 _RECORD = ("original_input", "topic", "partition", "offset", "arrival_time")
 _ERROR = ("error_type", "error_message")
 
@@ -97,6 +99,20 @@ def classify_errors(parsed: DataFrame, required: Sequence[str], numeric: Sequenc
     })
 
 
+def check_clock(parsed: DataFrame, ahead_ms: int = AHEAD_MS) -> DataFrame:
+    """Tag rows whose ``timestamp`` is over ``ahead_ms`` after their arrival (now, where no arrival is known). (s)
+
+    Such a time is a wrong clock. In a stream it would carry the watermark away from all other machines, so
+    these rows become dead letters and never reach it.
+    """
+    arrival = F.unix_millis(F.coalesce("arrival_time", F.current_timestamp()))
+    wrong = F.col("error_type").isNull() & (F.col("timestamp") > arrival + ahead_ms)
+    return parsed.withColumns({
+        "error_type": F.when(wrong, schemas.CLOCK_ERROR).otherwise(F.col("error_type")),
+        "error_message": F.when(wrong, "Time is ahead of arrival").otherwise(F.col("error_message")),
+    })
+
+
 def good(df: DataFrame, *, keep_record: bool = False) -> DataFrame:
     """Rows without an error. The record's own columns go too, unless kept."""
     rows = df.where(F.col("error_type").isNull()).drop(*_ERROR)
@@ -105,21 +121,30 @@ def good(df: DataFrame, *, keep_record: bool = False) -> DataFrame:
 
 def dead_letters(df: DataFrame, source: str = "telemetry-parser",
                  now: Column | int | None = None) -> DataFrame:
-    """Rows with an error, as dead-letter messages. ``stack_trace`` is null: no exception is thrown."""
+    """Rows with an error, as dead-letter messages. ``stack_trace`` is null: no exception is thrown.
+
+    Rows that have a ``source`` column name their source themselves.
+    """
     text = F.col("original_input")
+    origin = F.col("source") if "source" in df.columns else F.lit(source)
     return df.where(F.col("error_type").isNotNull()).select(
         scalars.iso_instant(scalars.now_ms(now)).alias("timestamp"),
-        F.lit(source).alias("source"),
+        origin.alias("source"),
         "error_type",
         "error_message",
         F.lit(None).cast("string").alias("stack_trace"),
         scalars.truncate(text).alias("original_input"),
         scalars.device_id_of(text).alias("device_id"),
-        scalars.stable_id(F.lit(source), F.col("topic"), F.col("partition"), F.col("offset"), text)
+        scalars.stable_id(origin, F.col("topic"), F.col("partition"), F.col("offset"), text)
         .alias("request_id"),
     )
 
 
+def failures(parsed: DataFrame, source: str) -> DataFrame:
+    """Rows with an error, with their source and without the columns of their topic, so topics can be put together. (s)"""
+    return parsed.where(F.col("error_type").isNotNull()).select(F.lit(source).alias("source"), *_RECORD, *_ERROR)
+
+
 def log_lines(letters: DataFrame) -> DataFrame:
     """Dead letters as short log lines."""
     return letters.select("request_id", F.concat_ws(

@@ -48,6 +48,10 @@ def is_instant() -> Column:
     return ~scalars.is_windowed(F.col("window")) & (F.coalesce("durationSec", F.lit(0.0)) <= 0)
 
 
+def is_rate() -> Column:
+    return F.col("condition").isin("rate_above", "rate_below")
+
+
 #: What custom expressions may call; names and operators of SQL besides.
 FUNCTIONS = frozenset(
     "abs coalesce if ifnull nvl nullif isnull isnotnull isnan greatest least round floor ceil sqrt pow power exp ln log "

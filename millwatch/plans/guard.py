@@ -39,21 +39,28 @@ def breaches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def start_guard(telemetry_raw: DataFrame, context_raw: DataFrame, read_rules: Callable[[], DataFrame],
                 targets: sinks.Targets, checkpoint: str, *, once: bool = False,
                 interval: str = sinks.FLUSH_INTERVAL, salts: int = 4, lateness: str = LATENESS,
-                partitions: int | None = None) -> list[StreamingQuery]:
+                partitions: int | None = None, ticks: DataFrame | None = None) -> list[StreamingQuery]:
     """The running job, as three queries with their own checkpoints.
 
     One evaluates readings in their run and writes bronze, evaluation and alerts; ``read_rules``
     is called for every micro-batch, so new rules count from the next one on. One watches the
     order of context events and writes implicit closes to the dead-letter topic. One writes
-    messages that do not parse to the error topic.
+    readings and context events that do not parse, or have a clock ahead of time, to the error topic.
+
+    Late readings are written like all others. Rules over several readings (rates, durations, windows) are
+    judged by the table operators over bronze, not here. ``ticks`` moves the watermark of a silent plant.
     """
-    parsed = parse.parse_telemetry(telemetry_raw)
-    events = parse.good(parse.parse_context(context_raw))
-    placed = stateful.attach_context_stream(parse.good(parsed), events, salts=salts, lateness=lateness)
-    closes = stateful.implicit_closes_stream(events, lateness=lateness)
+    parsed = parse.check_clock(parse.parse_telemetry(telemetry_raw))
+    parsed_context = parse.check_clock(parse.parse_context(context_raw))
+    failed = parse.failures(parsed, "telemetry-parser").unionByName(
+        parse.failures(parsed_context, "context-parser"))
+    events = parse.good(parsed_context)
+    placed = stateful.attach_context_stream(parse.good(parsed), events, salts=salts, lateness=lateness, ticks=ticks)
+    closes = stateful.implicit_closes_stream(events, lateness=lateness, ticks=ticks)
 
     def write_evaluated(batch: DataFrame, batch_id: int) -> None:
-        sinks.write_batch(rules.evaluate(batch, rules.latest_rules(read_rules())), batch_id, targets)
+        current = rules.latest_rules(rules.complete(read_rules())).where(rules.is_instant() & ~rules.is_rate())
+        sinks.write_batch(rules.evaluate(batch, current), batch_id, targets)
 
     def write_closes(batch: DataFrame, batch_id: int) -> None:
         sinks.write_dlq(batch, batch_id, targets)
@@ -65,7 +72,7 @@ def start_guard(telemetry_raw: DataFrame, context_raw: DataFrame, read_rules: Ca
     if targets.dlq:
         jobs["closes"] = (closes, write_closes)
     if targets.errors:
-        jobs["errors"] = (parsed, write_errors)
+        jobs["errors"] = (failed, write_errors)
     return [sinks.start(df, write, f"{checkpoint}/{name}", once=once, interval=interval, name=name,
                         partitions=partitions)
             for name, (df, write) in jobs.items()]

@@ -409,26 +409,26 @@ SQL: dict[str, str] = {
     "manifest_counters": """SELECT count(*) AS total, count(*) FILTER (event = 'LOAD') AS loaded,
         count(*) FILTER (event = 'UPDATE') AS updated, count(*) FILTER (event = 'REJECT') AS rejected,
         count(*) FILTER (event = 'REJECT' AND valid) AS downgrades FROM history""",
-    # What a stream has settled: up to the last event less the allowed lateness of a minute.
     "stream_parse": f"""SELECT seq AS "offset", CASE WHEN seq % 50 NOT IN (0, 1, 3) THEN machine_id END AS machine_id,
         CASE WHEN seq % 50 NOT IN (0, 2, 3) THEN "timestamp" END AS "timestamp",
         CASE WHEN seq % 50 NOT IN (0, 3) THEN gas_temperature END AS gas_temperature, {_TYPE} AS error_type FROM tel""",
-    "stream_context": """SELECT machine_id, "timestamp", seq, gas_temperature, event_type, context_ts FROM placed
-        WHERE "timestamp" <= (SELECT max(ms) FROM ev) - 60000""",
-    "stream_trim": f"""SELECT machine_id, "timestamp", seq, run_id, start_ts, {_TRIM} AS disposition FROM inside
-        WHERE "timestamp" <= (SELECT max(ms) FROM ev) - 60000 - {HOUR}""",
-    "stream_guard": """SELECT device_id, previous_run_id, current_run_id, ts AS implicit_transition_ts FROM closes
-        WHERE ts <= (SELECT max("timestamp") FROM ctx) - 60000""",
+    "stream_context": """SELECT machine_id, "timestamp", seq, gas_temperature, event_type, context_ts FROM placed""",
+    "stream_late": """SELECT machine_id, "timestamp", seq, event_type, context_ts,
+        seq % 10 = 0 AND "timestamp" <= (SELECT max(ms) FROM ev WHERE event_type IN ('signup', 'purchase') OR
+          event_type IN ('view', 'click', 'error') AND event_id % 10 <> 0) - 60000 AS late FROM placed""",
+    "stream_clock": f"""SELECT seq AS "offset",
+        coalesce({_TYPE}, CASE WHEN seq % 97 = 0 THEN 'CLOCK_ERROR' ELSE 'placed' END) AS outcome FROM tel""",
+    "stream_trim": f"""SELECT machine_id, "timestamp", seq, run_id, start_ts, {_TRIM} AS disposition FROM inside""",
+    "stream_guard": """SELECT device_id, previous_run_id, current_run_id, ts AS implicit_transition_ts FROM closes""",
     "stream_stats": f"""SELECT machine_id, "timestamp" // {HOUR} * {HOUR} AS window_start, count(*) AS n,
         min(gas_temperature) AS gas_temperature_min, max(gas_temperature) AS gas_temperature_max FROM tel
-        GROUP BY 1, 2 HAVING "timestamp" // {HOUR} * {HOUR} + {HOUR} <= (SELECT max("timestamp") FROM tel) - 60000""",
+        GROUP BY 1, 2""",
     "stream_sessions": f""", gaps AS (
           SELECT *, CASE WHEN "timestamp" - lag("timestamp") OVER w < {12 * HOUR} THEN 0 ELSE 1 END AS g FROM tel
           WINDOW w AS (PARTITION BY machine_id ORDER BY "timestamp", seq)),
         numbered AS (SELECT *, sum(g) OVER (PARTITION BY machine_id ORDER BY "timestamp", seq) AS s FROM gaps)
         SELECT machine_id, min("timestamp") AS session_start, max("timestamp") AS last_seen, count(*) AS n
-        FROM numbered GROUP BY machine_id, s
-        HAVING max("timestamp") + {12 * HOUR} <= (SELECT max("timestamp") FROM tel) - 60000""",
+        FROM numbered GROUP BY machine_id, s""",
     "stream_dedupe": 'SELECT machine_id, "timestamp", seq FROM tel',
     "stream_rules": f"""SELECT device_id, alert_time, rule_id, device_id AS key FROM alerts
         WHERE alert_type NOT IN ('rate_above', 'rate_below') AND NOT {_BAD}""",
@@ -443,7 +443,7 @@ SQL: dict[str, str] = {
 }
 
 
-SQL["stream_ewma"] = SQL["ewma"] + """ WHERE "timestamp" <= (SELECT max("timestamp") FROM tel) - 60000"""
+SQL["stream_ewma"] = SQL["ewma"]
 
 
 def oracle_sql() -> dict[str, str]:

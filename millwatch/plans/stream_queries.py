@@ -1,7 +1,7 @@
 """The stream operators run over the whole events table as a stream of files, read back as tables.
 
-A stream can only settle what its watermark has passed, so these answers stop at the last event
-less the allowed lateness.
+A stream can only settle what its watermark has passed. The input here is finite, so a tick at its end
+moves the watermark past all of it, and the answers are for every row.
 """
 
 from __future__ import annotations
@@ -28,14 +28,34 @@ def _cores(spark: SparkSession) -> int:
     return spark.sparkContext.defaultParallelism
 
 
-def settle(spark: SparkSession, df: DataFrame, name: str, **options) -> DataFrame:
+def settle(spark: SparkSession, df: DataFrame, name: str, *, base: str | None = None, **options) -> DataFrame:
     """Run a stream until it has read everything, and read its output."""
-    base = shared_folder(spark, name)
+    base = base or shared_folder(spark, name)
     sinks.start_files(df, f"{base}/out", f"{base}/checkpoint", once=True, partitions=_cores(spark),
                       **options).awaitTermination()
     return spark.read.schema(df.schema).parquet(f"{base}/out")
 
 
+#: A time after all input, in epoch ms.
+END = 4_102_444_800_000
+
+
+def tick(spark: SparkSession, path: str, at: int) -> DataFrame:
+    """Add a tick to a folder of ticks, and give the folder as a stream."""
+    spark.range(1).select(F.lit(at).cast("bigint").alias("timestamp")).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema("timestamp bigint").parquet(path)
+
+
+def end(spark: SparkSession) -> DataFrame:
+    """The tick that closes an input read in one micro-batch."""
+    return tick(spark, f"{shared_folder(spark, 'ticks')}", END)
+
+
+def closed(spark: SparkSession, readings: DataFrame) -> DataFrame:
+    """Readings behind a watermark that an end tick moves. The tick's own row has no machine; leave it out when reading."""
+    return windows.with_event_time(readings.unionByName(end(spark), allowMissingColumns=True), windows.LATENESS)
+
+
 @query
 def stream_parse(spark, sf):
     rows = parse.parse_telemetry(views.raw_telemetry_of(views.event_stream(spark, sf)))
@@ -45,7 +65,7 @@ def stream_parse(spark, sf):
 @query
 def stream_context(spark, sf):
     ev = views.event_stream(spark, sf)
-    rows = stateful.attach_context_stream(views.telemetry_of(ev), views.context_of(ev), salts=2)
+    rows = stateful.attach_context_stream(views.telemetry_of(ev), views.context_of(ev), salts=2, ticks=end(spark))
     return settle(spark, rows.select("machine_id", "timestamp", "seq", "gas_temperature", "event_type", "context_ts"),
                   "context")
 
@@ -53,37 +73,71 @@ def stream_context(spark, sf):
 @query
 def stream_trim(spark, sf):
     ev = views.event_stream(spark, sf)
-    rows = stateful.edge_trim_stream(views.telemetry_of(ev), views.context_of(ev), HOUR, HOUR, "tag", salts=2)
+    rows = stateful.edge_trim_stream(views.telemetry_of(ev), views.context_of(ev), HOUR, HOUR, "tag", salts=2,
+                                     ticks=end(spark))
     return settle(spark, rows.select("machine_id", "timestamp", "seq", "run_id", "start_ts", "disposition"), "trim")
 
 
 @query
 def stream_ewma(spark, sf):
-    rows = stateful.ewma_stream(views.telemetry_of(views.event_stream(spark, sf)), "gas_temperature", 0.3)
+    rows = stateful.ewma_stream(views.telemetry_of(views.event_stream(spark, sf)), "gas_temperature", 0.3,
+                                ticks=end(spark))
     return settle(spark, rows.select("machine_id", "timestamp", "seq", off_ties("gas_temperature_ewma")), "ewma")
 
 
 @query
 def stream_guard(spark, sf):
-    rows = stateful.implicit_closes_stream(views.context_of(views.event_stream(spark, sf)))
+    rows = stateful.implicit_closes_stream(views.context_of(views.event_stream(spark, sf)), ticks=end(spark))
     return settle(spark, rows.select("device_id", "context_anomaly.previous_run_id", "context_anomaly.current_run_id",
                                      "context_anomaly.implicit_transition_ts"), "guard")
 
 
 @query
 def stream_stats(spark, sf):
-    rows = windows.with_event_time(views.telemetry_of(views.event_stream(spark, sf)), windows.LATENESS)
+    rows = closed(spark, views.telemetry_of(views.event_stream(spark, sf)))
     stats = windows.window_stats(rows, "1 hour")
     return settle(spark, stats.select("machine_id", F.unix_millis("window_start").alias("window_start"), "n",
-                                      "gas_temperature_min", "gas_temperature_max"), "stats")
+                                      "gas_temperature_min", "gas_temperature_max"), "stats").where("machine_id is not null")
 
 
 @query
 def stream_sessions(spark, sf):
-    rows = windows.with_event_time(views.telemetry_of(views.event_stream(spark, sf)), windows.LATENESS)
+    rows = closed(spark, views.telemetry_of(views.event_stream(spark, sf)))
     found = windows.session_stream(rows, "12 hours")
     return settle(spark, found.select("machine_id", F.unix_millis("session_start").alias("session_start"),
-                                      F.unix_millis("last_seen").alias("last_seen"), "n"), "sessions")
+                                      F.unix_millis("last_seen").alias("last_seen"), "n"), "sessions").where("machine_id is not null")
+
+
+@query
+def stream_late(spark, sf):
+    """Every tenth reading arrives when the watermark has passed all others. None is lost, and each finds its context."""
+    base, readings, delayed = shared_folder(spark, "late"), views.telemetry(spark, sf), F.col("seq") % 10 == 0
+    ticks = tick(spark, f"{base}/ticks", 0)
+    readings.where(~delayed).write.parquet(f"{base}/in")
+    rows = stateful.attach_context_stream(
+        spark.readStream.schema(readings.schema).parquet(f"{base}/in"), views.context_of(views.event_stream(spark, sf)),
+        salts=2, ticks=ticks, keep_ms=END)
+    rows = rows.select("machine_id", "timestamp", "seq", "event_type", "context_ts", "late")
+    settle(spark, rows, "late", base=base)
+    readings.where(delayed).write.mode("append").parquet(f"{base}/in")
+    tick(spark, f"{base}/ticks", END)
+    return settle(spark, rows, "late", base=base)
+
+
+@query
+def stream_clock(spark, sf):
+    """Where each message ends: placed in its run, or a dead letter. One in 97 has a clock 50 years ahead."""
+    ahead, wrong = 50 * 365 * 24 * HOUR, F.col("event_id") % 97 == 0
+    ev = views.event_stream(spark, sf)
+    bad = ev.withColumn("ms", F.when(wrong, F.col("ms") + ahead).otherwise(F.col("ms")))
+    arrival = F.when(F.col("offset") % 97 == 0, F.timestamp_millis(F.unix_millis("timestamp") - ahead))
+    raw = views.raw_telemetry_of(bad).withColumn("timestamp", F.coalesce(arrival, "timestamp"))
+    parsed = parse.check_clock(parse.parse_telemetry(raw))
+    rows = stateful.attach_context_stream(parse.good(parsed, keep_record=True), views.context_of(ev), salts=2,
+                                          ticks=end(spark))
+    placed = settle(spark, rows.select("offset", F.lit("placed").alias("outcome")), "clock")
+    failed = settle(spark, parse.failures(parsed, "telemetry-parser").select("offset", "error_type"), "clock")
+    return placed.unionByName(failed.withColumnRenamed("error_type", "outcome"))
 
 
 @query

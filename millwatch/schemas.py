@@ -33,6 +33,8 @@ REQUEST_KINDS = ("CREATE_STORAGE_GROUP", "CREATE_TEMPLATE", "CREATE_TIMESERIES",
 JSON_PARSE_ERROR = "JSON_PARSE_ERROR"
 SCHEMA_VALIDATION_ERROR = "SCHEMA_VALIDATION_ERROR"
 TYPE_CONVERSION_ERROR = "TYPE_CONVERSION_ERROR"
+#: Ours: a time ahead of the message's own arrival.
+CLOCK_ERROR = "CLOCK_ERROR"
 SEQUENCE_ANOMALY = "SEQUENCE_ANOMALY"
 UNRESOLVED, RESOLVED = "UNRESOLVED", "RESOLVED"
 MATCH_WITH_DELAYED_TRACKOUT = "MATCH_WITH_DELAYED_TRACKOUT"

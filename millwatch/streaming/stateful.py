@@ -1,8 +1,14 @@
 """Stream operators that need to remember rows.
 
 All of them hold rows back until the watermark has passed and then work in event-time order, so
-late and out-of-order arrival within the watermark's delay gives what the table operators give.
-Rows later than that are dropped by the watermark before they get here.
+out-of-order arrival within the watermark's delay gives what the table operators give. Rows later than
+that are not lost: the watermark's own column ends before the state, so Spark drops nothing. They are
+settled at the next step of the watermark; readings are marked ``late`` and get the context that is
+still held (``keep_ms`` back), EWMA and the sequence guard take late rows in as they arrive.
+
+The last rows wait for the watermark to pass them. ``ticks`` (a stream of ``timestamp``) moves it on when
+nothing else does: a tick by the clock in a silent plant, or one at the end of a finite input. Ticks are
+not rows and give no output.
 
 Machines are hashed into ``buckets``; a bucket's rows are handled together as one pandas table, so
 the cost per micro-batch goes with its rows and not with the number of machines. A reading needs
@@ -29,6 +35,10 @@ from millwatch.operators.windows import LATENESS, with_event_time
 from millwatch.session import use_rocksdb_state
 
 BUCKETS = 64
+#: Context this far behind the watermark is kept for late readings.
+KEEP_MS = 3_600_000
+#: A reading in state keeps the microseconds of its time stamps.
+_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 _ORDER = ["timestamp", "seq"]
 
 
@@ -42,7 +52,7 @@ def _arrow(df: pd.DataFrame, schema: pa.Schema) -> pa.Table:
 
 
 def _together(schema: pa.Schema, *parts: pd.DataFrame) -> pd.DataFrame:
-    return pa.concat_tables([_arrow(p, schema) for p in parts]).to_pandas()
+    return pa.concat_tables([schema.empty_table(), *[_arrow(p, schema) for p in parts]]).to_pandas()
 
 
 def _pack(df: pd.DataFrame, schema: pa.Schema) -> tuple[bytes]:
@@ -76,10 +86,13 @@ class Held(StatefulProcessor):
         self.memory = handle.getListState("memory", "blob binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = _together(self.columns, *[r.assign(seq=r["seq"].fillna(0)) for r in rows])
+        passed = timerValues.getCurrentWatermarkInMs()
+        own = [r[~r["tick"]] for r in rows]
+        batch = _together(self.columns, *[r.assign(seq=r["seq"].fillna(0), late=r["timestamp"] <= passed)
+                                          for r in own if len(r)])
         if len(batch):
             self.rows.appendList([_pack(batch, self.columns)])
-            self._wake(int(batch["timestamp"].min()), timerValues.getCurrentWatermarkInMs())
+            self._wake(int(batch["timestamp"].min()), passed)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -109,20 +122,24 @@ class RunContext(Held):
     """Gives each reading the latest context event and the run it lies in."""
 
     columns = _schema(machine_id="text", is_context="flag", timestamp="long", seq="long", body="text", run_id="text",
-                      event_type="text", start_ts="long", end_ts="long")
+                      event_type="text", start_ts="long", end_ts="long", late="flag")
     context = _schema(machine_id="text", timestamp="long", seq="long", run_id="text", event_type="text",
                       start_ts="long", end_ts="long")
     out = ("machine_id string, body string, run_id string, event_type string, start_ts bigint, end_ts bigint, "
-           "context_ts bigint, run_start bigint, run_end bigint, run_name string")
+           "context_ts bigint, run_start bigint, run_end bigint, run_name string, late boolean")
+
+    def __init__(self, wait_ms: int = 0, keep_ms: int = KEEP_MS):
+        super().__init__(wait_ms)
+        self.keep_ms = keep_ms
 
     def settle(self, held: pd.DataFrame, passed: int) -> tuple[pd.DataFrame, pd.DataFrame]:
         events = _together(self.context, _unpack(self.memory, self.context), held[held["is_context"]])
         events = events.sort_values(_ORDER, kind="stable", ignore_index=True)
         readings = held[~held["is_context"]]
         ready = readings["timestamp"] + self.wait_ms <= passed
-        due, waiting = readings.loc[ready, ["machine_id", "timestamp", "body"]], readings[~ready]
+        due, waiting = readings.loc[ready, ["machine_id", "timestamp", "body", "late"]], readings[~ready]
         oldest = int(waiting["timestamp"].min()) if len(waiting) else passed - self.wait_ms
-        _store(self.memory, self._needed(events, oldest), self.context)
+        _store(self.memory, self._needed(events, oldest - self.keep_ms), self.context)
         return self._place(due, events), waiting
 
     @staticmethod
@@ -197,41 +214,54 @@ def _seq(df: DataFrame) -> Column:
     return (F.col("seq") if "seq" in df.columns else F.lit(None).cast("bigint")).alias("seq")
 
 
+def _watched(rows: DataFrame, ticks: DataFrame | None, lateness: str) -> DataFrame:
+    """Rows and ticks behind one watermark, whose column goes no further, so no row is dropped for being late."""
+    rows = rows.withColumn("tick", F.lit(False))
+    if ticks is not None:
+        rows = rows.unionByName(ticks.select("timestamp", F.lit(True).alias("tick")), allowMissingColumns=True)
+    return with_event_time(rows.drop("event_time"), lateness).drop("event_time")
+
+
 def _placed(telemetry: DataFrame, context: DataFrame, wait_ms: int, salts: int, buckets: int,
-            lateness: str) -> DataFrame:
+            lateness: str, ticks: DataFrame | None, keep_ms: int) -> DataFrame:
     use_rocksdb_state(telemetry.sparkSession)
     spread = F.pmod(F.xxhash64("timestamp"), F.lit(salts)).cast("int")
     absent = {"run_id": "string", "event_type": "string", "start_ts": "bigint", "end_ts": "bigint"}
     readings = telemetry.select(
         "machine_id", _bucket(F.col("machine_id"), buckets), spread.alias("salt"), F.lit(False).alias("is_context"),
-        "timestamp", _seq(telemetry), F.to_json(F.struct(*telemetry.columns)).alias("body"),
+        "timestamp", _seq(telemetry), F.to_json(F.struct(*telemetry.columns), _JSON).alias("body"),
         *[F.lit(None).cast(t).alias(n) for n, t in absent.items()])
     events = context.select(
         F.col("device_id").alias("machine_id"), _bucket(F.col("device_id"), buckets),
         F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), F.lit(True).alias("is_context"),
         "timestamp", _seq(context), F.lit(None).cast("string").alias("body"), *absent)
-    both = with_event_time(readings.unionByName(events), lateness)
+    both = _watched(readings.unionByName(events), ticks, lateness)
     out = both.groupBy("bucket", "salt").transformWithStateInPandas(
-        RunContext(wait_ms), RunContext.out, "append", "eventTime")
-    return out.withColumn("_r", F.from_json("body", telemetry.schema))
+        RunContext(wait_ms, keep_ms), RunContext.out, "append", "eventTime")
+    return out.withColumn("_r", F.from_json("body", telemetry.schema, _JSON))
 
 
 def attach_context_stream(telemetry: DataFrame, context: DataFrame, *, salts: int = 4, buckets: int = BUCKETS,
-                          lateness: str = LATENESS) -> DataFrame:
-    """``attach_context`` for streams."""
-    placed = _placed(telemetry, context, 0, salts, buckets, lateness)
-    return placed.select("_r.*", "run_id", "event_type", "start_ts", "end_ts", "context_ts")
+                          lateness: str = LATENESS, ticks: DataFrame | None = None,
+                          keep_ms: int = KEEP_MS) -> DataFrame:
+    """``attach_context`` for streams, with ``late``: the reading came after the watermark had passed it.
+
+    A late reading more than ``keep_ms`` behind may find its context gone; the table operator over bronze has it.
+    """
+    placed = _placed(telemetry, context, 0, salts, buckets, lateness, ticks, keep_ms)
+    return placed.select("_r.*", "run_id", "event_type", "start_ts", "end_ts", "context_ts", "late")
 
 
 def edge_trim_stream(telemetry: DataFrame, context: DataFrame, lead_ms: int = 5000, trail_ms: int = 5000,
                      action: str = "drop", *, salts: int = 4, buckets: int = BUCKETS,
-                     lateness: str = LATENESS) -> DataFrame:
+                     lateness: str = LATENESS, ticks: DataFrame | None = None,
+                     keep_ms: int = KEEP_MS) -> DataFrame:
     """``edge_trim`` for streams, from the context events themselves.
 
     A reading is decided once ``trail_ms`` after it has passed: a trackout within its trail has
     then arrived. The watermark's delay is the grace for a late trackin or trackout.
     """
-    placed = _placed(telemetry, context, trail_ms, salts, buckets, lateness)
+    placed = _placed(telemetry, context, trail_ms, salts, buckets, lateness, ticks, keep_ms)
     rows = placed.select("_r.*", F.col("run_name").alias("run_id"), F.col("run_start").alias("start_ts"),
                          F.col("run_end").alias("end_ts"))
     # An end later than the trail may be known or not when a reading is decided; it changes nothing.
@@ -241,26 +271,27 @@ def edge_trim_stream(telemetry: DataFrame, context: DataFrame, lead_ms: int = 50
     return rows if action == "tag" else rows.where(~F.col("disposition").startswith("TRIMMED"))
 
 
-def _in_order(rows: DataFrame, processor: Held, buckets: int, lateness: str) -> DataFrame:
+def _in_order(rows: DataFrame, processor: Held, buckets: int, lateness: str, ticks: DataFrame | None) -> DataFrame:
     use_rocksdb_state(rows.sparkSession)
     keyed = rows.select("*", _bucket(F.col("machine_id"), buckets))
-    return with_event_time(keyed, lateness).groupBy("bucket").transformWithStateInPandas(
+    return _watched(keyed, ticks, lateness).groupBy("bucket").transformWithStateInPandas(
         processor, processor.out, "append", "eventTime")
 
 
 def ewma_stream(df: DataFrame, column: str, alpha: float, *, key: str = "machine_id", buckets: int = BUCKETS,
-                lateness: str = LATENESS) -> DataFrame:
+                lateness: str = LATENESS, ticks: DataFrame | None = None) -> DataFrame:
     """``ewma`` for streams: machine, timestamp, seq, the value and ``<column>_ewma``."""
     rows = df.select(F.col(key).alias("machine_id"), "timestamp", _seq(df), F.col(column).cast("double").alias("x"))
-    out = _in_order(rows, Ewma(alpha), buckets, lateness)
+    out = _in_order(rows, Ewma(alpha), buckets, lateness, ticks)
     return out.withColumnsRenamed({"x": column, "ewma": f"{column}_ewma", "machine_id": key})
 
 
-def implicit_closes_stream(context: DataFrame, *, buckets: int = BUCKETS, lateness: str = LATENESS) -> DataFrame:
+def implicit_closes_stream(context: DataFrame, *, buckets: int = BUCKETS, lateness: str = LATENESS,
+                           ticks: DataFrame | None = None) -> DataFrame:
     """``implicit_closes`` for streams."""
     rows = context.select(F.col("device_id").alias("machine_id"), "timestamp", _seq(context),
                           F.col("event_type").alias("kind"), "run_id")
-    out = _in_order(rows, SequenceGuard(), buckets, lateness)
+    out = _in_order(rows, SequenceGuard(), buckets, lateness, ticks)
     return out.select(F.col("machine_id").alias("device_id"), anomaly(
         F.col("previous_run_id"), F.col("current_run_id"), F.col("timestamp")).alias("context_anomaly"))
 

@@ -212,6 +212,58 @@ def test_the_whole_job(spark, tmp_path):
     assert [d["context_anomaly"]["previous_run_id"] for d in dlq] == ["r1"]
 
 
+def test_late_rows_are_kept_and_marked(spark, tmp_path):
+    t, c = tmp_path / "t", tmp_path / "c"
+    write_file(t, "0.json", [tel("a", 1_000_000), tel("a", 900_000)])
+    write_file(c, "0.json", [ctx("a", "r1", "trackin", 500_000), ctx("a", "r2", "trackin", 800_000)])
+
+    def run():
+        return drain(spark, stateful.attach_context_stream(stream(spark, t, TEL), stream(spark, c, CTX), salts=2), tmp_path)
+
+    run()
+    write_file(t, "1.json", [tel("a", 600_000, 2.0)])
+    write_file(t, "9.json", [CLOCK])
+    write_file(c, "9.json", [ctx("clock", "r", "trackin", LAST)])
+    got = {r["timestamp"]: (r["run_id"], r["late"]) for r in run().collect()}
+    assert got == {1_000_000: ("r2", False), 900_000: ("r2", False), 600_000: ("r1", True)}
+
+
+def test_a_wrong_clock_is_a_dead_letter(spark, tmp_path):
+    """A time in the far future stops nobody else, a rate rule does not stop the job, bad context is reported too."""
+    t, c = tmp_path / "t", tmp_path / "c"
+    future = 4_102_444_800_000
+    write_file(t, "0.json", [full(1000, 50.0), full(future, 5.0)])
+    write_file(t, "1.json", [full(2000, 5.0)])
+    write_file(t, "9.json", [full(LAST, 0.0)])
+    write_file(c, "0.json", [ctx("a", "r1", "trackin", 500), {"device_id": "a"}])
+    write_file(c, "9.json", [ctx("clock", "r", "trackin", LAST)])
+    targets = sinks.Targets(**{n: f"{tmp_path}/{n}" for n in ("bronze", "evaluation", "dlq", "errors", "alerts")})
+    table = data.rule_table(spark, dict(threshold=10.0), dict(rule_id="rate", condition="rate_above", threshold=1.0))
+
+    def text(folder):
+        return spark.readStream.option("maxFilesPerTrigger", "1").text(str(folder))
+
+    for q in start_guard(text(t), text(c), lambda: table, targets, f"{tmp_path}/check", once=True):
+        q.awaitTermination()
+    kept = [json.loads(r["value"])["timestamp"] for r in sinks.read_batches(spark, targets.evaluation).collect()]
+    assert sorted(kept) == [1000, 2000]  # LAST still waits for the watermark
+    assert sinks.read_batches(spark, targets.bronze).count() == 2
+    letters = sorted((m["source"], m["error_type"]) for m in (
+        json.loads(r["value"]) for r in sinks.read_batches(spark, targets.errors).collect()))
+    assert letters == [("context-parser", "SCHEMA_VALIDATION_ERROR"), ("telemetry-parser", "CLOCK_ERROR")]
+    assert sinks.read_batches(spark, targets.alerts).count() == 1
+
+
+def test_microseconds_survive_the_state(spark, tmp_path):
+    t, c = tmp_path / "t", tmp_path / "c"
+    write_file(t, "0.json", [tel("a", 1000)])
+    write_file(t, "9.json", [CLOCK])
+    write_file(c, "0.json", [ctx("clock", "r", "trackin", LAST)])
+    exact = stream(spark, t, TEL).withColumn("at", F.timestamp_micros(F.lit(1_700_000_000_123_456)))
+    got = drain(spark, stateful.attach_context_stream(exact, stream(spark, c, CTX)), tmp_path)
+    assert {r["us"] for r in got.select(F.unix_micros("at").alias("us")).collect()} == {1_700_000_000_123_456}
+
+
 def test_rules_change_between_batches(spark, tmp_path):
     """Rules are read again for every micro-batch; earlier rows keep their verdict."""
     folder, out = tmp_path / "raw", tmp_path / "out"
