@@ -149,11 +149,12 @@ def estimate(rows: DataFrame, steps: int = STEPS) -> DataFrame:
     variance = [F.pow(1.4826 * F.col(f"d_{x}"), 2) + float(_FLOOR[i, i]) for i, x in enumerate(_X)]
     inverse = F.array(*[F.lit(0.0) if i != j else 1 / variance[i] for i in range(_P) for j in range(_P)])
     robust = saved(spread.select("g", "centre", inverse.alias("inverse"), F.lit(0.0).alias("logdet")), "fit")
-    best = None
-    for start in (robust, _fit(rows)):
-        found = _concentrate(rows, start, steps)
-        best = found if best is None else best.unionByName(found)
-    best = best.groupBy("g").agg(F.min_by(F.struct("centre", "inverse", "logdet"), "logdet").alias("f")).select("g", "f.*")
+    # both starts take their steps together: a group's rows count once under the name of each
+    named = {name: F.concat(F.lit(name), F.col("g")) for name in "rm"}
+    both = rows.withColumn("g", F.explode(F.array(*named.values())))
+    starts = robust.withColumn("g", named["r"]).unionByName(_fit(rows).withColumn("g", named["m"]))
+    found = _concentrate(both, starts, steps).withColumn("g", F.expr("substring(g, 2)"))
+    best = found.groupBy("g").agg(F.min_by(F.struct("centre", "inverse", "logdet"), "logdet").alias("f")).select("g", "f.*")
     # the nearest share is made to stand for all before the last step takes in what is then within reach
     scaled = best.withColumn("inverse", F.transform("inverse", lambda v: v / _factor(SUPPORT)))
     wide = _near(rows, saved(scaled, "fit")).where(F.col("d2") <= quantile(0.975))
