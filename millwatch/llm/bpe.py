@@ -9,6 +9,7 @@ it makes void: an entry counts only if the pair at its position still has the bu
 from __future__ import annotations
 
 import base64
+import re
 from functools import lru_cache
 from heapq import heappop, heappush
 
@@ -24,6 +25,8 @@ from millwatch.llm.store import map_arrow, octets_of
 #: stay when the older is dropped), and the longest of them. What is forgotten is encoded again.
 REMEMBERED = 100_000
 LONGEST = 64
+#: A space that always starts a pre-token: no white space beside it (U+180E counts, as in older tables).
+LONE_SPACE = re.compile(r"(?<=[^\s\u180E]) (?=[^\s\u180E])")
 
 
 class BytePairs:
@@ -112,11 +115,10 @@ class BytePairs:
         return b"".join(map(self.piece.__getitem__, self.pattern.findall(text)))
 
     def encode(self, text: str) -> bytes:
-        """As ``pack``. A single space between two other characters always starts a pre-token, so what stands
-        between spaces can be encoded, and remembered, on its own; runs of spaces cannot."""
-        if "  " in text:
-            return self.pack(text)
-        first, *rest = text.split(" ")
+        """As ``pack``. A space between two characters that are no white space always starts a pre-token, so what
+        stands between such spaces can be encoded, and remembered, on its own; white space in runs, or at the end,
+        stays within its part."""
+        first, *rest = LONE_SPACE.split(text)
         return b"".join([self.pack(first), *map(self.after_space.__getitem__, rest)])
 
     def decode(self, packed: bytes) -> bytes:

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millwatch.llm import huffman
+from millwatch.llm.bpe import LONE_SPACE
 from millwatch.llm.store import NO_ID, arrow_schema, committed, folder, id_key, map_arrow, octets_of, one_per_task, open_store, record, saved
 
 MAGIC = b"MWTOKEN1"
@@ -34,10 +35,10 @@ LONGEST = 64
 
 
 class _Library:
-    """Ids by the tokenizers library; strings between single spaces are encoded once and remembered.
+    """Ids by the tokenizers library; strings between lone spaces are encoded once and remembered.
 
-    A single space between two other characters starts a pre-token, and no merge crosses pre-tokens, so the ids of a
-    text are those of its parts. A text with runs of spaces is encoded in one piece.
+    A space between two characters that are no white space starts a pre-token, and no merge crosses pre-tokens, so the
+    ids of a text are those of its parts.
     """
 
     def __init__(self, path: str) -> None:
@@ -55,14 +56,14 @@ class _Library:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if "  " in t else t.split(" ") for t in texts]
-        needed = set().union(*(s[1:] for s in split if s)) - self.young.keys()
+        split = [LONE_SPACE.split(t) for t in texts]
+        needed = set().union(*(s[1:] for s in split)) - self.young.keys()
         found = {w: x for w in needed if (x := self.older.get(w)) is not None}
         missing = list(needed - found.keys())
         found.update(zip(missing, self.whole([" " + w for w in missing]), strict=True))
         get = _Two(found, self.young).__getitem__
-        heads = iter(self.whole([t if s is None else s[0] for t, s in zip(texts, split, strict=True)]))
-        out = [next(heads) if s is None else b"".join([next(heads), *map(get, s[1:])]) for s in split]
+        heads = self.whole([s[0] for s in split])
+        out = [b"".join([head, *map(get, s[1:])]) for head, s in zip(heads, split, strict=True)]
         self.young.update((w, x) for w, x in found.items() if len(w) <= LONGEST)
         if len(self.young) >= REMEMBERED:
             self.young, self.older = {}, self.young

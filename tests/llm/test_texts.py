@@ -35,6 +35,29 @@ def test_bpe_equals_tiktoken(spark, documents):
     assert bpe.token_report(documents([]), path, pattern).count() == 0
 
 
+def _white_space_texts():
+    rnd = random.Random(9)
+    fixed = ["a \u00a0 \u00a0 c", "end. \u00a0 \u00a0", " \u00a0 \u00a0" * 4, "a\t \tb \n c", "x \u3000 \u2028 y ", "a \x1c b \u180e c", " \n "]
+    return fixed + ["".join(rnd.choice("ab. \u00a0 \t\n\r\u3000\x1c\u180e") for _ in range(rnd.randrange(24))) for _ in range(1500)]
+
+
+def test_bpe_of_single_spaces_beside_other_white_space():
+    import tiktoken
+
+    path, pattern = vocabulary("byte_bpe_50k.tiktoken"), pretoken_pattern()
+    ours = bpe.BytePairs(bpe.load_ranks(path), pattern)
+    theirs = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=bpe.load_ranks(path), special_tokens={})
+    for text in _white_space_texts():
+        assert np.frombuffer(ours.encode(text), "<u4").tolist() == theirs.encode_ordinary(text), repr(text)
+
+
+def test_token_files_of_single_spaces_beside_other_white_space():
+    library = token_files.library(vocabulary("byte_bpe_50k.json"))
+    texts = _white_space_texts()
+    for text, ids in zip(texts, library.encode(texts), strict=True):
+        assert ids == library.whole([text])[0], repr(text)
+
+
 def test_bpe_of_a_long_pre_token():
     ours = bpe.coder(vocabulary("byte_bpe_50k.tiktoken"), pretoken_pattern())
     text = "".join(random.Random(1).choice("abcdef") for _ in range(30_000))
