@@ -207,6 +207,29 @@ def test_licences_equal_comparing_with_every_template(documents):
     assert got[2]["licences"] == "MIT" and got[2]["n_differences"] > 0 and got[3]["licences"] == ""
 
 
+def test_every_licence_of_a_text_is_found(documents):
+    mit, apache, bsd = (licences.TEMPLATES[k] for k in ("MIT#grant", "Apache-2.0#header", "BSD-3-Clause"))
+    wrap = lambda t: re.sub(r"((?:\S+ ){8})", r"\1\n", t)
+    prose = "the copying of words is free to all who read and write them in a general way and so on " * 6
+    texts = [
+        ("Licensed under the Apache License, Version 2.0. Released under the MIT License.", "Apache-2.0,MIT", 0),
+        (wrap(mit.replace("copies", "clones")) + "\n" + wrap(bsd.replace("binary", "object", 1)), "BSD-3-Clause,MIT", 6),
+        (prose + mit + " " + prose + bsd + " All rights reserved. " + prose + "Licensed under CC BY 4.0.", "BSD-3-Clause,CC-BY-4.0,MIT,Proprietary", 0),
+        (prose + "the general copying of software is permitted. All rights reserved. " + prose, "Proprietary", 0),
+        ("All rights\nreserved.", "Proprietary", 0),
+        (wrap(apache).replace("Licensed under", "Licenced under") + " " + prose, "Apache-2.0", 1),
+        (mit.replace("FITNESS", "USE").replace("merge", "join") + " " + prose, "MIT", 4),
+        (mit.replace("to", "too"), "", 0),
+        (("Released under the MIT License. " + prose) * 3, "MIT", 0),
+    ]
+    got = {r["doc_id"]: r for r in licences.licence_report(documents([(i, t) for i, (t, _, _) in enumerate(texts)])).collect()}
+    for i, (t, want, off) in enumerate(texts):
+        assert (got[i]["licences"], got[i]["n_differences"]) == (want, off), t[:80]
+    found = licences.Scanner().scan("x\n" + texts[1][0])[1]
+    assert [f[2] for f in found] == ["MIT#grant", "BSD-3-Clause"] and found[0][0] == 1
+    assert len(licences.Scanner().scan(texts[8][0])[1]) == 3
+
+
 def test_toxicity_on_held_out_rows(spark, sf):
     sf = sf.replace("sf0.001", "sf0.1")
     labels = table(spark, sf, "labels")
