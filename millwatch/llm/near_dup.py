@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from millwatch.llm import octets
 from millwatch.llm.components import components
-from millwatch.llm.store import NO_ID, arrow_schema, folder, id_key, map_arrow, octets_of, record, saved
+from millwatch.llm.store import KEY, NO_ID, arrow_schema, id_key, keyed, map_arrow, octets_of, record, saved, small
 from millwatch.llm.superminhash import SLOTS, bands, signatures
 
 BAND_ROWS = 5
@@ -154,12 +154,25 @@ def _verify_blocks(schema, percent, batches: Iterator[pa.RecordBatch]) -> Iterat
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, slots: int = SLOTS, rows: int = BAND_ROWS, block: int = BLOCK) -> DataFrame:
-    """id, n_shingles and component (the least id reachable) of each row of `docs` (doc_id, text).
+    """id, n_shingles, component (the least id reachable) and kept of each row of `docs` (doc_id, text).
 
-    Null or word-less texts have an empty set and stand alone; fewer words than `width` are one shingle. Rows with
-    one doc_id are one document, linked with what either text is linked with. Null ids are NO_ID here and count as one
-    document, before all others. Other columns of `docs` are not looked at. An empty table gives an empty result.
+    Null or word-less texts have an empty set and stand alone; fewer words than `width` are one shingle. Rows repeated
+    whole are one document; different texts of one doc_id are documents of their own, and of a group with several texts
+    of its least id, one is kept. Null ids are NO_ID here, before all others. Other columns of `docs` are not looked at.
+    An empty table gives an empty result.
     """
+    marked, keys = keyed(docs)
+    out = _groups(marked, width, percent, slots, rows, block).withColumn("kept", F.expr("key = group"))
+    if keys is None:
+        return out.select(F.col("key").alias("id"), "n_shingles", F.col("group").alias("component"), "kept")
+    keys = small(keys, 16)
+    own, first = (keys.select(F.col(KEY).alias(c), F.col("doc").alias(name)) for c, name in (("key", "id"), ("group", "component")))
+    return out.join(own, "key").join(first, "group").select("id", "n_shingles", "component", "kept")
+
+
+def _groups(marked: DataFrame, width: int, percent: int, slots: int = SLOTS, rows: int = BAND_ROWS, block: int = BLOCK) -> DataFrame:
+    """key, n_shingles and group (the least key reachable) of each row of a table with KEY."""
+    docs = marked.select(F.col(KEY).alias("doc_id"), "text")
     marks = saved(sketch(docs, width, slots, rows), "sketch")
     classes = saved(marks.where("n_shingles > 0").groupBy("c1", "c2", "n_shingles").agg(F.min("id").alias("rep")), "classes")
     reps = marks.join(classes.select(F.col("rep").alias("id"), "c1", "c2", "n_shingles"), ["id", "c1", "c2", "n_shingles"]).dropDuplicates(["id", "c1", "c2"])
@@ -200,24 +213,27 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, slots: i
 
     all_links = found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more)
     groups = components(all_links).withColumnRenamed("id", "rep")
-    # several rows of one id with different texts: their classes meet in the id
     named = classes.join(groups, "rep", "left").select("c1", "c2", "n_shingles", F.coalesce("component", "rep").alias("group"))
     out = marks.join(named, ["c1", "c2", "n_shingles"], "left")
-    return out.select("id", "n_shingles", F.coalesce("group", "id").alias("component"))
+    return out.select(F.col("id").alias("key"), "n_shingles", F.coalesce("group", "id").alias("group"))
 
 
 def near_dup_report(docs: DataFrame, width: int = 2, percent: int = 80) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, kept. One document of a group, that with the least id, is kept."""
     out = near_duplicates(docs, width, percent)
     real = F.when(F.col("component") != NO_ID, F.col("component"))
-    return out.select(F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"), "n_shingles", real.alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))
+    return out.select(F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"), "n_shingles", real.alias("component_id"), "kept")
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of `docs` whose document is kept, all columns as they were; of repeated rows one stays."""
-    report = near_duplicates(docs, width, percent).where("id = component").select("id").distinct()
-    path = folder(docs.sparkSession, "kept")
-    report.write.parquet(path)
-    kept = docs.sparkSession.read.schema(report.schema).parquet(path)
-    rows = docs.withColumn("__id", id_key("doc_id"))
-    return rows.join(kept, rows["__id"] == kept["id"], "left_semi").drop("__id").dropDuplicates(["doc_id"])
+    """The rows of `docs` whose document is kept, all columns as they were; of repeated rows one stays.
+
+    Rows without words stand alone, so of those only rows equal in every column are repeated.
+    """
+    marked, keys = keyed(docs)
+    kept = _groups(marked, width, percent).where("key = group").select(F.col("key").alias(KEY), (F.col("n_shingles") > 0).alias("__words")).distinct()
+    rows = marked.join(saved(kept, "kept"), KEY)
+    if keys is not None:
+        whole = F.when(~F.col("__words"), F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])))
+        rows = rows.withColumn("__row", whole).dropDuplicates([KEY, "__row"])
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -59,6 +59,26 @@ def id_back(column: Column) -> Column:
     return F.when(column != NO_ID, column)
 
 
+#: Column of ``keyed``.
+KEY = "__key"
+
+
+def keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(`docs` with KEY, keys): a number for each distinct (doc_id, text), in the order of doc_id (null first), then text.
+
+    Where no rows share an id (one null among them), the number is that of ``id_key`` and keys is None. Else keys is a
+    saved table of KEY and doc (NO_ID for null); texts of one id go by digest.
+    """
+    if docs.select(id_key("doc_id").alias("id")).groupBy("id").count().where("count > 1").isEmpty():
+        return docs.withColumn(KEY, id_key("doc_id")), None
+    own = docs.withColumns({"__doc": id_key("doc_id"), "__digest": F.coalesce(F.sha2(F.col("text").cast("binary"), 256), F.lit(""))})
+    # ranges are in order of partitions, and so are the numbers
+    ranged = own.select("__doc", "__digest").distinct().repartitionByRange("__doc", "__digest").sortWithinPartitions("__doc", "__digest")
+    keys = saved(ranged.withColumn(KEY, F.monotonically_increasing_id()), "keys")
+    marked = own.join(small(keys, 100), ["__doc", "__digest"]).select(*[F.col(f"`{c}`") for c in docs.columns], KEY)
+    return marked, keys.select(KEY, F.col("__doc").alias("doc"))
+
+
 def map_arrow(df: DataFrame, fn: Callable[..., dict], schema: StructType | str, *extra, rows: int = 4096) -> DataFrame:
     """Apply ``fn(batch: pa.RecordBatch, *extra) -> {column: values}`` to pieces of at most `rows` rows."""
     if isinstance(schema, str):

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millwatch.llm import octets
-from millwatch.llm.store import arrow_schema, id_key, map_arrow, octets_of, record, saved, small
+from millwatch.llm.store import KEY, arrow_schema, id_key, keyed, map_arrow, octets_of, record, saved, small
 
 LENGTH = 100
 GRAM = 32
@@ -318,7 +318,7 @@ def _sort_groups(schema, length, gram, batches: Iterator[pa.RecordBatch]) -> Ite
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> tuple[DataFrame, DataFrame]:
     """(spans, copies) of `docs` (doc_id, text): id with the starts a to b of windows that have an earlier copy, and
-    the ids of documents whose whole text is that of a smaller id."""
+    the ids of documents whose whole text is that of a smaller id. An id has one text (``dedup_spans`` sees to that)."""
     spark = docs.sparkSession
     texts = docs.select(id_key("doc_id").alias("id"), F.col("text").cast("binary").alias("text"))
     digests = saved(texts.where(F.octet_length("text") >= length).select("id", F.sha2("text", 256).alias("digest")), "digests")
@@ -391,15 +391,15 @@ def dedup_spans(docs: DataFrame, length: int = LENGTH, with_text: bool = True) -
     kept_text: what is left as text, without the stumps of characters that a cut went through. `with_text=False` leaves
     out the other columns and what is kept.
 
-    Null text is empty. Null ids are one document before all others. Rows repeated whole are one document and not
-    copies of each other; where rows of one id differ in text, a span found in either is cut from both. A text
-    shorter than `length` keeps all. Other columns, whatever their names, are carried and not looked at.
+    Null text is empty. Null ids are before all others. Rows repeated whole are one document and not copies of each
+    other; different texts of one id are documents of their own, in the order of their digests. A text shorter than `length` keeps all. Other columns, whatever their names, are carried and not looked at.
     """
-    spans, copies = repeated_spans(docs, length)
+    marked, _ = keyed(docs)
+    spans, copies = repeated_spans(marked.select(F.col(KEY).alias("doc_id"), "text"), length)
     by_doc = spans.groupBy("id").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
     found = saved(by_doc.join(copies.withColumn("copy", F.lit(True)), "id", "full_outer"), "found")
     names = docs.columns if with_text else ["doc_id"]
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), id_key("doc_id").alias("id"), F.col("text").cast("binary").alias("text"))
+    rows = marked.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(KEY).alias("id"), F.col("text").cast("binary").alias("text"))
     ids = small(found.select("id"), 16)
     hit = rows.join(ids, "id", "left_semi").join(found, "id")
     clear = rows.join(ids, "id", "left_anti").withColumn("spans", F.lit(None).cast(found.schema["spans"].dataType)).withColumn("copy", F.lit(None).cast("boolean"))

@@ -83,6 +83,35 @@ def test_one_of_each_group_stays_with_all_columns(documents):
     assert kept.columns == docs.columns
 
 
+def _shared_ids():
+    """Different texts of one id, and of no id: (doc_id, text), no row repeated."""
+    rnd = random.Random(12)
+    one, two, three, passage = (_sentence(rnd, 90, 9000) for _ in range(4))
+    rows = [(None, one), (None, two), (None, three), (5, f"{two} {passage}"), (5, passage), (5, _sentence(rnd, 70, 9000)), (7, f"{three} more"), (8, f"{passage} end"), (5, "short"), (9, None), (9, "")]
+    return rows + [(k, _sentence(rnd, 30, 9000)) for k in (5, 20, 20)]
+
+
+def test_texts_that_share_an_id_are_documents_of_their_own(documents):
+    rows = _shared_ids()
+    order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is not None, rows[k][0] or 0, hashlib.sha256(rows[k][1].encode()).hexdigest() if rows[k][1] is not None else ""))
+    keyed_rows = [(k, rows[i][1]) for k, i in enumerate(order)]
+    groups = _groups(_sets(keyed_rows, 5), 80)
+    want = sorted((repr(rows[i]) for k, i in enumerate(order) if groups[k] == k))
+    docs = documents([*rows, rows[4], rows[0]], **CLASH)
+    kept = near_dup.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert sorted(repr((r["doc_id"], r["text"])) for r in kept.collect()) == want
+    report = near_dup.near_dup_report(docs, 5).collect()
+    assert len(report) == len(rows) + 2 and sum(r["kept"] for r in report) == len(want) + 2
+
+    spans = _brute_spans(keyed_rows, 100)
+    got = suffix_dedup.dedup_spans(documents([*rows, rows[4]])).collect()
+    assert len(got) == len(rows) + 1
+    number = {rows[i]: k for k, i in enumerate(order)}
+    for r in got:
+        assert (r["n_bytes"], r["n_removed"], len(r["spans"]), r["kept_sha256"]) == spans[number[r["row"]["doc_id"], r["row"]["text"]]]
+
+
 def test_empty_tables(spark, documents):
     none = documents([])
     assert near_dup.near_dup_report(none).count() == 0
