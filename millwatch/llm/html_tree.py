@@ -16,8 +16,8 @@ CLOSES = {
 SCOPES = frozenset("html body article aside blockquote div dl fieldset footer form header main nav ol section table td th ul".split())
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW) + r")\b(?:[^>\"']|\"[^\"]{0,4000}\"|'[^']{0,4000}')*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]{0,4000}\"|'[^']{0,4000}')*)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>|<[!?][^>]*>",
+    r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW) + r")\b(?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)"
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>|<[!?][^>]*>",
     re.S | re.I,
 )
 _NAMES = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)

@@ -301,6 +301,14 @@ def test_odd_pages(spark):
     assert extract.extract_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+@pytest.mark.parametrize("size", [3000, 5000, 400_000])
+def test_attribute_values_of_any_length(size):
+    texts = lambda page: [t for t in extract.Tree(page).text if t]
+    for quote in "\"'":
+        assert texts(f"<div data-x={quote}{'a>b<i>' * (size // 6)}{quote} class=c>real</div>") == ["real"]
+        assert texts(f"<p>a</p><iframe srcdoc={quote}{'<p>x</p>' * (size // 8)}{quote}>y</iframe><p>b</p>") == ["a", "b"]
+
+
 def test_archives_round_trip(spark):
     rows = [(5, "http://b/1", "<p>é</p>"), (2, "http://a/1", "<p>é</p>"), (7, "http://a/1", None), (3, None, ""), (9, "http://c/ x\n", "z" * 200_000), (2, "http://a/1", "<p>é</p>"), (None, "u", "<p>é</p>"), (None, "v", "only")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({c: F.lit(v) for c, v in CLASH.items()})
