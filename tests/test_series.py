@@ -85,3 +85,31 @@ def test_dlq_rate_needs_more_than_the_limit(spark):
 
 def test_units_are_fixed():
     assert list(schemas.UNITS) == list(schemas.MEASUREMENTS)
+
+
+def test_percentiles_are_exact_ranks(spark):
+    rows = [(g, v) for g, n in (("a", 20_000), ("b", 7), (None, 100)) for v in range(n)] + [("c", None)] + [("a", 5)] * 900 + [(None, None)]
+    df = spark.createDataFrame(rows, "g string, latency_ms long").repartition(4)
+    got = {r["g"]: tuple(r)[1:] for r in quality.latency_percentiles(df, by=["g"]).collect()}
+    held = {}
+    for g, v in rows:
+        held.setdefault(g, []).extend([v] if v is not None else [])
+    for g, values in held.items():
+        values.sort()
+        n = len(values)
+        want = tuple(values[-(-n * p // 100) - 1] if n else None for p in (50, 95, 99))
+        assert got[g] == (n, *want), g
+    assert len(got) == 4
+    everything = sorted(v for _, v in rows if v is not None)
+    one = quality.latency_percentiles(df).collect()
+    assert [tuple(r) for r in one] == [(len(everything), *(everything[-(-len(everything) * p // 100) - 1] for p in (50, 95, 99)))]
+    assert [tuple(r) for r in quality.latency_percentiles(df.limit(0)).collect()] == [(0, None, None, None)]
+
+
+def test_percentiles_of_over_a_million_rows(spark):
+    # ranks of a sketch may be off by rows / 1,000,000
+    n = 3_000_001
+    df = spark.range(n).select(((F.col("id") * 1_000_003) % n).alias("latency_ms"))
+    want = tuple(-(-n * p // 100) - 1 for p in (50, 95, 99))
+    assert tuple(quality.latency_percentiles(df).first()) == (n, *want)
+    assert "percentile_approx(latency_ms" not in quality.latency_percentiles(df)._jdf.queryExecution().toString()
