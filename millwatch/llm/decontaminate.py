@@ -196,7 +196,7 @@ def _follow(batch: pa.RecordBatch, shared, window: int) -> dict:
                 else:
                     merged.append([x, y])
             n_hit[lo + k] = sum(y - x for x, y in merged)
-            items[lo + k] = sorted(automaton.names[i] for i in names)
+            items[lo + k] = sorted({automaton.names[i] for i in names})
             spans[lo + k] = [{"start": int(starts[x] - o.starts[k]), "end": int(ends[y - 1] - o.starts[k])} for x, y in merged]
     return {"id": batch.column("id"), "n_words": np.concatenate(n_words) if n_words else [], "n_hit": n_hit, "items": items, "spans": spans, **({"row": batch.column("row")} if "row" in batch.schema.names else {})}
 
@@ -213,7 +213,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> D
 
     `benchmark` has item_id and text. A window is `window` words of an item in a row, or a shorter item as a whole;
     a document's word inside an occurrence of one is hit. Null texts have no words; an item without words matches
-    nothing. Items of one text all count. `row` holds all columns of `docs`.
+    nothing. Items of one text all count; an item_id in several rows counts once. `row` holds all columns of `docs`.
     """
     spark = docs.sparkSession
     tests = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("binary").alias("text"))

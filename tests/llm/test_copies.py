@@ -255,6 +255,19 @@ def test_leaks_equal_brute_force(spark, documents, monkeypatch, parts):
         assert (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"]) == want[r["doc_id"]], r
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_an_item_in_several_rows_counts_once(spark, documents, monkeypatch, parts):
+    rnd = random.Random(6)
+    one, two = _sentence(rnd, 15), _sentence(rnd, 15)
+    items = [(1, one), (1, one), (1, two), (2, two), (3, _sentence(rnd, 200))]
+    rows = [(1, f"{one} x {two}"), (2, two), (3, "none")]
+    if parts > 1:
+        monkeypatch.setattr(decontaminate, "PART_BYTES", 800)
+    want = _leaks(rows, items)
+    for r in decontaminate.leak_report(documents(rows), spark.createDataFrame(items, "item_id long, text string")).collect():
+        assert (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"]) == want[r["doc_id"]], r
+
+
 def test_removing_leaks(spark, documents):
     item = " ".join(f"t{k}" for k in range(12))
     clean = _sentence(random.Random(1), 60)
