@@ -1,8 +1,10 @@
 """Noisy-channel restoration of disguised words, under a character trigram model of the corpus.
 
-A writer's letter may reach us as a look-alike, masked, with a separator after it, or several times over. A token with
-such marks is a lattice: every character offers the letters it may stand for, or nothing, each at a channel cost. The
-Viterbi path of least total cost, channel and language model, is the restored word. A plain token has one path, itself.
+A writer's letter may reach us as a look-alike, masked, with a separator or a space after it, or several times over. A
+token with such marks is a lattice: every character offers the letters it may stand for, or nothing, each at a channel
+cost. The Viterbi path of least total cost, channel and language model, is the restored word. A plain token has one
+path, itself. In a run of characters written one by one, every gap is one put in between, to be dropped, or the end
+of a word, so the path also says where words end.
 """
 
 from __future__ import annotations
@@ -30,7 +32,11 @@ SEPARATORS = frozenset(".-_*~'`^/\\,:;·")
 MASKS = frozenset("*#?")
 #: Channel costs in nats: a look-alike, a dropped separator, a masked letter, a letter taken back from a repetition.
 COST_LOOK, COST_DROP, COST_MASK, COST_REPEAT = 1.0, 0.7, 3.0, 0.3
-_SPACED = re.compile(r"(?<!\S)\w(?:[ .\-_*]{1,2}\w){2,}(?!\S)")
+#: A gap in a run of single characters that is the end of a word.
+COST_SPLIT = 0.7
+_GAP = r"(?:[^\S\n]|[.\-_*]){1,2}"
+_SPACED = re.compile(rf"(?<![\w'’])\w(?:{_GAP}\w){{2,}}(?!\w)")
+_GAPS = re.compile(_GAP)
 _EDGE = re.compile(r"^[^\w@$!|+(<€£]+|[^\w@$|+€£]+$")
 _REPEAT = re.compile(r"([^\W\d_])\1\1")
 
@@ -94,15 +100,38 @@ def _options(token: str) -> list[list[tuple[str, float]]]:
     return out
 
 
+def _run_options(letters: str) -> list[list[tuple[str, float]]]:
+    """Of characters written one by one: between two, a gap that is dropped or ends a word."""
+    out: list[list[tuple[str, float]]] = []
+    for k, (c, options) in enumerate(zip(letters, _options(letters), strict=True)):
+        if k:
+            out.append([("", COST_DROP), (" ", COST_SPLIT)])
+        # a digit may also be itself, and ends words
+        out.append(options if c.isalpha() else [*options, (" ", COST_MASK)])
+    return out
+
+
 def decode(token: str, model: CharacterModel) -> str:
-    """The likeliest word behind a token, by Viterbi over the last two letters."""
+    """The likeliest word behind a token."""
+    return _likeliest(_options(token), model)
+
+
+def decode_run(letters: str, model: CharacterModel) -> list[str]:
+    """The likeliest words behind characters written one by one."""
+    return _likeliest(_run_options(letters), model).split()
+
+
+def _likeliest(lattice: list[list[tuple[str, float]]], model: CharacterModel) -> str:
+    """The path of least cost, by Viterbi over the last two letters."""
     paths: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
-    for options in _options(token):
+    for options in lattice:
         step: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         for (a, b), (cost, back) in paths.items():
             for letter, extra in options:
-                if letter:
-                    c = _INDEX.get(letter, 1)
+                if letter == " " and not b:
+                    state, total, trail = (a, b), cost + extra, back  # no word to end
+                elif letter:
+                    c = 0 if letter == " " else _INDEX.get(letter, 1)
                     state, total, trail = (b, c), cost + extra + model.cost(a, b, c), (letter, back)
                 else:
                     state, total, trail = (a, b), cost + extra, back
@@ -123,9 +152,14 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 def readings(token: str, model: CharacterModel) -> list[str]:
     """Words in a token: as written and, where it has more than one reading, as restored."""
     low = token.lower()
+    if _SPACED.fullmatch(low):
+        letters = _GAPS.sub("", low)
+        words = readings(letters, model)
+        words += [w for w in decode_run(letters, model) if w not in words]
+        return words
     words = _LETTERS.findall(low)
     core = _EDGE.sub("", low)
-    if len(core) <= 64 and suspicious(core):
+    if suspicious(core):
         restored = decode(core, model)
         if restored not in words:
             words.append(restored)
@@ -133,5 +167,5 @@ def readings(token: str, model: CharacterModel) -> list[str]:
 
 
 def spaced(text: str) -> list[str]:
-    """Letters written one by one, as tokens without the spaces."""
-    return [re.sub(r"[ .\-_*]", "", m) for m in _SPACED.findall(text)]
+    """Runs of characters written one by one, as they stand."""
+    return _SPACED.findall(text)

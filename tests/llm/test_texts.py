@@ -255,6 +255,20 @@ def test_toxic_words_in_disguise(spark, documents):
     assert all(got[i] < 0.5 for i in range(6, 10)), got
 
 
+def test_long_and_spaced_disguises(spark, documents):
+    rnd = random.Random(6)
+    words = ["".join(rnd.choice(("ba", "del", "ri", "mo", "ten", "su", "la")) for _ in range(4)) for _ in range(1500)]
+    text = lambda *bad: " ".join([*(rnd.choice(["a", "i", *rnd.sample(words, 8)]) for _ in range(30)), *bad])
+    rows = [(i, text(*(["scoundrel", "knave"] if i % 4 == 0 else []))) for i in range(400)]
+    labels = spark.createDataFrame([(i, 0, int(i % 4 == 0)) for i in range(400)], "doc_id long, quality int, toxic int")
+    lexicon = toxicity.learn(documents(rows, **CLASH), labels)
+    signs = ["sc" + "o" * 70 + "undrel", "s.-c.-o.-u.-n.-d.-r.-e.-l" + "." * 3 + "-" * 60 + "x", "what a s c o u n d r e l", "k n a v e s c o u n d r e l", "i s c o u n d r e l.", "y s.c.o.u.n.d.r.e.l", "a k n a v e"]
+    rest = ["a b c d e", "x" * 5000, "a i " * 50, "b a d e l r i m o"]
+    probe = [(k, text(t)) for k, t in enumerate(signs + rest)]
+    got = {r[0]: r[1] for r in toxicity.score_texts(documents(probe), lexicon, ["doc_id"]).select("row.doc_id", "score").collect()}
+    assert all((got[k] >= 0.5) == (k < len(signs)) for k in got), got
+
+
 def test_toxicity_without_labels(spark, documents):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert [r["predicted"] for r in toxicity.toxicity_report(documents([(1, "a"), (None, None)]), labels).collect()] == [0, 0]
