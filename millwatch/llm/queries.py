@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millwatch.llm import bpe, decontaminate, extract, licences, near_dup, outliers, suffix_dedup, token_files, toxicity, warc
+from millwatch.llm import (
+    bpe,
+    cross_tokens,
+    decontaminate,
+    extract,
+    licences,
+    near_dup,
+    outliers,
+    pair_counts,
+    suffix_dedup,
+    token_files,
+    toxicity,
+    warc,
+    whitening,
+)
 from millwatch.llm.store import table
 
 
@@ -63,9 +77,22 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_report(table(spark, sf_dir, "pages"))
 
 
+def op11_cross_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_tokens.alignment_report(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitening_report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pair_counts.count_report(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_byte_bpe, op2_licences, op3_outliers, op4_decontaminate, op5_suffix_dedup, op6_superminhash, op7_token_files, op8_toxicity, op9_extract, op10_warc)
+    for f in (op1_byte_bpe, op2_licences, op3_outliers, op4_decontaminate, op5_suffix_dedup, op6_superminhash, op7_token_files, op8_toxicity, op9_extract, op10_warc,
+              op11_cross_tokens, op12_whitening, op13_token_counts)
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
