@@ -7,16 +7,15 @@ runs on streams.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from millwatch import schemas
 from millwatch.functions import scalars
 from millwatch.functions.frames import guarded_broadcast, localize, once
+from millwatch.operators.expressions import condition, usable
 from millwatch.operators.ordered import Cuts, Timeline, last_value, scan
 
 ALL_TYPES = "*"
@@ -52,29 +51,9 @@ def is_rate() -> Column:
     return F.col("condition").isin("rate_above", "rate_below")
 
 
-#: What custom expressions may call; names and operators of SQL besides.
-FUNCTIONS = frozenset(
-    "abs coalesce if ifnull nvl nullif isnull isnotnull isnan greatest least round floor ceil sqrt pow power exp ln log "
-    "log10 sign mod pmod and or not in between case when then else end is like lower upper length".split())
 CONDITIONS = frozenset(("greater_than", "less_than", "between", "outside", "rate_above", "rate_below", "custom"))
 
 
-def usable(expression: str, columns: DataFrame) -> bool:
-    """Whether a custom rule's text is a condition over these columns that calls plain functions only.
-
-    It is analysed alone, so a bad one never stops the others.
-    """
-    words = re.sub(r"'[^']*'", "''", expression)
-    if ";" in words or not {w.lower() for w in re.findall(r"([A-Za-z_][\w.]*)\s*\(", words)} <= FUNCTIONS:
-        return False
-    if re.search(r"\bselect\b", words, re.I):
-        return False
-    try:
-        return columns.select(F.expr(expression).alias("c")).schema["c"].dataType.typeName() in ("boolean", "void")
-    except (AnalysisException, ParseException):
-        return False
-
-
 def rule_errors(rules: DataFrame, telemetry: DataFrame, *,
                 measurements: Sequence[str] = schemas.MEASUREMENTS) -> DataFrame:
     """The rules with ``errors``, an array of texts that is empty for a good rule.
@@ -82,17 +61,17 @@ def rule_errors(rules: DataFrame, telemetry: DataFrame, *,
     Checked: condition, measurement, threshold or range, the window's aggregate, and custom expressions.
     """
     rules = complete(rules)
-    condition, text = F.col("condition"), F.col("params")["expr"]
-    texts = rules.where(condition == "custom").select(text.alias("e")).where("e is not null").distinct()
+    kind, text = F.col("condition"), F.col("params")["expr"]
+    texts = rules.where(kind == "custom").select(text.alias("e")).where("e is not null").distinct()
     empty = telemetry.sparkSession.createDataFrame([], telemetry.schema)
     bad = [r["e"] for r in texts.collect() if not usable(r["e"], empty)]  # configuration
     wrong = {
-        "unknown condition": ~F.coalesce(condition.isin(*CONDITIONS), F.lit(False)),
-        "unknown measurement": (condition != "custom") & ~F.coalesce(F.col("measurement").isin(*measurements), F.lit(False)),
-        "missing threshold": condition.isin("greater_than", "less_than", "rate_above", "rate_below") & F.col("threshold").isNull(),
-        "missing range": condition.isin("between", "outside") & (F.col("lo").isNull() | F.col("hi").isNull()),
+        "unknown condition": ~F.coalesce(kind.isin(*CONDITIONS), F.lit(False)),
+        "unknown measurement": (kind != "custom") & ~F.coalesce(F.col("measurement").isin(*measurements), F.lit(False)),
+        "missing threshold": kind.isin("greater_than", "less_than", "rate_above", "rate_below") & F.col("threshold").isNull(),
+        "missing range": kind.isin("between", "outside") & (F.col("lo").isNull() | F.col("hi").isNull()),
         "unknown aggregate": scalars.is_windowed(F.col("window")) & ~F.coalesce(F.col("params")["aggregate"].isin(*AGGREGATES), F.col("params")["aggregate"].isNull(), F.lit(True)),
-        "unusable expression": (condition == "custom") & (text.isNull() | (text.isin(*bad) if bad else F.lit(False))),
+        "unusable expression": (kind == "custom") & (text.isNull() | (text.isin(*bad) if bad else F.lit(False))),
     }
     found = F.array(*[F.when(F.coalesce(w, F.lit(False)), F.lit(name)) for name, w in wrong.items()])
     return rules.withColumn("errors", F.array_compact(found))
@@ -179,8 +158,8 @@ def evaluate(telemetry: DataFrame, rules: DataFrame, *, measurements: Sequence[s
 
     ``rules`` are current rules (``latest_rules``); those with a window or a duration are judged by
     ``windowed_rules`` and ``sustained_rules``. Rate rules use the ``<measurement>_rate`` columns
-    that ``rate_of_change`` adds; readings without any are refused, a table with some gets the others it needs. Custom
-    rules are Spark SQL conditions over the reading's columns; unusable ones never fire (``rejected_rules``).
+    that ``rate_of_change`` adds; a table gets those that are missing, a stream without any is refused. Custom
+    rules are conditions over the reading's columns (``expressions``); unusable ones never fire (``rejected_rules``).
     """
     rules = complete(rules)
     columns = telemetry.columns
@@ -190,7 +169,7 @@ def evaluate(telemetry: DataFrame, rules: DataFrame, *, measurements: Sequence[s
         instant, rows = localize(instant)
     kinds, expressions = _kinds(instant, rows)
     rated = [m for m in measurements if f"{m}_rate" in telemetry.columns]
-    if rated and not telemetry.isStreaming and rows is not None:
+    if not telemetry.isStreaming and rows is not None:
         telemetry = with_rates(telemetry, rows, measurements)
         rated = [m for m in measurements if f"{m}_rate" in telemetry.columns]
     if not rated and kinds & {"rate_above", "rate_below"}:
@@ -250,7 +229,7 @@ def alerts(evaluated: DataFrame) -> DataFrame:
 
 def _custom(expressions: Sequence[str], telemetry: DataFrame) -> dict[str, Column]:
     empty = telemetry.sparkSession.createDataFrame([], telemetry.schema)
-    return {e: F.expr(e) for e in expressions if usable(e, empty)}
+    return {e: condition(e, empty) for e in expressions if usable(e, empty)}
 
 
 def with_rates(telemetry: DataFrame, rows: Sequence[Row], measurements: Sequence[str] = schemas.MEASUREMENTS,

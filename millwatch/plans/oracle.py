@@ -220,6 +220,10 @@ SQL: dict[str, str] = {
             value AS threshold, event_id AS "offset",
             row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM ev WHERE event_type = 'click')
         WHERE rn = 1 AND "offset" % 5 <> 0""",
+    "rule_validate": """SELECT 'rule-' || CAST(event_id AS VARCHAR) AS rule_id,
+        CASE event_id % 10 WHEN 0 THEN 'unknown condition' WHEN 1 THEN 'unknown measurement' WHEN 2 THEN 'missing threshold'
+          WHEN 3 THEN 'missing range' WHEN 4 THEN 'unknown aggregate' WHEN 8 THEN '' WHEN 9 THEN ''
+          ELSE 'unusable expression' END AS errors FROM ev WHERE event_type = 'click'""",
     "rule_instant": f"SELECT {_ALERT} FROM alerts WHERE alert_type NOT IN ('rate_above', 'rate_below', 'custom')",
     "rule_join": """SELECT f.machine_id, f.rule_id, count(*) AS judged, count(a.seq) AS breached
         FROM fired f LEFT JOIN alerts a ON a.seq = f.seq AND a.rule_id = f.rule_id

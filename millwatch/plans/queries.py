@@ -236,6 +236,13 @@ def rules_latest(spark, sf):
     return rules.latest_rules(rows).select("rule_id", "version", "threshold", "offset")
 
 
+@query
+def rule_validate(spark, sf):
+    """What is wrong with each rule that was sent; an empty text if nothing is."""
+    found = rules.rule_errors(views.sent_rules(spark, sf), views.telemetry(spark, sf))
+    return found.select("rule_id", F.concat_ws(", ", "errors").alias("errors"))
+
+
 @query
 def rule_instant(spark, sf):
     simple = _current_rules(spark).where(~F.col("condition").isin("rate_above", "rate_below", "custom"))

@@ -214,6 +214,29 @@ def rules(spark: SparkSession) -> DataFrame:
     }).drop("w_type", "w_size", "w_slide", "expr", "agg")
 
 
+def sent_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules as users send them: one per click event, most of them wrong in some way, by event number.
+
+    Cases of event_id % 10: 0 condition, 1 measurement, 2 no threshold, 3 half a range, 4 aggregate, 5 to 7 texts that
+    call what is not allowed, 8 a usable text.
+    """
+    case = F.col("event_id") % 10
+    text = (F.when(case == 5, "`reflect`('java.lang.System', 'nanoTime') is not null")
+            .when(case == 6, "abs(torque) > 1 or reflect/**/('java.lang.System', 'nanoTime') is not null")
+            .when(case == 7, "status = \"it's\" or java_method('java.lang.System', 'nanoTime') = 'it''s'")
+            .when(case == 8, "abs(torque) > 20 and status <> 'it''s'"))
+    window = F.struct(F.lit("tumbling").alias("type"), F.lit(60.0).alias("sizeSeconds"), F.lit(None).cast("double").alias("slideSeconds"))
+    return events(spark, sf_dir).where(F.col("event_type") == "click").select(
+        F.col("event_id").alias("offset"),
+        F.concat(F.lit("rule-"), F.col("event_id").cast("string")).alias("rule_id"),
+        F.when(case == 1, "voltage").otherwise("torque").alias("measurement"),
+        F.when(case == 0, "over").when(case == 3, "between").when(case >= 5, F.when(case == 9, "greater_than").otherwise("custom"))
+        .otherwise("greater_than").alias("condition"),
+        F.when(case != 2, F.col("value")).alias("threshold"), F.lit(1.0).alias("lo"), F.lit("info").alias("severity"),
+        F.when(case == 4, window).alias("window"),
+        F.when(case == 4, F.create_map(F.lit("aggregate"), F.lit("median"))).when(text.isNotNull(), F.create_map(F.lit("expr"), text)).alias("params"))
+
+
 def raw_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manifest messages: one per trackin, for its machine's type. Some are wrong, by event number.
 

@@ -71,8 +71,8 @@ def test_rate_rules(spark):
                             dict(rule_id="down", condition="rate_below", threshold=-1.0))
     got = [(r["timestamp"], r["alert"] and r["alert"]["rule_id"]) for r in rules.evaluate(t, table).orderBy("seq").collect()]
     assert got == [(0, None), (1000, "up"), (2000, "down")]
-    with pytest.raises(ValueError):
-        rules.evaluate(data.readings(spark, [("a", 0)]), table)
+    bare = rules.evaluate(data.readings(spark, [("a", 0, 1.0), ("a", 1000, 3.0), ("a", 2000, 1.0)]), table)
+    assert [r["passed"] for r in bare.orderBy("seq").collect()] == [True, False, False]
 
 
 @pytest.mark.parametrize("times, values, want", [
@@ -194,3 +194,37 @@ def test_rates_that_rules_need_are_added(spark):
     rows = _rules(spark, {"rule_id": "r", "measurement": "gas_pressure", "condition": "rate_above", "threshold": 2.0})
     out = rules.evaluate(t, rows)
     assert "gas_pressure_rate" not in out.columns and rules.alerts(out).count() == 1
+
+
+BYPASSES = [
+    "`reflect`('java.lang.System', 'nanoTime') is not null", "reflect/**/('java.lang.System', 'nanoTime') is not null",
+    "status = \"'\" or reflect('java.lang.System', 'nanoTime') = \"'\"", "java_method('java.lang.System', 'exit', 0) > 0",
+    "gas_temperature = (select 1)", "exists(select 1)", "gas_temperature in (select 1)", "count(*) > 1", "sum(gas_temperature) over () > 1",
+    "system.builtin.reflect('java.lang.System', 'nanoTime') is not null", "transform(array(1), x -> x)[0] = 1", "raise_error('x') is null",
+    "input_file_name() = 'x'", "gas_temperature; drop table x", "gas_temperature", "machine_id > 1", "nosuch > 1", "*", "", "abs(*) > 1",
+    "cast(machine_id as int) > 1", "gas_temperature > machine_id", "abs(1, 2) > 1", "machine_id rlike '('", "timestamp > interval 1 day",
+    "-" * 300 + "1 > 0", "(" * 3000, "1 > 0 and " * 800 + "true",
+]
+
+
+@pytest.mark.parametrize("text", BYPASSES, ids=range(len(BYPASSES)))
+def test_texts_that_are_not_plain_conditions_are_refused(spark, text):
+    from millwatch.operators.expressions import usable
+
+    assert not usable(text, data.readings(spark, [("a", 1, 9.0)]).limit(0))
+
+
+@pytest.mark.parametrize("text, want", [
+    ("gas_temperature + 1 > 9 and not (machine_id like 'b%')", True), ("gas_temperature / 0 > 1", None), ("gas_temperature % 0 = 1", None),
+    ("timestamp + 9223372036854775807 > 0", None), ("gas_temperature div 2 = 4", True), ("-gas_temperature between -9.5 and -8.5", True),
+    ("case when gas_temperature > 8 then humidity else 0 end = 50", True), ("if(machine_id = 'a', 1, 0) = 1", True),
+    ("machine_id in ('x', 'a')", True), ("coalesce(fault_code, 'none') = 'none'", True), ("nullif(gas_temperature, 9) is null", True),
+    ("greatest(gas_temperature, humidity, 3) = 50 and sqrt(gas_temperature) = 3", True), ("fault_code = 'x'", None), ("null", None),
+    ("pow(gas_temperature, 2) = 81 and pmod(-gas_temperature, 2) = 1 and round(gas_temperature / 4) = 2 and mod(9, 0) is null", True),
+    ("fault_code <=> null and isnull(fault_code) and upper(machine_id) = 'A' and length(status) = 7", True), ("`gas_temperature` /* x */ > 8", True),
+])
+def test_conditions_are_built_from_their_text(spark, text, want):
+    from millwatch.operators.expressions import condition
+
+    row = data.readings(spark, [("a", 1, 9.0)])
+    assert row.select(condition(text, row.limit(0)).alias("c")).first()["c"] is want
