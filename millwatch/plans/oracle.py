@@ -448,6 +448,8 @@ SQL: dict[str, str] = {
 
 
 SQL["stream_ewma"] = SQL["ewma"]
+for _kind in ("rate", "sustained", "windowed"):
+    SQL[f"stream_rule_{_kind}"] = SQL[f"rule_{_kind}"]
 
 
 def oracle_sql() -> dict[str, str]:

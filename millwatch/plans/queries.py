@@ -33,7 +33,7 @@ def _ms(name: str):
     return F.unix_millis(name).alias(name)
 
 
-def _r(name: str, digits: int = 6):
+def rounded(name: str, digits: int = 6):
     return F.round(name, digits).alias(name)
 
 
@@ -218,7 +218,7 @@ def _current_rules(spark):
     return rules.latest_rules(views.rules(spark))
 
 
-def _flat(alert_rows):
+def flat(alert_rows):
     return alert_rows.select("device_id", "alert_id", "alert_time", "rule_id", "alert_type", "measurement", "value",
                              "threshold", "severity", "message")
 
@@ -246,7 +246,7 @@ def rule_validate(spark, sf):
 @query
 def rule_instant(spark, sf):
     simple = _current_rules(spark).where(~F.col("condition").isin("rate_above", "rate_below", "custom"))
-    return _flat(rules.alerts(rules.evaluate(views.telemetry(spark, sf), simple)))
+    return flat(rules.alerts(rules.evaluate(views.telemetry(spark, sf), simple)))
 
 
 @query
@@ -261,7 +261,7 @@ def rule_join(spark, sf):
 @query
 def rule_custom(spark, sf):
     custom = _current_rules(spark).where(F.col("condition") == "custom")
-    return _flat(rules.alerts(rules.evaluate(views.telemetry(spark, sf), custom)))
+    return flat(rules.alerts(rules.evaluate(views.telemetry(spark, sf), custom)))
 
 
 @query
@@ -274,18 +274,18 @@ def rate_of_change(spark, sf):
 def rule_rate(spark, sf):
     rates = _current_rules(spark).where(F.col("condition").isin("rate_above", "rate_below"))
     rated = rules.rate_of_change(views.telemetry(spark, sf), ["gas_temperature", "torque"])
-    return _flat(rules.alerts(rules.evaluate(rated, rates)))
+    return flat(rules.alerts(rules.evaluate(rated, rates)))
 
 
 @query
 def rule_sustained(spark, sf):
-    return _flat(rules.sustained_rules(views.telemetry(spark, sf), _current_rules(spark)))
+    return flat(rules.sustained_rules(views.telemetry(spark, sf), _current_rules(spark)))
 
 
 @query
 def rule_windowed(spark, sf):
     rows = rules.windowed_rules(views.telemetry(spark, sf), _current_rules(spark))
-    return rows.select("device_id", "rule_id", "alert_time", "measurement", "severity", _r("value"), "threshold")
+    return rows.select("device_id", "rule_id", "alert_time", "measurement", "severity", rounded("value"), "threshold")
 
 
 @query
@@ -309,7 +309,7 @@ def evaluation_messages(spark, sf):
 
 @query
 def alerts(spark, sf):
-    return _flat(rules.alerts(_evaluated(spark, sf)))
+    return flat(rules.alerts(_evaluated(spark, sf)))
 
 
 @query
@@ -408,14 +408,14 @@ def noisiest(spark, sf):
 def stats_1m(spark, sf):
     rows = windows.window_stats(views.telemetry(spark, sf), "1 minute", measurements=["gas_temperature", "humidity"])
     return rows.select("machine_id", _ms("window_start"), _ms("window_end"), "n", *[
-        _r(f"{m}_{s}") for m in ("gas_temperature", "humidity") for s in ("min", "max", "avg", "stddev")])
+        rounded(f"{m}_{s}") for m in ("gas_temperature", "humidity") for s in ("min", "max", "avg", "stddev")])
 
 
 @query
 def sliding_stats(spark, sf):
     rows = windows.window_stats(views.telemetry(spark, sf), "1 day", "6 hours")
     return rows.select("machine_id", _ms("window_start"), "n", "gas_temperature_min", "gas_temperature_max",
-                       _r("gas_temperature_avg"), _r("gas_temperature_stddev"))
+                       rounded("gas_temperature_avg"), rounded("gas_temperature_stddev"))
 
 
 @query
@@ -428,7 +428,7 @@ def sessions(spark, sf):
 def shift_agg(spark, sf):
     rows = windows.shift_stats(_evaluated(spark, sf), 8)
     return rows.select("machine_id", _ms("window_start"), "n", "gas_temperature_min", "gas_temperature_max",
-                       _r("gas_temperature_avg"))
+                       rounded("gas_temperature_avg"))
 
 
 @query
@@ -440,13 +440,13 @@ def ewma(spark, sf):
 @query
 def cusum(spark, sf):
     rows = detectors.cusum(views.telemetry(spark, sf), "gas_temperature", 50.0, 5.0, 150.0)
-    return rows.select("machine_id", "timestamp", "seq", _r("gas_temperature_cusum"), "gas_temperature_alarm")
+    return rows.select("machine_id", "timestamp", "seq", rounded("gas_temperature_cusum"), "gas_temperature_alarm")
 
 
 @query
 def zscore(spark, sf):
     rows = detectors.zscore(views.telemetry(spark, sf), "humidity", 10)
-    return rows.select("machine_id", "timestamp", "seq", _r("humidity_z"))
+    return rows.select("machine_id", "timestamp", "seq", rounded("humidity_z"))
 
 
 @query
@@ -606,7 +606,7 @@ def throughput(spark, sf):
 @query
 def oee(spark, sf):
     rows = kpi.oee(_evaluated(spark, sf), 0.1, cuts=views.cuts(spark, sf))
-    return rows.select("machine_id", _r("availability", 9), _r("performance", 9), _r("quality", 9), _r("oee", 9))
+    return rows.select("machine_id", rounded("availability", 9), rounded("performance", 9), rounded("quality", 9), rounded("oee", 9))
 
 
 @query

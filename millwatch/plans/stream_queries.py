@@ -6,14 +6,14 @@ moves the watermark past all of it, and the answers are for every row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millwatch.operators import parse, rules, windows
 from millwatch.plans import views
-from millwatch.plans.queries import HOUR, Query, off_ties
+from millwatch.plans.queries import HOUR, Query, flat, off_ties, rounded
 from millwatch.session import shared_folder
-from millwatch.streaming import sinks, stateful
+from millwatch.streaming import rule_state, sinks, stateful
 
 QUERIES: dict[str, Query] = {}
 
@@ -168,6 +168,44 @@ def stream_rules(spark, sf):
         F.get_json_object(body, "$.rule_id").alias("rule_id"), F.col("key").alias("key"))
 
 
+DAY = 24 * HOUR
+
+
+def _in_any_order(spark: SparkSession, sf: str, which: Column, name: str) -> DataFrame:
+    """Alerts that stand after the readings have come in three parts, one in ten of them five days late."""
+    base, readings = shared_folder(spark, name), views.telemetry(spark, sf)
+    arrives = F.col("timestamp") + F.when(F.col("seq") % 10 == 0, 5 * DAY).otherwise(0)
+    first, last = readings.agg(F.min(arrives), F.max(arrives)).first()
+    part = F.floor((arrives - (first or 0)) * 3 / ((last or 0) - (first or 0) + 1))
+    current = rules.latest_rules(views.rules(spark)).where(which)
+    ticks = tick(spark, f"{base}/ticks", 0)
+    readings.limit(0).write.parquet(f"{base}/in")
+    log = rule_state.rule_changes_stream(spark.readStream.schema(readings.schema).parquet(f"{base}/in"), current,
+                                         ticks=ticks, keep_ms=6 * DAY)
+    for i in range(3):
+        readings.where(part == i).write.mode("append").parquet(f"{base}/in")
+        if i == 2:
+            tick(spark, f"{base}/ticks", END)
+        changes = settle(spark, log, name, base=base)
+    return rule_state.alerts_of(rule_state.standing(changes), current)
+
+
+@query
+def stream_rule_rate(spark, sf):
+    return flat(_in_any_order(spark, sf, rules.is_instant() & rules.is_rate(), "rule-rate"))
+
+
+@query
+def stream_rule_sustained(spark, sf):
+    return flat(_in_any_order(spark, sf, F.col("durationSec") > 0, "rule-sustained"))
+
+
+@query
+def stream_rule_windowed(spark, sf):
+    rows = _in_any_order(spark, sf, F.col("window").isNotNull(), "rule-windowed")
+    return rows.select("device_id", "rule_id", "alert_time", "measurement", "severity", rounded("value"), "threshold")
+
+
 @query
 def stream_bronze(spark, sf):
     """Bronze written by the stream, read by device."""
