@@ -448,6 +448,8 @@ SQL: dict[str, str] = {
 
 
 SQL["stream_ewma"] = SQL["ewma"]
+SQL["stream_evaluation"] = SQL["evaluation"]
+SQL["stream_late_context"] = SQL["stream_context"]
 for _kind in ("rate", "sustained", "windowed"):
     SQL[f"stream_rule_{_kind}"] = SQL[f"rule_{_kind}"]
 

@@ -10,12 +10,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millwatch.operators import parse, rules, windows
-from millwatch.plans import views
+from millwatch.plans import guard, views
 from millwatch.plans.queries import HOUR, Query, flat, off_ties, rounded
 from millwatch.session import shared_folder
-from millwatch.streaming import rule_state, sinks, stateful
+from millwatch.streaming import late, rule_state, sinks, stateful
 
 QUERIES: dict[str, Query] = {}
+DAY = 24 * HOUR
 
 
 def query(fn: Query) -> Query:
@@ -110,18 +111,72 @@ def stream_sessions(spark, sf):
 
 @query
 def stream_late(spark, sf):
-    """Every tenth reading arrives when the watermark has passed all others. None is lost, and each finds its context."""
+    """Every tenth reading arrives when the watermark has passed all others, and its context is no longer in state.
+
+    None is lost, and each finds its context, in the table of all context events where it must.
+    """
     base, readings, delayed = shared_folder(spark, "late"), views.telemetry(spark, sf), F.col("seq") % 10 == 0
     ticks = tick(spark, f"{base}/ticks", 0)
     readings.where(~delayed).write.parquet(f"{base}/in")
     rows = stateful.attach_context_stream(
         spark.readStream.schema(readings.schema).parquet(f"{base}/in"), views.context_of(views.event_stream(spark, sf)),
-        salts=2, ticks=ticks, keep_ms=END)
-    rows = rows.select("machine_id", "timestamp", "seq", "event_type", "context_ts", "late")
+        salts=2, ticks=ticks)
     settle(spark, rows, "late", base=base)
     readings.where(delayed).write.mode("append").parquet(f"{base}/in")
     tick(spark, f"{base}/ticks", END)
-    return settle(spark, rows, "late", base=base)
+    placed = late.placed_again(settle(spark, rows, "late", base=base), views.context_of(views.events(spark, sf)))
+    return placed.select("machine_id", "timestamp", "seq", "event_type", "context_ts", "late")
+
+
+@query
+def stream_late_context(spark, sf):
+    """All context comes when every reading has been given out: what it changes is given out again."""
+    base, readings = shared_folder(spark, "late-context"), views.telemetry(spark, sf)
+    events = views.context_of(views.events(spark, sf))
+    events.limit(0).write.parquet(f"{base}/events")
+    rows = stateful.attach_context_stream(
+        views.telemetry_of(views.event_stream(spark, sf)), spark.readStream.schema(events.schema).parquet(f"{base}/events"),
+        salts=2, ticks=end(spark))
+    names = ["machine_id", "timestamp", "seq", "gas_temperature", "event_type", "context_ts"]
+    placed = settle(spark, rows.select(*names), "late-context", base=base)
+    events.write.mode("append").parquet(f"{base}/events")
+    targets = sinks.Targets(context=f"{base}/context")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        sinks.write_context(batch, batch_id, targets)
+        changed = late.corrections(batch, readings, sinks.read_context(spark, targets))
+        changed.select(*names).write.mode("overwrite").parquet(f"{base}/changed/batch_id={batch_id}")
+
+    arriving = spark.readStream.schema(events.schema).parquet(f"{base}/events")
+    sinks.start(arriving, write, f"{base}/corrections", once=True, partitions=_cores(spark)).awaitTermination()
+    versions = placed.withColumn("version", F.lit(-1).cast("bigint")).unionByName(
+        spark.read.parquet(f"{base}/changed").withColumn("version", F.col("batch_id").cast("bigint")).drop("batch_id"))
+    return late.last_version(versions, ["machine_id", "timestamp", "seq"]).select(*names)
+
+
+@query
+def stream_evaluation(spark, sf):
+    """The running job's evaluation, all rules of the plant and implicit closes in it, read back from its outputs."""
+    base, events = shared_folder(spark, "evaluation"), views.context(spark, sf)
+    events.write.parquet(f"{base}/events")
+    targets = sinks.Targets(**{n: f"{base}/{n}" for n in ("bronze", "evaluation", "dlq", "errors", "alerts")})
+    started = guard.start_evaluation(
+        views.telemetry_of(views.event_stream(spark, sf)), spark.readStream.schema(events.schema).parquet(f"{base}/events"),
+        lambda: views.rules(spark), targets, f"{base}/checkpoint", once=True, partitions=_cores(spark), ticks=end(spark), keep_ms=40 * DAY)
+    for q in started:
+        q.awaitTermination()
+    shape = "alert_id string, alert_time bigint, rule_id string, severity string, device_id string, change int, alert_type string"
+    sent = sinks.read_batches(spark, targets.alerts).select(F.from_json("value", shape).alias("a")).select("a.*")
+    rates = sent.where(F.col("alert_type").isin("rate_above", "rate_below"))
+    standing = rates.groupBy("device_id", "alert_time", "rule_id", "severity").agg(F.sum("change").alias("n")).where("n > 0")
+    body = ("device_id string, timestamp bigint, gas_temperature double, gas_pressure double, humidity double, spin_rate double, torque double, "
+            "status string, fault_code string, run_id string, event_type string, start_ts bigint, end_ts bigint, passed boolean, "
+            "alert struct<rule_id:string,severity:string>, context_anomaly struct<previous_run_id:string>")
+    rows = sinks.read_batches(spark, targets.evaluation).select(F.from_json("value", body).alias("e")).select("e.*")
+    out = late.with_changes(rows, standing)
+    return out.select(*[c for c in out.columns if c not in ("alert", "context_anomaly")],
+                      F.col("alert.rule_id").alias("alert_rule"), F.col("alert.severity").alias("alert_severity"),
+                      F.col("context_anomaly.previous_run_id").alias("closed_run"))
 
 
 @query
@@ -168,9 +223,6 @@ def stream_rules(spark, sf):
         F.get_json_object(body, "$.rule_id").alias("rule_id"), F.col("key").alias("key"))
 
 
-DAY = 24 * HOUR
-
-
 def _in_any_order(spark: SparkSession, sf: str, which: Column, name: str) -> DataFrame:
     """Alerts that stand after the readings have come in three parts, one in ten of them five days late."""
     base, readings = shared_folder(spark, name), views.telemetry(spark, sf)

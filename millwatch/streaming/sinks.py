@@ -6,7 +6,9 @@ from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
@@ -14,9 +16,8 @@ from millwatch import schemas
 from millwatch.operators import context, parse, rules
 from millwatch.operators.series import bronze_rows
 
-# Flush after this many records or this long.
-FLUSH_ROWS, FLUSH_INTERVAL = 1000, "3 seconds"
-CHECKPOINT_INTERVAL = "30 seconds"
+# Fixed value: flush after this long.
+FLUSH_INTERVAL = "3 seconds"
 
 
 @dataclass(frozen=True)
@@ -31,6 +32,7 @@ class Targets:
     dlq: str | None = None
     errors: str | None = None
     alerts: str | None = None
+    context: str | None = None    # a folder also where outputs go to Kafka: it is read again
     group: str = schemas.STORAGE_GROUP
     kafka: Mapping[str, str] = field(default_factory=dict)
 
@@ -49,7 +51,7 @@ def write_bronze(df: DataFrame, path: str, *, group: str = schemas.STORAGE_GROUP
     cluster_rows(bronze_rows(df, group)).write.mode(mode).partitionBy("date").parquet(path)
 
 
-def _write(messages: DataFrame, target: str, batch_id: int, targets: Targets) -> None:
+def _write(messages: DataFrame, target: str, batch_id: int | str, targets: Targets) -> None:
     if targets.kafka:
         messages.write.format("kafka").options(**targets.kafka).option("topic", target).save()
     else:
@@ -84,6 +86,45 @@ def write_dlq(anomalies: DataFrame, batch_id: int, targets: Targets) -> None:
         _write(parse.to_message(context.dlq_records(anomalies)), targets.dlq, batch_id, targets)
 
 
+def write_changes(alerts: DataFrame, batch_id: int, targets: Targets) -> None:
+    """Write raised and withdrawn alerts of rules over several readings."""
+    if targets.alerts:
+        _write(parse.to_message(alerts, key="device_id"), targets.alerts, f"several-{batch_id}", targets)
+
+
+def write_rejected(rejected: DataFrame, batch_id: int, targets: Targets) -> None:
+    """Write the dead letters of rules that are not judged, keyed by rule."""
+    if targets.errors:
+        letters = rejected.select("rule_id", F.lit("rule-validator").alias("source"), F.lit(schemas.SCHEMA_VALIDATION_ERROR).alias("error_type"),
+                                  "error_message")
+        _write(parse.to_message(letters, key="rule_id"), targets.errors, f"rules-{batch_id}", targets)
+
+
+def write_context(events: DataFrame, batch_id: int, targets: Targets) -> None:
+    """Keep the context events of one micro-batch in a table."""
+    events.write.mode("overwrite").parquet(f"{targets.context}/batch_id={batch_id}")
+
+
+def read_context(spark: SparkSession, targets: Targets) -> DataFrame:
+    if present(spark, targets.context):
+        return read_batches(spark, targets.context)
+    return spark.createDataFrame([], schemas.CONTEXT)
+
+
+def write_corrected(evaluated: DataFrame, batch_id: int, targets: Targets) -> None:
+    """Write readings again whose context came after them."""
+    if targets.evaluation:
+        _write(parse.to_message(rules.evaluation(evaluated)), targets.evaluation, f"late-{batch_id}", targets)
+
+
+def present(spark: SparkSession, path: str) -> bool:
+    """Whether a folder has been written to, by Spark's own file system."""
+    try:
+        return bool(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path").take(1))
+    except AnalysisException:
+        return False
+
+
 def write_errors(parsed: DataFrame, batch_id: int, targets: Targets) -> None:
     """Write the dead letters of one micro-batch, keyed by device."""
     if targets.errors:

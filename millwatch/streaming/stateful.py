@@ -123,29 +123,57 @@ class RunContext(Held):
 
     columns = _schema(machine_id="text", is_context="flag", timestamp="long", seq="long", body="text", run_id="text",
                       event_type="text", start_ts="long", end_ts="long", late="flag")
+    # closes: this trackin closes the run `closed_run`; met: a reading has followed
     context = _schema(machine_id="text", timestamp="long", seq="long", run_id="text", event_type="text",
-                      start_ts="long", end_ts="long")
+                      start_ts="long", end_ts="long", closes="flag", closed_run="text", met="flag")
     out = ("machine_id string, body string, run_id string, event_type string, start_ts bigint, end_ts bigint, "
-           "context_ts bigint, run_start bigint, run_end bigint, run_name string, late boolean")
+           "context_ts bigint, run_start bigint, run_end bigint, run_name string, late boolean, "
+           "closes boolean, closed_run string, unplaced boolean")
 
     def __init__(self, wait_ms: int = 0, keep_ms: int = KEEP_MS):
         super().__init__(wait_ms)
         self.keep_ms = keep_ms
 
+    def init(self, handle) -> None:
+        super().init(handle)
+        self.floor = handle.getValueState("floor", "ts bigint")
+
     def settle(self, held: pd.DataFrame, passed: int) -> tuple[pd.DataFrame, pd.DataFrame]:
-        events = _together(self.context, _unpack(self.memory, self.context), held[held["is_context"]])
-        events = events.sort_values(_ORDER, kind="stable", ignore_index=True)
+        fresh = held[held["is_context"]].assign(closes=False, closed_run=None, met=False)
+        events = _together(self.context, _unpack(self.memory, self.context), fresh)
+        events = self._closing(events.sort_values(_ORDER, kind="stable", ignore_index=True))
         readings = held[~held["is_context"]]
         ready = readings["timestamp"] + self.wait_ms <= passed
         due, waiting = readings.loc[ready, ["machine_id", "timestamp", "body", "late"]], readings[~ready]
+        placed = self._place(due, events)
+        # context before the floor has been dropped
+        floor = self.floor.get()[0] if self.floor.exists() else None
+        placed["unplaced"] = placed["timestamp"] < floor if floor is not None else False
         oldest = int(waiting["timestamp"].min()) if len(waiting) else passed - self.wait_ms
-        _store(self.memory, self._needed(events, oldest - self.keep_ms), self.context)
-        return self._place(due, events), waiting
+        floor = max(oldest - self.keep_ms, floor if floor is not None else oldest - self.keep_ms)
+        self.floor.update((floor,))
+        _store(self.memory, self._needed(events, floor), self.context)
+        return placed, waiting
+
+    @staticmethod
+    def _closing(events: pd.DataFrame) -> pd.DataFrame:
+        """Mark the trackins that follow a trackin. An event whose forerunner was dropped keeps what it had."""
+        earlier = events.groupby("machine_id")[["event_type", "run_id"]].shift(1)
+        known = events.groupby("machine_id").cumcount() > 0
+        implicit = (events["event_type"] == schemas.TRACKIN) & (earlier["event_type"] == schemas.TRACKIN)
+        events["closes"] = events["closes"].where(~known, implicit).astype(bool)
+        events["closed_run"] = events["closed_run"].where(~known, earlier["run_id"].where(implicit))
+        return events
 
     @staticmethod
     def _place(due: pd.DataFrame, events: pd.DataFrame) -> pd.DataFrame:
-        latest = events.assign(context_ts=events["timestamp"]).drop(columns="seq")
+        """Readings in their context. ``closes`` is on the first reading after an implicit close; `events` learns of it."""
+        latest = events.assign(context_ts=events["timestamp"], at=range(len(events))).drop(columns="seq")
         placed = pd.merge_asof(due, latest, on="timestamp", by="machine_id")
+        first = placed["at"].notna() & ~placed.duplicated("at") & ~(placed["met"].fillna(False).astype(bool))
+        events.loc[placed.loc[first, "at"].astype(int), "met"] = True
+        placed["closes"] = placed["closes"].fillna(False).astype(bool) & first
+        placed["closed_run"] = placed["closed_run"].where(placed["closes"])
         ends = events.assign(run_start=events["timestamp"], run_name=events["run_id"],
                              run_end=events.groupby("machine_id")["timestamp"].shift(-1))
         starts = ends.loc[ends["event_type"] == schemas.TRACKIN,
@@ -243,13 +271,17 @@ def _placed(telemetry: DataFrame, context: DataFrame, wait_ms: int, salts: int,
 
 def attach_context_stream(telemetry: DataFrame, context: DataFrame, *, salts: int = 4, buckets: int = BUCKETS,
                           lateness: str = LATENESS, ticks: DataFrame | None = None,
-                          keep_ms: int = KEEP_MS) -> DataFrame:
+                          keep_ms: int = KEEP_MS, anomalies: bool = False) -> DataFrame:
     """``attach_context`` for streams, with ``late``: the reading came after the watermark had passed it.
 
-    A late reading more than ``keep_ms`` behind may find its context gone; the table operator over bronze has it.
+    ``unplaced`` is true where context that the reading may need had been dropped, more than ``keep_ms`` behind:
+    ``placed_again`` takes it from a table. ``anomalies`` adds ``context_anomaly``, on the first reading after an implicit
+    close; all readings of a machine then stay together, without ``salts``.
     """
-    placed = _placed(telemetry, context, 0, salts, buckets, lateness, ticks, keep_ms)
-    return placed.select("_r.*", "run_id", "event_type", "start_ts", "end_ts", "context_ts", "late")
+    placed = _placed(telemetry, context, 0, 1 if anomalies else salts, buckets, lateness, ticks, keep_ms)
+    found = [F.when(F.col("closes"), anomaly(F.col("closed_run"), F.col("run_id"), F.col("context_ts"))).alias("context_anomaly")]
+    return placed.select("_r.*", "run_id", "event_type", "start_ts", "end_ts", "context_ts", "late", "unplaced",
+                         *(found if anomalies else []))
 
 
 def edge_trim_stream(telemetry: DataFrame, context: DataFrame, lead_ms: int = 5000, trail_ms: int = 5000,

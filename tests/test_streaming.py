@@ -254,6 +254,63 @@ def test_a_wrong_clock_is_a_dead_letter(spark, tmp_path):
     assert sinks.read_batches(spark, targets.alerts).count() == 1
 
 
+def _run_job(spark, tmp_path, table, *, keep_ms=stateful.KEEP_MS):
+    targets = sinks.Targets(**{n: f"{tmp_path}/out-{n}" for n in ("bronze", "evaluation", "dlq", "errors", "alerts", "context")})
+
+    def text(folder):
+        return spark.readStream.option("maxFilesPerTrigger", "1").text(str(folder))
+
+    for q in start_guard(text(tmp_path / "t"), text(tmp_path / "c"), lambda: table, targets, f"{tmp_path}/check", once=True, keep_ms=keep_ms):
+        q.awaitTermination()
+
+    def messages(target):
+        return [json.loads(r["value"]) for r in sinks.read_batches(spark, target).collect()]
+
+    return targets, messages
+
+
+def test_all_kinds_of_rules_in_the_job(spark, tmp_path):
+    t, c = tmp_path / "t", tmp_path / "c"
+    write_file(t, "0.json", [full(1000, 50.0), full(3000, 60.0), full(9000, 70.0)])
+    write_file(t, "9.json", [full(LAST, 0.0)])
+    write_file(c, "0.json", [ctx("a", "r1", "trackin", 500), ctx("a", "r2", "trackin", 2000)])
+    write_file(c, "9.json", [ctx("clock", "r", "trackin", LAST)])
+    window = "window struct<type:string,sizeSeconds:double,slideSeconds:double>"
+    table = data.rule_table(
+        spark, dict(rule_id="hot", threshold=65.0), dict(rule_id="climb", condition="rate_above", threshold=4.0),
+        dict(rule_id="long", threshold=40.0, durationSec=5.0), dict(rule_id="mean", threshold=55.0),
+        dict(rule_id="wrong", condition="custom", params={"expr": "reflect('java.lang.System', 'nanoTime') is not null"}),
+        dict(rule_id="hard", condition="rate_above", threshold=1.0))
+    wide = F.when(F.col("rule_id").isin("mean", "hard"), F.from_json(F.lit('{"type":"tumbling","sizeSeconds":10.0}'), window.split(" ", 1)[1]))
+    targets, messages = _run_job(spark, tmp_path, table.withColumn("window", wide))
+    alerts = sorted((m["rule_id"], m["alert_time"], m.get("change")) for m in messages(targets.alerts))
+    assert alerts == [("climb", 3000, 1), ("hot", 9000, None), ("long", 9000, 1), ("mean", 10_000, 1)]
+    assert {(m["rule_id"], m["error_message"].split(",")[0]) for m in messages(targets.errors)} == {
+        ("wrong", "unusable expression"), ("hard", "a window that must last")}
+    closes = {m["timestamp"]: m["context_anomaly"] and m["context_anomaly"]["previous_run_id"] for m in messages(targets.evaluation)}
+    assert closes == {1000: None, 3000: "r1", 9000: None}
+
+
+def test_late_readings_and_late_context_in_the_job(spark, tmp_path):
+    t, c = tmp_path / "t", tmp_path / "c"
+    write_file(t, "0.json", [full(1_000_000, 50.0), full(2_000_000, 50.0)])
+    write_file(c, "0.json", [ctx("a", "r1", "trackin", 500_000), ctx("a", "r2", "trackin", 1_500_000)])
+    write_file(t, "1.json", [full(6_000_000, 50.0)])
+    write_file(c, "1.json", [ctx("b", "r9", "trackin", 6_000_000)])
+    table = data.rule_table(spark, dict(rule_id="hot", threshold=10.0))
+    _run_job(spark, tmp_path, table, keep_ms=1000)
+    # its context is long gone from state; and a run that nobody knew of begins before a reading that was given out
+    write_file(t, "2.json", [full(1_200_000, 50.0)])
+    write_file(c, "2.json", [ctx("a", "r3", "trackin", 1_900_000)])
+    _run_job(spark, tmp_path, table, keep_ms=1000)
+    write_file(t, "9.json", [full(LAST, 0.0)])
+    write_file(c, "9.json", [ctx("clock", "r", "trackin", LAST)])
+    targets, messages = _run_job(spark, tmp_path, table, keep_ms=1000)
+    rows = sinks.read_batches(spark, targets.evaluation)
+    runs = {(m["timestamp"], m["run_id"]) for m in messages(targets.evaluation)}
+    assert {(1_000_000, "r1"), (1_200_000, "r1"), (2_000_000, "r2"), (2_000_000, "r3")} <= runs and rows.count() == 5
+
+
 def test_microseconds_survive_the_state(spark, tmp_path):
     t, c = tmp_path / "t", tmp_path / "c"
     write_file(t, "0.json", [tel("a", 1000)])
