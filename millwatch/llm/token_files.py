@@ -11,6 +11,7 @@ tasks that succeeded, with a manifest; read back by the manifest.
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
@@ -30,8 +31,12 @@ MAGIC = b"MWTOKEN1"
 BLOCK = 1 << 16
 ROLL = 1 << 23
 #: Strings between spaces that a worker remembers the ids of, in two generations.
-REMEMBERED = 300_000
+REMEMBERED = 250_000
 LONGEST = 64
+#: Unknown strings that one call of the library takes.
+TOGETHER = 4096
+#: White space of any kind.
+WHITE = re.compile(r"[\s\u180E]")
 
 
 class _Library:
@@ -49,6 +54,12 @@ class _Library:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.spaced[[i for symbols, i in vocabulary.items() if symbols.startswith("Ġ")]] = True
+        self.forget()
+
+    def forget(self) -> None:
         self.young: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -57,26 +68,36 @@ class _Library:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [LONE_SPACE.split(t) for t in texts]
-        needed = set().union(*(s[1:] for s in split)) - self.young.keys()
-        found = {w: x for w in needed if (x := self.older.get(w)) is not None}
-        missing = list(needed - found.keys())
-        found.update(zip(missing, self.whole([" " + w for w in missing]), strict=True))
-        get = _Two(found, self.young).__getitem__
+        young, older = self.young, self.older
+        found, plain, other = {}, [], []
+        for w in set().union(*(s[1:] for s in split)):
+            ids = young.get(w)
+            if ids is None and (ids := older.get(w)) is None:
+                (other if WHITE.search(w) else plain).append(w)
+            else:
+                found[w] = ids
+        fresh = dict(zip(other, self.whole([" " + w for w in other]), strict=True))
+        for start in range(0, len(plain), TOGETHER):
+            some = plain[start : start + TOGETHER]
+            fresh.update(zip(some, self.apart(some), strict=True))
+        found |= fresh
         heads = self.whole([s[0] for s in split])
-        out = [b"".join([head, *map(get, s[1:])]) for head, s in zip(heads, split, strict=True)]
-        self.young.update((w, x) for w, x in found.items() if len(w) <= LONGEST)
-        if len(self.young) >= REMEMBERED:
-            self.young, self.older = {}, self.young
+        out = [b"".join([head, *map(found.__getitem__, s[1:])]) for head, s in zip(heads, split, strict=True)]
+        if older:  # what is used again outlives its generation
+            fresh |= {w: ids for w, ids in found.items() if w not in young}
+        young.update((w, x) for w, x in fresh.items() if len(w) <= LONGEST)
+        if len(young) >= REMEMBERED:
+            self.young, self.older = {}, young
         return out
 
-
-class _Two(dict):
-    def __init__(self, first: dict, second: dict) -> None:
-        super().__init__(first)
-        self.second = second
-
-    def __missing__(self, key: str) -> bytes:
-        return self.second[key]
+    def apart(self, words: list[str]) -> list[bytes]:
+        """Ids of strings without white space, each behind a space, by one call: only a string's first token starts with one."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        at = np.flatnonzero(self.spaced[ids])
+        if len(at) != len(words):  # a vocabulary of another kind
+            return self.whole([" " + w for w in words])
+        packed, ends = ids.tobytes(), np.append(at[1:], len(ids))
+        return [packed[4 * i : 4 * j] for i, j in zip(at.tolist(), ends.tolist(), strict=True)]
 
 
 @lru_cache(maxsize=2)
@@ -84,10 +105,16 @@ def library(path: str) -> _Library:
     return _Library(path)
 
 
-def _tokens(batch: pa.RecordBatch, path: str, end_id: int) -> dict:
-    texts = [t.decode("utf-8", "replace") for t in octets_of(batch)]
-    stop = np.array([end_id], "<u4").tobytes()
-    return {"id": batch.column("id"), "ids": [x + stop for x in library(path).encode(texts)]}
+def _tokens(schema, path: str, end_id: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    own, stop = library(path), np.array([end_id], "<u4").tobytes()
+    try:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 1024):
+                batch = whole.slice(start, 1024)
+                ids = own.encode([t.decode("utf-8", "replace") for t in octets_of(batch)])
+                yield record({"id": batch.column("id"), "ids": [x + stop for x in ids]}, schema)
+    finally:
+        own.forget()  # an idle worker keeps nothing
 
 
 def _histogram(schema, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,7 +195,8 @@ def write_ids(docs: DataFrame, tokenizer: str, uri: str, end_id: int = 0) -> Dat
     store.create_dir(path, recursive=True)
     texts = docs.select(id_key("doc_id").alias("id"), F.col("text").cast("binary").alias("text"))
     ranged = texts.repartitionByRange("id").sortWithinPartitions("id", "text")
-    ids = saved(map_arrow(ranged, _tokens, "id long, ids binary", tokenizer, end_id, rows=512), "ids")
+    schema = "id long, ids binary"
+    ids = saved(ranged.mapInArrow(partial(_tokens, arrow_schema(schema), tokenizer, end_id), schema), "ids")
     counted = ids.select("ids").mapInArrow(partial(_histogram, arrow_schema("token long, k long")), "token long, k long").groupBy("token").agg(F.sum("k").alias("k"))
     counts = np.zeros(1, np.int64)
     for r in counted.collect():  # one row per id of the vocabulary
