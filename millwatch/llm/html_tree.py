@@ -25,6 +25,13 @@ _NAMES = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*
 TEXT = "#text"
 
 
+def _unclosed(m: re.Match) -> bool:
+    """Whether a comment or raw text goes on beyond what was matched."""
+    if m[1]:
+        return re.search(rf"</{m[1]}\s*>\Z", m[0][-64:], re.I) is None
+    return m[0].startswith("<!--") and (len(m[0]) < 7 or not m[0].endswith("-->"))
+
+
 class Tree:
     """Nodes in page order: parent, depth, tag, names (of class, id and role), text (of text nodes), link, block."""
 
@@ -35,7 +42,12 @@ class Tree:
         self.link = [False]  # inside an anchor
         self.block = [0]  # texts of one block have one number
         stack, block, at = [0], 0, 0
-        for m in _TOKEN.finditer(html):
+        # behind the last ">" no tag can end, so nothing is searched there; but a comment, or raw text, may go on
+        cut = html.rfind(">") + 1
+        tail = html.find("<!--", cut)
+        stop = len(html) if tail < 0 else tail
+        m = None
+        for m in _TOKEN.finditer(html, 0, cut):
             if m.start() > at:
                 self._text(html[at : m.start()], stack, block)
             at = m.end()
@@ -69,7 +81,9 @@ class Tree:
                         stack.append(new)
             if tag not in INLINE:
                 block += 1
-        self._text(html[at:], stack, block)
+        if m is not None and at == cut and _unclosed(m):
+            return
+        self._text(html[at:stop], stack, block)
 
     def _text(self, raw: str, stack: list[int], block: int) -> None:
         if raw:
