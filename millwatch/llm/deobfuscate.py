@@ -30,6 +30,9 @@ LOOKS = {
 }
 SEPARATORS = frozenset(".-_*~'`^/\\,:;·")
 MASKS = frozenset("*#?")
+#: Masks in a row that may each stand for a letter; a longer row is a rule or an ornament, and counts as that many.
+MASKED = 8
+_RULE = re.compile(rf"([*#?]{{{MASKED}}})[*#?]+")
 #: Channel costs in nats: a look-alike, a dropped separator, a masked letter, a letter taken back from a repetition.
 COST_LOOK, COST_DROP, COST_MASK, COST_REPEAT = 1.0, 0.7, 3.0, 0.3
 #: A gap in a run of single characters that is the end of a word.
@@ -37,7 +40,8 @@ COST_SPLIT = 0.7
 _GAP = r"(?:[^\S\n]|[.\-_*]){1,2}"
 _SPACED = re.compile(rf"(?<![\w'’])\w(?:{_GAP}\w){{2,}}(?!\w)")
 _GAPS = re.compile(_GAP)
-_EDGE = re.compile(r"^[^\w@$!|+(<€£]+|[^\w@$|+€£]+$")
+#: The first character that can begin a word's core, and all up to the last that can end it.
+_FIRST, _LAST = re.compile(r"[\w@$!|+(<€£]"), re.compile(r".*[\w@$|+€£]", re.S)
 _REPEAT = re.compile(r"([^\W\d_])\1\1")
 
 
@@ -78,6 +82,12 @@ class CharacterModel:
         return found
 
 
+def trimmed(token: str) -> str:
+    """A token without the marks around it."""
+    first, last = _FIRST.search(token), _LAST.match(token)
+    return token[first.start() : last.end()] if first and last else ""
+
+
 def suspicious(token: str) -> bool:
     """Whether a token (trimmed, lower case) has more than one reading."""
     return (not token.isalpha() and any(c.isalpha() for c in token)) or bool(_REPEAT.search(token))
@@ -113,7 +123,7 @@ def _run_options(letters: str) -> list[list[tuple[str, float]]]:
 
 def decode(token: str, model: CharacterModel) -> str:
     """The likeliest word behind a token."""
-    return _likeliest(_options(token), model)
+    return _likeliest(_options(_RULE.sub(r"\1", token)), model)
 
 
 def decode_run(letters: str, model: CharacterModel) -> list[str]:
@@ -158,7 +168,7 @@ def readings(token: str, model: CharacterModel) -> list[str]:
         words += [w for w in decode_run(letters, model) if w not in words]
         return words
     words = _LETTERS.findall(low)
-    core = _EDGE.sub("", low)
+    core = trimmed(low)
     if suspicious(core):
         restored = decode(core, model)
         if restored not in words:
