@@ -47,7 +47,7 @@ def word_sets(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
     o = octets.Octets(texts)
     data = octets.lower_ascii(o.data)
     starts, ends = o.runs(octets.word_mask()[data])
-    return octets.shingles(octets.segment_hash(data, starts, ends), o.owner(starts), o.n, width)
+    return octets.shingles(octets.content_hash(data, starts, ends), o.owner(starts), o.n, width)
 
 
 def _sketch(batch: pa.RecordBatch, width: int, slots: int, rows: int) -> dict:

@@ -43,13 +43,13 @@ def counts_of(texts: list[bytes]) -> dict[str, np.ndarray]:
     begin, stop = begin[full], stop[full]
     of = o.owner(begin)
     out["n_lines"] = octets.counts(of, o.n)
-    lines = octets.segment_hash(data, begin, stop)
+    lines = octets.content_hash(data, begin, stop)
     _, kept = octets.distinct(lines, of)
     out["n_dup_lines"] = out["n_lines"] - octets.counts(kept, o.n)
 
     out["n_repeat_words"] = np.zeros(o.n, np.int64)
     if len(starts) >= WINDOW:
-        prints = octets.segment_hash(data, starts, ends)
+        prints = octets.content_hash(data, starts, ends)
         key = prints[: 1 - WINDOW]
         for k in range(1, WINDOW):
             key = octets.mix(key * np.uint64(3) + prints[k : len(prints) - WINDOW + 1 + k])

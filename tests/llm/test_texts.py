@@ -341,3 +341,61 @@ def test_archives_round_trip(spark):
     names = lambda m: sorted(tuple(r) for r in m.select("name", "sha256").collect())
     assert names(manifest) == names(again)
     assert warc.warc_report(pages.limit(0)).count() == 0
+
+
+def test_no_page_or_token_takes_more_than_its_length():
+    import time
+
+    from millwatch.llm import deobfuscate
+    from millwatch.llm.html_tree import Tree
+
+    for html in ("<a " * 350_000, "<script " * 150_000, "<!" * 500_000, '<a "' * 250_000, "<b>x</b>" + "<!--" * 250_000, "<a '\"" * 200_000 + ">"):
+        began = time.perf_counter()
+        Tree(html)
+        assert time.perf_counter() - began < 5, html[:20]
+    model = deobfuscate.CharacterModel(*np.unique(deobfuscate.trigram_codes("the quick brown fox is a fool " * 50), return_counts=True))
+    began = time.perf_counter()
+    deobfuscate.readings("a" + "*#" * 50_000 + "b", model)
+    assert time.perf_counter() - began < 5
+    assert "fool" in deobfuscate.readings("f**l", model)
+
+
+@pytest.mark.parametrize("html, texts", [
+    ("<p>a <b", ["a <b"]), ("<p>a<!-- c", ["a"]), ("<p>a<!-- c --><i>b</i> t", ["a", "b", " t"]), ("<p>a<script>x > y", ["a"]), ("<!-- > x", []),
+    ("<p>a<script>x</script>b", ["a", "b"]), ("a > b < c", ["a > b < c"]), ("no tags", ["no tags"]), ("", []), ("a<!-->b", ["a"]), ("<script>x</script", []),
+])
+def test_ends_of_pages(html, texts):
+    from millwatch.llm.html_tree import TEXT, Tree
+
+    tree = Tree(html)
+    assert [t for t, tag in zip(tree.text, tree.tag, strict=True) if tag == TEXT] == texts
+
+
+def test_regular_words_have_fingerprints_of_their_own():
+    """A Thue-Morse word and its complement are one polynomial modulo 2**64, whatever the base."""
+    from millwatch.llm import octets
+
+    word = "a"
+    while len(word) < 4096:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    o = octets.Octets([word.encode(), other.encode()])
+    assert len(set(octets.segment_hash(o.data, o.starts, o.ends).tolist())) == 1
+    assert len(set(octets.content_hash(o.data, o.starts, o.ends).tolist())) == 2
+    rnd = random.Random(3)
+    texts = [bytes(rnd.choice(b"ab") for _ in range(rnd.randrange(40))) for _ in range(3000)] + [b"", b"\x00", b"\x00\x00", b"\x00" * 8, b"\x00" * 9, b"a" * 8, b"a" * 16]
+    o = octets.Octets(texts)
+    assert len(set(octets.content_hash(o.data, o.starts, o.ends).tolist())) == len(set(texts))
+
+
+def test_regular_lines_and_words_in_operators(spark, documents):
+    from millwatch.llm import near_dup
+
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    report = outliers.quality_report(documents([(1, f"{word}\n{other}"), (2, f"{word}\n{word}")])).collect()
+    assert {r["doc_id"]: r["n_dup_lines"] for r in report} == {1: 0, 2: 1}
+    near = near_dup.near_dup_report(documents([(1, word), (2, other), (3, word)])).collect()
+    assert {r["doc_id"]: r["component_id"] for r in near} == {1: 1, 2: 2, 3: 1}
