@@ -17,6 +17,7 @@ from millwatch.functions import scalars
 from millwatch.functions.frames import guarded_broadcast, localize, once
 from millwatch.operators.expressions import condition, usable
 from millwatch.operators.ordered import Cuts, Timeline, last_value, scan
+from millwatch.operators.windows import folded
 
 ALL_TYPES = "*"
 MAX_CUSTOM = 1_000
@@ -233,34 +234,35 @@ def _custom(expressions: Sequence[str], telemetry: DataFrame) -> dict[str, Colum
 
 
 def with_rates(telemetry: DataFrame, rows: Sequence[Row], measurements: Sequence[str] = schemas.MEASUREMENTS,
-               cuts: Cuts | None = None) -> DataFrame:
+               cuts: Cuts | None = None, key: str = "machine_id") -> DataFrame:
     """Add the rate columns that the listed rules need and the readings lack, in one pass."""
     wanted = {r["measurement"] for r in rows if r["condition"] in ("rate_above", "rate_below")}
     missing = [m for m in measurements if m in wanted and f"{m}_rate" not in telemetry.columns]
-    return rate_of_change(telemetry, missing, cuts=cuts) if missing else telemetry
+    return rate_of_change(telemetry, missing, key=key, cuts=cuts) if missing else telemetry
 
 
 def judge(telemetry: DataFrame, rules: DataFrame, *, measurements: Sequence[str] = schemas.MEASUREMENTS,
           keep: Sequence[str] = ("machine_id", "machine_type", "timestamp"), small: bool = False,
-          cuts: Cuts | None = None) -> DataFrame:
+          match: Sequence[str] = (), key: str = "machine_id", cuts: Cuts | None = None) -> DataFrame:
     """One row per reading and rule of its type with ``breached``, for every kind of condition.
 
     Readings stay wide: they meet only the rules of their own type and those for all types, by an equi-join on the
-    type. ``small`` says the rules were counted already and may be broadcast.
+    type and on the columns of ``match``. ``small`` says the rules were counted already and may be broadcast. Rates are
+    along ``key``.
     """
     full = complete(rules)
     kinds, expressions = _kinds(full, None)
     if kinds & {"rate_above", "rate_below"}:
-        telemetry = with_rates(telemetry, full.select("measurement", "condition").distinct().collect(), measurements, cuts)
+        telemetry = with_rates(telemetry, full.select("measurement", "condition").distinct().collect(), measurements, cuts, key)
     rated = [m for m in measurements if f"{m}_rate" in telemetry.columns]
     custom = _custom(expressions, telemetry)
     side = full.select(F.coalesce("device_type", F.lit(ALL_TYPES)).alias("_type"), "rule_id", "device_type", "rule_type", "measurement",
                        "condition", "threshold", "lo", "hi", "severity", "durationSec", "actions", "alertChannel",
-                       F.col("params")["expr"].alias("_expr"))
+                       F.col("params")["expr"].alias("_expr"), *match)
     kind = F.array_compact(F.array(F.lit(ALL_TYPES), F.when(F.col("machine_type") != ALL_TYPES, F.col("machine_type"))))
     verdicts = F.array(*[c.cast("boolean") for c in custom.values()]) if custom else F.lit(None).cast("array<boolean>")
     wide = telemetry.withColumn("_verdicts", verdicts).withColumn("_type", F.explode(kind))
-    held = wide.join(F.broadcast(side) if small else guarded_broadcast(side), "_type")
+    held = wide.join(F.broadcast(side) if small else guarded_broadcast(side), ["_type", *match])
     own = F.when(F.lit(False), F.lit(None).cast("boolean"))
     for i, text in enumerate(custom):
         own = own.when(F.col("_expr") == text, F.col("_verdicts")[i])
@@ -346,41 +348,79 @@ def windowed_rule(df: DataFrame, size: str, slide: str | None = None, *, aggrega
                       F.unix_millis(F.col("window.end")).alias("timestamp"), *measurements)
 
 
+def _aggregated(measurement: str, name: str) -> Column:
+    """An aggregate of a folded window."""
+    n, total = F.col(f"{measurement}_n"), F.col(f"{measurement}_sum")
+    if name == "avg":
+        return F.try_divide(total, n)
+    if name == "count":
+        return n.cast("double")
+    if name == "stddev":
+        return F.when(n > 1, F.sqrt(F.greatest(F.col(f"{measurement}_m2"), F.lit(0.0)) / (n - 1)))
+    return F.col(f"{measurement}_{name}").cast("double")
+
+
+_SPEC = ("_size", "_slide", "_agg")
+
+
+def windows_of(telemetry: DataFrame, specs: Sequence[tuple[int, int, str]], *,
+               measurements: Sequence[str] = schemas.MEASUREMENTS) -> DataFrame:
+    """Readings per machine and window for all (size, slide, aggregate) at once: one scan, whatever their number.
+
+    A row per window and aggregate, with the window's end as ``timestamp``, so ``judge`` reads it like a reading.
+    """
+    found = folded(telemetry, sorted({s[:2] for s in specs}), measurements, keys=["machine_id", "machine_type"],
+                   spread=any(a == "stddev" for _, _, a in specs))
+    wanted = F.filter(F.array(*[F.struct(F.lit(size).cast("bigint").alias("_size"), F.lit(slide).cast("bigint").alias("_slide"), F.lit(agg).alias("_agg"))
+                                for size, slide, agg in sorted(specs)]),
+                      lambda s: (s["_size"] == F.col("size")) & (s["_slide"] == F.col("slide")))
+    names = sorted({a for _, _, a in specs})
+    rows = found.select("*", F.explode(wanted).alias("_s")).select("*", "_s.*")
+    values = []
+    for m in measurements:
+        value = F.when(F.lit(False), F.lit(None).cast("double"))
+        for name in names:
+            value = value.when(F.col("_agg") == name, _aggregated(m, name))
+        values.append(value.alias(m))
+    return rows.select("machine_id", "machine_type", (F.col("start") + F.col("size")).alias("timestamp"), *_SPEC, *values,
+                       F.concat_ws("|", "machine_id", "_size", "_slide", "_agg").alias("_line"))
+
+
 def windowed_rules(telemetry: DataFrame, rules: DataFrame) -> DataFrame:
-    """Alerts of the windowed rules: one aggregation per distinct window, whatever the rule count.
+    """Alerts of the windowed rules, from one scan whatever the number of rules and windows.
 
-    A rule with a duration too fires once its windows have breached for that long without a gap.
+    A rule with a duration too fires once its windows have breached for that long without a gap. Rules with an unknown
+    aggregate are not judged (``rejected_rules``).
     """
     windowed, listed = localize(complete(rules).where(scalars.is_windowed(F.col("window"))).withColumns({
         "_size": scalars.seconds_to_millis(F.col("window.sizeSeconds")),
-        "_slide": F.when(F.col("window.type") == "sliding",
-                         scalars.seconds_to_millis(F.col("window.slideSeconds"))),
         "_agg": F.coalesce(F.col("params")["aggregate"], F.lit("avg")),
-    }).where(F.col("_agg").isin(*AGGREGATES)))
+    }).withColumn("_slide", F.coalesce(F.when(F.col("window.type") == "sliding", scalars.seconds_to_millis(F.col("window.slideSeconds"))),
+                                       F.col("_size"))).where(F.col("_agg").isin(*AGGREGATES)))
     # distinct windows of the rule set: configuration, bounded like custom expressions
-    specs = listed if listed is not None else windowed.select("_size", "_slide", "_agg").distinct().limit(
-        MAX_CUSTOM + 1).collect()
-    specs = {(s["_size"], s["_slide"], s["_agg"]) for s in specs}
+    rows = listed if listed is not None else windowed.select(*_SPEC).distinct().limit(MAX_CUSTOM + 1).collect()
+    specs = {(s["_size"], s["_slide"], s["_agg"]) for s in rows}
     if len(specs) > MAX_CUSTOM:
         raise ValueError(f"more than {MAX_CUSTOM} distinct rule windows")
+    if not specs:
+        none = judge(telemetry, windowed).where(F.lit(False))
+        return _window_alerts(none)
+    stats, small = windows_of(telemetry, list(specs)), listed is not None
+    lasts = F.col("durationSec") > 0
     parts = []
-    for size, slide, aggregate in sorted(specs, key=str):
-        same = windowed.where((F.col("_size") == size) & F.col("_slide").eqNullSafe(F.lit(slide))
-                              & (F.col("_agg") == aggregate))
-        stats = windowed_rule(telemetry, f"{size} milliseconds", f"{slide} milliseconds" if slide else None,
-                              aggregate=aggregate)
-        judged = judge(stats, same, small=listed is not None)
-        at_once = judged.where("breached and coalesce(durationSec, 0) <= 0")
-        lasting = sustained(judged.where("durationSec > 0"), scalars.seconds_to_millis(F.col("durationSec")))
-        parts += [at_once, lasting.where("sustained").select(*at_once.columns)]
-    if not parts:
-        parts = [judge(telemetry, windowed).where(F.lit(False))]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    if not small or any((r["durationSec"] or 0) <= 0 for r in listed):
+        parts.append(judge(stats, windowed.where(F.coalesce(~lasts, F.lit(True))), small=small, match=_SPEC, key="_line").where("breached"))
+    if not small or any((r["durationSec"] or 0) > 0 for r in listed):
+        judged = judge(stats, windowed.where(lasts), small=small, match=_SPEC, key="_line")
+        lasting = sustained(judged, scalars.seconds_to_millis(F.col("durationSec")))
+        parts.append(lasting.where("sustained").select(*judged.columns))
+    return _window_alerts(parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1]))
+
+
+def _window_alerts(fired: DataFrame) -> DataFrame:
     r = F.struct("rule_id", "rule_type", "measurement", "condition", "threshold", "severity", "actions",
                  "alertChannel")
-    return out.select(
+    return fired.select(
         F.col("machine_id").alias("device_id"),
         alert_struct(F.col("machine_id"), F.col("timestamp"), r, F.col("value")).alias("_a"),
     ).select("device_id", "_a.*")
