@@ -116,8 +116,12 @@ def start_evaluation(readings: DataFrame, events: DataFrame, read_rules: Callabl
 
     def write_context(batch: DataFrame, batch_id: int) -> None:
         sinks.write_context(batch, batch_id, targets)
-        if targets.bronze and sinks.present(spark, targets.bronze):
-            bronze = sinks.read_batches(spark, targets.bronze).select(*readings.columns)
+        first = batch.agg(F.min("timestamp")).first()[0]
+        bronze = sinks.read_bronze(spark, targets, since=first) if targets.bronze and first is not None else None
+        if bronze is not None and bronze.columns:
+            for c in readings.columns:  # a column that bronze does not keep
+                bronze = bronze if c in bronze.columns else bronze.withColumn(c, F.lit(None).cast(readings.schema[c].dataType))
+            bronze = bronze.select(*readings.columns)
             changed = late.corrections(batch, bronze, sinks.read_context(spark, targets))
             latest = rules.latest_rules(rules.complete(read_rules())).where(rules.is_instant() & ~rules.is_rate())
             sinks.write_corrected(rules.evaluate(changed, latest), batch_id, targets)

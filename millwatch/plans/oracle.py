@@ -433,7 +433,6 @@ SQL: dict[str, str] = {
         numbered AS (SELECT *, sum(g) OVER (PARTITION BY machine_id ORDER BY "timestamp", seq) AS s FROM gaps)
         SELECT machine_id, min("timestamp") AS session_start, max("timestamp") AS last_seen, count(*) AS n
         FROM numbered GROUP BY machine_id, s""",
-    "stream_dedupe": 'SELECT machine_id, "timestamp", seq FROM tel',
     "stream_rules": f"""SELECT device_id, alert_time, rule_id, device_id AS key FROM alerts
         WHERE alert_type NOT IN ('rate_above', 'rate_below') AND NOT {_BAD}""",
     "stream_bronze": f"""SELECT 'root.factory1.' || machine_id AS device_path,
@@ -448,6 +447,9 @@ SQL: dict[str, str] = {
 
 
 SQL["stream_ewma"] = SQL["ewma"]
+SQL["stream_dedupe"] = SQL["dedupe_series"]
+SQL["bronze_6h"] = SQL["series_6h"]
+SQL["bronze_devices"] = SQL["series_devices"]
 SQL["stream_evaluation"] = SQL["evaluation"]
 SQL["stream_late_context"] = SQL["stream_context"]
 for _kind in ("rate", "sustained", "windowed"):

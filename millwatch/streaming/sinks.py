@@ -15,9 +15,12 @@ from pyspark.storagelevel import StorageLevel
 from millwatch import schemas
 from millwatch.operators import context, parse, rules
 from millwatch.operators.series import bronze_rows
+from millwatch.sources.bronze import Bronze, open_table
 
 # Fixed value: flush after this long.
 FLUSH_INTERVAL = "3 seconds"
+#: Small bronze files are put together after so many micro-batches.
+COMPACT_EVERY = 50
 
 
 @dataclass(frozen=True)
@@ -62,14 +65,17 @@ def write_batch(evaluated: DataFrame, batch_id: int, targets: Targets) -> None:
     """Fan one micro-batch out to all targets.
 
     The batch is computed once and kept in memory and on disk while it is written. A failed batch
-    is run again by Spark: each folder output replaces its own ``batch_id``, and ids depend only
+    is run again by Spark: bronze knows the batches it holds, each folder output replaces its own ``batch_id``, and ids depend only
     on the rows, so a replay leaves the same data. Nothing is dropped on an error.
     """
     rows = evaluated.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if targets.bronze:
-            cluster_rows(bronze_rows(rows, targets.group)).write.mode("overwrite").partitionBy("date").parquet(
-                f"{targets.bronze}/batch_id={batch_id}")
+            own = bronze_rows(rows, targets.group)
+            table = Bronze(rows.sparkSession, targets.bronze, own.schema)
+            table.append(own, batch_id)
+            if batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
+                table.compact()
         if targets.evaluation:
             _write(parse.to_message(rules.evaluation(rows)), targets.evaluation, batch_id, targets)
         if "context_anomaly" in rows.columns:
@@ -105,6 +111,11 @@ def write_context(events: DataFrame, batch_id: int, targets: Targets) -> None:
     events.write.mode("overwrite").parquet(f"{targets.context}/batch_id={batch_id}")
 
 
+def read_bronze(spark: SparkSession, targets: Targets, **bounds) -> DataFrame:
+    """Rows of the bronze table, by the bounds of ``Bronze.read``."""
+    return open_table(spark, targets.bronze).read(**bounds)
+
+
 def read_context(spark: SparkSession, targets: Targets) -> DataFrame:
     if present(spark, targets.context):
         return read_batches(spark, targets.context)

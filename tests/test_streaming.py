@@ -176,8 +176,8 @@ def test_fan_out_and_replay(spark, tmp_path):
         sinks.write_batch(evaluated, batch_id, targets)  # a replay of the same batch changes nothing
 
     sinks.start(parsed, write, f"{tmp_path}/check", once=True).awaitTermination()
-    assert sinks.read_batches(spark, targets.bronze).count() == 2
-    assert spark.read.parquet(targets.bronze).select("device_path").first()[0] == "root.factory1.a"
+    assert sinks.read_bronze(spark, targets).count() == 2
+    assert sinks.read_bronze(spark, targets).select("device_path").first()[0] == "root.factory1.a"
     messages = [json.loads(r["value"]) for r in sinks.read_batches(spark, targets.evaluation).collect()]
     assert sorted(m["passed"] for m in messages) == [False, True]
     assert all("fault_code" in m and m["fault_code"] is None for m in messages)
@@ -205,7 +205,7 @@ def test_the_whole_job(spark, tmp_path):
     got = {m["timestamp"]: (m["run_id"], m["passed"])
            for m in (json.loads(r["value"]) for r in sinks.read_batches(spark, targets.evaluation).collect())}
     assert got == {1000: ("r1", True), 6000: ("r2", False)}
-    assert sinks.read_batches(spark, targets.bronze).count() == 2
+    assert sinks.read_bronze(spark, targets).count() == 2
     assert sinks.read_batches(spark, targets.alerts).count() == 1
     assert sinks.read_batches(spark, targets.errors).count() == 1
     dlq = [json.loads(r["value"]) for r in sinks.read_batches(spark, targets.dlq).collect()]
@@ -247,7 +247,7 @@ def test_a_wrong_clock_is_a_dead_letter(spark, tmp_path):
         q.awaitTermination()
     kept = [json.loads(r["value"])["timestamp"] for r in sinks.read_batches(spark, targets.evaluation).collect()]
     assert sorted(kept) == [1000, 2000]  # LAST still waits for the watermark
-    assert sinks.read_batches(spark, targets.bronze).count() == 2
+    assert sinks.read_bronze(spark, targets).count() == 2
     letters = sorted((m["source"], m["error_type"]) for m in (
         json.loads(r["value"]) for r in sinks.read_batches(spark, targets.errors).collect()))
     assert letters == [("context-parser", "SCHEMA_VALIDATION_ERROR"), ("telemetry-parser", "CLOCK_ERROR")]
