@@ -34,11 +34,20 @@ ROLL = 1 << 23
 REMEMBERED = 250_000
 LONGEST = 64
 #: Unknown strings that one call of the library takes.
-TOGETHER = 4096
+TOGETHER = 16_384
 #: White space of any kind.
 WHITE = re.compile(r"[\s\u180E]")
 
 
+#: White space beside white space, or at an end.
+CLOSE = re.compile(r"[\s\u180E](?:[\s\u180E]|\Z)")
+
+
+def _only_lone(text: str) -> bool:
+    """Whether every space stands between two characters that are no white space."""
+    return not text[:1].isspace() and text[:1] != "\u180e" and CLOSE.search(text) is None
+
+
 class _Library:
     """Ids by the tokenizers library; strings between lone spaces are encoded once and remembered.
 
@@ -67,25 +76,24 @@ class _Library:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [LONE_SPACE.split(t) for t in texts]
+        split = [t.split(" ") if _only_lone(t) else LONE_SPACE.split(t) for t in texts]
+        heads = self.whole([s.pop(0) for s in split])
         young, older = self.young, self.older
-        found, plain, other = {}, [], []
-        for w in set().union(*(s[1:] for s in split)):
-            ids = young.get(w)
-            if ids is None and (ids := older.get(w)) is None:
-                (other if WHITE.search(w) else plain).append(w)
-            else:
-                found[w] = ids
-        fresh = dict(zip(other, self.whole([" " + w for w in other]), strict=True))
+        new = set().union(*split).difference(young)
+        if older:  # what is used again outlives its generation
+            again = {w: older[w] for w in new if w in older}
+            young.update(again)
+            new.difference_update(again)
+        other = [w for w in new if WHITE.search(w)]
+        young.update(zip(other, self.whole([" " + w for w in other]), strict=True))
+        plain = list(new.difference(other))
         for start in range(0, len(plain), TOGETHER):
             some = plain[start : start + TOGETHER]
-            fresh.update(zip(some, self.apart(some), strict=True))
-        found |= fresh
-        heads = self.whole([s[0] for s in split])
-        out = [b"".join([head, *map(found.__getitem__, s[1:])]) for head, s in zip(heads, split, strict=True)]
-        if older:  # what is used again outlives its generation
-            fresh |= {w: ids for w, ids in found.items() if w not in young}
-        young.update((w, x) for w, x in fresh.items() if len(w) <= LONGEST)
+            young.update(zip(some, self.apart(some), strict=True))
+        get = young.__getitem__
+        out = [head + b"".join(map(get, s)) for head, s in zip(heads, split, strict=True)]
+        for w in [w for w in new if len(w) > LONGEST]:
+            del young[w]
         if len(young) >= REMEMBERED:
             self.young, self.older = {}, young
         return out
