@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 CONFIG_ROWS = 20_000  # configuration up to this size is broadcast or inlined
+BROADCAST_BYTES = 64 << 20
 
 
 def once(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -28,11 +29,13 @@ def localize(df: DataFrame, max_rows: int = CONFIG_ROWS) -> tuple[DataFrame, lis
     return df.sparkSession.createDataFrame(rows, df.schema), rows
 
 
-def guarded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Hint a broadcast only when a bounded count shows the side is small.
+def guarded_broadcast(df: DataFrame, max_rows: int = 100_000, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only when a bounded count shows that the side is small, in rows and in bytes as text.
 
     A larger side gets no hint and is joined by shuffle, with skewed partitions split at run time.
     """
     if df.isStreaming:
         return df
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    size = F.sum(F.length(F.to_json(F.struct(*df.columns))))
+    rows, text = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first()
+    return F.broadcast(df) if rows <= max_rows and text <= max_bytes else df

@@ -36,10 +36,6 @@ def iso_instant(ms: Column) -> Column:
     return F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
-def event_time(ms: Column) -> Column:
-    return F.timestamp_millis(ms)
-
-
 def device_path(group: Column | str, device: Column) -> Column:
     return F.concat_ws(".", F.lit(group) if isinstance(group, str) else group, device)
 

@@ -146,14 +146,11 @@ def failures(parsed: DataFrame, source: str) -> DataFrame:
 
 
 def log_lines(letters: DataFrame) -> DataFrame:
-    """Dead letters as short log lines."""
-    return letters.select("request_id", F.concat_ws(
-        " | ", F.concat(F.lit("[DLQ] "), F.col("source")), "error_type",
-        F.concat(F.lit("Input: "), F.coalesce(scalars.truncate(F.col("original_input"), scalars.MAX_LOG),
-                                              F.lit("null"))),
-        F.concat(F.lit("Device: "), F.coalesce("device_id", F.lit("UNKNOWN"))),
-        F.concat(F.lit("RequestId: "), F.col("request_id")),
-    ).alias("line"))
+    """Dead letters as short lines for a log: why, where from, which machine, then the start of the text."""
+    machine = F.coalesce("device_id", F.lit("a machine without a name"))
+    text = F.coalesce(scalars.truncate(F.col("original_input"), scalars.MAX_LOG), F.lit(""))
+    return letters.select("request_id", F.concat(
+        "error_type", F.lit(" in "), "source", F.lit(" from "), machine, F.lit(", no. "), "request_id", F.lit(": "), text).alias("line"))
 
 
 def to_message(df: DataFrame, key: str | None = None) -> DataFrame:

@@ -45,6 +45,18 @@ def edge_trim(telemetry: DataFrame, runs: DataFrame, lead_ms: int = 5000, trail_
     return placed if action == "tag" else placed.where(~F.col("disposition").startswith("TRIMMED"))
 
 
+def output_of(disposition: Column) -> Column:
+    """Which output a reading belongs to: kept, trimmed or pending."""
+    return F.when(disposition == PENDING, "pending").when(disposition.startswith("TRIMMED"), "trimmed").otherwise("kept")
+
+
+def settle_pending(pending: DataFrame, runs: DataFrame, lead_ms: int = 5000, trail_ms: int = 5000, *,
+                   cuts: Cuts | None = None) -> DataFrame:
+    """Readings that were pending, decided by the runs that are known now. Those still outside of any stay pending."""
+    bare = pending.drop("run_id", "start_ts", "end_ts", "disposition", "output")
+    return edge_trim(bare, runs, lead_ms, trail_ms, "tag", cuts=cuts)
+
+
 def edge_trim_by_manifest(telemetry: DataFrame, runs: DataFrame, manifests: DataFrame, *,
                           cuts: Cuts | None = None) -> DataFrame:
     """As ``edge_trim``, with lead, trail and action of the current manifest of each machine type."""

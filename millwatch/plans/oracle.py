@@ -423,6 +423,8 @@ SQL: dict[str, str] = {
     "stream_clock": f"""SELECT seq AS "offset",
         coalesce({_TYPE}, CASE WHEN seq % 97 = 0 THEN 'CLOCK_ERROR' ELSE 'placed' END) AS outcome FROM tel""",
     "stream_trim": f"""SELECT machine_id, "timestamp", seq, run_id, start_ts, {_TRIM} AS disposition FROM inside""",
+    "stream_trim_outputs": f"""SELECT machine_id, "timestamp", seq, run_id, CASE {_TRIM} WHEN 'PENDING' THEN 'pending'
+        WHEN 'KEEP' THEN 'kept' ELSE 'trimmed' END AS output FROM inside""",
     "stream_guard": """SELECT device_id, previous_run_id, current_run_id, ts AS implicit_transition_ts FROM closes""",
     "stream_stats": f"""SELECT machine_id, "timestamp" // {HOUR} * {HOUR} AS window_start, count(*) AS n,
         min(gas_temperature) AS gas_temperature_min, max(gas_temperature) AS gas_temperature_max FROM tel
@@ -447,6 +449,7 @@ SQL: dict[str, str] = {
 
 
 SQL["stream_ewma"] = SQL["ewma"]
+SQL["stream_trim_manifest"] = SQL["edge_trim_manifest"]
 SQL["stream_dedupe"] = SQL["dedupe_series"]
 SQL["bronze_6h"] = SQL["series_6h"]
 SQL["bronze_devices"] = SQL["series_devices"]

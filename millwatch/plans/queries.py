@@ -476,7 +476,7 @@ def edge_trim_tag(spark, sf):
 def edge_trim_manifest(spark, sf):
     cuts = views.cuts(spark, sf)
     rows = trimming.edge_trim_by_manifest(
-        views.telemetry(spark, sf), _runs(spark, sf, cuts), _current(spark, sf), cuts=cuts)
+        views.telemetry(spark, sf), _runs(spark, sf, cuts), current_manifests(spark, sf), cuts=cuts)
     return rows.select("machine_id", "timestamp", "seq", "run_id", "disposition")
 
 
@@ -487,7 +487,7 @@ def _history(spark, sf):
                                       cuts=views.manifest_cuts(spark, sf))
 
 
-def _current(spark, sf):
+def current_manifests(spark, sf):
     return localize(manifests.current_manifests(_history(spark, sf)), 1000)[0]
 
 
@@ -518,7 +518,7 @@ def manifest_current(spark, sf):
 
 @query
 def manifest_lookup(spark, sf):
-    rows = manifests.attach_manifest(views.telemetry(spark, sf), _current(spark, sf))
+    rows = manifests.attach_manifest(views.telemetry(spark, sf), current_manifests(spark, sf))
     first = scalars.first_named(F.col("_manifest.measurements"), "name", "gas_pressure")
     return rows.groupBy("machine_type", F.col("_manifest.version").alias("version"), first["unit"].alias("unit")).agg(
         F.count(F.lit(1)).alias("n"))
@@ -527,7 +527,7 @@ def manifest_lookup(spark, sf):
 @query
 def manifest_rules(spark, sf):
     """Alerts of the rules that the current manifests bring along."""
-    brought = manifests.manifest_rules(_current(spark, sf)).withColumn(
+    brought = manifests.manifest_rules(current_manifests(spark, sf)).withColumn(
         "rule_id", F.concat_ws("/", "device_type", "rule_id"))
     return rules.alert_counts(rules.alerts(rules.evaluate(views.telemetry(spark, sf), brought)))
 
@@ -538,14 +538,14 @@ def _devices(spark, sf):
 
 @query
 def schema_requests(spark, sf):
-    return manifests.schema_requests(_current(spark, sf), _devices(spark, sf))
+    return manifests.schema_requests(current_manifests(spark, sf), _devices(spark, sf))
 
 
 @query
 def new_series(spark, sf):
     """Series with readings that no request has registered: here, those the manifests leave out."""
     seen = series.series_list(views.telemetry(spark, sf))
-    asked = manifests.schema_requests(_current(spark, sf), _devices(spark, sf)).where(
+    asked = manifests.schema_requests(current_manifests(spark, sf), _devices(spark, sf)).where(
         F.col("kind") == "CREATE_TIMESERIES")
     known = asked.select(F.substring_index("device_path", ".", -1).alias("device_id"), "measurement")
     return manifests.new_series(seen, known)
@@ -553,7 +553,7 @@ def new_series(spark, sf):
 
 @query
 def unknown_devices(spark, sf):
-    return manifests.unknown_devices(_devices(spark, sf), _current(spark, sf))
+    return manifests.unknown_devices(_devices(spark, sf), current_manifests(spark, sf))
 
 
 @query
@@ -569,7 +569,7 @@ def normalize_units(spark, sf):
         "status", F.col("torque").cast("string").alias("torque"),
     ).unpivot(["device_id", "device_type", "ts"], ["gas_temperature", "gas_pressure", "humidity", "status", "torque"],
               "measurement", "raw")
-    return manifests.normalize(rows, _current(spark, sf), views.units(spark)).drop("flag")
+    return manifests.normalize(rows, current_manifests(spark, sf), views.units(spark)).drop("flag")
 
 
 # Dimensions and KPIs

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from millwatch.operators import parse, rules, series, windows
 from millwatch.plans import guard, views
-from millwatch.plans.queries import HOUR, Query, flat, off_ties, rounded
+from millwatch.plans.queries import HOUR, Query, current_manifests, flat, off_ties, rounded
 from millwatch.session import shared_folder
 from millwatch.sources.bronze import Bronze
 from millwatch.streaming import late, rule_state, sinks, stateful
@@ -80,6 +80,24 @@ def stream_trim(spark, sf):
     return settle(spark, rows.select("machine_id", "timestamp", "seq", "run_id", "start_ts", "disposition"), "trim")
 
 
+@query
+def stream_trim_outputs(spark, sf):
+    """What the trimming stream keeps, trims and leaves pending, each in its own output."""
+    ev, base = views.event_stream(spark, sf), shared_folder(spark, "trim-outputs")
+    rows = stateful.edge_trim_stream(views.telemetry_of(ev), views.context_of(ev), HOUR, HOUR, "tag", salts=2, ticks=end(spark))
+    sinks.start(rows, lambda b, i: sinks.write_trimmed(b, i, f"{base}/out"), f"{base}/checkpoint", once=True,
+                partitions=_cores(spark)).awaitTermination()
+    return sinks.read_batches(spark, f"{base}/out").select("machine_id", "timestamp", "seq", "run_id", "output")
+
+
+@query
+def stream_trim_manifest(spark, sf):
+    ev = views.event_stream(spark, sf)
+    rows = stateful.edge_trim_stream(views.telemetry_of(ev), views.context_of(ev), manifests=current_manifests(spark, sf), salts=2,
+                                     ticks=end(spark))
+    return settle(spark, rows.select("machine_id", "timestamp", "seq", "run_id", "disposition"), "trim-manifest")
+
+
 @query
 def stream_ewma(spark, sf):
     rows = stateful.ewma_stream(views.telemetry_of(views.event_stream(spark, sf)), "gas_temperature", 0.3,

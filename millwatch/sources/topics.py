@@ -11,6 +11,8 @@ from millwatch import schemas
 
 # What is read from the start, so that a new job knows the rules and the runs.
 FROM_START = (schemas.CONTEXT_TOPIC, schemas.RULES_TOPIC, schemas.MANIFEST_TOPIC)
+#: What a micro-batch takes at most where the options say nothing; the rest waits for the next one.
+OFFSETS, FILES = 2_000_000, 1_000
 
 
 def read_topic(spark: SparkSession, topic: str, *, options: Mapping[str, str] | None = None,
@@ -18,7 +20,7 @@ def read_topic(spark: SparkSession, topic: str, *, options: Mapping[str, str] |
     """Records of a topic with key, value, topic, partition, offset and timestamp.
 
     ``format='kafka'`` needs the connector on the classpath and ``kafka.bootstrap.servers`` in
-    ``options``; ``maxOffsetsPerTrigger`` bounds a micro-batch. ``parquet`` reads the same columns
+    ``options``; ``maxOffsetsPerTrigger`` and ``maxFilesPerTrigger`` bound a micro-batch. ``parquet`` reads the same columns
     from files under ``path``; ``text`` and ``json`` read one message per line, ``json`` being
     the lines as they are. Files of other topics in one folder are left out by ``topic``.
     """
@@ -27,7 +29,10 @@ def read_topic(spark: SparkSession, topic: str, *, options: Mapping[str, str] |
     if format == "kafka":
         if streaming:
             options.setdefault("startingOffsets", "earliest" if topic in FROM_START else "latest")
+            options.setdefault("maxOffsetsPerTrigger", str(OFFSETS))
         return reader.format("kafka").option("subscribe", topic).options(**options).load()
+    if streaming:
+        options.setdefault("maxFilesPerTrigger", str(FILES))
     if path is None:
         raise ValueError(f"format {format} needs a path")
     if format == "parquet":

@@ -15,6 +15,7 @@ from pyspark.storagelevel import StorageLevel
 from millwatch import schemas
 from millwatch.operators import context, parse, rules
 from millwatch.operators.series import bronze_rows
+from millwatch.operators.trimming import output_of
 from millwatch.sources.bronze import Bronze, open_table
 
 # Fixed value: flush after this long.
@@ -111,6 +112,12 @@ def write_context(events: DataFrame, batch_id: int, targets: Targets) -> None:
     events.write.mode("overwrite").parquet(f"{targets.context}/batch_id={batch_id}")
 
 
+def write_trimmed(tagged: DataFrame, batch_id: int, path: str) -> None:
+    """Write tagged readings of one micro-batch to the outputs kept, trimmed and pending, none dropped."""
+    tagged.withColumn("output", output_of(F.col("disposition"))).write.mode("overwrite").partitionBy("output").parquet(
+        f"{path}/batch_id={batch_id}")
+
+
 def read_bronze(spark: SparkSession, targets: Targets, **bounds) -> DataFrame:
     """Rows of the bronze table, by the bounds of ``Bronze.read``."""
     return open_table(spark, targets.bronze).read(**bounds)

@@ -30,7 +30,8 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from millwatch import schemas
 from millwatch.operators.context import anomaly
-from millwatch.operators.trimming import disposition
+from millwatch.operators.manifests import attach_manifest
+from millwatch.operators.trimming import disposition, trim_config
 from millwatch.operators.windows import LATENESS, with_event_time
 from millwatch.session import use_rocksdb_state
 
@@ -285,22 +286,32 @@ def attach_context_stream(telemetry: DataFrame, context: DataFrame, *, salts: in
 
 
 def edge_trim_stream(telemetry: DataFrame, context: DataFrame, lead_ms: int = 5000, trail_ms: int = 5000,
-                     action: str = "drop", *, salts: int = 4, buckets: int = BUCKETS,
+                     action: str = "drop", *, manifests: DataFrame | None = None, salts: int = 4, buckets: int = BUCKETS,
                      lateness: str = LATENESS, ticks: DataFrame | None = None,
                      keep_ms: int = KEEP_MS) -> DataFrame:
     """``edge_trim`` for streams, from the context events themselves.
 
     A reading is decided once ``trail_ms`` after it has passed: a trackout within its trail has
-    then arrived. The watermark's delay is the grace for a late trackin or trackout.
+    then arrived. The watermark's delay is the grace for a late trackin or trackout. With current ``manifests`` lead, trail
+    and action are those of the machine's type, and a reading waits for the longest trail of all; readings of other types
+    are left out. ``sinks.write_trimmed`` keeps what is kept, trimmed and pending apart.
     """
+    lead, trail, tagged = F.lit(lead_ms), F.lit(trail_ms), F.lit(action == "tag")
+    if manifests is not None:
+        # one row per device type
+        trail_ms = manifests.agg(F.max(trim_config(F.col("manifest.edgeTrimming"))[1])).first()[0] or 0
     placed = _placed(telemetry, context, trail_ms, salts, buckets, lateness, ticks, keep_ms)
     rows = placed.select("_r.*", F.col("run_name").alias("run_id"), F.col("run_start").alias("start_ts"),
                          F.col("run_end").alias("end_ts"))
+    if manifests is not None:
+        rows = attach_manifest(rows, manifests).where("_manifest is not null")
+        lead, trail, kind = trim_config(F.col("_manifest.edgeTrimming"))
+        tagged = kind == "tag"
     # An end later than the trail may be known or not when a reading is decided; it changes nothing.
-    near = F.when(F.col("end_ts") - F.col("timestamp") <= trail_ms, F.col("end_ts"))
+    near = F.when(F.col("end_ts") - F.col("timestamp") <= trail, F.col("end_ts"))
     rows = rows.withColumn("end_ts", near).withColumn(
-        "disposition", disposition(F.col("timestamp"), F.col("start_ts"), F.col("end_ts"), lead_ms, trail_ms))
-    return rows if action == "tag" else rows.where(~F.col("disposition").startswith("TRIMMED"))
+        "disposition", disposition(F.col("timestamp"), F.col("start_ts"), F.col("end_ts"), lead, trail))
+    return rows.where(tagged | ~F.col("disposition").startswith("TRIMMED")).drop("_manifest")
 
 
 def _in_order(rows: DataFrame, processor: Held, buckets: int, lateness: str, ticks: DataFrame | None) -> DataFrame:

@@ -375,3 +375,21 @@ def test_kafka_is_only_an_option(spark):
     from millwatch.sources.topics import read_topic
     with pytest.raises(Exception, match="kafka"):
         read_topic(spark, schemas.TELEMETRY_TOPIC, streaming=True, options={"kafka.bootstrap.servers": "x:1"})
+
+
+def test_trimming_with_outputs_and_pending_settled_later(spark, tmp_path):
+    t, c = tmp_path / "t", tmp_path / "c"
+    write_file(t, "0.json", READINGS)
+    write_file(t, "9.json", [CLOCK])
+    write_file(c, "9.json", [ctx("clock", "r", "trackin", LAST)])
+    write_file(c, "0.json", EVENTS[2:])  # the first run is not known yet
+    rows_ = stateful.edge_trim_stream(stream(spark, t, TEL), stream(spark, c, CTX), 2000, 2000, "tag", salts=2)
+    sinks.start(rows_, lambda b, i: sinks.write_trimmed(b, i, f"{tmp_path}/out"), f"{tmp_path}/check", once=True).awaitTermination()
+    out = sinks.read_batches(spark, f"{tmp_path}/out").where("machine_id = 'a'")
+    counts = {r["output"]: r["n"] for r in out.groupBy("output").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert counts == {"pending": 19, "trimmed": 5, "kept": 15} and sum(counts.values()) == len(READINGS)
+    bt, bc = tables(spark)
+    again = trimming.settle_pending(out.where("output = 'pending'"), context.runs(bc), 2000, 2000)
+    want = trimming.edge_trim(bt.where("timestamp < 20000"), context.runs(bc), 2000, 2000, "tag")
+    names = ["timestamp", "run_id", "start_ts", "disposition"]
+    assert rows(again, *names) == rows(want, *names)
