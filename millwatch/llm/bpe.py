@@ -30,16 +30,16 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millwatch.llm.store import arrow_schema, map_arrow, octets_of, record
+from millwatch.llm.store import Tidy, arrow_schema, map_arrow, octets_of, record
 
 #: Bytes of pre-tokens and their ids that a task remembers, about, in two generations, so frequent ones stay when the older
 #: is dropped; and the longest of them. What is forgotten is encoded again.
-REMEMBERED = 24 << 20
+REMEMBERED = 16 << 20
 LONGEST = 64
 #: What an entry takes besides its bytes.
 ENTRY = 150
 #: Bytes of text whose pre-tokens are looked up together.
-TOGETHER = 6 << 20
+TOGETHER = 3 << 20
 #: A space that always starts a pre-token: no white space beside it (U+180E counts, as in older tables).
 LONE_SPACE = re.compile(r"(?<=[^\s\u180E]) (?=[^\s\u180E])")
 
@@ -323,8 +323,8 @@ def _report(schema, path: str, pattern: str, batches: Iterator[pa.RecordBatch])
     own = coder(path, pattern)
     try:
         for whole in batches:
-            for start in range(0, whole.num_rows, 4096):
-                batch = whole.slice(start, 4096)
+            for start in range(0, whole.num_rows, 1024):
+                batch = whole.slice(start, 1024)
                 ids = own.encode_all([t.decode("utf-8", "replace") for t in octets_of(batch)])
                 yield record({"doc_id": batch.column("doc_id"), "n_tokens": [len(x) // 4 for x in ids], "ids_sha256": [sha256(x).hexdigest() for x in ids],
                               "decoded_sha256": [sha256(own.decode(x)).hexdigest() for x in ids]}, schema)
@@ -352,4 +352,4 @@ def token_report(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, and SHA-256 of the ids and of the bytes that they decode to: encoded and decoded in one pass."""
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(partial(_report, arrow_schema(schema), path, pattern), schema)
+    return rows.mapInArrow(Tidy(partial(_report, arrow_schema(schema), path, pattern)), schema)

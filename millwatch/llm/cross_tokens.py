@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millwatch.llm.store import arrow_schema, octets_of, record, saved
+from millwatch.llm.store import Tidy, arrow_schema, octets_of, record, saved
 
 #: Links, and documents, of a run.
 RUN, RUN_DOCS = 1 << 22, 1 << 16
@@ -409,7 +409,7 @@ def _contribute(schema, buckets: int, b_bits: int, highest: np.ndarray, batches:
 
 
 def _arrow(df: DataFrame, fn, ddl: str, *extra) -> DataFrame:
-    return df.mapInArrow(partial(fn, arrow_schema(ddl), *extra), ddl)
+    return df.mapInArrow(Tidy(partial(fn, arrow_schema(ddl), *extra)), ddl)
 
 
 def _dealt(df: DataFrame, key: Column | str, n: int, *order: str) -> DataFrame:

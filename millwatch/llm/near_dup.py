@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from millwatch.llm import octets
 from millwatch.llm.components import components
-from millwatch.llm.store import KEY, NO_ID, arrow_schema, id_key, keyed, map_arrow, octets_of, record, saved, small
+from millwatch.llm.store import KEY, NO_ID, Tidy, arrow_schema, id_key, keyed, map_arrow, octets_of, record, saved, small
 from millwatch.llm.superminhash import SLOTS, bands, signatures
 
 BAND_ROWS = 5
@@ -186,7 +186,7 @@ def _groups(marked: DataFrame, width: int, percent: int, slots: int = SLOTS, row
     sets = saved(map_arrow(texts.join(ids, "id", "left_semi"), _sets, "id long, set binary", width).groupBy("id").agg(F.max("set").alias("set")), "sets")
 
     pair = "a long, b long, alike double"
-    chained = rows_in.repartitionByRange("key", "tie", "id").sortWithinPartitions("key", "tie", "id").mapInArrow(partial(_chain, arrow_schema(pair), slots), pair)
+    chained = rows_in.repartitionByRange("key", "tie", "id").sortWithinPartitions("key", "tie", "id").mapInArrow(Tidy(partial(_chain, arrow_schema(pair), slots)), pair)
     tried = chained.groupBy("a", "b").agg(F.max("alike").alias("alike"))
     best = tried.groupBy("b").agg(F.slice(F.sort_array(F.collect_list(F.struct("alike", "a")), asc=False), 1, NEIGHBOURS).alias("best"))
     pairs = best.select("b", F.explode("best.a").alias("a"))
@@ -208,7 +208,7 @@ def _groups(marked: DataFrame, width: int, percent: int, slots: int = SLOTS, row
     visits = guests.join(at, "key").select("id", "comp", "home", "block", F.lit(1).alias("guest")).distinct()
     members = homes.join(visits.select("home", "block").distinct(), ["home", "block"], "left_semi").select("id", "comp", "home", "block", F.lit(0).alias("guest"))
     work = members.unionByName(visits).join(sets, "id").repartition("home", "block").sortWithinPartitions("home", "block", "guest", "id")
-    more = work.mapInArrow(partial(_verify_blocks, arrow_schema("a long, b long"), percent), "a long, b long")
+    more = work.mapInArrow(Tidy(partial(_verify_blocks, arrow_schema("a long, b long"), percent)), "a long, b long")
     more = saved(more, "links")
 
     all_links = found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import suppress
 from functools import partial
 
 import pyarrow as pa
@@ -55,10 +57,6 @@ def id_key(name: str) -> Column:
     return F.coalesce(F.col(name).cast("long"), F.lit(NO_ID))
 
 
-def id_back(column: Column) -> Column:
-    return F.when(column != NO_ID, column)
-
-
 #: Column of ``keyed``.
 KEY = "__key"
 
@@ -83,7 +81,25 @@ def map_arrow(df: DataFrame, fn: Callable[..., dict], schema: StructType | str,
     """Apply ``fn(batch: pa.RecordBatch, *extra) -> {column: values}`` to pieces of at most `rows` rows."""
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
-    return df.mapInArrow(partial(_run, fn, schema, extra, rows), schema)
+    return df.mapInArrow(Tidy(partial(_run, fn, schema, extra, rows)), schema)
+
+
+class Tidy:
+    """A function of ``mapInArrow`` whose worker gives free memory back to the system when the task ends.
+
+    Workers are kept for later tasks, and what their allocators hold would be kept with them.
+    """
+
+    def __init__(self, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> None:
+        self.fn = fn
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from self.fn(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with suppress(OSError, AttributeError):  # only where the C library can
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def _run(fn, schema, extra, rows, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

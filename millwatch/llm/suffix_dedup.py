@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millwatch.llm import octets
-from millwatch.llm.store import KEY, arrow_schema, id_key, keyed, map_arrow, octets_of, record, saved, small
+from millwatch.llm.store import KEY, Tidy, arrow_schema, id_key, keyed, map_arrow, octets_of, record, saved, small
 
 LENGTH = 100
 GRAM = 32
@@ -329,7 +329,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
     buckets = 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     sent = map_arrow(own, _send_anchors, "bucket int, kind int, packed binary", buckets, length, gram)
     dealt = sent.repartition("bucket").sortWithinPartitions("bucket")
-    first = saved(dealt.mapInArrow(partial(_repeated, arrow_schema(SPAN)), SPAN), "anchors")
+    first = saved(dealt.mapInArrow(Tidy(partial(_repeated, arrow_schema(SPAN))), SPAN), "anchors")
 
     places = first.where("kind = 1").groupBy("id").agg(F.sort_array(F.collect_set("a")).alias("places"))
     places = saved(places, "places")
@@ -342,7 +342,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
     grouped = mine.join(sizes, "key").withColumn("cut", F.col("k") > group)
     grouped = grouped.withColumn("part", F.when(F.col("cut"), F.pmod(F.xxhash64("id", "b"), F.ceil(F.col("k") / group))).otherwise(F.lit(0).cast("long")))
     lined = grouped.select("key", "part", "id", "a", "b", "left", "bytes", "cut").repartition("key", "part").sortWithinPartitions("key", "part")
-    marks = saved(lined.mapInArrow(partial(_sort_groups, arrow_schema(MARK), length, gram), MARK), "marks")
+    marks = saved(lined.mapInArrow(Tidy(partial(_sort_groups, arrow_schema(MARK), length, gram)), MARK), "marks")
 
     heads = marks.where("h1 is not null").select("h1", "h2", F.struct("id", "a").alias("at"))
     least = heads.groupBy("h1", "h2").agg(F.min("at").alias("least"))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from millwatch.llm import huffman
 from millwatch.llm.bpe import LONE_SPACE
-from millwatch.llm.store import NO_ID, arrow_schema, committed, folder, id_key, map_arrow, octets_of, one_per_task, open_store, record, saved
+from millwatch.llm.store import NO_ID, Tidy, arrow_schema, committed, folder, id_key, map_arrow, octets_of, one_per_task, open_store, record, saved
 
 MAGIC = b"MWTOKEN1"
 BLOCK = 1 << 16
@@ -204,8 +204,8 @@ def write_ids(docs: DataFrame, tokenizer: str, uri: str, end_id: int = 0) -> Dat
     texts = docs.select(id_key("doc_id").alias("id"), F.col("text").cast("binary").alias("text"))
     ranged = texts.repartitionByRange("id").sortWithinPartitions("id", "text")
     schema = "id long, ids binary"
-    ids = saved(ranged.mapInArrow(partial(_tokens, arrow_schema(schema), tokenizer, end_id), schema), "ids")
-    counted = ids.select("ids").mapInArrow(partial(_histogram, arrow_schema("token long, k long")), "token long, k long").groupBy("token").agg(F.sum("k").alias("k"))
+    ids = saved(ranged.mapInArrow(Tidy(partial(_tokens, arrow_schema(schema), tokenizer, end_id)), schema), "ids")
+    counted = ids.select("ids").mapInArrow(Tidy(partial(_histogram, arrow_schema("token long, k long"))), "token long, k long").groupBy("token").agg(F.sum("k").alias("k"))
     counts = np.zeros(1, np.int64)
     for r in counted.collect():  # one row per id of the vocabulary
         if r["token"] >= len(counts):
@@ -213,7 +213,7 @@ def write_ids(docs: DataFrame, tokenizer: str, uri: str, end_id: int = 0) -> Dat
         counts[r["token"]] = r["k"]
     lengths = huffman.code_lengths(counts)
     shared = spark.sparkContext.broadcast((lengths, huffman.canonical(lengths)))
-    manifest = committed(ids.mapInArrow(partial(_write, arrow_schema(WRITTEN), uri, shared), WRITTEN), uri, ["first_id"], "ids-%06d.mwt")
+    manifest = committed(ids.mapInArrow(Tidy(partial(_write, arrow_schema(WRITTEN), uri, shared)), WRITTEN), uri, ["first_id"], "ids-%06d.mwt")
     # one row per file
     order = Window.orderBy("first_id", "name").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("start", F.coalesce(F.sum("ids").over(order), F.lit(0)))
