@@ -120,6 +120,25 @@ ORACLE: dict[str, str] = {
         SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
                sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM words d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op5_suffix_dedup": """
+        WITH d AS (SELECT doc_id, hex(coalesce(text, '')) AS h FROM documents),
+        grams AS (
+            SELECT doc_id, i, md5(substr(h, 2 * i + 1, 200)) AS gram
+            FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS i FROM d WHERE len(h) >= 200)),
+        first AS (SELECT gram, min((doc_id, i)) AS one FROM grams GROUP BY gram HAVING count(*) > 1),
+        marks AS (SELECT g.doc_id, g.i FROM grams g JOIN first f USING (gram) WHERE (g.doc_id, g.i) <> f.one),
+        runs AS (
+            SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run
+            FROM (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 100 THEN 0 ELSE 1 END AS new FROM marks)),
+        spans AS (SELECT doc_id, run, min(i) AS a, max(i) + 100 AS b FROM runs GROUP BY ALL),
+        cuts AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM spans),
+        kept AS (
+            SELECT c.doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans,
+                   string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS rest
+            FROM cuts c JOIN d USING (doc_id) GROUP BY c.doc_id)
+        SELECT d.doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(coalesce(rest, h))) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)""",
     "op6_superminhash": f"""
         WITH RECURSIVE words AS (
             SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
