@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from millwatch import schemas
 from millwatch.functions import scalars
 from millwatch.functions.frames import guarded_broadcast, once
-from millwatch.operators.ordered import Cuts, Timeline, running_max, scan
+from millwatch.operators.ordered import Cuts, Timeline, previous, running_max, scan
 
-LOAD, UPDATE, REJECT = "LOAD", "UPDATE", "REJECT"
+LOAD, UPDATE, REJECT, ROLLBACK = "LOAD", "UPDATE", "REJECT", "ROLLBACK"
 ACCEPTED, REJECTED = "ACCEPTED", "REJECTED"
 REQUIRED = ("version", "deviceType", "storageGroup", "measurements")
 
@@ -91,19 +91,32 @@ def _repeated(items: Column, name: str, field: str | None) -> Column:
                        lambda v: F.concat(F.lit(f"$.{name}: duplicate "), v))
 
 
-def manifest_history(validated: DataFrame, order: str = "offset", *, cuts: Cuts | None = None) -> DataFrame:
+#: Manifests that are not valid have no line of versions; their rows are dealt out over so many keys.
+_SPREAD = 1024
+
+
+def manifest_history(validated: DataFrame, order: str = "offset", *, before: DataFrame | None = None,
+                     cuts: Cuts | None = None) -> DataFrame:
     """The audit trail: every manifest with ``event`` and ``status`` in arrival order.
 
     A valid manifest is accepted if its version is not below any earlier valid one of its device
-    type; a lower one never raises that maximum, so rejected ones need not be left out.
+    type; a lower one never raises that maximum, so rejected ones need not be left out. ``before`` is
+    the ``highest_versions`` of a trail that these manifests follow.
     """
     kind = F.col("manifest.deviceType")
     rows = validated.withColumns({
         "device_type": kind,
         "_semver": F.when(F.col("valid"), scalars.semver(F.col("manifest.version"))),
     })
-    line = Timeline.of(rows, ["device_type"], [order], cuts=cuts)
+    # rows that are not valid need no order; in one line they would be a hot key
+    apart = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(order), F.lit(_SPREAD)).cast("string"))
+    rows = rows.withColumn("_kind", F.when(F.col("valid"), kind).otherwise(apart))
+    line = Timeline.of(rows, ["_kind"], [order], cuts=cuts)
     seen = scan(rows, line, {"_highest": running_max(F.col("_semver"), inclusive=False)})
+    if before is not None:
+        known = guarded_broadcast(before.withColumnsRenamed({"device_type": "_type", "highest": "_known"}))
+        seen = seen.join(known, F.col("device_type") == F.col("_type"), "left").withColumn(
+            "_highest", F.greatest("_highest", "_known")).drop("_type", "_known")
     event = (
         F.when(~F.col("valid"), REJECT).when(F.col("_highest").isNull(), LOAD)
         .when(F.col("_semver") >= F.col("_highest"), UPDATE).otherwise(REJECT)
@@ -115,7 +128,28 @@ def manifest_history(validated: DataFrame, order: str = "offset", *, cuts: Cuts
         "event": event,
         "status": F.when(event == REJECT, REJECTED).otherwise(ACCEPTED),
         "reason": reason,
-    }).drop("_semver", "_highest")
+    }).drop("_semver", "_highest", "_kind")
+
+
+def highest_versions(history: DataFrame) -> DataFrame:
+    """The highest accepted version of each device type, which later manifests must not fall below."""
+    return history.where((F.col("status") == ACCEPTED) & (F.col("event") != ROLLBACK)).groupBy("device_type").agg(
+        F.max(scalars.semver(F.col("version"))).alias("highest"))
+
+
+def rollback(history: DataFrame, device_type: str, version: str, at: int, order: str = "offset") -> DataFrame:
+    """A row for the trail that puts an accepted version in force again from ``at`` on; no rows if there is no such version."""
+    same = (F.col("status") == ACCEPTED) & (F.col("device_type") == device_type) & (F.col("version") == version)
+    row = history.where(same).orderBy(F.desc(order)).limit(1)
+    return row.withColumns({order: F.lit(at).cast("bigint"), "event": F.lit(ROLLBACK), "reason": F.lit(None).cast("string")})
+
+
+def manifest_intervals(history: DataFrame, order: str = "offset", *, cuts: Cuts | None = None) -> DataFrame:
+    """Every accepted manifest with the time it came into force and the time the next one did (null: it still is)."""
+    rows = history.where(F.col("status") == ACCEPTED)
+    line = Timeline.of(rows, ["device_type"], [order], cuts=cuts)
+    seen = scan(rows, line.reversed(), {"_next": previous([order])})
+    return seen.select("device_type", "version", "manifest", F.col(order).alias("valid_from"), F.col(f"_next.{order}").alias("valid_to"))
 
 
 def current_manifests(history: DataFrame, order: str = "offset") -> DataFrame:

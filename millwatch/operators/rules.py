@@ -16,7 +16,7 @@ from millwatch import schemas
 from millwatch.functions import scalars
 from millwatch.functions.frames import guarded_broadcast, localize, once
 from millwatch.operators.expressions import condition, usable
-from millwatch.operators.ordered import Cuts, Timeline, last_value, scan
+from millwatch.operators.ordered import Cuts, Timeline, asof, last_value, scan
 from millwatch.operators.windows import folded
 
 ALL_TYPES = "*"
@@ -275,6 +275,31 @@ def judge(telemetry: DataFrame, rules: DataFrame, *, measurements: Sequence[str]
         breach(F.col("condition"), value, rate, F.col("threshold"), F.col("lo"), F.col("hi"), own).alias("breached"))
 
 
+def in_force(telemetry: DataFrame, versions: DataFrame, *, sent: str = "sent", order: str = "offset",
+             measurements: Sequence[str] = schemas.MEASUREMENTS, cuts: Cuts | None = None) -> DataFrame:
+    """Alerts by the version of each rule that was in force when the reading was taken.
+
+    ``versions`` are all rules ever sent, with the time (epoch ms) and order of sending; one that is switched off is in force,
+    too, and fires nothing. A reading meets the rules that have ever been for its type, then the last version of each sent
+    at or before it, by as-of per rule. Conditions on a reading's own values only; rates and texts need ``evaluate``.
+    """
+    held = complete(versions)
+    rules = held.select("rule_id", F.coalesce("device_type", F.lit(ALL_TYPES)).alias("_type")).distinct()
+    kind = F.array_compact(F.array(F.lit(ALL_TYPES), F.when(F.col("machine_type") != ALL_TYPES, F.col("machine_type"))))
+    names = ["machine_id", "machine_type", "timestamp", *(["seq"] if "seq" in telemetry.columns else []), *measurements]
+    wide = telemetry.select(*names, F.explode(kind).alias("_type")).join(guarded_broadcast(rules), "_type")
+    carry = ["device_type", "rule_type", "measurement", "condition", "threshold", "lo", "hi", "severity", "enabled", "actions", "alertChannel"]
+    found = asof(wide, held, ["rule_id"], left_time="timestamp", right_time=sent, right_tie=order, carry=carry, into="_rule", cuts=cuts)
+    own = found.select(*names, "rule_id", "_type", "_rule.*").where(
+        F.coalesce("enabled", F.lit(True)) & (F.coalesce("device_type", F.lit(ALL_TYPES)) == F.col("_type")))
+    value = _lookup(measurements, F.col("measurement"))
+    fires = breach(F.col("condition"), value, F.lit(None).cast("double"), F.col("threshold"), F.col("lo"), F.col("hi"), F.lit(None).cast("boolean"))
+    r = F.struct("rule_id", "rule_type", "measurement", "condition", "threshold", "severity", "actions", "alertChannel")
+    return own.where(fires).select(
+        F.col("machine_id").alias("device_id"), alert_struct(F.col("machine_id"), F.col("timestamp"), r, value).alias("_a"),
+    ).select("device_id", "_a.*")
+
+
 def rate_of_change(df: DataFrame, columns: str | Sequence[str], *, key: str = "machine_id",
                    cuts: Cuts | None = None) -> DataFrame:
     """Add ``<column>_rate`` per second against the last reading that has a value.

@@ -224,6 +224,15 @@ SQL: dict[str, str] = {
         CASE event_id % 10 WHEN 0 THEN 'unknown condition' WHEN 1 THEN 'unknown measurement' WHEN 2 THEN 'missing threshold'
           WHEN 3 THEN 'missing range' WHEN 4 THEN 'unknown aggregate' WHEN 8 THEN '' WHEN 9 THEN ''
           ELSE 'unusable expression' END AS errors FROM ev WHERE event_type = 'click'""",
+    "rules_in_force": """, sent AS (
+          SELECT machine_type, ms, arg_max(value, event_id) AS threshold, max(event_id) % 7 <> 0 AS enabled
+          FROM ev JOIN registry USING (machine_id) WHERE event_type = 'click' GROUP BY machine_type, ms)
+        SELECT machine_id AS device_id, sha256(machine_id || '|' || CAST("timestamp" AS VARCHAR) || '|limit-' || t.machine_type) AS alert_id,
+          "timestamp" AS alert_time, 'limit-' || t.machine_type AS rule_id, 'greater_than' AS alert_type, 'gas_temperature' AS measurement,
+          gas_temperature AS value, threshold, 'warning' AS severity,
+          'rule limit-' || t.machine_type || ' on gas_temperature (greater_than)' AS message
+        FROM tel t ASOF JOIN sent s ON t.machine_type = s.machine_type AND t."timestamp" >= s.ms
+        WHERE enabled AND gas_temperature > threshold""",
     "rule_instant": f"SELECT {_ALERT} FROM alerts WHERE alert_type NOT IN ('rate_above', 'rate_below', 'custom')",
     "rule_join": """SELECT f.machine_id, f.rule_id, count(*) AS judged, count(a.seq) AS breached
         FROM fired f LEFT JOIN alerts a ON a.seq = f.seq AND a.rule_id = f.rule_id
@@ -341,6 +350,8 @@ SQL: dict[str, str] = {
     "manifest_history": """SELECT "offset", device_type, version, event, CASE WHEN event = 'REJECT' THEN 'REJECTED'
         ELSE 'ACCEPTED' END AS status, CASE WHEN NOT valid THEN errors WHEN event = 'REJECT' THEN 'version downgrade' END AS reason
         FROM history""",
+    "manifest_intervals": """SELECT device_type, version, "offset" AS valid_from,
+        lead("offset") OVER (PARTITION BY device_type ORDER BY "offset") AS valid_to FROM history WHERE event <> 'REJECT'""",
     "manifest_versions": """SELECT device_type, version, max("offset") AS last_offset, count(*) AS loads FROM history
         WHERE event <> 'REJECT' GROUP BY ALL""",
     "manifest_current": """SELECT device_type, version, 'root.sg.plant' AS storage_group,
@@ -449,6 +460,7 @@ SQL: dict[str, str] = {
 
 
 SQL["stream_ewma"] = SQL["ewma"]
+SQL["stream_manifests"] = SQL["manifest_history"]
 SQL["stream_trim_manifest"] = SQL["edge_trim_manifest"]
 SQL["stream_dedupe"] = SQL["dedupe_series"]
 SQL["bronze_6h"] = SQL["series_6h"]

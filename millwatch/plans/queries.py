@@ -243,6 +243,12 @@ def rule_validate(spark, sf):
     return found.select("rule_id", F.concat_ws(", ", "errors").alias("errors"))
 
 
+@query
+def rules_in_force(spark, sf):
+    """Every reading against the version of its type's rule that was in force when it was taken."""
+    return flat(rules.in_force(views.telemetry(spark, sf), views.limit_versions(spark, sf)))
+
+
 @query
 def rule_instant(spark, sf):
     simple = _current_rules(spark).where(~F.col("condition").isin("rate_above", "rate_below", "custom"))
@@ -503,6 +509,12 @@ def manifest_history(spark, sf):
     return _history(spark, sf).select("offset", "device_type", "version", "event", "status", "reason")
 
 
+@query
+def manifest_intervals(spark, sf):
+    rows = manifests.manifest_intervals(_history(spark, sf))
+    return rows.select("device_type", "version", "valid_from", "valid_to")
+
+
 @query
 def manifest_versions(spark, sf):
     return manifests.manifest_versions(_history(spark, sf))

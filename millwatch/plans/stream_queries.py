@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwatch.operators import parse, rules, series, windows
+from millwatch.operators import manifests, parse, rules, series, windows
 from millwatch.plans import guard, views
 from millwatch.plans.queries import HOUR, Query, current_manifests, flat, off_ties, rounded
 from millwatch.session import shared_folder
@@ -313,6 +313,21 @@ def stream_rule_windowed(spark, sf):
     return rows.select("device_id", "rule_id", "alert_time", "measurement", "severity", rounded("value"), "threshold")
 
 
+@query
+def stream_manifests(spark, sf):
+    """The audit trail as a stream writes it: each micro-batch is judged against what the trail holds by then."""
+    base, ev = shared_folder(spark, "manifests"), views.event_table(spark, sf)
+    bounds = ev.agg(F.min("event_id"), F.max("event_id")).first()
+    part = F.floor((F.col("event_id") - (bounds[0] or 0)) * 3 / ((bounds[1] or 0) - (bounds[0] or 0) + 1))
+    ev.limit(0).write.parquet(f"{base}/in")
+    arriving = views.raw_manifests_of(views.prepare(spark.readStream.schema(ev.schema).parquet(f"{base}/in")))
+    for i in range(3):
+        ev.where(part == i).write.mode("append").parquet(f"{base}/in")
+        sinks.start(manifests.validate_manifests(arriving), lambda b, n: sinks.write_manifests(b, n, f"{base}/trail"),
+                    f"{base}/checkpoint", once=True, partitions=_cores(spark)).awaitTermination()
+    return sinks.read_batches(spark, f"{base}/trail").select("offset", "device_type", "version", "event", "status", "reason")
+
+
 @query
 def stream_bronze(spark, sf):
     """Bronze written by the stream, read by device."""

@@ -214,6 +214,16 @@ def rules(spark: SparkSession) -> DataFrame:
     }).drop("w_type", "w_size", "w_slide", "expr", "agg")
 
 
+def limit_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One rule per machine type, sent anew by every click event with another limit; every seventh switches it off."""
+    rows = events(spark, sf_dir).where(F.col("event_type") == "click")
+    kind = _pick("user_id", schemas.MACHINE_TYPES)
+    return rows.select(
+        F.concat(F.lit("limit-"), kind).alias("rule_id"), kind.alias("device_type"), F.lit("gas_temperature").alias("measurement"),
+        F.lit("greater_than").alias("condition"), F.col("value").alias("threshold"), F.lit("warning").alias("severity"),
+        (F.col("event_id") % 7 != 0).alias("enabled"), F.col("ms").alias("sent"), F.col("event_id").alias("offset"))
+
+
 def sent_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules as users send them: one per click event, most of them wrong in some way, by event number.
 
@@ -238,12 +248,16 @@ def sent_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw_manifests_of(events(spark, sf_dir))
+
+
+def raw_manifests_of(ev: DataFrame) -> DataFrame:
     """Manifest messages: one per trackin, for its machine's type. Some are wrong, by event number.
 
     Cases of event_id % 12: 0 version, 1 repeated measurement, 2 no device type, 3 unknown data
     type, 4 cut text, 5 threshold of the wrong form.
     """
-    rows = events(spark, sf_dir).where(F.col("event_type") == "signup")
+    rows = ev.where(F.col("event_type") == "signup")
     case = F.col("event_id") % 12
     number = F.concat(F.lit("1."), F.expr("event_id div 1000").cast("string"), F.lit("."),
                       (F.col("event_id") % 10).cast("string"))

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
 from millwatch import schemas
-from millwatch.operators import context, parse, rules
+from millwatch.operators import context, manifests, parse, rules
 from millwatch.operators.series import bronze_rows
 from millwatch.operators.trimming import output_of
 from millwatch.sources.bronze import Bronze, open_table
@@ -118,6 +118,16 @@ def write_trimmed(tagged: DataFrame, batch_id: int, path: str) -> None:
         f"{path}/batch_id={batch_id}")
 
 
+def write_manifests(validated: DataFrame, batch_id: int, path: str) -> None:
+    """Append validated manifests of one micro-batch to the audit trail, judged against the micro-batches before it."""
+    spark = validated.sparkSession
+    before = None
+    if present(spark, path):
+        earlier = spark.read.parquet(path).where(F.col("batch_id") < batch_id)
+        before = manifests.highest_versions(earlier)
+    manifests.manifest_history(validated, before=before).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
 def read_bronze(spark: SparkSession, targets: Targets, **bounds) -> DataFrame:
     """Rows of the bronze table, by the bounds of ``Bronze.read``."""
     return open_table(spark, targets.bronze).read(**bounds)

@@ -110,3 +110,26 @@ def test_requests_and_new_series(spark):
     seen = spark.createDataFrame([("d1", "a"), ("d1", "a"), ("d1", "b")], "device_id string, measurement string")
     known = spark.createDataFrame([("d1", "a")], "device_id string, measurement string")
     assert [r["measurement"] for r in manifests.new_series(seen, known).collect()] == ["b"]
+
+
+def test_a_trail_goes_on_from_what_it_holds(spark):
+    """Two batches judged one after the other give the trail of both together; a rollback puts an old version in force."""
+    def sent(rows):
+        body = [(json.dumps({k: x for k, x in (BASE | {"version": v, "deviceType": t}).items() if x}), i) for i, (t, v) in rows]
+        return manifests.validate_manifests(spark.createDataFrame(body, "value string, offset long"))
+
+    rows = list(enumerate([("pump", "1.2.0"), ("pump", "1.10.0"), (None, "1.0.0"), ("pump", "1.9.0"), ("fan", "0.1.0"), ("pump", "2.0.0"), ("fan", "0.0.9")]))
+    names = ["offset", "device_type", "version", "event", "status", "reason"]
+    whole = manifests.manifest_history(sent(rows))
+    first = manifests.manifest_history(sent(rows[:3]))
+    second = manifests.manifest_history(sent(rows[3:]), before=manifests.highest_versions(first))
+    both = first.unionByName(second)
+    assert sorted(map(repr, both.select(*names).collect())) == sorted(map(repr, whole.select(*names).collect()))
+    assert {r["device_type"]: r["version"] for r in manifests.current_manifests(both).collect()} == {"pump": "2.0.0", "fan": "0.1.0"}
+    back = both.unionByName(manifests.rollback(both, "pump", "1.10.0", 50))
+    assert {r["device_type"]: r["version"] for r in manifests.current_manifests(back).collect()} == {"pump": "1.10.0", "fan": "0.1.0"}
+    assert manifests.rollback(both, "pump", "9.9.9", 50).count() == 0
+    # what comes after a rollback is still measured by the highest version
+    assert manifests.manifest_history(sent([(60, ("pump", "1.11.0"))]), before=manifests.highest_versions(back)).first()["event"] == "REJECT"
+    spans = {(r["device_type"], r["version"], r["valid_from"]): r["valid_to"] for r in manifests.manifest_intervals(back).collect()}
+    assert spans == {("pump", "1.2.0", 0): 1, ("pump", "1.10.0", 1): 5, ("pump", "2.0.0", 5): 50, ("pump", "1.10.0", 50): None, ("fan", "0.1.0", 4): None}
