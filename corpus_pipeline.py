@@ -6,6 +6,9 @@ columns of `documents`.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +17,21 @@ from millwatch.llm.queries import pretoken_pattern, vocabulary
 from millwatch.llm.store import saved, table
 
 
+#: Rows of an Arrow batch between Spark and a worker: documents are long, and both sides hold whole batches.
+BATCH_ROWS = "1000"
+
+
+def _stage(fn: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A stage under the session's setting for batches of documents."""
+
+    @wraps(fn)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+        return fn(spark, docs, sf_dir)
+
+    return run_stage
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and are no outliers for their language and source."""
     return outliers.keep_quality(docs)
@@ -45,11 +63,11 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("quality rules", quality_rules),
-    ("MinHash near-dedup", near_duplicates),
-    ("suffix-array dedup", suffix_dedup_stage),
-    ("benchmark decontamination", decontamination),
-    ("byte-level BPE", byte_bpe),
+    ("quality rules", _stage(quality_rules)),
+    ("MinHash near-dedup", _stage(near_duplicates)),
+    ("suffix-array dedup", _stage(suffix_dedup_stage)),
+    ("benchmark decontamination", _stage(decontamination)),
+    ("byte-level BPE", _stage(byte_bpe)),
 ]
 
 #: SQL has no robust covariance estimate and no byte-pair merges; tests/llm holds the stages against brute force.
