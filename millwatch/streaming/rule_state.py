@@ -16,8 +16,8 @@ State is kept per machine, in typed columns:
   all window sizes and slides. A window is folded from its panes when the watermark passes its end, and again when a
   later reading falls into one that is over.
 
-One event-time timer per machine folds what is older than ``keep_ms`` into ``base``, drops panes that no window within
-``keep_ms`` can need, and closes windows. Readings older than ``base`` are not judged here but given out with a null
+Event-time timers fold what is older than ``keep_ms`` into ``base`` (eight times per ``keep_ms``), drop panes that no window
+within ``keep_ms`` can need, and close windows. Readings older than ``base`` are not judged here but given out with a null
 rule, so that nothing is lost without a word.
 
 The cost of a call does not grow with the number of machines. One machine's rows of a micro-batch are judged in one call,
@@ -209,6 +209,7 @@ class RuleState(StatefulProcessor):
         sizes = [s for r in self.windowed for s in (r.size_ms, r.slide_ms)]
         self.pane = math.gcd(*sizes) if sizes else 0
         self.longest = max((r.size_ms for r in self.windowed), default=0)
+        self.grain = max(1, keep_ms // 8)
 
     def init(self, handle) -> None:
         self.handle = handle
@@ -248,15 +249,9 @@ class RuleState(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs()
-        tail, earliest = self._tail(), None
-        old = tail.ts < passed - self.keep_ms
-        if old.any():
-            base = judge(tail.take(old), self._left(self.base), self.along)[1]
-            self._put(self.base, base)
-            tail = tail.take(~old)
-            self.tail.put(self._rows(tail)) if len(tail) else self.tail.clear()
-        if len(tail):
-            earliest = int(tail.ts[0])
+        earliest = None
+        if expiredTimerInfo.getExpiryTimeInMs() % self.grain == 0:
+            earliest = self._shorten(passed)
         changes = []
         if self.windowed:
             held = {k[0]: v for k, v in self.panes.iterator()}
@@ -270,6 +265,16 @@ class RuleState(StatefulProcessor):
         if changes:
             yield self._frame(key[0], changes)
 
+    def _shorten(self, passed: int) -> int | None:
+        """Fold the readings older than ``keep_ms`` into ``base``; gives the time of the first one that is left."""
+        tail = self._tail()
+        old = tail.ts < passed - self.keep_ms
+        if old.any():
+            self._put(self.base, judge(tail.take(old), self._left(self.base), self.along)[1])
+            tail = tail.take(~old)
+            self.tail.put(self._rows(tail)) if len(tail) else self.tail.clear()
+        return int(tail.ts[0]) if len(tail) else None
+
     def close(self) -> None:
         pass
 
@@ -321,13 +326,18 @@ class RuleState(StatefulProcessor):
         return out
 
     def _wake(self, passed: int, earliest: int | None, panes: Sequence[int] = ()) -> None:
-        """A timer for what is due next: a window's end, a reading or a pane that grows too old."""
-        due = [] if earliest is None else [earliest + self.keep_ms + 1]
+        """Timers: one for the next window's end, one for a reading or a pane that grows too old.
+
+        The latter fall on multiples of ``grain`` only, so that the tail is read a few times per ``keep_ms``.
+        """
+        old = [] if earliest is None else [earliest + self.keep_ms + 1]
         if panes:
-            due.append(min(panes) + self.pane + self.longest + self.keep_ms)
-            due += [min(e) for p in panes if (e := [w + r.size_ms for r in self.windowed for w in _starts(p, r) if w + r.size_ms > passed])]
-        if due:
-            self.handle.registerTimer(max(min(due), passed + 1))
+            old.append(min(panes) + self.pane + self.longest + self.keep_ms)
+            ends = [w + r.size_ms for p in panes for r in self.windowed for w in _starts(p, r) if w + r.size_ms > passed]
+            if ends:
+                self.handle.registerTimer(min(ends))
+        if old:
+            self.handle.registerTimer(-(-max(min(old), passed + 1) // self.grain) * self.grain)
 
     # state
 
