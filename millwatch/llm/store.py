@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import suppress
@@ -19,6 +20,9 @@ BROADCAST_BYTES = 64 << 20
 #: Stands for a null id inside an operator, so that such rows join, sort first and are not lost.
 NO_ID = -(1 << 63)
 _OWN: dict[str, str] = {}
+#: Seconds between two looks for shuffles that are done with.
+CLEAN_SECONDS = 5.0
+_CLEANED = 0.0
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,9 +49,18 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     """The rows written to the shared folder and read again: computed once, and lineage ends there."""
     path = folder(df.sparkSession, name)
     df.write.parquet(path)
+    _clean(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _clean(spark: SparkSession) -> None:
+    """Have the driver notice which shuffles nothing refers to any more, a few times a minute, so that Spark deletes their files."""
+    global _CLEANED
+    if (now := time.monotonic()) - _CLEANED >= CLEAN_SECONDS and (jvm := getattr(spark, "_jvm", None)) is not None:
+        _CLEANED = now
+        jvm.System.gc()
+
+
 def small(df: DataFrame, row_bytes: int) -> DataFrame:
     """Hint a broadcast if the (saved) table's rows take at most BROADCAST_BYTES, else leave it to a shuffle."""
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
