@@ -135,3 +135,74 @@ def test_moments_fold():
         v = x[~np.isnan(x[:, m]), m]
         for name, want in (("count", len(v)), ("avg", v.mean()), ("sum", v.sum()), ("min", v.min()), ("max", v.max()), ("stddev", v.std(ddof=1))):
             assert abs(rule_state.aggregate(folded, m, name) - want) < 1e-12
+
+
+class Kept:
+    """State and timers of one bucket, in memory, that count their calls."""
+
+    def __init__(self):
+        self.calls, self.held, self.timers, self.mark = 0, {}, set(), -1
+
+    def _state(self, name, *_):
+        return Slot(self, name)
+
+    getListState = getValueState = _state
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.add(at)
+
+    def getCurrentWatermarkInMs(self):
+        return self.mark
+
+
+class Slot:
+    def __init__(self, kept, name):
+        self.kept, self.name = kept, name
+
+    def exists(self):
+        return self.name in self.kept.held
+
+    def get(self):
+        self.kept.calls += 1
+        return self.kept.held.get(self.name, [])
+
+    def put(self, rows):
+        self.kept.calls += 1
+        self.kept.held[self.name] = rows
+
+    update = put
+
+    def appendList(self, rows):
+        self.put([*self.kept.held.get(self.name, []), *rows])
+
+    def clear(self):
+        self.kept.held.pop(self.name, None)
+
+
+def test_a_bucket_of_machines_is_judged_in_one_call():
+    import pandas as pd
+
+    w = dict(device_type=None, condition="greater_than", measurement=0, threshold=5.0, lo=None, hi=None, text=None)
+    set_ = [rule_state.Rule("hot", duration_ms=2000, size_ms=None, slide_ms=None, aggregate="avg", **w),
+            rule_state.Rule("avg", duration_ms=0, size_ms=4000, slide_ms=2000, aggregate="avg", **w)]
+    machines = [f"m{i}" for i in range(400)] + [None]
+
+    def frame(times, x):
+        rows = [(m, "pump", t, 0, x, False) for t in times for m in machines]
+        return pd.DataFrame(rows, columns=["machine_id", "machine_type", "timestamp", "seq", "x0", "tick"])
+
+    def run(kept, own, *, mark, times, x):
+        kept.calls, kept.mark = 0, mark
+        out = list(own.handleInputRows((0,), iter([frame(times, x)]), kept))
+        assert kept.calls < 20  # however many machines
+        return pd.concat(out) if out else frame([], x).assign(rule_id=None, change=0)
+
+    kept, own = Kept(), rule_state.RuleState(set_, 1, 0, 60_000)
+    own.init(kept)
+    first = run(kept, own, mark=0, times=[1000, 3000, 5000], x=9.0)
+    assert first.groupby(["rule_id", "timestamp"])["change"].sum().to_dict() == {("hot", 3000): 401, ("hot", 5000): 401}
+    late = run(kept, own, mark=20_000, times=[2000], x=-99.0)  # windows are over by now; a stretch is split
+    log = pd.concat([first, late]).groupby(["rule_id", "timestamp"])["change"].sum()
+    assert log[log != 0].to_dict() == {("hot", 5000): 401, ("avg", 2000): 401, ("avg", 8000): 401}
+    assert late["machine_id"].isna().sum() == len(late) // 401
