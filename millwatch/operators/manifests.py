@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millwatch import schemas
 from millwatch.functions import scalars
 from millwatch.functions.frames import guarded_broadcast, once
-from millwatch.operators.ordered import Cuts, Timeline, previous, running_max, scan
+from millwatch.operators.ordered import Cuts, Timeline, measure, previous, running_max, scan
 
 LOAD, UPDATE, REJECT, ROLLBACK = "LOAD", "UPDATE", "REJECT", "ROLLBACK"
 ACCEPTED, REJECTED = "ACCEPTED", "REJECTED"
@@ -93,6 +93,8 @@ def _repeated(items: Column, name: str, field: str | None) -> Column:
 
 #: Manifests that are not valid have no line of versions; their rows are dealt out over so many keys.
 _SPREAD = 1024
+#: Manifests of one device type that one task scans: their rows are long, and types are few.
+TASK_ROWS = 100_000
 
 
 def manifest_history(validated: DataFrame, order: str = "offset", *, before: DataFrame | None = None,
@@ -111,6 +113,7 @@ def manifest_history(validated: DataFrame, order: str = "offset", *, before: Dat
     # rows that are not valid need no order; in one line they would be a hot key
     apart = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(order), F.lit(_SPREAD)).cast("string"))
     rows = rows.withColumn("_kind", F.when(F.col("valid"), kind).otherwise(apart))
+    cuts = cuts or measure((rows, ["_kind"], order), max_rows=TASK_ROWS)
     line = Timeline.of(rows, ["_kind"], [order], cuts=cuts)
     seen = scan(rows, line, {"_highest": running_max(F.col("_semver"), inclusive=False)})
     if before is not None:

@@ -125,7 +125,11 @@ def write_manifests(validated: DataFrame, batch_id: int, path: str) -> None:
     if present(spark, path):
         earlier = spark.read.parquet(path).where(F.col("batch_id") < batch_id)
         before = manifests.highest_versions(earlier)
-    manifests.manifest_history(validated, before=before).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    rows = validated.persist(StorageLevel.MEMORY_AND_DISK)  # parsed once; types are measured, then scanned
+    try:
+        manifests.manifest_history(rows, before=before).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    finally:
+        rows.unpersist()
 
 
 def read_bronze(spark: SparkSession, targets: Targets, **bounds) -> DataFrame:

@@ -133,3 +133,28 @@ def test_a_trail_goes_on_from_what_it_holds(spark):
     assert manifests.manifest_history(sent([(60, ("pump", "1.11.0"))]), before=manifests.highest_versions(back)).first()["event"] == "REJECT"
     spans = {(r["device_type"], r["version"], r["valid_from"]): r["valid_to"] for r in manifests.manifest_intervals(back).collect()}
     assert spans == {("pump", "1.2.0", 0): 1, ("pump", "1.10.0", 1): 5, ("pump", "2.0.0", 5): 50, ("pump", "1.10.0", 50): None, ("fan", "0.1.0", 4): None}
+
+
+def test_a_batch_of_the_trail_is_parsed_once_and_its_types_are_cut(spark, sf, tmp_path, monkeypatch):
+    from millwatch.plans import views
+    from millwatch.streaming import sinks
+
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(len(b))
+            yield b
+
+    sent = views.raw_manifests(spark, sf).where("offset is not null").select("value", "offset").localCheckpoint()
+
+    def trail(name):
+        rows = manifests.validate_manifests(sent.mapInPandas(counted, sent.schema))
+        sinks.write_manifests(rows, 0, f"{tmp_path}/{name}")
+        got = sinks.read_batches(spark, f"{tmp_path}/{name}").select("offset", "device_type", "version", "event", "reason")
+        return sorted(map(str, got.collect()))
+
+    whole = trail("whole")
+    assert read.value == sent.count() == len(whole)
+    monkeypatch.setattr(manifests, "TASK_ROWS", 5)
+    assert trail("cut") == whole
