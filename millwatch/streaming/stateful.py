@@ -10,8 +10,9 @@ The last rows wait for the watermark to pass them. ``ticks`` (a stream of ``time
 nothing else does: a tick by the clock in a silent plant, or one at the end of a finite input. Ticks are
 not rows and give no output.
 
-Machines are hashed into ``buckets``; a bucket's rows are handled together as one pandas table, so
-the cost per micro-batch goes with its rows and not with the number of machines. A reading needs
+Machines are hashed into ``buckets``; a bucket's rows are held together as Arrow tables, so the cost per
+micro-batch goes with its rows and not with the number of machines, and settled as pandas tables of some
+``PIECE`` rows, whole machines each, so that a worker's memory does not go with a bucket's objects. A reading needs
 only its machine's run context, which is rare next to readings: readings of a machine are
 further spread over ``salts`` groups and each context event is sent to all of them, so that no
 machine is bound to one task. EWMA and the sequence guard depend on every earlier row of the
@@ -22,8 +23,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
@@ -38,6 +41,8 @@ from millwatch.session import use_rocksdb_state
 BUCKETS = 64
 #: Context this far behind the watermark is kept for late readings.
 KEEP_MS = 3_600_000
+#: About so many rows of a bucket are settled together; a machine's rows always are.
+PIECE = 20_000
 #: A reading in state keeps the microseconds of its time stamps.
 _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 _ORDER = ["timestamp", "seq"]
@@ -56,26 +61,46 @@ def _together(schema: pa.Schema, *parts: pd.DataFrame) -> pd.DataFrame:
     return pa.concat_tables([schema.empty_table(), *[_arrow(p, schema) for p in parts]]).to_pandas()
 
 
-def _pack(df: pd.DataFrame, schema: pa.Schema) -> tuple[bytes]:
+def _pack(table: pa.Table) -> tuple[bytes]:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, schema) as writer:
-        writer.write_table(_arrow(df, schema))
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
     return (sink.getvalue().to_pybytes(),)
 
 
-def _unpack(state, schema: pa.Schema) -> pd.DataFrame:
-    parts = [pa.ipc.open_stream(row[0]).read_all() for row in state.get()]
-    return pa.concat_tables([schema.empty_table(), *parts]).to_pandas()
+def _unpack(state, schema: pa.Schema) -> pa.Table:
+    return pa.concat_tables([schema.empty_table(), *[pa.ipc.open_stream(row[0]).read_all() for row in state.get()]])
 
 
-def _store(state, df: pd.DataFrame, schema: pa.Schema) -> None:
-    state.put([_pack(df, schema)]) if len(df) else state.clear()
+def _store(state, parts: list[pa.Table]) -> None:
+    whole = [_pack(p) for p in parts if len(p)]
+    state.put(whole) if whole else state.clear()
+
+
+def _pieces(*tables: pa.Table) -> Iterator[tuple[pa.Table, ...]]:
+    """Tables of one bucket, some machines at a time, about PIECE rows together."""
+    if sum(len(t) for t in tables) <= PIECE:
+        yield tables
+        return
+    machines = pa.chunked_array([c for t in tables for c in t["machine_id"].chunks], pa.string())
+    codes = machines.combine_chunks().dictionary_encode("encode").indices.to_numpy(zero_copy_only=False)
+    rows = np.bincount(codes)
+    piece = ((np.cumsum(rows) - rows) // PIECE)[codes]
+    bounds = np.cumsum([0, *[len(t) for t in tables]])
+    own = [piece[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+    # rows in the order of their pieces; those of a piece keep their order
+    order = [np.argsort(p, kind="stable") for p in own]
+    sorted_, at = [t.take(pa.array(o)) for t, o in zip(tables, order, strict=True)], [p[o] for p, o in zip(own, order, strict=True)]
+    for n in np.unique(piece):
+        yield tuple(t.slice(a := int(np.searchsorted(p, n)), int(np.searchsorted(p, n, "right")) - a)
+                    for t, p in zip(sorted_, at, strict=True))
 
 
 class Held(StatefulProcessor):
-    """Rows wait here, one Arrow blob per micro-batch, until the watermark is ``wait_ms`` past them."""
+    """Rows wait here, in Arrow blobs, until the watermark is ``wait_ms`` past them."""
 
     columns: pa.Schema        # what a row carries
+    kept: pa.Schema           # what a machine's settled rows leave
     out: str                  # what ``settle`` gives
 
     def __init__(self, wait_ms: int = 0):
@@ -88,31 +113,46 @@ class Held(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs()
-        own = [r[~r["tick"]] for r in rows]
-        batch = _together(self.columns, *[r.assign(seq=r["seq"].fillna(0), late=r["timestamp"] <= passed)
-                                          for r in own if len(r)])
-        if len(batch):
-            self.rows.appendList([_pack(batch, self.columns)])
-            self._wake(int(batch["timestamp"].min()), passed)
+        first = []
+        for r in rows:
+            own = r[~r["tick"]]
+            if len(own):
+                batch = _arrow(own.assign(seq=own["seq"].fillna(0), late=own["timestamp"] <= passed), self.columns)
+                self.rows.appendList([_pack(batch)])
+                first.append(pc.min(batch["timestamp"]).as_py())
+        if known := [t for t in first if t is not None]:
+            self._wake(min(known), passed)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs()
         held = _unpack(self.rows, self.columns)
-        if len(held):
-            held = held.sort_values(_ORDER, kind="stable", ignore_index=True)
-            result, waiting = self.settle(held, passed)
-            _store(self.rows, waiting, self.columns)
-            if len(waiting):
-                self._wake(int(waiting["timestamp"].min()), passed)
+        if not len(held):
+            return
+        kept, names = _unpack(self.memory, self.kept), [c.split()[0] for c in self.out.split(", ")]
+        self.begin(held, passed)
+        waiting, left = [], []
+        for rows, before in _pieces(held, kept):
+            ordered = rows.to_pandas().sort_values(_ORDER, kind="stable", ignore_index=True)
+            result, later, after = self.settle(ordered, before.to_pandas(), passed)
+            waiting.append(_arrow(later, self.columns))
+            left.append(_arrow(after, self.kept))
             if len(result):
-                yield result[[c.split()[0] for c in self.out.split(", ")]]
+                yield result[names]
+        _store(self.rows, waiting)
+        _store(self.memory, left)
+        first = [pc.min(w["timestamp"]).as_py() for w in waiting]
+        if known := [t for t in first if t is not None]:
+            self._wake(min(known), passed)
 
     def _wake(self, earliest: int, passed: int) -> None:
         self.handle.registerTimer(max(earliest + self.wait_ms, passed + 1))
 
-    def settle(self, held: pd.DataFrame, passed: int) -> tuple[pd.DataFrame, pd.DataFrame]:
-        """The result for the rows that are due, and the rows still to wait."""
+    def begin(self, held: pa.Table, passed: int) -> None:
+        """Look at all rows of a bucket before they are settled piece by piece."""
+
+    def settle(self, held: pd.DataFrame, kept: pd.DataFrame, passed: int) -> tuple[pd.DataFrame, pd.DataFrame, pd.DataFrame]:
+        """The result for the rows that are due, the rows still to wait, and what is kept. Of some machines, all rows."""
         raise NotImplementedError
 
     def close(self) -> None:
@@ -125,8 +165,8 @@ class RunContext(Held):
     columns = _schema(machine_id="text", is_context="flag", timestamp="long", seq="long", body="text", run_id="text",
                       event_type="text", start_ts="long", end_ts="long", late="flag")
     # closes: this trackin closes the run `closed_run`; met: a reading has followed
-    context = _schema(machine_id="text", timestamp="long", seq="long", run_id="text", event_type="text",
-                      start_ts="long", end_ts="long", closes="flag", closed_run="text", met="flag")
+    kept = _schema(machine_id="text", timestamp="long", seq="long", run_id="text", event_type="text",
+                   start_ts="long", end_ts="long", closes="flag", closed_run="text", met="flag")
     out = ("machine_id string, body string, run_id string, event_type string, start_ts bigint, end_ts bigint, "
            "context_ts bigint, run_start bigint, run_end bigint, run_name string, late boolean, "
            "closes boolean, closed_run string, unplaced boolean")
@@ -139,22 +179,25 @@ class RunContext(Held):
         super().init(handle)
         self.floor = handle.getValueState("floor", "ts bigint")
 
-    def settle(self, held: pd.DataFrame, passed: int) -> tuple[pd.DataFrame, pd.DataFrame]:
+    def begin(self, held: pa.Table, passed: int) -> None:
+        # context before the floor has been dropped
+        self.before = self.floor.get()[0] if self.floor.exists() else None
+        reads = pc.and_(pc.invert(held["is_context"]), pc.greater(pc.add(held["timestamp"], self.wait_ms), passed))
+        waiting = pc.min(held["timestamp"].filter(reads)).as_py()
+        oldest = (waiting if waiting is not None else passed - self.wait_ms) - self.keep_ms
+        self.now = oldest if self.before is None else max(oldest, self.before)
+        self.floor.update((self.now,))
+
+    def settle(self, held: pd.DataFrame, kept: pd.DataFrame, passed: int) -> tuple[pd.DataFrame, pd.DataFrame, pd.DataFrame]:
         fresh = held[held["is_context"]].assign(closes=False, closed_run=None, met=False)
-        events = _together(self.context, _unpack(self.memory, self.context), fresh)
+        events = _together(self.kept, kept, fresh)
         events = self._closing(events.sort_values(_ORDER, kind="stable", ignore_index=True))
         readings = held[~held["is_context"]]
         ready = readings["timestamp"] + self.wait_ms <= passed
         due, waiting = readings.loc[ready, ["machine_id", "timestamp", "body", "late"]], readings[~ready]
         placed = self._place(due, events)
-        # context before the floor has been dropped
-        floor = self.floor.get()[0] if self.floor.exists() else None
-        placed["unplaced"] = placed["timestamp"] < floor if floor is not None else False
-        oldest = int(waiting["timestamp"].min()) if len(waiting) else passed - self.wait_ms
-        floor = max(oldest - self.keep_ms, floor if floor is not None else oldest - self.keep_ms)
-        self.floor.update((floor,))
-        _store(self.memory, self._needed(events, floor), self.context)
-        return placed, waiting
+        placed["unplaced"] = placed["timestamp"] < self.before if self.before is not None else False
+        return placed, waiting, self._needed(events, self.now)
 
     @staticmethod
     def _closing(events: pd.DataFrame) -> pd.DataFrame:
@@ -198,41 +241,38 @@ class RunContext(Held):
 
 class Ewma(Held):
     columns = _schema(machine_id="text", timestamp="long", seq="long", x="double")
-    last = _schema(machine_id="text", x="double")
+    kept = _schema(machine_id="text", x="double")
     out = "machine_id string, timestamp bigint, seq bigint, x double, ewma double"
 
     def __init__(self, alpha: float):
         super().__init__()
         self.alpha = alpha
 
-    def settle(self, held: pd.DataFrame, passed: int) -> tuple[pd.DataFrame, pd.DataFrame]:
+    def settle(self, held: pd.DataFrame, kept: pd.DataFrame, passed: int) -> tuple[pd.DataFrame, pd.DataFrame, pd.DataFrame]:
         ready = held["timestamp"] <= passed
         due, waiting = held[ready].reset_index(drop=True).assign(ewma=float("nan")), held[~ready]
-        before = _unpack(self.memory, self.last)
         # each machine's last value goes in front of its new ones, as the value to go on from
         has = due["x"].notna()
-        values = _together(self.last, before, due[has])
+        values = _together(self.kept, kept, due[has])
         smooth = values.groupby("machine_id")["x"].ewm(alpha=self.alpha, adjust=False).mean()
         values["ewma"] = smooth.droplevel(0)
-        due.loc[has, "ewma"] = values["ewma"].iloc[len(before):].to_numpy()
-        _store(self.memory, values.groupby("machine_id", as_index=False)["ewma"].last().rename(columns={"ewma": "x"}),
-               self.last)
-        return due, waiting
+        due.loc[has, "ewma"] = values["ewma"].iloc[len(kept):].to_numpy()
+        return due, waiting, values.groupby("machine_id", as_index=False)["ewma"].last().rename(columns={"ewma": "x"})
 
 
 class SequenceGuard(Held):
     columns = _schema(machine_id="text", timestamp="long", seq="long", kind="text", run_id="text")
+    kept = columns
     out = "machine_id string, previous_run_id string, current_run_id string, timestamp bigint"
 
-    def settle(self, held: pd.DataFrame, passed: int) -> tuple[pd.DataFrame, pd.DataFrame]:
+    def settle(self, held: pd.DataFrame, kept: pd.DataFrame, passed: int) -> tuple[pd.DataFrame, pd.DataFrame, pd.DataFrame]:
         ready = held["timestamp"] <= passed
         due, waiting = held[ready], held[~ready]
-        rows = _together(self.columns, _unpack(self.memory, self.columns), due)
+        rows = _together(self.columns, kept, due)
         earlier = rows.groupby("machine_id")[["kind", "run_id"]].shift(1)
         rows["previous_run_id"], rows["current_run_id"] = earlier["run_id"], rows["run_id"]
         implicit = (rows["kind"] == schemas.TRACKIN) & (earlier["kind"] == schemas.TRACKIN)
-        _store(self.memory, rows.groupby("machine_id").tail(1), self.columns)
-        return rows[implicit], waiting
+        return rows[implicit], waiting, rows.groupby("machine_id").tail(1)
 
 
 def _bucket(key: Column, buckets: int) -> Column:

@@ -393,3 +393,31 @@ def test_trimming_with_outputs_and_pending_settled_later(spark, tmp_path):
     want = trimming.edge_trim(bt.where("timestamp < 20000"), context.runs(bc), 2000, 2000, "tag")
     names = ["timestamp", "run_id", "start_ts", "disposition"]
     assert rows(again, *names) == rows(want, *names)
+
+
+def test_a_bucket_is_settled_in_pieces(monkeypatch):
+    import pandas as pd
+
+    from tests.test_rule_state import Kept
+
+    machines = [f"m{i % 50}" for i in range(1000)]
+    frame = pd.DataFrame({
+        "machine_id": machines, "is_context": [i % 3 == 0 for i in range(1000)], "timestamp": [i * 37 % 1000 for i in range(1000)], "seq": range(1000),
+        "body": "{}", "run_id": [f"r{i}" for i in range(1000)], "event_type": ["trackin", "trackout"] * 500, "start_ts": None, "end_ts": None, "tick": False})
+
+    def run(piece):
+        monkeypatch.setattr(stateful, "PIECE", piece)
+        kept, own, out, sizes = Kept(), stateful.RunContext(5, 100), [], []
+        own.init(kept)
+        settle = own.settle
+        monkeypatch.setattr(own, "settle", lambda held, *rest: (sizes.append(len(held)), settle(held, *rest))[1])
+        for mark, rows in ((-1, frame[:600]), (500, frame[600:]), (800, frame[:0]), (5000, frame[:0])):
+            kept.mark = mark
+            list(own.handleInputRows((0,), iter([rows[:300], rows[300:]]), kept))
+            out += list(own.handleExpiredTimer((0,), kept, None))
+        keys = ["machine_id", "run_id", "context_ts", "run_name", "late", "closes", "closed_run", "unplaced"]
+        return pd.concat(out)[keys].astype(str).sort_values(keys).values.tolist(), max(sizes)
+
+    whole, most = run(10_000)
+    parts, least = run(100)
+    assert parts == whole and len(whole) == 666 and most > 500 and least < 200
