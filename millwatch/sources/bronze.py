@@ -189,6 +189,8 @@ class Bronze:
 
         Only files whose bounds meet the request are opened; within them Spark pushes the same bounds to the row groups.
         """
+        if not self.schema.names:  # opened before anything had been written
+            return self.spark.createDataFrame([], self.schema)
         rows = self._open(self._chosen(self.zones(version), since=since, until=until, machines=machines))
         if since is not None:
             rows = rows.where(F.col("timestamp") >= since)
