@@ -1,14 +1,18 @@
-"""Licence scan by word differences, ranked by conditional compression.
-
-Every template's wording is looked for in the whole text: a notice with few differences has some piece of it unchanged,
-and around such pieces the words are aligned, so each place with so few differences is found. A passage found is
-compressed alone and with its template as a raw dictionary; what the template saves ranks passages that share words.
-Passages are the same over many documents, so a worker remembers their reductions.
+"""Licence scan: templates ranked by conditional compression, confirmed by word differences.
+
+Lines with words of licences, with small gaps, are candidate blocks. A block is compressed alone and with every template as
+a raw dictionary; what a template saves is its rank. Templates are confirmed in this order: words are aligned with the
+wording, and a place with few differences is a notice. What is confirmed is blanked out and the rest of the block ranked
+again, until nothing more is confirmed. Places are looked for in the whole text, so a notice may go beyond its block, and at
+last every template's places outside of all blocks are taken, so that no notice is lost. A notice with few differences has
+some piece of its wording unchanged, and around such pieces the words are aligned, so each such place is found.
+Blocks are the same over many documents, so a worker remembers their reductions.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -45,11 +49,13 @@ TEMPLATES = {
 }
 _TRIGGER = re.compile(r"licen[sc]|copyright|\(c\)|©|permission|warrant|spdx|redistribut|rights reserved|public domain|creative commons|free software|\bgpl\b|\bcc0?[ -]", re.I)
 _WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
-#: Lines without a trigger that may lie between two of one block (which is only counted).
+#: Lines without a trigger that may lie between two of one block.
 GAP = 2
 #: Share of a template's words that must stand in the text in order, and words of it that may differ.
 COVER, DIFFER = 0.9, 4
 LEVEL = 3
+#: Longer passages are compressed each time.
+REMEMBERED = 4096
 
 
 class Scanner:
@@ -61,13 +67,23 @@ class Scanner:
 
     def reduction(self, passage: str, template: str) -> float:
         """Share of a passage's compressed size that the template saves."""
-        key = template, passage
-        if key not in self.memory:
-            if len(self.memory) >= 50_000:
-                self.memory.clear()
-            data = passage.encode("utf-8", "replace")
-            self.memory[key] = round(1 - len(self.given[template].compress(data)) / len(self.alone.compress(data)), 4)
-        return self.memory[key]
+        return self.reductions(passage, [template])[0]
+
+    def reductions(self, passage: str, templates: list[str]) -> list[float]:
+        if len(self.memory) >= 50_000:
+            self.memory.clear()
+        data, alone = b"", 0
+        out = []
+        for template in templates:
+            saved = self.memory.get((template, passage))
+            if saved is None:
+                data = data or passage.encode("utf-8", "replace")
+                alone = alone or len(self.alone.compress(data))
+                saved = round(1 - len(self.given[template].compress(data)) / alone, 4)
+                if len(passage) <= REMEMBERED:
+                    self.memory[template, passage] = saved
+            out.append(saved)
+        return out
 
     def differences(self, block: str, template: str) -> tuple[float, list[str]]:
         """Share of the template's words found in order, and what is removed (-) and put in between (+)."""
@@ -84,24 +100,50 @@ class Scanner:
             out += [f"-{w}" for w in mine[last.a + last.size :]]
         return (found / len(mine) if mine else 0.0), out
 
-    def passages(self, words: list[str]) -> list[tuple[str, float, list[int], list[str]]]:
+    def passages(self, words: list[str], blocks: list[tuple[int, int]]) -> list[tuple[str, float, list[int], list[str]]]:
         """(template, size reduction, numbers of the matched words, differences) of the confirmed notices in a text.
 
-        Every template's wording is looked for. Of notices that share words, that with the fewest differences counts,
-        then the longest template, then the largest reduction.
+        ``blocks`` are ranges of words. Of notices that share words, that of the block's highest rank counts; a place whose words
+        another template explains with fewer differences, or with as few among more words, is left to that one. Outside of blocks the fewest differences
+        count, then the longest template, then the largest reduction.
         """
         line = f" {' '.join(words)} "
-        found = []
-        for name, mine in self.words.items():
-            for matched, off in _occurrences(words, line, mine):
-                saved = self.reduction(" ".join(words[matched[0] : matched[-1] + 1]), name)
-                found.append((len(off), -len(mine), -saved, name, matched, off))
+        places: dict[str, list[tuple[list[int], list[str]]]] = {}
         taken: set[int] = set()
         out = []
-        for _, _, saved, name, matched, off in sorted(found):
+
+        def found(name: str) -> list[tuple[list[int], list[str]]]:
+            if name not in places:
+                places[name] = _occurrences(words, line, self.words[name])
+            return places[name]
+
+        def take(name: str, matched: list[int], off: list[str]) -> None:
+            taken.update(matched)
+            out.append((name, self.reduction(" ".join(words[matched[0] : matched[-1] + 1]), name), matched, off))
+
+        def confirmed(name: str, low: int, high: int) -> bool:
+            before = len(out)
+            for matched, off in found(name):
+                if matched[-1] >= low and matched[0] < high and taken.isdisjoint(matched) and not any(
+                        (len(o), -len(m)) < (len(off), -len(matched)) and set(matched) <= set(m)
+                        for other in self.words if other != name for m, o in found(other)):
+                    take(name, matched, off)
+            return len(out) > before
+
+        for low, high in blocks:
+            untried = list(self.words)
+            while untried and (rest := " ".join(words[k] for k in range(low, high) if k not in taken)):
+                saved = dict(zip(untried, self.reductions(rest, untried), strict=True))
+                ranked = sorted(untried, key=lambda n: (-saved[n], n))  # noqa: B023
+                # what was not confirmed has no place in this block, and has none when more is blanked out
+                first = next((i for i, n in enumerate(ranked) if confirmed(n, low, high)), len(ranked))
+                untried = ranked[first + 1 :]
+        others = [(len(off), -len(mine), name, matched, off) for name, mine in self.words.items()
+                  for matched, off in found(name) if taken.isdisjoint(matched)]
+        ranked = [(n, size, -self.reduction(" ".join(words[m[0] : m[-1] + 1]), name), name, m, off) for n, size, name, m, off in others]
+        for *_, name, matched, off in sorted(ranked):
             if taken.isdisjoint(matched):
-                taken.update(matched)
-                out.append((name, -saved, matched, off))
+                take(name, matched, off)
         return out
 
     def scan(self, text: str) -> tuple[int, list[tuple[int, int, str, float, list[str]]]]:
@@ -109,14 +151,22 @@ class Scanner:
 
         Notices are looked for in the whole text, however its lines are broken.
         """
-        n_blocks, last = 0, None
+        lines: list[list[int]] = []  # first and last line of each block
         if _TRIGGER.search(text):
             for i, line in enumerate(text.split("\n")):
                 if _TRIGGER.search(line):
-                    n_blocks += last is None or i - last > GAP + 1
-                    last = i
+                    if lines and i - lines[-1][1] <= GAP + 1:
+                        lines[-1][1] = i
+                    else:
+                        lines.append([i, i])
+        n_blocks = len(lines)
         low = text.lower()
-        found = self.passages(_WORD.findall(low))
+        words, blocks = _WORD.findall(low), []
+        if lines:
+            starts = [m.start() for m in _WORD.finditer(low)]
+            breaks = [0, *[k + 1 for k, c in enumerate(low) if c == "\n"], len(low) + 1]
+            blocks = [(bisect_left(starts, breaks[a]), bisect_left(starts, breaks[b + 1])) for a, b in lines]
+        found = self.passages(words, blocks)
         if not found:
             return n_blocks, []
         at = [m.start() for m in _WORD.finditer(low)]

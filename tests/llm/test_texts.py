@@ -230,6 +230,25 @@ def test_every_licence_of_a_text_is_found(documents):
     assert len(licences.Scanner().scan(texts[8][0])[1]) == 3
 
 
+def test_licences_are_confirmed_in_the_order_of_compression():
+    header = licences.TEMPLATES["Apache-2.0#header"]
+    # the whole header saves more than its first sentence, which has no difference
+    scanner = licences.Scanner()
+    assert [(f[2], f[4]) for f in scanner.scan(header.replace("obtain", "get"))[1]] == [("Apache-2.0#header", ["-obtain", "+get"])]
+    # every block is compressed with every template, and what is left of it again
+    scanner, asked = licences.Scanner(), []
+    scanner.reductions = lambda passage, names: asked.append((passage, len(names))) or [float(n == "MIT") for n in names]
+    assert scanner.scan("my licence\n\n\n\n\nReleased under the MIT License. thanks")[0] == 2
+    ranked = [a for a in asked if a[1] > 1]
+    assert ranked[0] == ("my licence", 20) and ranked[1] == ("released under the mit license thanks", 20) and ranked[2] == ("thanks", 19)
+    # templates that save alike: the wording decides
+    for name in ("GPL-2.0", "GPL-3.0", "LGPL-3.0", "AGPL-3.0"):
+        found = licences.Scanner().scan("All of it. " + licences.TEMPLATES[name] + " " + "plain words follow " * 30)[1]
+        assert [(f[2], f[4]) for f in found] == [(name, [])]
+    # a notice broken over many lines goes beyond its block
+    assert [f[2] for f in licences.Scanner().scan(header.replace(" ", "\n"))[1]] == ["Apache-2.0#header"]
+
+
 def test_toxicity_on_held_out_rows(spark, sf):
     sf = sf.replace("sf0.001", "sf0.1")
     labels = table(spark, sf, "labels")
