@@ -287,7 +287,9 @@ def _watched(rows: DataFrame, ticks: DataFrame | None, lateness: str) -> DataFra
     """Rows and ticks behind one watermark, whose column goes no further, so no row is dropped for being late."""
     rows = rows.withColumn("tick", F.lit(False))
     if ticks is not None:
-        rows = rows.unionByName(ticks.select("timestamp", F.lit(True).alias("tick")), allowMissingColumns=True)
+        # a null key beside numbers would make all keys of an Arrow batch floating-point, which the state takes for other keys
+        keys = [F.lit(-1).alias(c) for c in ("bucket", "salt") if c in rows.columns]
+        rows = rows.unionByName(ticks.select("timestamp", F.lit(True).alias("tick"), *keys), allowMissingColumns=True)
     return with_event_time(rows.drop("event_time"), lateness).drop("event_time")
 
 

@@ -421,3 +421,10 @@ def test_a_bucket_is_settled_in_pieces(monkeypatch):
     whole, most = run(10_000)
     parts, least = run(100)
     assert parts == whole and len(whole) == 666 and most > 500 and least < 200
+
+
+def test_ticks_have_a_bucket_of_their_own(spark):
+    rows = spark.createDataFrame([("a", 1, 3, 0)], "machine_id string, timestamp bigint, bucket int, salt int")
+    ticks = spark.createDataFrame([(9,)], "timestamp bigint")
+    got = stateful._watched(rows, ticks, "1 minute").select("bucket", "salt", "tick").collect()
+    assert sorted(map(tuple, got)) == [(-1, -1, True), (3, 0, False)]
