@@ -162,7 +162,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, slots: i
     An empty table gives an empty result.
     """
     marked, keys = keyed(docs)
-    out = _groups(marked, width, percent, slots, rows, block).withColumn("kept", F.expr("key = group"))
+    out = _groups(marked, keys is not None, width, percent, slots, rows, block).withColumn("kept", F.expr("key = group"))
     if keys is None:
         return out.select(F.col("key").alias("id"), "n_shingles", F.col("group").alias("component"), "kept")
     keys = small(keys, 16)
@@ -170,23 +170,27 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, slots: i
     return out.join(own, "key").join(first, "group").select("id", "n_shingles", "component", "kept")
 
 
-def _groups(marked: DataFrame, width: int, percent: int, slots: int = SLOTS, rows: int = BAND_ROWS, block: int = BLOCK) -> DataFrame:
-    """key, n_shingles and group (the least key reachable) of each row of a table with KEY."""
+def _groups(marked: DataFrame, repeated: bool, width: int, percent: int, slots: int = SLOTS, rows: int = BAND_ROWS, block: int = BLOCK) -> DataFrame:
+    """key, n_shingles and group (the least key reachable) of each row of a table with KEY, on which rows may be `repeated`."""
     docs = marked.select(F.col(KEY).alias("doc_id"), "text")
     marks = saved(sketch(docs, width, slots, rows), "sketch")
     classes = saved(marks.where("n_shingles > 0").groupBy("c1", "c2", "n_shingles").agg(F.min("id").alias("rep")), "classes")
     reps = marks.join(classes.select(F.col("rep").alias("id"), "c1", "c2", "n_shingles"), ["id", "c1", "c2", "n_shingles"]).dropDuplicates(["id", "c1", "c2"])
     n_bands = slots // rows
-    banded = reps.select("id", "sig", F.posexplode("bands").alias("band", "key"), (F.col("bands")[(F.col("band") + 1) % n_bands]).alias("tie"))
+    # a document has a row per band here, so its signature is left out; it joins those that go on
+    banded = reps.select("id", F.posexplode("bands").alias("band", "key"), (F.col("bands")[(F.col("band") + 1) % n_bands]).alias("tie"))
     # only buckets of two or more go on; the count combines before the shuffle
     crowded = reps.select(F.explode("bands").alias("key")).groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key")
-    rows_in = saved(banded.join(crowded, "key").select("key", "tie", "id", "sig"), "buckets")
-    ids = rows_in.select("id").distinct()
+    rows_in = saved(banded.join(crowded, "key").select("key", "tie", "id"), "buckets")
+    ids = small(saved(rows_in.select("id").distinct(), "ids"), 40)
     texts = docs.select(id_key("doc_id").alias("id"), F.col("text").cast("binary").alias("text"))
-    sets = saved(map_arrow(texts.join(ids, "id", "left_semi"), _sets, "id long, set binary", width).groupBy("id").agg(F.max("set").alias("set")), "sets")
+    sets = map_arrow(texts.join(ids, "id", "left_semi"), _sets, "id long, set binary", width)
+    sets = saved(sets.groupBy("id").agg(F.max("set").alias("set")) if repeated else sets, "sets")
 
     pair = "a long, b long, alike double"
-    chained = rows_in.repartitionByRange("key", "tie", "id").sortWithinPartitions("key", "tie", "id").mapInArrow(Tidy(partial(_chain, arrow_schema(pair), slots)), pair)
+    sigs = marks.join(ids, "id", "left_semi").select("id", "sig")
+    signed = rows_in.join(sigs.dropDuplicates(["id"]) if repeated else sigs, "id").select("key", "tie", "id", "sig")
+    chained = signed.repartitionByRange("key", "tie", "id").sortWithinPartitions("key", "tie", "id").mapInArrow(Tidy(partial(_chain, arrow_schema(pair), slots)), pair)
     tried = chained.groupBy("a", "b").agg(F.max("alike").alias("alike"))
     best = tried.groupBy("b").agg(F.slice(F.sort_array(F.collect_list(F.struct("alike", "a")), asc=False), 1, NEIGHBOURS).alias("best"))
     pairs = best.select("b", F.explode("best.a").alias("a"))
@@ -231,8 +235,8 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) ->
     Rows without words stand alone, so of those only rows equal in every column are repeated.
     """
     marked, keys = keyed(docs)
-    kept = _groups(marked, width, percent).where("key = group").select(F.col("key").alias(KEY), (F.col("n_shingles") > 0).alias("__words")).distinct()
-    rows = marked.join(saved(kept, "kept"), KEY)
+    kept = _groups(marked, keys is not None, width, percent).where("key = group").select(F.col("key").alias(KEY), (F.col("n_shingles") > 0).alias("__words")).distinct()
+    rows = marked.join(small(saved(kept, "kept"), 40), KEY)
     if keys is not None:
         whole = F.when(~F.col("__words"), F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])))
         rows = rows.withColumn("__row", whole).dropDuplicates([KEY, "__row"])

@@ -7,7 +7,7 @@ import tempfile
 import time
 import uuid
 from collections.abc import Callable, Iterator
-from contextlib import suppress
+from contextlib import contextmanager, suppress
 from functools import partial
 
 import pyarrow as pa
@@ -20,6 +20,8 @@ BROADCAST_BYTES = 64 << 20
 #: Stands for a null id inside an operator, so that such rows join, sort first and are not lost.
 NO_ID = -(1 << 63)
 _OWN: dict[str, str] = {}
+#: Spark's setting for deleting the files of an execution's shuffles when it ends.
+SHUFFLES_END = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Seconds between two looks for shuffles that are done with.
 CLEAN_SECONDS = 5.0
 _CLEANED = 0.0
@@ -46,13 +48,31 @@ def folder(spark: SparkSession, name: str) -> str:
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
-    """The rows written to the shared folder and read again: computed once, and lineage ends there."""
+    """The rows written to the shared folder and read again: computed once, and lineage ends there.
+
+    The shuffles of the write are deleted when it ends, as nothing reads them again.
+    """
     path = folder(df.sparkSession, name)
-    df.write.parquet(path)
+    with _shuffles_end(df.sparkSession):
+        df.write.parquet(path)
     _clean(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def _shuffles_end(spark: SparkSession) -> Iterator[None]:
+    """Within it, an execution's shuffle files go when it ends, not when the driver's garbage collection finds them."""
+    before = spark.conf.get(SHUFFLES_END, None)
+    spark.conf.set(SHUFFLES_END, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLES_END)
+        else:
+            spark.conf.set(SHUFFLES_END, before)
+
+
 def _clean(spark: SparkSession) -> None:
     """Have the driver notice which shuffles nothing refers to any more, a few times a minute, so that Spark deletes their files."""
     global _CLEANED

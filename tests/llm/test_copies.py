@@ -3,11 +3,13 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from millwatch.llm import decontaminate, near_dup, suffix_dedup
+from millwatch.llm import decontaminate, near_dup, store, suffix_dedup
 from millwatch.llm.components import components
 from millwatch.llm.store import table
 from millwatch.llm.superminhash import signatures
@@ -83,6 +85,37 @@ def test_one_of_each_group_stays_with_all_columns(documents):
     assert kept.columns == docs.columns
 
 
+def test_a_saved_table_leaves_no_shuffle_files(spark, monkeypatch):
+    def files():
+        names = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {f for f in names.split("\n") if re.search(r"/shuffle_\d+_", f)}
+
+    monkeypatch.setattr(store, "_clean", lambda session: None)
+    before = files()
+    assert store.saved(spark.range(1000).repartition(3).groupBy(F.col("id") % 7).count(), "sevens").count() == 7
+    until = time.monotonic() + 20
+    while (left := files() - before) and time.monotonic() < until:
+        time.sleep(0.2)
+    # the count of the result has a shuffle of its own, of one row
+    assert len({re.search(r"shuffle_(\d+)_", f)[1] for f in left}) <= 1
+    assert spark.conf.get(store.SHUFFLES_END, None) is None
+
+
+def test_signatures_and_texts_are_not_shuffled_for_each_band(spark, documents, monkeypatch):
+    tables = {}
+
+    def saved(df, name):
+        tables[name] = df.columns, df._jdf.queryExecution().toString()
+        return store.saved(df, name)
+
+    monkeypatch.setattr(near_dup, "saved", saved)
+    rows = [(i, t) for i, t in dict(_family(random.Random(9))).items() if i is not None]
+    near_dup.drop_near_duplicates(documents(rows)).count()
+    assert tables["buckets"][0] == ["key", "tie", "id"]
+    assert "sig" not in tables["buckets"][1].split("== Physical Plan ==")[1].replace("n_shingles", "")
+    assert "Exchange hashpartitioning" not in tables["sets"][1].split("== Physical Plan ==")[1]
+
+
 def _shared_ids():
     """Different texts of one id, and of no id: (doc_id, text), no row repeated."""
     rnd = random.Random(12)
