@@ -23,89 +23,149 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millwatch.llm import huffman
-from millwatch.llm.bpe import LONE_SPACE
+from millwatch.llm import huffman, octets
 from millwatch.llm.store import NO_ID, Tidy, arrow_schema, committed, folder, id_key, map_arrow, octets_of, one_per_task, open_store, record, saved
 
 MAGIC = b"MWTOKEN1"
 BLOCK = 1 << 16
 ROLL = 1 << 23
-#: Strings between spaces that a worker remembers the ids of, in two generations.
+#: Parts of texts that a worker remembers the ids of, in two generations.
 REMEMBERED = 250_000
 LONGEST = 64
-#: Unknown strings that one call of the library takes.
-TOGETHER = 16_384
-#: White space of any kind.
-WHITE = re.compile(r"[\s\u180E]")
-
-
-#: White space beside white space, or at an end.
-CLOSE = re.compile(r"[\s\u180E](?:[\s\u180E]|\Z)")
-
-
-def _only_lone(text: str) -> bool:
-    """Whether every space stands between two characters that are no white space."""
-    return not text[:1].isspace() and text[:1] != "\u180e" and CLOSE.search(text) is None
+#: Bytes of text that are cut into parts together; a longer text is taken alone.
+BATCH_BYTES = 8 << 20
+#: Unknown parts that one call of the library takes, and how many of them it takes as one text.
+CALL = 16_384
+TOGETHER = 128
+#: White space of any kind: one byte, or the first byte and what may follow.
+BLANK = np.isin(np.arange(256), [*range(0x09, 0x0E), *range(0x1C, 0x21)])
+WIDE_BLANK = {0xC2: [b"\x85", b"\xa0"], 0xE1: [b"\x9a\x80", b"\xa0\x8e"], 0xE2: [*(bytes([0x80, b]) for b in (*range(0x80, 0x8B), 0xA8, 0xA9, 0xAF)), b"\x81\x9f"], 0xE3: [b"\x80\x80"]}
+#: Any white space but a space in front.
+WHITE = re.compile(r"(?!\A )[\s\u180E]")
+ALNUM = np.array([chr(b).isalnum() and b < 0x80 for b in range(256)])
+MARKS = np.isin(np.arange(256), list(b".,;:!?"))
+
+
+def _white(data: np.ndarray) -> np.ndarray:
+    """Which bytes belong to white space."""
+    white = BLANK[data]
+    for first, rests in WIDE_BLANK.items():
+        at = np.flatnonzero(data == first)
+        for rest in rests:
+            here = at[at + len(rest) < len(data)]
+            for k, byte in enumerate(rest, 1):
+                here = here[data[here + k] == byte]
+            for k in range(len(rest) + 1):
+                white[here + k] = True
+    return white
+
+
+def cuts(data: np.ndarray, starts: np.ndarray, fine: bool) -> np.ndarray:
+    """Where the parts of texts begin: at each text's start (distinct, the first 0) and where a pre-token surely does.
+
+    That is at a space alone between two characters that are no white space; if `fine`, also before and after such a
+    line feed, and between an ASCII letter or digit and one of MARKS. Fine cuts are those of GPT-2's pattern.
+    """
+    white = _white(data)
+    begins = np.zeros(len(data) + 1, bool)
+    begins[starts] = begins[-1] = True
+    alone = white.copy()
+    alone[1:] &= ~white[:-1]
+    alone[:-1] &= ~white[1:]
+    alone &= ~(begins[:-1] | begins[1:])  # nothing is beside an end
+    out = begins[:-1] | (alone & (data == 0x20))
+    if fine:
+        line = alone & (data == 0x0A)
+        out |= line
+        out[1:] |= line[:-1]
+        out[1:] |= MARKS[data[1:]] & ALNUM[data[:-1]]
+    return np.flatnonzero(out)
 
 
 class _Library:
-    """Ids by the tokenizers library; strings between lone spaces are encoded once and remembered.
+    """Ids by the tokenizers library; parts of texts are encoded once and remembered.
 
-    A space between two characters that are no white space starts a pre-token, and no merge crosses pre-tokens, so the
-    ids of a text are those of its parts.
+    Texts are cut where a pre-token begins whatever stands around, and no merge crosses pre-tokens, so the ids of a
+    text are those of its parts.
     """
 
     def __init__(self, path: str) -> None:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        way = self.tokenizer.pre_tokenizer
+        self.fine = self.tokenizer.normalizer is None and isinstance(way, pre_tokenizers.ByteLevel) and way.use_regex and not way.add_prefix_space
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.spaced[[i for symbols, i in vocabulary.items() if symbols.startswith("Ġ")]] = True
+        self.leads = {}
+        for lead, symbol in ((" ", "Ġ"), ("\n", "Ċ")):
+            self.leads[lead] = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.leads[lead][[i for symbols, i in vocabulary.items() if symbols.startswith(symbol)]] = True
+        self.line = np.array([vocabulary.get("Ċ", 0)], "<u4").tobytes()
         self.forget()
 
     def forget(self) -> None:
-        self.young: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.young: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.split(" ") if _only_lone(t) else LONE_SPACE.split(t) for t in texts]
-        heads = self.whole([s.pop(0) for s in split])
+        """Ids of each text: every distinct part is looked up once, and its ids are dealt out."""
+        raw = [t.encode() for t in texts]
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        if not len(data):
+            return [b""] * len(texts)
+        ends = np.cumsum([len(t) for t in raw])
+        starts = np.unique(np.r_[0, ends[:-1]])
+        bounds = np.append(cuts(data, starts[starts < len(data)], self.fine), len(data))
+        parts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+        coded = parts.dictionary_encode()
+        known = self.remembered(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        _, places, ids = pa.array(known, pa.large_binary()).take(coded.indices).buffers()
+        at = np.frombuffer(places, np.int64)[np.searchsorted(bounds, np.r_[0, ends])].tolist()
+        ids = ids.to_pybytes()
+        return [ids[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+
+    def remembered(self, parts: list[bytes]) -> list[bytes]:
+        """Ids of distinct parts."""
         young, older = self.young, self.older
-        new = set().union(*split).difference(young)
+        new = [w for w in parts if w not in young]
         if older:  # what is used again outlives its generation
-            again = {w: older[w] for w in new if w in older}
-            young.update(again)
-            new.difference_update(again)
-        other = [w for w in new if WHITE.search(w)]
-        young.update(zip(other, self.whole([" " + w for w in other]), strict=True))
-        plain = list(new.difference(other))
-        for start in range(0, len(plain), TOGETHER):
-            some = plain[start : start + TOGETHER]
-            young.update(zip(some, self.apart(some), strict=True))
-        get = young.__getitem__
-        out = [head + b"".join(map(get, s)) for head, s in zip(heads, split, strict=True)]
+            young.update([(w, older[w]) for w in new if w in older])
+            new = [w for w in new if w not in older]
+        texts = [w.decode() for w in new]
+        # white space other than a space is not printable, which is quicker to see
+        odd = {w for w in texts if (not w.isprintable() or " " in w[1:]) and WHITE.search(w)}
+        for lead in (" ", "\n"):
+            some = [w for w in texts if (w[0] == " ") == (lead == " ") and w not in odd]
+            young.update(zip([w.encode() for w in some], self.apart(some, lead), strict=True))
+        young.update(zip([w.encode() for w in odd], self.whole(list(odd)), strict=True))
+        out = [young[w] for w in parts]
         for w in [w for w in new if len(w) > LONGEST]:
             del young[w]
         if len(young) >= REMEMBERED:
             self.young, self.older = {}, young
         return out
 
-    def apart(self, words: list[str]) -> list[bytes]:
-        """Ids of strings without white space, each behind a space, by one call: only a string's first token starts with one."""
-        ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)[0].ids, "<u4")
-        at = np.flatnonzero(self.spaced[ids])
-        if len(at) != len(words):  # a vocabulary of another kind
-            return self.whole([" " + w for w in words])
-        packed, ends = ids.tobytes(), np.append(at[1:], len(ids))
-        return [packed[4 * i : 4 * j] for i, j in zip(at.tolist(), ends.tolist(), strict=True)]
+    def apart(self, parts: list[str], lead: str) -> list[bytes]:
+        """Ids of parts by one text for many. All have a space in front and no other, or none; the latter are put on lines."""
+        if lead != " " and not self.fine:
+            return self.whole(parts)
+        out, leads, line = [], self.leads[lead], self.line if lead != " " else b""
+        for start in range(0, len(parts), CALL):
+            pieces = [parts[i : i + TOGETHER] for i in range(start, min(start + CALL, len(parts)), TOGETHER)]
+            for some, packed in zip(pieces, self.whole(["".join(p) if lead == " " else "\n" + "\n".join(p) for p in pieces]), strict=True):
+                at = (np.flatnonzero(leads[np.frombuffer(packed, "<u4")]) * 4).tolist()
+                if len(at) != len(some) or (line and any(packed[i : i + len(line)] != line for i in at)):  # a vocabulary of another kind
+                    out += self.whole(some)
+                    continue
+                out += [packed[i + len(line) : j] for i, j in zip(at, [*at[1:], len(packed)], strict=True)]
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -117,10 +177,10 @@ def _tokens(schema, path: str, end_id: int, batches: Iterator[pa.RecordBatch]) -
     own, stop = library(path), np.array([end_id], "<u4").tobytes()
     try:
         for whole in batches:
-            for start in range(0, whole.num_rows, 1024):
-                batch = whole.slice(start, 1024)
-                ids = own.encode([t.decode("utf-8", "replace") for t in octets_of(batch)])
-                yield record({"id": batch.column("id"), "ids": [x + stop for x in ids]}, schema)
+            texts = octets_of(whole)
+            for start, end in octets.batches(texts, BATCH_BYTES):
+                ids = own.encode([t.decode("utf-8", "replace") for t in texts[start:end]])
+                yield record({"id": whole.column("id").slice(start, end - start), "ids": [x + stop for x in ids]}, schema)
     finally:
         own.forget()  # an idle worker keeps nothing
 

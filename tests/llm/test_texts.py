@@ -58,6 +58,23 @@ def test_token_files_of_single_spaces_beside_other_white_space():
         assert ids == library.whole([text])[0], repr(text)
 
 
+def test_token_files_ask_the_library_for_each_part_once(monkeypatch):
+    library = token_files._Library(vocabulary("byte_bpe_50k.json"))
+    rnd, asked, whole = random.Random(8), [], library.whole
+    pieces = ["one", "Two", "é", "3", ".", ",", "!?", ";", "'s", "\n", " ", "  ", "\n\n", "\u2028", "\u2009", "\x85", "\x1c", "漢", "\x00", "Ġ", "<|endoftext|>", "x" * 70]
+    texts = ["", *("".join(rnd.choice(pieces) for _ in range(rnd.randrange(30))) for _ in range(1500)), ""]
+    assert library.encode(texts) == whole(texts)
+    assert library.encode([]) == [] and library.encode(["", ""]) == [b"", b""]
+
+    library.forget()
+    monkeypatch.setattr(library, "whole", lambda some: asked.extend(some) or whole(some))
+    words = [f"w{a}{b}" for a in "abcdefghij" for b in "abcdefghij"]
+    texts = [" ".join(words), ", ".join(words) + ".", ".\n".join(words)]
+    assert library.encode(texts) == whole(texts)
+    # each word behind a space or on a line of its own, each mark
+    assert sum(map(len, asked)) < 2.2 * len(" ".join(words)) and max(map(len, asked)) < 1000
+
+
 def test_bpe_of_a_long_pre_token():
     ours = bpe.coder(vocabulary("byte_bpe_50k.tiktoken"), pretoken_pattern())
     text = "".join(random.Random(1).choice("abcdef") for _ in range(30_000))
