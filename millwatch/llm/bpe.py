@@ -39,7 +39,7 @@ LONGEST = 64
 #: What an entry takes besides its bytes.
 ENTRY = 150
 #: Bytes of text whose pre-tokens are looked up together.
-TOGETHER = 3 << 20
+TOGETHER = 1 << 20
 #: A space that always starts a pre-token: no white space beside it (U+180E counts, as in older tables).
 LONE_SPACE = re.compile(r"(?<=[^\s\u180E]) (?=[^\s\u180E])")
 

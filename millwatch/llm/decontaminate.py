@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -158,7 +159,7 @@ class _Known:
 MATCH = "id long, n_words long, n_hit long, items array<string>, spans array<struct<start:int,end:int>>"
 
 
-def _follow(batch: pa.RecordBatch, shared, window: int) -> dict:
+def _follow(batch: pa.RecordBatch, shared, window: int, then=None) -> dict:
     automaton, word_known, pair_known = shared.value
     texts = octets_of(batch)
     n_words, n_hit, items, spans = [], np.zeros(len(texts), np.int64), [None] * len(texts), [None] * len(texts)
@@ -198,7 +199,8 @@ def _follow(batch: pa.RecordBatch, shared, window: int) -> dict:
             n_hit[lo + k] = sum(y - x for x, y in merged)
             items[lo + k] = sorted({automaton.names[i] for i in names})
             spans[lo + k] = [{"start": int(starts[x] - o.starts[k]), "end": int(ends[y - 1] - o.starts[k])} for x, y in merged]
-    return {"id": batch.column("id"), "n_words": np.concatenate(n_words) if n_words else [], "n_hit": n_hit, "items": items, "spans": spans, **({"row": batch.column("row")} if "row" in batch.schema.names else {})}
+    out = {"id": batch.column("id"), "n_words": np.concatenate(n_words) if n_words else [], "n_hit": n_hit, "items": items, "spans": spans, **({"row": batch.column("row")} if "row" in batch.schema.names else {})}
+    return then(batch, out) if then else out
 
 
 def _automaton(rows: list, window: int):
@@ -215,17 +217,24 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> D
     a document's word inside an occurrence of one is hit. Null texts have no words; an item without words matches
     nothing. Items of one text all count; an item_id in several rows counts once. `row` holds all columns of `docs`.
     """
+    return _leaks(docs, benchmark, window, MATCH)
+
+
+def _leaks(docs: DataFrame, benchmark: DataFrame, window: int, columns: str, then=None) -> DataFrame:
+    """``find_leaks``, or `columns` and row as ``then(batch, found)`` makes them: in the same call, since two calls of one
+    stage are two workers for each task."""
     spark = docs.sparkSession
     tests = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("binary").alias("text"))
     size = tests.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
     parts = max(1, -(-int(size) // (PART_BYTES // 2)))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), id_key("doc_id").alias("id"), F.col("text").cast("binary").alias("text"))
-    schema = f"{MATCH}, row {rows.schema['row'].dataType.simpleString()}"
+    row = f"row {rows.schema['row'].dataType.simpleString()}"
+    schema, last = (f"{columns}, {row}", then) if parts == 1 else (f"{MATCH}, {row}", None)
     passes = []
     for part in range(parts):
         mine = tests.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part)
         shared = spark.sparkContext.broadcast(_automaton(mine.collect(), window))
-        passes.append(map_arrow(rows, _follow, schema, shared, window))
+        passes.append(map_arrow(rows, _follow, schema, shared, window, last))
     if parts == 1:
         return passes[0]
     # several passes: hit words of a document are counted again on the joined spans
@@ -236,10 +245,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> D
         one = one.where("n_hit > 0").select("id", F.xxhash64(F.col("row.text").cast("binary")).alias("of"), "items", "spans")
         found = one if found is None else found.unionByName(one)
     found = saved(found, "leaks").groupBy("id", "of").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))
-    return map_arrow(texts.join(found, ["id", "of"], "left").drop("of"), _recount, schema)
+    return map_arrow(texts.join(found, ["id", "of"], "left").drop("of"), _recount, f"{columns}, {row}", then)
 
 
-def _recount(batch: pa.RecordBatch) -> dict:
+def _recount(batch: pa.RecordBatch, then=None) -> dict:
     out: dict[str, list] = {"n_words": [], "n_hit": [], "spans": []}
     for text, spans in zip(octets_of(batch), batch.column("spans").to_pylist(), strict=True):
         merged: list[list[int]] = []
@@ -251,7 +260,8 @@ def _recount(batch: pa.RecordBatch) -> dict:
         out["n_words"].append(len(words(text)))
         out["n_hit"].append(sum(len(words(text[a:b])) for a, b in merged))
         out["spans"].append([{"start": a, "end": b} for a, b in merged] or None)
-    return {"id": batch.column("id"), "items": batch.column("items"), "row": batch.column("row"), **out}
+    out = {"id": batch.column("id"), "items": batch.column("items"), "row": batch.column("row"), **out}
+    return then(batch, out) if then else out
 
 
 def leak_report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -261,15 +271,15 @@ def leak_report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
     return out.select(F.col("row.doc_id").cast("long").alias("doc_id"), "n_words", "n_hit", F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"), F.sha2(listed, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
-def _cut(batch: pa.RecordBatch, most: float) -> dict:
+def _cut(most: float, batch: pa.RecordBatch, found: dict) -> dict:
     out: dict[str, list] = {"left": [], "keep": []}
-    for text, spans, hit, n in zip(octets_of(batch), *(batch.column(c).to_pylist() for c in ("spans", "n_hit", "n_words")), strict=True):
+    for text, spans, hit, n in zip(octets_of(batch), *(found[c] for c in ("spans", "n_hit", "n_words")), strict=True):
         at, left = 0, []
         for s in spans or ():
             left.append(text[at : s["start"]])
             at = s["end"]
         out["left"].append(b"".join([*left, text[at:]]).decode("utf-8", "replace"))
-        out["keep"].append(not n or hit <= most * n)
+        out["keep"].append(bool(not n or hit <= most * n))
     return {"row": batch.column("row"), **out}
 
 
@@ -278,9 +288,7 @@ def remove_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
 
     Rows without a hit are returned as they are; n_chars, where there is one, follows the text.
     """
-    out = find_leaks(docs, benchmark, window).withColumn("text", F.col("row.text").cast("binary"))
-    schema = f"row {out.schema['row'].dataType.simpleString()}, left string, keep boolean"
-    cut = map_arrow(out.drop("id", "items"), _cut, schema, coverage).where("keep")
+    cut = _leaks(docs, benchmark, window, "left string, keep boolean", partial(_cut, coverage)).where("keep")
     return cut.select(*rewritten(docs, F.when(F.col("row.text").isNotNull(), F.col("left"))))
 
 

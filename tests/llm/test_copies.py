@@ -310,6 +310,22 @@ def test_removing_leaks(spark, documents):
     assert got[2]["text"] == clean and got[2]["row"] == 2
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_leaks_are_found_and_removed_by_one_worker_a_task(spark, documents, monkeypatch, parts):
+    rnd = random.Random(8)
+    items = [(k, _sentence(rnd, 40)) for k in range(6)]
+    rows = [(1, f"{items[0][1]} x y z {items[5][1]} " + _sentence(rnd, 200, 9000)), (2, _sentence(rnd, 30, 9000)), (3, items[2][1]), (4, None), (5, "")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = {r["doc_id"]: r["text"] for r in decontaminate.remove_leaks(documents(rows), bench).collect()}
+    assert set(want) == {1, 2, 4, 5} and want[1].startswith(" x y z  ") and want[4] is None
+    if parts > 1:
+        monkeypatch.setattr(decontaminate, "PART_BYTES", 800)
+    out = decontaminate.remove_leaks(documents(rows), bench)
+    assert {r["doc_id"]: r["text"] for r in out.collect()} == want
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def test_registered_copies_queries_on_small_table(spark, sf):
     rows = [tuple(r) for r in table(spark, sf, "documents").select("doc_id", "text").collect()]
     want = _brute_spans(rows, 100)
