@@ -14,11 +14,7 @@ from pyspark.sql import functions as F
 
 from millwatch.llm import bpe, decontaminate, near_dup, outliers, suffix_dedup
 from millwatch.llm.queries import pretoken_pattern, vocabulary
-from millwatch.llm.store import saved, table
-
-
-#: Rows of an Arrow batch between Spark and a worker: documents are long, and both sides hold whole batches.
-BATCH_ROWS = "1000"
+from millwatch.llm.store import saved, short_batches, table
 
 
 def _stage(fn: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
@@ -26,7 +22,7 @@ def _stage(fn: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[
 
     @wraps(fn)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+        short_batches(spark)
         return fn(spark, docs, sf_dir)
 
     return run_stage

@@ -25,12 +25,19 @@ SHUFFLES_END = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Seconds between two looks for shuffles that are done with.
 CLEAN_SECONDS = 5.0
 _CLEANED = 0.0
+#: Rows of an Arrow batch between Spark and a worker: documents are long, and both sides hold whole batches.
+BATCH_ROWS = "1000"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def short_batches(spark: SparkSession) -> None:
+    """Set the session to batches of BATCH_ROWS rows, for long rows; the setting stays, since a result is computed later."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def folder(spark: SparkSession, name: str) -> str:
     """A new folder in the shared one that the cluster names in ``spark.checkpoint.dir``.
 
@@ -183,7 +190,11 @@ def _rename(batch: pa.RecordBatch, uri: str) -> dict:
 
 def one_per_task(files: DataFrame) -> DataFrame:
     """The rows of a manifest dealt out evenly, about one to a task: a name is short, but the file behind it is not."""
-    return files.repartition(max(1, min(files.count(), 100_000)))
+    return files.repartition(_tasks(files))
+
+
+def _tasks(files: DataFrame) -> int:
+    return max(1, min(files.count(), 100_000))
 
 
 def committed(written: DataFrame, uri: str, order: list[str], pattern: str) -> DataFrame:
@@ -191,9 +202,10 @@ def committed(written: DataFrame, uri: str, order: list[str], pattern: str) -> D
 
     `written` has one row per file with `temporary`, its name below `uri`. Only rows of tasks that succeeded are in it,
     so files of lost attempts keep their temporary names and are never read. The numbering is a window over one row
-    per file.
+    per file, in an order that is the same however often it runs. Files are renamed one to a task, and the manifest is
+    one file: each file that Spark writes to a folder of the local kind starts processes of the executor.
     """
-    manifest = saved(written, "written")
+    files = saved(written, "written")
     number = F.row_number().over(Window.orderBy(*order, "temporary")) - 1
-    manifest = saved(manifest.withColumn("name", F.format_string(pattern, number)), "named")
-    return saved(map_arrow(one_per_task(manifest), _rename, manifest.schema, uri), "manifest")
+    named = files.withColumn("name", F.format_string(pattern, number)).repartition(_tasks(files))
+    return saved(map_arrow(named, _rename, named.schema, uri).repartition(1), "manifest")

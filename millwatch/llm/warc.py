@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millwatch.llm.store import arrow_schema, committed, folder, one_per_task, open_store, record, saved
+from millwatch.llm.store import Tidy, arrow_schema, committed, folder, one_per_task, open_store, record, saved, short_batches
 
 ROLL_BYTES = 256 << 20
 #: Payloads of fewer bytes are always responses.
@@ -100,7 +100,9 @@ class _File:
 def _write(schema, uri, roll, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     file, mark = None, (None, None)
     for batch in batches:
-        for url, page, same, refers, refers_url, payload in zip(*(batch.column(c).to_pylist() for c in ("url", "id", "same", "refers", "refers_url", "payload")), strict=True):
+        columns = [batch.column(c) for c in ("url", "id", "same", "refers", "refers_url", "payload")]
+        for row in zip(*columns, strict=True):  # a payload is copied when its turn comes
+            url, page, same, refers, refers_url, payload = (x.as_py() for x in row)
             if refers is not None:
                 mark = (url, page, same), (refers, refers_url)
                 continue
@@ -133,7 +135,7 @@ def write_warc(pages: DataFrame, uri: str, roll: int = ROLL_BYTES, least: int =
     both = rows.withColumns({"refers": F.lit(None).cast("long"), "refers_url": F.lit(None).cast("string")}).unionByName(marks)
     # a mark sorts right before the pages it is about
     lined = both.repartitionByRange("url", "id").sortWithinPartitions("url", "id", "same", F.col("refers").asc_nulls_last())
-    return committed(lined.mapInArrow(partial(_write, arrow_schema(WRITTEN), uri, roll), WRITTEN), uri, ["first_url", "first_id"], "pages-%06d.warc.gz")
+    return committed(lined.mapInArrow(Tidy(partial(_write, arrow_schema(WRITTEN), uri, roll)), WRITTEN), uri, ["first_url", "first_id"], "pages-%06d.warc.gz")
 
 
 def read_records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -186,10 +188,11 @@ def _read(schema, uri, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
 
 def read_warc(manifest: DataFrame, uri: str) -> DataFrame:
     """The records of the manifest's files; `payload` is null for revisits, digest and length are the full payload's."""
-    return one_per_task(manifest.select("name")).mapInArrow(partial(_read, arrow_schema(READ), uri), READ)
+    return one_per_task(manifest.select("name")).mapInArrow(Tidy(partial(_read, arrow_schema(READ), uri)), READ)
 
 
 def warc_report(pages: DataFrame) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to of each page, from archives read back."""
+    short_batches(pages.sparkSession)
     uri = folder(pages.sparkSession, "warc")
     return read_warc(write_warc(pages, uri), uri).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -4,15 +4,17 @@ import base64
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from millwatch.llm import bpe, extract, huffman, licences, outliers, text_stats, token_files, toxicity, warc
+from millwatch.llm import bpe, extract, huffman, licences, outliers, store, text_stats, token_files, toxicity, warc
 from millwatch.llm.queries import QUERIES, pretoken_pattern, vocabulary
-from millwatch.llm.store import folder, table
+from millwatch.llm.store import arrow_schema, folder, table
 
 CLASH = {"id": 1, "row": 2, "g": "x", "x0": 1.0, "ids": "y", "n_words": 3, "payload": "z"}
 ODD = [None, "", " ", "  a  b ", "\n\n x\t", "a" * 3000, "naïve café 漢字 🎉 \x1c\x85", "don't I'LL <|endoftext|>", "1234567 $$$ ...", "x " * 2000]
@@ -379,6 +381,31 @@ def test_archives_round_trip(spark):
     assert warc.warc_report(pages.limit(0)).count() == 0
 
 
+def test_archive_workers_hold_one_payload_and_give_memory_back(spark, tmp_path, monkeypatch):
+    n, size = 400, 50_000
+    columns = {"url": [f"http://a/{i:04}" for i in range(n)], "id": range(n), "same": ["s"] * n, "refers": [None] * n, "refers_url": [None] * n, "payload": [bytes([i % 251]) * size for i in range(n)]}
+    types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.binary()]
+    batch = pa.record_batch([pa.array(v, t) for v, t in zip(columns.values(), types, strict=True)], names=list(columns))
+    del columns
+    tracemalloc.start()
+    done = list(warc._write(arrow_schema(warc.WRITTEN), str(tmp_path), warc.ROLL_BYTES, iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert done[0]["records"].to_pylist() == [n] and peak < n * size // 4
+
+    calls, tables, saved = [], [], store.saved
+    monkeypatch.setattr(warc, "Tidy", lambda fn: calls.append(fn.func.__name__) or store.Tidy(fn))
+    monkeypatch.setattr(store, "saved", lambda df, name: tables.append(name) or saved(df, name))
+    pages = spark.createDataFrame([(i, f"http://a/{i}", "x" * i) for i in range(40)], "page_id long, url string, html string")
+    uri = folder(spark, "warc")
+    manifest = warc.write_warc(pages, uri, roll=1)
+    assert warc.read_warc(manifest, uri).count() == 40
+    assert calls == ["_write", "_read"]
+    # each file that Spark writes starts processes of the executor, so the manifest of 40 archives is one file
+    assert manifest.count() == 40 and len(manifest.inputFiles()) == 1
+    assert tables == ["written", "manifest"]
+
+
 def test_no_page_or_token_takes_more_than_its_length():
     import time
 
