@@ -90,29 +90,36 @@ class Decoder:
         used = np.flatnonzero(lengths)
         order = used[np.argsort(codes[used].astype(np.int64) << (self.bits - lengths[used]), kind="stable")]
         span = np.left_shift(1, self.bits - lengths[order].astype(np.int64))
-        self.symbol = np.zeros(1 << self.bits, np.uint32)
-        self.size = np.ones(1 << self.bits, np.int64)
+        # a symbol and its length are one number, as every lookup is a step through memory
+        self.known = np.ones(1 << self.bits, np.uint32)
         filled = int(span.sum())
-        self.symbol[:filled] = np.repeat(order, span)
-        self.size[:filled] = np.repeat(lengths[order], span)
+        self.known[:filled] = np.repeat(order.astype(np.uint32) << 5 | lengths[order], span)
 
-    def __call__(self, data: bytes, n: int, marks: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
-        """The n ids of a block (or of several, with the bit at which each stretch starts in `at`)."""
-        raw = np.frombuffer(data + bytes(8), np.uint8).astype(np.uint64)
-        # 40 bits from every byte on
-        word = np.zeros(len(raw) - 4, np.uint64)
-        for k in range(5):
-            word = word << np.uint64(8) | raw[k : len(raw) - 4 + k]
-        bit = np.cumsum(marks, dtype=np.int64) - marks if at is None else at.copy()
-        out = np.zeros((len(bit), EVERY), np.uint32)
-        mask = np.uint64((1 << self.bits) - 1)
-        left = n - (len(bit) - 1) * EVERY if len(bit) else 0
+    def __call__(self, data: bytes, n: int, marks: np.ndarray) -> np.ndarray:
+        """The n ids of a block."""
+        return self.several([(data, n, marks)])
+
+    def several(self, blocks: list[tuple[bytes, int, np.ndarray]]) -> np.ndarray:
+        """The ids of blocks (bits, number of ids, bits of each stretch), one after another; their stretches go side by side."""
+        raw = np.frombuffer(b"".join([*(data for data, _, _ in blocks), bytes(8)]), np.uint8)
+        # 32 bits from every byte on
+        word = np.ndarray(len(raw) - 3, ">u4", raw, strides=(1,)).astype(np.uint32)
+        first = np.cumsum([0, *(8 * len(data) for data, _, _ in blocks)])
+        bit = np.concatenate([a + np.cumsum(marks) - marks for a, (_, _, marks) in zip(first.tolist(), blocks, strict=False)]).astype(np.int64)
+        sizes = np.full(len(bit), EVERY)
+        ends = np.cumsum([len(marks) for _, _, marks in blocks])
+        left = np.array([n for _, n, _ in blocks], np.int64)
+        has = ends > np.append(0, ends[:-1])
+        sizes[ends[has] - 1] = left[has] - EVERY * (np.diff(ends, prepend=0)[has] - 1)
+        out = np.zeros((EVERY, len(bit)), np.uint32)
+        shift, full = np.uint32(32 - self.bits), int(sizes.min(initial=EVERY))
+        live = slice(None)
         for k in range(EVERY):
-            live = len(bit) if k < left else len(bit) - 1
-            if live <= 0:
-                break
-            b = bit[:live]
-            look = (word[b >> 3] >> (40 - self.bits - (b & 7)).astype(np.uint64) & mask).astype(np.int64)
-            out[:live, k] = self.symbol[look]
-            bit[:live] += self.size[look]
-        return out.ravel()[:n]
+            if k >= full:
+                live = np.flatnonzero(sizes > k)
+            b = bit[live]
+            look = self.known[word[b >> 3] << (b & 7).astype(np.uint32) >> shift]
+            out[k, live] = look >> np.uint32(5)
+            bit[live] = b + (look & np.uint32(31))
+        # stretches that end early end their block
+        return out.T[np.arange(EVERY) < sizes[:, None]] if full < EVERY else out.T.ravel()

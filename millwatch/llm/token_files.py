@@ -4,18 +4,17 @@ A file holds whole documents: a header with the code lengths, blocks of at most
 ids, checkpoints, bits and CRC, decodable alone), a list of documents, and a footer that says where the list is.
 Codes are the canonical length-limited Huffman codes of the ids' counts in the whole collection.
 
-Steps: range-sort the texts by id and encode them (saved); count ids (combined before the shuffle, one row per id of
-the vocabulary reaches the driver); write files that roll at ROLL ids under temporary names; rename those of the
-tasks that succeeded, with a manifest; read back by the manifest.
+Steps: range-sort the texts by id and encode them (saved, with each task's counts of ids); sum the counts (combined
+before the shuffle, one row per id of the vocabulary reaches the driver); write files that roll at ROLL ids under
+temporary names; rename those of the tasks that succeeded, with a manifest; read back by the manifest.
 """
 
 from __future__ import annotations
 
-import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache, partial
 
 import numpy as np
@@ -24,31 +23,45 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millwatch.llm import huffman, octets
-from millwatch.llm.store import NO_ID, Tidy, arrow_schema, committed, folder, id_key, map_arrow, octets_of, one_per_task, open_store, record, saved
+from millwatch.llm.store import BATCH_ROWS, NO_ID, Tidy, arrow_schema, committed, folder, id_key, octets_of, one_per_task, open_store, record, saved
 
 MAGIC = b"MWTOKEN1"
 BLOCK = 1 << 16
+#: Blocks that are decoded together.
+TOGETHER_BLOCKS = 8
 ROLL = 1 << 23
-#: Parts of texts that a worker remembers the ids of, in two generations.
-REMEMBERED = 250_000
+#: Parts of texts that a worker remembers the ids of, from one task to the next.
+REMEMBERED = 500_000
 LONGEST = 64
-#: Bytes of text that are cut into parts together; a longer text is taken alone.
-BATCH_BYTES = 8 << 20
+#: Bytes of text that are cut into parts together, about twice as many at most; a longer text may be more.
+BATCH_BYTES = 16 << 20
 #: Unknown parts that one call of the library takes, and how many of them it takes as one text.
 CALL = 16_384
 TOGETHER = 128
-#: White space of any kind: one byte, or the first byte and what may follow.
-BLANK = np.isin(np.arange(256), [*range(0x09, 0x0E), *range(0x1C, 0x21)])
+#: What a byte is: white space of one byte, a space, a line feed, punctuation, a letter or digit, the first byte of a letter of
+#: two (and the second of what may be none).
+BLANK, SPACE, LINE, MARK, ALNUM, LEAD, UNSURE = (1 << k for k in range(7))
+_SETS = {
+    BLANK: [*range(0x09, 0x0E), *range(0x1C, 0x21)],
+    SPACE: [0x20],
+    LINE: [0x0A],
+    MARK: [b for b in range(0x21, 0x7F) if not chr(b).isalnum()],
+    ALNUM: [b for b in range(0x80) if chr(b).isalnum()],
+    LEAD: [0xC3, 0xC4, 0xC5, 0xD0, 0xD1],
+    UNSURE: [0x97, 0xB7],
+}
+KINDS = bytes(sum(k for k, some in _SETS.items() if b in some) for b in range(256))
+#: White space of more bytes: the first, and what may follow.
 WIDE_BLANK = {0xC2: [b"\x85", b"\xa0"], 0xE1: [b"\x9a\x80", b"\xa0\x8e"], 0xE2: [*(bytes([0x80, b]) for b in (*range(0x80, 0x8B), 0xA8, 0xA9, 0xAF)), b"\x81\x9f"], 0xE3: [b"\x80\x80"]}
-#: Any white space but a space in front.
-WHITE = re.compile(r"(?!\A )[\s\u180E]")
-ALNUM = np.array([chr(b).isalnum() and b < 0x80 for b in range(256)])
-MARKS = np.isin(np.arange(256), list(b".,;:!?"))
 
 
-def _white(data: np.ndarray) -> np.ndarray:
+def _kinds(data: np.ndarray) -> np.ndarray:
+    return np.frombuffer(data.tobytes().translate(KINDS), np.uint8)
+
+
+def _white(data: np.ndarray, kinds: np.ndarray) -> np.ndarray:
     """Which bytes belong to white space."""
-    white = BLANK[data]
+    white = (kinds & BLANK).astype(bool)
     for first, rests in WIDE_BLANK.items():
         at = np.flatnonzero(data == first)
         for rest in rests:
@@ -64,29 +77,56 @@ def cuts(data: np.ndarray, starts: np.ndarray, fine: bool) -> np.ndarray:
     """Where the parts of texts begin: at each text's start (distinct, the first 0) and where a pre-token surely does.
 
     That is at a space alone between two characters that are no white space; if `fine`, also before and after such a
-    line feed, and between an ASCII letter or digit and one of MARKS. Fine cuts are those of GPT-2's pattern.
+    line feed, and between a letter (ASCII, Latin or Cyrillic) or ASCII digit and ASCII punctuation. Fine cuts are
+    those of GPT-2's pattern.
     """
-    white = _white(data)
+    kinds = _kinds(data)
+    white = _white(data, kinds)
     begins = np.zeros(len(data) + 1, bool)
     begins[starts] = begins[-1] = True
     alone = white.copy()
     alone[1:] &= ~white[:-1]
     alone[:-1] &= ~white[1:]
     alone &= ~(begins[:-1] | begins[1:])  # nothing is beside an end
-    out = begins[:-1] | (alone & (data == 0x20))
+    out = begins[:-1] | (alone & (kinds & SPACE > 0))
     if fine:
-        line = alone & (data == 0x0A)
+        line = alone & (kinds & LINE > 0)
         out |= line
         out[1:] |= line[:-1]
-        out[1:] |= MARKS[data[1:]] & ALNUM[data[:-1]]
+        letter = kinds & ALNUM > 0
+        letter[1:] |= (kinds[:-1] & LEAD > 0) & (kinds[1:] & UNSURE == 0)
+        out[1:] |= letter[:-1] & (kinds[1:] & MARK > 0)
     return np.flatnonzero(out)
 
 
+class _Known:
+    """Parts of texts of one type and their ids, at most REMEMBERED from one look to the next."""
+
+    def __init__(self, kind: pa.DataType) -> None:
+        self.parts, self.ids = pa.array([], kind), pa.array([], pa.large_binary())
+        self.uses = np.zeros(0, np.int64)
+
+    def look(self, parts: pa.Array, ids_of: Callable[[pa.Array], pa.LargeBinaryArray], keep: Callable[[pa.Array], np.ndarray]) -> tuple[pa.LargeBinaryArray, np.ndarray]:
+        """Ids of distinct parts, and the place of each part among them. `ids_of` is asked for new ones; those that `keep` says are remembered."""
+        n = len(self.parts)
+        # the remembered parts come first and so are known by their places
+        coded = pa.concat_arrays([self.parts, parts]).dictionary_encode()
+        places = coded.indices.to_numpy()[n:].astype(np.int64)
+        ids = pa.concat_arrays([self.ids, ids_of(coded.dictionary.slice(n))])
+        uses = np.bincount(places, minlength=len(ids))
+        uses[:n] += self.uses >> 1  # older uses count less and less
+        kept = np.flatnonzero(keep(coded.dictionary))
+        if (more := len(kept) - REMEMBERED) > 0:  # those used most
+            kept = np.sort(kept[np.argpartition(uses[kept], more)[more:]])
+        self.parts, self.ids, self.uses = coded.dictionary.take(pa.array(kept)), ids.take(pa.array(kept)), uses[kept]
+        return ids, places
+
+
 class _Library:
     """Ids by the tokenizers library; parts of texts are encoded once and remembered.
 
     Texts are cut where a pre-token begins whatever stands around, and no merge crosses pre-tokens, so the ids of a
-    text are those of its parts.
+    text are those of its parts. Ids are kept in `kind`, the narrowest numbers that hold the vocabulary.
     """
 
     def __init__(self, path: str) -> None:
@@ -100,72 +140,103 @@ class _Library:
         way = self.tokenizer.pre_tokenizer
         self.fine = self.tokenizer.normalizer is None and isinstance(way, pre_tokenizers.ByteLevel) and way.use_regex and not way.add_prefix_space
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.kind = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
         self.leads = {}
         for lead, symbol in ((" ", "Ġ"), ("\n", "Ċ")):
             self.leads[lead] = np.zeros(max(vocabulary.values()) + 1, bool)
             self.leads[lead][[i for symbols, i in vocabulary.items() if symbols.startswith(symbol)]] = True
-        self.line = np.array([vocabulary.get("Ċ", 0)], "<u4").tobytes()
+        self.line = vocabulary.get("Ċ", 0)
         self.forget()
 
     def forget(self) -> None:
-        self.young: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        self.short, self.long = _Known(pa.uint64()), _Known(pa.large_binary())
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text: every distinct part is looked up once, and its ids are dealt out."""
-        raw = [t.encode() for t in texts]
-        data = np.frombuffer(b"".join(raw), np.uint8)
+        """Ids of each text."""
+        return self.encode_array(pa.array([t.encode() for t in texts], pa.large_binary())).to_pylist()
+
+    def encode_array(self, texts: pa.LargeBinaryArray) -> pa.LargeBinaryArray:
+        """Ids of each text (none null): every distinct part is looked up once, and its ids are dealt out."""
+        ends, data = _buffers(texts)
         if not len(data):
-            return [b""] * len(texts)
-        ends = np.cumsum([len(t) for t in raw])
-        starts = np.unique(np.r_[0, ends[:-1]])
-        bounds = np.append(cuts(data, starts[starts < len(data)], self.fine), len(data))
-        parts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(data)])
-        coded = parts.dictionary_encode()
-        known = self.remembered(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
-        _, places, ids = pa.array(known, pa.large_binary()).take(coded.indices).buffers()
-        at = np.frombuffer(places, np.int64)[np.searchsorted(bounds, np.r_[0, ends])].tolist()
-        ids = ids.to_pybytes()
-        return [ids[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
-
-    def remembered(self, parts: list[bytes]) -> list[bytes]:
-        """Ids of distinct parts."""
-        young, older = self.young, self.older
-        new = [w for w in parts if w not in young]
-        if older:  # what is used again outlives its generation
-            young.update([(w, older[w]) for w in new if w in older])
-            new = [w for w in new if w not in older]
-        texts = [w.decode() for w in new]
-        # white space other than a space is not printable, which is quicker to see
-        odd = {w for w in texts if (not w.isprintable() or " " in w[1:]) and WHITE.search(w)}
-        for lead in (" ", "\n"):
-            some = [w for w in texts if (w[0] == " ") == (lead == " ") and w not in odd]
-            young.update(zip([w.encode() for w in some], self.apart(some, lead), strict=True))
-        young.update(zip([w.encode() for w in odd], self.whole(list(odd)), strict=True))
-        out = [young[w] for w in parts]
-        for w in [w for w in new if len(w) > LONGEST]:
-            del young[w]
-        if len(young) >= REMEMBERED:
-            self.young, self.older = {}, young
-        return out
-
-    def apart(self, parts: list[str], lead: str) -> list[bytes]:
-        """Ids of parts by one text for many. All have a space in front and no other, or none; the latter are put on lines."""
-        if lead != " " and not self.fine:
-            return self.whole(parts)
-        out, leads, line = [], self.leads[lead], self.line if lead != " " else b""
-        for start in range(0, len(parts), CALL):
-            pieces = [parts[i : i + TOGETHER] for i in range(start, min(start + CALL, len(parts)), TOGETHER)]
-            for some, packed in zip(pieces, self.whole(["".join(p) if lead == " " else "\n" + "\n".join(p) for p in pieces]), strict=True):
-                at = (np.flatnonzero(leads[np.frombuffer(packed, "<u4")]) * 4).tolist()
-                if len(at) != len(some) or (line and any(packed[i : i + len(line)] != line for i in at)):  # a vocabulary of another kind
-                    out += self.whole(some)
+            return texts
+        bounds = np.append(cuts(data, np.unique(ends[:-1][ends[:-1] < len(data)]), self.fine), len(data))
+        starts, sizes = bounds[:-1], np.diff(bounds)
+        # parts of at most 7 bytes are numbers, with their size as the highest byte
+        less = sizes < 8
+        eight = np.ndarray(len(data), "<u8", np.append(data, np.zeros(8, np.uint8)), strides=(1,))
+        sized = np.arange(8, dtype=np.uint64)
+        keys = eight[starts[less]] & ((np.uint64(1) << np.uint64(8) * sized) - np.uint64(1))[sizes[less]] | (sized << np.uint64(56))[sizes[less]]
+        short, at_short = self.short.look(pa.array(keys), lambda new: self.apart(_unpacked(new.to_numpy())), lambda known: np.ones(len(known), bool))
+        long, at_long = self.long.look(_binary(bounds, data).filter(pa.array(~less)), self.apart, lambda known: np.diff(_buffers(known)[0]) <= LONGEST)
+        places = np.empty(len(starts), np.int64)
+        places[less], places[~less] = at_short, at_long + len(short)
+        at, dealt = _buffers(pa.concat_arrays([short, long]).take(pa.array(places)))
+        return _binary(at[np.searchsorted(bounds, ends)], dealt)
+
+    def apart(self, parts: pa.LargeBinaryArray) -> pa.LargeBinaryArray:
+        """Ids of distinct parts, none empty: many by one text, where all have a space in front, or none has (those are put on lines)."""
+        if not len(parts):
+            return parts
+        at, data = _buffers(parts)
+        inside = np.append(0, np.cumsum(_white(data, _kinds(data))))
+        spaced = data[at[:-1]] == 0x20
+        odd = np.diff(inside[at]) > spaced  # with other white space
+        groups = [np.flatnonzero(g) for g in (spaced & ~odd, ~spaced & ~odd, odd)]
+        lined = self.together if self.fine else self.alone
+        done = [f(parts.take(pa.array(g)), lead) for f, g, lead in zip((self.together, lined, self.alone), groups, " \n ", strict=True)]
+        return pa.concat_arrays(done).take(pa.array(np.argsort(np.concatenate(groups))))
+
+    def alone(self, parts: pa.LargeBinaryArray, _: str) -> pa.LargeBinaryArray:
+        texts = [w.decode() for w in _list(parts)]
+        return pa.array([ids for i in range(0, len(texts), CALL) for ids in self.whole(texts[i : i + CALL])], pa.large_binary())
+
+    def together(self, parts: pa.LargeBinaryArray, lead: str) -> pa.LargeBinaryArray:
+        """Ids of parts without white space but `lead` in front, which is a space of their own or a line feed put there."""
+        texts = _list(parts)
+        pieces = [texts[i : i + TOGETHER] for i in range(0, len(texts), TOGETHER)]
+        joined = [(b"".join(p) if lead == " " else b"\n".join([b"", *p])).decode() for p in pieces]
+        out, leads = [], self.leads[lead]
+        for start in range(0, len(pieces), CALL // TOGETHER):
+            turn = slice(start, start + CALL // TOGETHER)
+            for some, packed in zip(pieces[turn], self.whole(joined[turn]), strict=True):
+                ids = np.frombuffer(packed, self.kind)
+                at = np.flatnonzero(leads[ids])
+                if len(at) != len(some) or (at[0] if len(at) else 0) or (lead != " " and (ids[at] != self.line).any()):  # a vocabulary of another kind
+                    out.append(pa.array(self.whole([w.decode() for w in some]), pa.large_binary()))
                     continue
-                out += [packed[i + len(line) : j] for i, j in zip(at, [*at[1:], len(packed)], strict=True)]
-        return out
+                if lead != " ":
+                    ids, at = np.delete(ids, at), at - np.arange(len(at))
+                out.append(_binary(np.append(at, len(ids)) * self.kind.itemsize, ids))
+        return pa.concat_arrays(out) if out else parts
+
+
+def _binary(bounds: np.ndarray, data: np.ndarray) -> pa.LargeBinaryArray:
+    """Pieces of data, from each bound to the next."""
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(np.ascontiguousarray(bounds, np.int64)), pa.py_buffer(data)])
+
+
+def _list(values: pa.LargeBinaryArray) -> list[bytes]:
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
+def _unpacked(keys: np.ndarray) -> pa.LargeBinaryArray:
+    """The parts that numbers stand for."""
+    sizes = (keys >> np.uint64(56)).astype(np.int64)
+    return _binary(np.append(0, np.cumsum(sizes)), keys.astype("<u8").view(np.uint8).reshape(-1, 8)[np.arange(8) < sizes[:, None]])
+
+
+def _buffers(values: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds of the values, from 0 on, and their bytes."""
+    if not len(values):
+        return np.zeros(1, np.int64), np.zeros(0, np.uint8)
+    _, bounds, data = values.buffers()
+    bounds = np.frombuffer(bounds, np.int64)[values.offset : values.offset + len(values) + 1]
+    data = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+    return bounds - bounds[0], data[bounds[0] : bounds[-1]]
 
 
 @lru_cache(maxsize=2)
@@ -173,24 +244,66 @@ def library(path: str) -> _Library:
     return _Library(path)
 
 
-def _tokens(schema, path: str, end_id: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    own, stop = library(path), np.array([end_id], "<u4").tobytes()
+#: Rows that the first step writes: documents, and one row per task with how often it met each id (`counts`, 64-bit).
+ENCODED = "id long, width int, ids binary, counts binary"
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows put together to about BATCH_BYTES."""
+    some: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        for start, end in octets.batches(octets_of(batch), BATCH_BYTES):
+            some.append(batch.slice(start, end - start))
+            size += some[-1].nbytes
+            if size >= BATCH_BYTES:
+                yield pa.Table.from_batches(some)
+                some, size = [], 0
+    if some:
+        yield pa.Table.from_batches(some)
+
+
+def _texts(column: pa.ChunkedArray) -> pa.LargeBinaryArray:
+    """Texts in valid UTF-8; null is empty."""
+    texts = column.cast(pa.large_binary()).fill_null(b"").combine_chunks()
     try:
-        for whole in batches:
-            texts = octets_of(whole)
-            for start, end in octets.batches(texts, BATCH_BYTES):
-                ids = own.encode([t.decode("utf-8", "replace") for t in texts[start:end]])
-                yield record({"id": whole.column("id").slice(start, end - start), "ids": [x + stop for x in ids]}, schema)
-    finally:
-        own.forget()  # an idle worker keeps nothing
+        texts.cast(pa.large_string())
+    except pa.ArrowInvalid:
+        return pa.array([t.decode("utf-8", "replace").encode() for t in texts.to_pylist()], pa.large_binary())
+    return texts
+
+
+def _tokens(schema, path: str, end_id: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    own = library(path)
+    kind = own.kind if end_id <= np.iinfo(own.kind).max else np.dtype("<u4")
+    total = np.zeros(0, np.int64)
+    for some in _gathered(batches):
+        at, ids = _buffers(own.encode_array(_texts(some.column("text"))))
+        ids = ids.view(own.kind).astype(kind, copy=False)
+        at = at // own.kind.itemsize
+        ids = np.insert(ids, at[1:], end_id)
+        at += np.arange(len(at))
+        total = _sum(total, np.bincount(ids))
+        coded = _binary(at * kind.itemsize, ids)
+        for start in range(0, len(coded), int(BATCH_ROWS)):
+            rows = coded.slice(start, int(BATCH_ROWS))
+            n = len(rows)
+            yield record({"id": some.column("id").slice(start, n).combine_chunks(), "width": [kind.itemsize] * n, "ids": rows, "counts": pa.nulls(n)}, schema)
+    yield record({"id": [None], "width": [kind.itemsize], "ids": [None], "counts": [total.astype("<i8").tobytes()]}, schema)
+
+
+def _sum(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    a, b = (a, b) if len(a) >= len(b) else (b, a)
+    a = a.copy()
+    a[: len(b)] += b
+    return a
 
 
 def _histogram(schema, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(0, np.int64)
     for batch in batches:
-        got = np.bincount(np.frombuffer(b"".join(batch.column("ids").to_pylist()), "<u4"), minlength=len(total))
-        got[: len(total)] += total
-        total = got
+        for counts in batch.column("counts").to_pylist():
+            total = _sum(total, np.frombuffer(counts, "<i8"))
     used = np.flatnonzero(total)
     yield record({"token": used, "k": total[used]}, schema)
 
@@ -202,17 +315,17 @@ class _Writer:
         self.lengths, self.codes = lengths, codes
         table = zlib.compress(lengths.tobytes(), 6)
         self.parts = [MAGIC, struct.pack("<II", len(lengths), len(table)), table]
-        self.ids: list[bytes] = []
+        self.ids: list[np.ndarray] = []
         self.docs: list[tuple[int, int]] = []
         self.n = 0
 
-    def add(self, doc: int, ids: bytes) -> None:
+    def add(self, doc: int, ids: np.ndarray) -> None:
         self.ids.append(ids)
-        self.docs.append((doc, len(ids) // 4))
-        self.n += len(ids) // 4
+        self.docs.append((doc, len(ids)))
+        self.n += len(ids)
 
     def close(self) -> bytes:
-        ids = np.frombuffer(b"".join(self.ids), "<u4")
+        ids = np.concatenate(self.ids)
         for start in range(0, len(ids), BLOCK):
             some = ids[start : start + BLOCK]
             bits, marks = huffman.encode(some, self.lengths, self.codes)
@@ -240,13 +353,15 @@ def _write(schema, uri, shared, batches: Iterator[pa.RecordBatch]) -> Iterator[p
 
     writer = None
     for batch in batches:
-        for doc, ids in zip(batch.column("id").to_pylist(), batch.column("ids").to_pylist(), strict=True):
+        at, data = _buffers(batch.column("ids").cast(pa.large_binary()))
+        at = at.tolist()
+        for doc, width, start, end in zip(batch.column("id").to_pylist(), batch.column("width").to_pylist(), at[:-1], at[1:], strict=True):
             # files are runs of ascending ids, also where a task reads several pieces of the sorted table
             if writer and (writer.n >= ROLL or doc < writer.docs[-1][0]):
                 yield close(writer)
                 writer = None
             writer = writer or _Writer(lengths, codes)
-            writer.add(doc, ids)
+            writer.add(doc, data[start:end].view(f"<u{width}"))
     if writer:
         yield close(writer)
 
@@ -263,9 +378,9 @@ def write_ids(docs: DataFrame, tokenizer: str, uri: str, end_id: int = 0) -> Dat
     store.create_dir(path, recursive=True)
     texts = docs.select(id_key("doc_id").alias("id"), F.col("text").cast("binary").alias("text"))
     ranged = texts.repartitionByRange("id").sortWithinPartitions("id", "text")
-    schema = "id long, ids binary"
-    ids = saved(ranged.mapInArrow(Tidy(partial(_tokens, arrow_schema(schema), tokenizer, end_id)), schema), "ids")
-    counted = ids.select("ids").mapInArrow(Tidy(partial(_histogram, arrow_schema("token long, k long"))), "token long, k long").groupBy("token").agg(F.sum("k").alias("k"))
+    encoded = saved(ranged.mapInArrow(Tidy(partial(_tokens, arrow_schema(ENCODED), tokenizer, end_id)), ENCODED), "ids")
+    met, ids = encoded.where("counts is not null").select("counts"), encoded.where("counts is null").drop("counts")
+    counted = met.mapInArrow(Tidy(partial(_histogram, arrow_schema("token long, k long"))), "token long, k long").groupBy("token").agg(F.sum("k").alias("k"))
     counts = np.zeros(1, np.int64)
     for r in counted.collect():  # one row per id of the vocabulary
         if r["token"] >= len(counts):
@@ -279,8 +394,8 @@ def write_ids(docs: DataFrame, tokenizer: str, uri: str, end_id: int = 0) -> Dat
     return manifest.withColumn("start", F.coalesce(F.sum("ids").over(order), F.lit(0)))
 
 
-def read_file(data: bytes) -> Iterator[tuple[int, np.ndarray]]:
-    """(document, ids) of a file's bytes, in order; a damaged block is an error."""
+def _parsed(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """A file's documents with their numbers of ids, and all its ids; a damaged block is an error."""
     if data[:8] != MAGIC or data[-8:] != MAGIC:
         raise ValueError("not a token file")
     n_codes, size = struct.unpack_from("<II", data, 8)
@@ -293,34 +408,38 @@ def read_file(data: bytes) -> Iterator[tuple[int, np.ndarray]]:
         body = data[at + 16 : at + 16 + 2 * n_marks + n_bits]
         if zlib.crc32(body) != crc:
             raise ValueError("damaged block")
-        blocks.append(decode(body[2 * n_marks :], n, np.frombuffer(body, "<u2", n_marks).astype(np.int64)))
+        blocks.append((body[2 * n_marks :], n, np.frombuffer(body, "<u2", n_marks).astype(np.int64)))
         at += 16 + len(body)
-    ids = np.concatenate(blocks) if blocks else np.zeros(0, np.uint32)
+    ids = [decode.several(blocks[i : i + TOGETHER_BLOCKS]) for i in range(0, len(blocks), TOGETHER_BLOCKS)]
+    return docs, np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+
+
+def read_file(data: bytes) -> Iterator[tuple[int, np.ndarray]]:
+    """(document, ids) of a file's bytes, in order; a damaged block is an error."""
+    docs, ids = _parsed(data)
     start = 0
     for doc, n in docs.tolist():
         yield doc, ids[start : start + n]
         start += n
 
 
-def _read(batch: pa.RecordBatch, uri: str) -> dict:
+def _read(schema, uri: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     store, path = open_store(uri)
-    out: dict[str, list] = {"id": [], "start": [], "n_tokens": [], "ids": []}
-    for name, start in zip(batch.column("name").to_pylist(), batch.column("start").to_pylist(), strict=True):
-        with store.open_input_stream(f"{path}/{name}") as lines:
-            data = lines.read()
-        for doc, ids in read_file(data):
-            out["id"].append(doc)
-            out["start"].append(start)
-            out["n_tokens"].append(len(ids))
-            out["ids"].append(ids.astype("<u4").tobytes())
-            start += len(ids)
-    return out
+    for batch in batches:
+        for name, first in zip(batch.column("name").to_pylist(), batch.column("start").to_pylist(), strict=True):
+            with store.open_input_stream(f"{path}/{name}") as lines:
+                docs, ids = _parsed(lines.read())
+            at = np.append(0, np.cumsum(docs[:, 1]))
+            rows = _binary(at * 4, ids.astype("<u4", copy=False))
+            for start in range(0, len(docs), int(BATCH_ROWS)):
+                some = slice(start, start + int(BATCH_ROWS))
+                yield record({"id": docs[some, 0], "start": first + at[:-1][some], "n_tokens": docs[some, 1], "ids": rows[some]}, schema)
 
 
 def read_ids(manifest: DataFrame, uri: str) -> DataFrame:
     """id, start, n_tokens, ids (little-endian 32-bit) of every document in the manifest's files."""
-    files = one_per_task(manifest.select("name", "start"))
-    return map_arrow(files, _read, "id long, start long, n_tokens long, ids binary", uri, rows=1)
+    schema = "id long, start long, n_tokens long, ids binary"
+    return one_per_task(manifest.select("name", "start")).mapInArrow(Tidy(partial(_read, arrow_schema(schema), uri)), schema)
 
 
 def token_file_report(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:

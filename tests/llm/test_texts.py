@@ -77,6 +77,61 @@ def test_token_files_ask_the_library_for_each_part_once(monkeypatch):
     assert sum(map(len, asked)) < 2.2 * len(" ".join(words)) and max(map(len, asked)) < 1000
 
 
+def _encoded(schema, texts, end_id=0):
+    batch = pa.record_batch({"id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.binary())})
+    batches = [batch.slice(k, 7) for k in range(0, len(texts), 7)]
+    rows = [r for b in token_files._tokens(schema, vocabulary("byte_bpe_50k.json"), end_id, iter(batches)) for r in b.to_pylist()]
+    return [(r["id"], np.frombuffer(r["ids"], f"<u{r['width']}").tolist()) for r in rows[:-1]], np.frombuffer(rows[-1]["counts"], "<i8")
+
+
+def test_token_files_remember_parts_from_task_to_task(spark, monkeypatch):
+    schema, library, asked = arrow_schema(token_files.ENCODED), token_files.library(vocabulary("byte_bpe_50k.json")), []
+    whole = library.whole
+    rnd = random.Random(4)
+    texts = [" ".join(rnd.choice(["w", "Wé", "verylongword"]) + str(rnd.randrange(40)) + rnd.choice(["", ",", "%%"]) for _ in range(60)) for _ in range(30)]
+    rows = [t.encode() for t in texts] + [None, b"", b"bad \xff byte\xc3", b"\xa9 next"]
+    want = [np.frombuffer(x, library.kind).tolist() for x in whole([*texts, "", "", "bad \ufffd byte\ufffd", "\ufffd next"])]
+    monkeypatch.setattr(library, "whole", lambda some: asked.extend(some) or whole(some))
+    library.forget()
+    for end_id in (0, 70_000):  # the latter needs wider numbers
+        got, counts = _encoded(schema, rows, end_id)
+        assert got == [(k, [*ids, end_id]) for k, ids in enumerate(want)]
+        assert (counts == np.bincount([i for _, ids in got for i in ids])).all()
+        assert bool(asked) == (end_id == 0)  # the second task has met all parts
+        asked.clear()
+    # however few are remembered, ids are right
+    monkeypatch.setattr(token_files, "REMEMBERED", 20)
+    monkeypatch.setattr(token_files, "BATCH_BYTES", 500)
+    for _ in range(2):
+        assert _encoded(schema, rows)[0] == [(k, [*ids, 0]) for k, ids in enumerate(want)]
+        assert len(library.short.parts) <= 20 and len(library.long.parts) <= 20
+    assert _encoded(schema, [])[0] == []
+    library.forget()
+
+
+def test_token_files_cut_between_letters_and_punctuation(monkeypatch):
+    library, asked = token_files._Library(vocabulary("byte_bpe_50k.json")), []
+    whole = library.whole
+    letters = [chr(c) for c in (*range(0x21, 0x7F), *range(0xA0, 0x180), *range(0x3F0, 0x490), 0x2C2, 0x4E00)]
+    texts = [f"{a}{b} x{a}{b}{b}{a} {b}{a}'s" for a in letters for b in "',%_"]
+    assert library.encode(texts) == whole(texts)
+    monkeypatch.setattr(library, "whole", lambda some: asked.extend(some) or whole(some))
+    library.forget()
+    words = [f"w{a}\u00e9" for a in "abcdefghij"]
+    library.encode([w + end for w in words for end in "%&*_'#$"])
+    assert sum(map(len, asked)) < 2 * len(" ".join(words))
+
+
+def test_huffman_blocks_are_decoded_together():
+    counts = np.arange(1, 400) ** 2
+    lengths = huffman.code_lengths(counts)
+    codes, decode, rnd = huffman.canonical(lengths), huffman.Decoder(lengths), np.random.default_rng(3)
+    blocks = [rnd.choice(len(counts), n, p=counts / counts.sum()).astype(np.uint32) for n in (640, 1, 0, 64, 63, 65, 1000)]
+    coded = [(data, len(b), marks.astype(np.int64)) for b in blocks for data, marks in [huffman.encode(b, lengths, codes)]]
+    assert (decode.several(coded) == np.concatenate(blocks)).all()
+    assert all((decode(*c) == b).all() for c, b in zip(coded, blocks, strict=True))
+
+
 def test_bpe_of_a_long_pre_token():
     ours = bpe.coder(vocabulary("byte_bpe_50k.tiktoken"), pretoken_pattern())
     text = "".join(random.Random(1).choice("abcdef") for _ in range(30_000))
